@@ -1,13 +1 @@
-"""Column-level building blocks: everything is a built-in expression, so it stays in generated code."""
-
-from aduana.functions.codes import code_prefix, code_text, starts_with
-from aduana.functions.corrections import CORRECTIONS, correct_records
-from aduana.functions.dates import calendar_columns, fiscal_year, month_start, ntz, quarter_start
-from aduana.functions.numbers import clamp, float_divide, exact_sum, one_if_zero, percent_change, zero_if_null
-from aduana.functions.units import QUANTITY_DECIMALS, UNIT_RULES, convert_units, kilogram_quantity
-
-__all__ = [
-    "CORRECTIONS", "QUANTITY_DECIMALS", "UNIT_RULES", "calendar_columns", "clamp", "code_prefix", "code_text",
-    "convert_units", "correct_records", "fiscal_year", "float_divide", "exact_sum", "kilogram_quantity",
-    "month_start", "ntz", "one_if_zero", "percent_change", "quarter_start", "starts_with", "zero_if_null",
-]
+"""Expression building blocks: everything is a built-in function, so it stays in generated code."""

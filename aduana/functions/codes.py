@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def text_literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
-def code_prefix(code: Column, digits: int) -> Column:
-    return F.substring(code, 1, digits)
 
+def code_prefix(code: str, digits: int) -> str:
+    return f"substring({code}, 1, {digits})"
 
-def code_text(code: Column, width: int | None = None) -> Column:
+
+def code_text(code: str, width: int | None = None) -> str:
     """Code as text. A numeric code has lost its leading zeros; `width` puts them back."""
-    text = code.cast("string")
-    if width is None:
-        return text
-    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+    text = f"string({code})"
+    return text if width is None else f"if(length({text}) < {width}, lpad({text}, {width}, '0'), {text})"
 
 
-def starts_with(code: Column, prefix: str) -> Column:
+def starts_with(code: str, prefix: str) -> str:
     """Prefix test. Every non-null code has the empty prefix, and IS NOT NULL is the cheaper filter."""
-    return code.startswith(prefix) if prefix else code.isNotNull()
+    return f"startswith({code}, {text_literal(prefix)})" if prefix else f"{code} IS NOT NULL"

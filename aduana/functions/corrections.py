@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from aduana.functions.codes import text_literal
 from aduana.functions.dates import ntz
+from aduana.functions.frames import with_columns
 
 
 class Correction(NamedTuple):
@@ -28,25 +29,22 @@ CORRECTIONS = (
 )
 
 
-def _applies(rule: Correction) -> Column:
-    date = F.col("date")
-    hit = (
-        (F.col("hts_code") == rule.hts_code)
-        & (F.col(rule.column) == rule.wrong)
-        & (date >= ntz(rule.first_day))
-        & (date < ntz(rule.end_day))
+def _literal(value: int | str) -> str:
+    return text_literal(value) if isinstance(value, str) else str(value)
+
+
+def _branch(rule: Correction) -> str:
+    country = "" if rule.except_country is None else f" AND country <> {text_literal(rule.except_country)}"
+    return (
+        f"WHEN hts_code = '{rule.hts_code}' AND {rule.column} = {_literal(rule.wrong)} "
+        f"AND date >= {ntz(rule.first_day)} AND date < {ntz(rule.end_day)}{country} THEN {_literal(rule.right)}"
     )
-    if rule.except_country is not None:
-        hit &= F.col("country") != rule.except_country
-    return hit
 
 
 def correct_records(facts: DataFrame) -> DataFrame:
     """Replace the wrong values. Units and countries are compared as stored, case included; a null never matches."""
-    corrected: dict[str, Column] = {}
-    for rule in CORRECTIONS:
-        right = F.lit(rule.right).cast(facts.schema[rule.column].dataType)
-        corrected[rule.column] = F.when(_applies(rule), right).otherwise(
-            corrected.get(rule.column, F.col(rule.column))
-        )
-    return facts.withColumns(corrected)
+    columns = dict.fromkeys(rule.column for rule in CORRECTIONS)
+    return with_columns(facts, {
+        column: f"CASE {' '.join(_branch(r) for r in CORRECTIONS if r.column == column)} ELSE {column} END"
+        for column in columns
+    })

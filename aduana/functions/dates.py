@@ -1,36 +1,32 @@
-"""Calendar columns of a zone-free timestamp."""
+"""Calendar parts of a zone-free timestamp."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 FISCAL_START_MONTH = 7
 
 
-def fiscal_year(date: Column) -> Column:
+def fiscal_year(date: str) -> str:
     """Fiscal year, named after the calendar year it ends in; it starts in July."""
-    return F.year(date) + F.when(F.month(date) >= FISCAL_START_MONTH, 1).otherwise(0)
+    return f"year({date}) + if(month({date}) >= {FISCAL_START_MONTH}, 1, 0)"
 
 
-def calendar_columns(date: Column) -> dict[str, Column]:
+def calendar_parts(date: str) -> dict[str, str]:
     return {
-        "qtr": F.quarter(date),
+        "qtr": f"quarter({date})",
         "fiscal_year": fiscal_year(date),
-        "month": F.month(date),
-        "year": F.year(date),
+        "month": f"month({date})",
+        "year": f"year({date})",
     }
 
 
-def month_start(year: Column, month: Column) -> Column:
-    zero = F.lit(0)
-    return F.make_timestamp_ntz(year, month, F.lit(1), zero, zero, zero)
+def month_start(year: str, month: str) -> str:
+    return f"make_timestamp_ntz({year}, {month}, 1, 0, 0, 0)"
 
 
-def quarter_start(year: Column, quarter: Column) -> Column:
-    return month_start(year, quarter * 3 - 2)
+def quarter_start(year: str, quarter: str) -> str:
+    return month_start(year, f"{quarter} * 3 - 2")
 
 
-def ntz(text: str) -> Column:
-    """Zone-free timestamp literal; compared with an NTZ column it is pushed to the scan."""
-    return F.lit(text).cast("timestamp_ntz")
+def ntz(text: str) -> str:
+    """Zone-free timestamp literal; a comparison of an NTZ column with it is pushed to the scan."""
+    return f"TIMESTAMP_NTZ '{text}'"

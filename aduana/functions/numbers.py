@@ -1,46 +1,34 @@
-"""Numeric column helpers with float semantics that hold under ANSI mode."""
+"""Numeric expressions with float semantics that hold under ANSI mode."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def zero_if_null(value: str) -> str:
+    return f"coalesce({value}, 0)"
 
-def zero_if_null(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0))
 
+def one_if_zero(value: str) -> str:
+    return f"if({value} = 0, 1D, {value})"
 
-def float_divide(numerator: Column, denominator: Column) -> Column:
-    """IEEE division: x/0 is a signed infinity and 0/0 is NaN, where ANSI mode would raise."""
-    x, y = numerator.cast("double"), denominator.cast("double")
-    by_zero = (
-        F.when((x == 0) | F.isnan(x), F.lit(float("nan")))
-        .when(x > 0, F.lit(float("inf")))
-        .when(x < 0, F.lit(float("-inf")))
-    )
-    return F.when(y == 0, by_zero).otherwise(x / y)
+
+def float_divide(x: str, y: str) -> str:
+    """IEEE division of doubles, where ANSI mode would raise: x/0 is a signed infinity and 0/0 is NaN."""
+    return f"if({y} = 0, {x} * double('Infinity'), {x} / {y})"
 
 
-def percent_change(current: Column, previous: Column) -> Column:
+def percent_change(current: str, previous: str) -> str:
     """Change against `previous` in percent; null when either side is null."""
-    return float_divide(current - previous, previous) * 100
+    return f"100 * {float_divide(f'({current} - {previous})', previous)}"
 
 
-def clamp(value: Column, low: float | None = None, high: float | None = None) -> Column:
+def clamp(value: str, low: float | None = None, high: float | None = None) -> str:
     """Limit to [low, high]. Null and NaN pass through, which bare `greatest`/`least` would not do."""
-    limited = F.when(value.isNull() | F.isnan(value), value)
-    if low is not None:
-        limited = limited.when(value < low, F.lit(low))
-    if high is not None:
-        limited = limited.when(value > high, F.lit(high))
-    return limited.otherwise(value)
-
-
-def one_if_zero(value: Column) -> Column:
-    return F.when(value == 0, F.lit(1.0)).otherwise(value)
+    below = "" if low is None else f"WHEN {value} < {low!r}D THEN {low!r}D "
+    above = "" if high is None else f"WHEN {value} > {high!r}D AND NOT isnan({value}) THEN {high!r}D "
+    return f"CASE {below}{above}ELSE {value} END"
 
 
-def exact_sum(value: Column, decimals: int | None) -> Column:
+def exact_sum(value: str, decimals: int | None) -> str:
     """Sum of doubles, 0 for an all-null group.
 
     Adding doubles gives a result that depends on the order in which tasks finish. With `decimals`, values
@@ -49,13 +37,12 @@ def exact_sum(value: Column, decimals: int | None) -> Column:
     end: by a single division while all digits fit in 53 bits, else by adding the parts.
     """
     if decimals is None:
-        return F.coalesce(F.sum(value), F.lit(0.0))
+        return f"coalesce(sum({value}), 0D)"
     scale = 10**decimals
-    floor = F.floor(value)
-    fraction_sum = F.sum(F.rint((value - floor) * float(scale)).cast("long"))
-    rest = fraction_sum % scale
-    whole = F.sum(floor) + F.call_function("div", fraction_sum, F.lit(scale))
-    total = F.when(F.abs(whole) < 2**53 // scale, (whole * scale + rest) / float(scale)).otherwise(
-        whole + rest / float(scale)
+    fractions = f"sum(bigint(rint(({value} - floor({value})) * {scale}D)))"
+    whole = f"(sum(floor({value})) + {fractions} div {scale})"
+    rest = f"({fractions} % {scale})"
+    return (
+        f"coalesce(if(abs({whole}) < {2**53 // scale}, ({whole} * {scale} + {rest}) / {scale}D, "
+        f"{whole} + {rest} / {scale}D), 0D)"
     )
-    return F.coalesce(total, F.lit(0.0))

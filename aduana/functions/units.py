@@ -2,72 +2,82 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from aduana.functions.codes import code_prefix
-from aduana.functions.dates import calendar_columns
+from aduana.functions.dates import calendar_parts
+from aduana.functions.frames import with_columns
 from aduana.functions.numbers import zero_if_null
 
 
-class UnitRule(NamedTuple):
-    unit: str
-    hs6: str | None
-    to_kilograms: Callable[[Column], Column]
+class Factor(NamedTuple):
+    times: float = 1.0
+    per: float = 1.0
 
 
-# Unit codes, their factors and the two product-specific proof-litre factors.
-# The order is the order of precedence.
-UNIT_RULES = (
-    UnitRule("kg", None, lambda q: q),
-    UnitRule("gm", None, lambda q: q / 1000),
-    UnitRule("t", None, lambda q: q * 1000),
-    UnitRule("l", None, lambda q: q),
-    UnitRule("doz", None, lambda q: q * 0.70874),
-    UnitRule("m3", None, lambda q: q * 353.8322),
-    UnitRule("pfl", "220710", lambda q: q * 0.5556),
-    UnitRule("pfl", "220870", lambda q: q * 2),
-    UnitRule("pfl", None, lambda q: q * 1.25),
-)
+# Unit codes with their factors to kilograms. The order is the order of precedence.
+UNIT_FACTORS = {
+    "kg": Factor(),
+    "gm": Factor(per=1000.0),
+    "t": Factor(times=1000.0),
+    "l": Factor(),
+    "doz": Factor(times=0.70874),
+    "m3": Factor(times=353.8322),
+    "pfl": Factor(times=1.25),
+}
+
+# Factors that replace the unit's own one for a product (first six digits of its code).
+PRODUCT_FACTORS = {
+    ("pfl", "220710"): 0.5556,
+    ("pfl", "220870"): 2.0,
+}
 
 # Whole input quantities times any factor above have at most this many decimals.
 QUANTITY_DECIMALS = 5
 
 
-def kilogram_quantity(units: list[Column], quantities: list[Column], hts_code: Column) -> Column:
-    """Quantity of the first rule that one of the pairs meets; null when none does.
+def _constants(values) -> str:
+    return "array(" + ", ".join(f"'{v}'" if isinstance(v, str) else f"{v!r}D" for v in values) + ")"
+
+
+def unit_rank(unit: str) -> str:
+    """Place of a unit in the order of precedence, counted from 1; 0 for an unknown or missing unit."""
+    return zero_if_null(f"int(array_position({_constants(UNIT_FACTORS)}, lower({unit})))")
+
 
-    A rule is tried on every pair before the next rule is looked at, so a `kg` in the second pair wins over
-    a `t` in the first one.
+def kilograms(quantity: str, rank: str, hts_code: str) -> str:
+    """Quantity in kilograms; null for rank 0.
+
+    Factors are looked up in constant arrays. A branch per unit and pair would make the generated method so
+    long that the JVM interprets it instead of compiling it.
     """
-    branches = [
-        (unit == rule.unit if rule.hs6 is None else (unit == rule.unit) & (code_prefix(hts_code, 6) == rule.hs6),
-         rule.to_kilograms(quantity.cast("double")))
-        for rule in UNIT_RULES
-        for unit, quantity in zip(units, quantities, strict=True)
-    ]
-    (condition, value), *rest = branches
-    quantity = F.when(condition, value)
-    for condition, value in rest:
-        quantity = quantity.when(condition, value)
-    return quantity
+    times = f"get({_constants(f.times for f in UNIT_FACTORS.values())}, {rank} - 1)"
+    per = f"get({_constants(f.per for f in UNIT_FACTORS.values())}, {rank} - 1)"
+    places = list(UNIT_FACTORS)
+    special = " ".join(
+        f"WHEN {rank} = {places.index(unit) + 1} AND {code_prefix(hts_code, 6)} = '{hs6}' THEN {factor!r}D"
+        for (unit, hs6), factor in PRODUCT_FACTORS.items()
+    )
+    return f"{quantity} * CASE {special} ELSE {times} END / {per}"
 
 
 def convert_units(facts: DataFrame) -> DataFrame:
     """Add `qty` in kilogram equivalents and the columns `qtr`, `fiscal_year`, `month`, `year`.
 
-    Null input quantities become 0. It is a projection only: it runs inside the scan stage, and Catalyst
-    drops whatever the query does not use.
+    The pair whose unit comes first in the order of precedence counts: a `kg` in the second pair wins over a
+    `t` in the first one, and with equal units the first pair wins. Null input quantities become 0. These are
+    projections only: they run inside the scan stage, and Catalyst drops whatever the query does not use.
     """
-    filled = {c: zero_if_null(F.col(c)) for c in ("qty_1", "qty_2")}
-    # The lower-cased units get a projection of their own, so they are computed once per row, not per rule.
-    lowered = facts.withColumns(
-        filled | {"_unit_1": F.lower("unit_1"), "_unit_2": F.lower("unit_2")}
-    )
-    qty = kilogram_quantity(
-        [F.col("_unit_1"), F.col("_unit_2")], [F.col("qty_1"), F.col("qty_2")], F.col("hts_code")
-    )
-    return lowered.withColumns({"qty": qty} | calendar_columns(F.col("date"))).drop("_unit_1", "_unit_2")
+    facts = with_columns(facts, {
+        "qty_1": zero_if_null("qty_1"), "qty_2": zero_if_null("qty_2"),
+        "_rank_1": unit_rank("unit_1"), "_rank_2": unit_rank("unit_2"),
+    })
+    first = "_rank_1 > 0 AND (_rank_2 = 0 OR _rank_1 <= _rank_2)"
+    chosen = with_columns(facts, {
+        "_rank": f"if({first}, _rank_1, _rank_2)",
+        "_quantity": f"double(if({first}, qty_1, qty_2))",
+    })
+    converted = with_columns(chosen, {"qty": kilograms("_quantity", "_rank", "hts_code")} | calendar_parts("date"))
+    return converted.drop("_rank_1", "_rank_2", "_rank", "_quantity")

@@ -19,7 +19,7 @@ YEAR_PARTITION = "date_year"
 
 
 def agricultural_only(facts: DataFrame) -> DataFrame:
-    return facts.where(F.col("agri_prod") == 1)
+    return facts.where("agri_prod = 1")
 
 
 def with_code_prefix(facts: DataFrame, level: str, prefix: str = "") -> DataFrame:
@@ -32,7 +32,7 @@ def with_code_prefix(facts: DataFrame, level: str, prefix: str = "") -> DataFram
     column = LEVEL_COLUMNS[level]
     if column not in facts.columns:
         raise ValueError(f"level {level!r} needs the column {column!r}, which this source does not have")
-    return facts.where(starts_with(F.col(column), prefix))
+    return facts.where(starts_with(column, prefix))
 
 
 def parse_period(text: str) -> tuple[Moment, Moment] | int | None:
@@ -56,25 +56,24 @@ def in_period(facts: DataFrame, text: str) -> DataFrame:
     period = parse_period(text)
     if period is None:
         return facts
-    date = F.col("date")
     if isinstance(period, int):
+        first_year = last_year = period
         if 1 <= period < 9999:
-            kept = (date >= ntz(f"{period:04d}-01-01")) & (date < ntz(f"{period + 1:04d}-01-01"))
+            kept = f"date >= {ntz(f'{period:04d}-01-01')} AND date < {ntz(f'{period + 1:04d}-01-01')}"
         else:
-            kept = F.year(date) == period
-        first_year = last_year = period
+            kept = f"year(date) = {period}"
     else:
         first, last = period
-        kept = date.between(ntz(first.isoformat(" ")), ntz(last.isoformat(" ")))
         first_year, last_year = first.year, last.year
+        kept = f"date BETWEEN {ntz(first.isoformat(' '))} AND {ntz(last.isoformat(' '))}"
     if YEAR_PARTITION in facts.columns:
-        kept &= F.col(YEAR_PARTITION).between(first_year, last_year)
+        kept += f" AND {YEAR_PARTITION} BETWEEN {first_year} AND {last_year}"
     return facts.where(kept)
 
 
 def classified(facts: DataFrame) -> DataFrame:
     """Keep imports and exports that have a product code."""
-    return facts.where(F.col("hts_code").isNotNull() & F.col("trade_id").isin(IMPORTS, EXPORTS))
+    return facts.where(f"hts_code IS NOT NULL AND trade_id IN ({IMPORTS}, {EXPORTS})")
 
 
 def latest_period(df: DataFrame, date: str = "date") -> DataFrame:

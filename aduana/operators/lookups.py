@@ -61,7 +61,7 @@ def direction_table(spark: SparkSession) -> DataFrame:
 
 def agricultural_headings(spark: SparkSession) -> DataFrame:
     numbers = spark.createDataFrame([(h,) for h in AGRICULTURAL_HEADINGS], "heading int")
-    return numbers.select(code_text(F.col("heading"), 4).alias("hs4"))
+    return numbers.selectExpr(f"{code_text('heading', 4)} AS hs4")
 
 
 def naics_sectors(spark: SparkSession) -> DataFrame:
@@ -73,8 +73,8 @@ def with_agricultural_flag(df: DataFrame, code: str = "hts_code", flag: str = "a
 
     A fixed set of 129 codes is a hash lookup inside the projection; no join is needed.
     """
-    headings = [f"{h:04d}" for h in AGRICULTURAL_HEADINGS]
-    return df.withColumn(flag, code_prefix(F.col(code), 4).isin(headings).cast("int"))
+    headings = ", ".join(f"'{h:04d}'" for h in AGRICULTURAL_HEADINGS)
+    return df.withColumn(flag, F.expr(f"int({code_prefix(code, 4)} IN ({headings}))"))
 
 
 def with_naics_sector(df: DataFrame, code: str = "naics", label: str = "sector") -> DataFrame:
@@ -86,12 +86,12 @@ def with_naics_sector(df: DataFrame, code: str = "naics", label: str = "sector")
     sectors = naics_sectors(df.sparkSession)
     digits = sorted({len(p) for p in NAICS_SECTORS}, reverse=True)
     for n in digits:
-        part = sectors.where(F.length("prefix") == n).select(
-            F.col("prefix").alias(f"_prefix_{n}"), F.col("sector").alias(f"_sector_{n}")
-        )
-        df = df.join(F.broadcast(part), code_prefix(F.col(code), n) == F.col(f"_prefix_{n}"), "left")
-    labelled = df.withColumn(label, F.coalesce(*(F.col(f"_sector_{n}") for n in digits)))
-    return labelled.drop(*(f"_{kind}_{n}" for n in digits for kind in ("prefix", "sector")))
+        part = sectors.where(f"length(prefix) = {n}").toDF(f"_prefix_{n}", f"_sector_{n}")
+        df = df.join(F.broadcast(part), F.expr(f"{code_prefix(code, n)} = _prefix_{n}"), "left")
+    found = ", ".join(f"_sector_{n}" for n in digits)
+    return df.withColumn(label, F.expr(f"coalesce({found})")).drop(
+        *(f"_{kind}_{n}" for n in digits for kind in ("prefix", "sector"))
+    )
 
 
 def denormalise(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
@@ -102,27 +102,21 @@ def denormalise(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     dimension when its size is below the threshold and otherwise sorts and merges, where adaptive execution
     splits a key that holds much of the fact.
     """
-    def look_up(df: DataFrame, name: str, key: str, columns: dict[str, str]) -> DataFrame:
-        side = dimensions[name].select(
-            F.col("id").alias(f"_{key}"), *(F.col(c).alias(alias) for c, alias in columns.items())
-        )
-        return df.join(side, F.col(key) == F.col(f"_{key}"), "left").drop(f"_{key}")
-
-    flat = look_up(fact, "country", "country_id", {"country_name": "country"})
-    flat = look_up(flat, "hts", "hts_id", {
-        "hts_code": "hts_code", "hts_short_desc": "hts_desc", "agri_prod": "agri_prod",
-    })
-    flat = look_up(flat, "trade", "trade_id", {"trade": "direction"})
-    flat = look_up(flat, "unit", "unit1_id", {"unit_code": "unit_1"})
-    flat = look_up(flat, "unit", "unit2_id", {"unit_code": "unit_2"})
-    if "sitc_id" in fact.columns:
-        flat = look_up(flat, "sitc", "sitc_id", {"sitc_code": "sitc"})
-        flat = look_up(flat, "naics", "naics_id", {"naics_code": "naics"})
-        flat = look_up(flat, "district", "district_id", {"district_desc": "district"})
-        planning = ["sitc", "naics", "district"]
-    else:
-        planning = []
+    def look_up(df: DataFrame, name: str, key: str, **columns: str) -> DataFrame:
+        side = dimensions[name].selectExpr(f"id AS _{key}", *(f"{c} AS {alias}" for alias, c in columns.items()))
+        return df.join(side, F.expr(f"{key} = _{key}"), "left").drop(f"_{key}")
+
+    planning = "sitc_id" in fact.columns
+    flat = look_up(fact, "country", "country_id", country="country_name")
+    flat = look_up(flat, "hts", "hts_id", hts_code="hts_code", hts_desc="hts_short_desc", agri_prod="int(agri_prod)")
+    flat = look_up(flat, "trade", "trade_id", direction="trade")
+    flat = look_up(flat, "unit", "unit1_id", unit_1="unit_code")
+    flat = look_up(flat, "unit", "unit2_id", unit_2="unit_code")
+    if planning:
+        flat = look_up(flat, "sitc", "sitc_id", sitc="sitc_code")
+        flat = look_up(flat, "naics", "naics_id", naics="naics_code")
+        flat = look_up(flat, "district", "district_id", district="district_desc")
     return flat.select(
-        "date", "country", "trade_id", F.col("agri_prod").cast("int").alias("agri_prod"), "hts_code", "hts_desc",
-        "data", "unit_1", "qty_1", "unit_2", "qty_2", "direction", *planning,
+        "date", "country", "trade_id", "agri_prod", "hts_code", "hts_desc", "data", "unit_1", "qty_1", "unit_2",
+        "qty_2", "direction", *(("sitc", "naics", "district") if planning else ()),
     )

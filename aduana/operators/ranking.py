@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aduana.functions.frames import with_columns
+
 
 def extremes_of_latest(
     df: DataFrame, value: str, k: int, *, largest: bool, key: str, date: str = "date", drop_null: bool = False
@@ -16,19 +18,19 @@ def extremes_of_latest(
     them. The windows only see those `k` rows. Nulls come first in both directions, unless `drop_null`
     leaves them out; NaN counts as the largest value; `key` breaks ties.
     """
-    if drop_null:
-        by_value = F.desc_nulls_last(value) if largest else F.asc_nulls_last(value)
+    if largest:
+        by_value = F.desc_nulls_last(value) if drop_null else F.desc_nulls_first(value)
     else:
-        by_value = F.desc_nulls_first(value) if largest else F.asc_nulls_first(value)
-    order = [F.desc_nulls_last(date), by_value, F.asc(key)]
-    top = df.orderBy(*order).limit(k)
-    ranked = top.withColumns({
-        "position": F.row_number().over(Window.orderBy(*order)),
-        "_newest": F.max(date).over(Window.partitionBy()),
+        by_value = F.asc_nulls_last(value) if drop_null else F.asc_nulls_first(value)
+    top = df.orderBy(F.desc_nulls_last(date), by_value, key).limit(k)
+    order = (
+        f"{date} DESC NULLS LAST, {value} {'DESC' if largest else 'ASC'} NULLS {'LAST' if drop_null else 'FIRST'}, {key}"
+    )
+    ranked = with_columns(top, {
+        "position": f"row_number() OVER (ORDER BY {order})",
+        "_newest": f"max({date}) OVER ()",
     })
-    kept = F.col(date) == F.col("_newest")
-    if drop_null:
-        kept &= F.col(value).isNotNull()
+    kept = f"{date} = _newest" + (f" AND {value} IS NOT NULL" if drop_null else "")
     return ranked.where(kept).drop("_newest")
 
 
@@ -43,6 +45,6 @@ def distinct_sorted(df: DataFrame, column: str, skip: int = 0) -> DataFrame:
     return values.offset(skip) if skip else values
 
 
-def column_to_list(small: DataFrame, column: str | Column) -> list:
+def column_to_list(small: DataFrame, column: str) -> list:
     """One column of a short, already reduced frame as a Python list."""
     return [row[0] for row in small.select(column).collect()]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aduana.functions.frames import with_columns
 from aduana.functions.numbers import exact_sum, zero_if_null
 from aduana.operators.filters import EXPORTS, IMPORTS, LEVEL_COLUMNS, classified
 
@@ -27,13 +28,11 @@ def grouping_columns(level: str, time_frame: str) -> list[str]:
 
 
 def add_net_measures(df: DataFrame) -> DataFrame:
-    imports, exports = F.col("imports"), F.col("exports")
-    imports_qty, exports_qty = F.col("imports_qty"), F.col("exports_qty")
-    return df.withColumns({
-        "net_exports": exports - imports,
-        "net_imports": imports - exports,
-        "net_exports_qty": exports_qty - imports_qty,
-        "net_imports_qty": imports_qty - exports_qty,
+    return with_columns(df, {
+        "net_exports": "exports - imports",
+        "net_imports": "imports - exports",
+        "net_exports_qty": "exports_qty - imports_qty",
+        "net_imports_qty": "imports_qty - exports_qty",
     })
 
 
@@ -45,26 +44,16 @@ def direction_sums(base: DataFrame, keys: list[str], qty_decimals: int | None =
     equal), so such a group stays split by direction: `_side` holds the direction for those rows and is
     constant for all others.
     """
-    any_null = F.lit(False)
-    for key in keys:
-        any_null |= F.col(key).isNull()
-    side = F.when(any_null, F.col("trade_id")).otherwise(F.lit(0))
-
-    def of(direction: int, column: str) -> Column:
-        return F.when(F.col("trade_id") == direction, F.col(column))
-
-    return (
-        classified(base)
-        .withColumn("_side", side)
-        .groupBy(*keys, "_side")
-        .agg(
-            zero_if_null(F.sum(of(IMPORTS, "data"))).alias("imports"),
-            exact_sum(of(IMPORTS, "qty"), qty_decimals).alias("imports_qty"),
-            zero_if_null(F.sum(of(EXPORTS, "data"))).alias("exports"),
-            exact_sum(of(EXPORTS, "qty"), qty_decimals).alias("exports_qty"),
-        )
-        .drop("_side")
-    )
+    any_null = " OR ".join(f"{key} IS NULL" for key in keys)
+    sums = []
+    for direction, name in ((IMPORTS, "imports"), (EXPORTS, "exports")):
+        data, qty = (f"if(trade_id = {direction}, {column}, NULL)" for column in ("data", "qty"))
+        sums += [
+            F.expr(zero_if_null(f"sum({data})")).alias(name),
+            F.expr(exact_sum(qty, qty_decimals)).alias(f"{name}_qty"),
+        ]
+    sided = with_columns(classified(base), {"_side": f"if({any_null}, trade_id, 0)"})
+    return sided.groupBy(*keys, "_side").agg(*sums).drop("_side")
 
 
 def direction_sums_joined(base: DataFrame, keys: list[str], qty_decimals: int | None = None) -> DataFrame:
@@ -72,12 +61,12 @@ def direction_sums_joined(base: DataFrame, keys: list[str], qty_decimals: int |
     rows = classified(base)
 
     def one_side(direction: int, name: str) -> DataFrame:
-        return rows.where(F.col("trade_id") == direction).groupBy(*keys).agg(
-            F.sum("data").alias(name), exact_sum(F.col("qty"), qty_decimals).alias(f"{name}_qty")
+        return rows.where(f"trade_id = {direction}").groupBy(*keys).agg(
+            F.sum("data").alias(name), F.expr(exact_sum("qty", qty_decimals)).alias(f"{name}_qty")
         )
 
     joined = one_side(IMPORTS, "imports").join(one_side(EXPORTS, "exports"), keys, "full")
-    return joined.select(*keys, *(zero_if_null(F.col(m)).alias(m) for m in MEASURES))
+    return joined.selectExpr(*keys, *(f"{zero_if_null(m)} AS {m}" for m in MEASURES))
 
 
 def rollup(

@@ -6,15 +6,18 @@ per heading (by period), whatever the number of customs records behind it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aduana.functions.codes import code_prefix
 from aduana.functions.dates import month_start, quarter_start
-from aduana.functions.numbers import float_divide, exact_sum, one_if_zero, percent_change
+from aduana.functions.frames import with_columns
+from aduana.functions.numbers import exact_sum, float_divide, one_if_zero, percent_change
 
 DIRECTIONS = ("imports", "exports")
 
+SERIES = "PARTITION BY hs4 ORDER BY date"
+
 
 def unit_prices(product_rollup: DataFrame, period: str, *, qty_decimals: int | None = None) -> DataFrame:
     """Value per quantity by (year, `period`, hs4) out of a product-level rollup; `period` is "qtr" or "month".
@@ -22,19 +25,12 @@ def unit_prices(product_rollup: DataFrame, period: str, *, qty_decimals: int | N
     A product line without quantity counts as one unit, before the lines of a heading are added up.
     """
     start = quarter_start if period == "qtr" else month_start
-    headings = (
-        product_rollup.withColumn("hs4", code_prefix(F.col("hts_code"), 4))
-        .groupBy("year", period, "hs4")
-        .agg(
-            F.sum("imports").alias("imports"),
-            F.sum("exports").alias("exports"),
-            exact_sum(one_if_zero(F.col("imports_qty")), qty_decimals).alias("imports_qty"),
-            exact_sum(one_if_zero(F.col("exports_qty")), qty_decimals).alias("exports_qty"),
-        )
-    )
-    return headings.withColumns(
-        {f"price_{d}": float_divide(F.col(d), F.col(f"{d}_qty")) for d in DIRECTIONS}
-        | {"date": start(F.col("year"), F.col(period))}
+    sums = [F.sum(d).alias(d) for d in DIRECTIONS]
+    sums += [F.expr(exact_sum(one_if_zero(f"{d}_qty"), qty_decimals)).alias(f"{d}_qty") for d in DIRECTIONS]
+    headings = with_columns(product_rollup, {"hs4": code_prefix("hts_code", 4)})
+    return with_columns(
+        headings.groupBy("year", period, "hs4").agg(*sums),
+        {f"price_{d}": float_divide(f"double({d})", f"{d}_qty") for d in DIRECTIONS} | {"date": start("year", period)},
     )
 
 
@@ -43,10 +39,8 @@ def add_row_change(prices: DataFrame, rows: int) -> DataFrame:
 
     The lag counts rows, not calendar periods; a row without a date sorts first and counts as a row.
     """
-    series = Window.partitionBy("hs4").orderBy("date")
-    return prices.withColumns({
-        f"price_{d}_yoy": percent_change(F.col(f"price_{d}"), F.lag(f"price_{d}", rows).over(series))
-        for d in DIRECTIONS
+    return with_columns(prices, {
+        f"price_{d}_yoy": percent_change(f"price_{d}", f"lag(price_{d}, {rows}) OVER ({SERIES})") for d in DIRECTIONS
     })
 
 
@@ -56,22 +50,20 @@ def add_calendar_change(prices: DataFrame, period: str) -> DataFrame:
     A value-based window frame finds the earlier row, so it takes one shuffle and no self-join.
     """
     per_year = {"qtr": 4, "month": 12}[period]
-    slot = F.col("year") * per_year + F.col(period)
-    series = Window.partitionBy("hs4").orderBy(slot).rangeBetween(-per_year, -per_year)
+    slot = f"year * {per_year} + {period}"
+    frame = f"PARTITION BY hs4 ORDER BY {slot} RANGE BETWEEN {per_year} PRECEDING AND {per_year} PRECEDING"
 
-    def change(direction: str) -> Column:
-        price = F.col(f"price_{direction}")
-        return F.when(slot.isNotNull(), percent_change(price, F.first(price).over(series)))
+    def change(price: str) -> str:
+        return f"if(year IS NULL, NULL, {percent_change(price, f'first({price}) OVER ({frame})')})"
 
-    return prices.withColumns({f"price_{d}_yoy": change(d) for d in DIRECTIONS})
+    return with_columns(prices, {f"price_{d}_yoy": change(f"price_{d}") for d in DIRECTIONS})
 
 
 def add_market_rank(prices: DataFrame) -> DataFrame:
     """Rank of each heading within its month by unit price, highest price first; equal prices share a rank."""
-    def rank(direction: str) -> Column:
-        return F.rank().over(Window.partitionBy("year", "month").orderBy(F.desc(f"price_{direction}")))
-
-    return prices.withColumns({f"rank_{d}": rank(d) for d in DIRECTIONS})
+    return with_columns(prices, {
+        f"rank_{d}": f"rank() OVER (PARTITION BY year, month ORDER BY price_{d} DESC)" for d in DIRECTIONS
+    })
 
 
 def add_rolling_statistics(prices: DataFrame, rows: int = 3, sigmas: float = 2.0) -> DataFrame:
@@ -79,26 +71,20 @@ def add_rolling_statistics(prices: DataFrame, rows: int = 3, sigmas: float = 2.0
 
     All four are null until the heading has `rows` rows. The band is mean ± `sigmas` standard deviations.
     """
-    series = Window.partitionBy("hs4").orderBy("date")
-    frame = series.rowsBetween(1 - rows, 0)
-
-    def once_full(value: Column) -> Column:
-        return F.when(F.row_number().over(series) >= rows, value)
-
-    statistics = {}
-    for d in DIRECTIONS:
-        statistics[f"price_{d}_mean"] = once_full(F.avg(f"price_{d}").over(frame))
-        statistics[f"price_{d}_std"] = once_full(F.stddev_samp(f"price_{d}").over(frame))
-    bands = {}
-    for d in DIRECTIONS:
-        mean, reach = F.col(f"price_{d}_mean"), F.col(f"price_{d}_std") * sigmas
-        bands |= {f"price_{d}_low": mean - reach, f"price_{d}_high": mean + reach}
-    return prices.withColumns(statistics).withColumns(bands)
+    frame = f"{SERIES} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW"
+    statistics, bands = {}, {}
+    for price in (f"price_{d}" for d in DIRECTIONS):
+        for name, function in (("mean", "avg"), ("std", "stddev_samp")):
+            statistics[f"{price}_{name}"] = (
+                f"if(row_number() OVER ({SERIES}) >= {rows}, {function}({price}) OVER ({frame}), NULL)"
+            )
+        bands[f"{price}_low"] = f"{price}_mean - {sigmas!r}D * {price}_std"
+        bands[f"{price}_high"] = f"{price}_mean + {sigmas!r}D * {price}_std"
+    return with_columns(with_columns(prices, statistics), bands)
 
 
 def add_rank_shift(ranked: DataFrame, rows: int = 12) -> DataFrame:
     """Places gained since the row `rows` rows earlier: positive when the heading moved towards rank 1."""
-    series = Window.partitionBy("hs4").orderBy("date")
-    return ranked.withColumns({
-        f"rank_{d}_shift": F.lag(f"rank_{d}", rows).over(series) - F.col(f"rank_{d}") for d in DIRECTIONS
+    return with_columns(ranked, {
+        f"rank_{d}_shift": f"lag(rank_{d}, {rows}) OVER ({SERIES}) - rank_{d}" for d in DIRECTIONS
     })

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from aduana.functions.frames import with_columns
 from aduana.functions.numbers import clamp
 from aduana.functions.units import QUANTITY_DECIMALS
 from aduana.operators.ranking import extremes_of_latest
@@ -64,8 +64,6 @@ def price_movers(
     `actual_yoy` is the change itself and `plot_yoy` the change limited to ±100 percent. A heading without a
     change yet is listed first, as nulls sort first; `drop_null` leaves it out.
     """
-    changes = prices.withColumns({
-        "actual_yoy": F.col(f"price_{direction}_yoy"),
-        "plot_yoy": clamp(F.col(f"price_{direction}_yoy"), -100.0, 100.0),
-    })
+    change = f"price_{direction}_yoy"
+    changes = with_columns(prices, {"actual_yoy": change, "plot_yoy": clamp(change, -100.0, 100.0)})
     return extremes_of_latest(changes, "actual_yoy", k, largest=largest, key="hs4", drop_null=drop_null)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aduana.functions.codes import code_prefix
+from aduana.functions.codes import code_prefix, code_text
 from aduana.functions.corrections import correct_records
+from aduana.functions.frames import with_columns
 from aduana.functions.numbers import clamp, exact_sum
 from aduana.functions.units import QUANTITY_DECIMALS, convert_units
 from aduana.operators.filters import agricultural_only, in_period, with_code_prefix
@@ -60,8 +61,8 @@ def trade_rollup(
 def fiscal_net_quantity(facts: DataFrame, strict: bool = True) -> DataFrame:
     """Per fiscal year, the net import quantity of all products, where a product with net exports counts as 0."""
     products = trade_rollup(facts, "hts", "fiscal", strict=strict, sort=False)
-    net = clamp(F.col("net_imports_qty"), low=0.0)
-    return products.groupBy("fiscal_year").agg(exact_sum(net, QUANTITY_DECIMALS).alias("net_qty"))
+    net = with_columns(products, {"net": clamp("net_imports_qty", low=0.0)})
+    return net.groupBy("fiscal_year").agg(F.expr(exact_sum("net", QUANTITY_DECIMALS)).alias("net_qty"))
 
 
 def chapter_codes(df: DataFrame, code: str, skip: int = 2) -> DataFrame:
@@ -69,7 +70,7 @@ def chapter_codes(df: DataFrame, code: str, skip: int = 2) -> DataFrame:
 
     A numeric code is taken as its plain digits, without a leading zero.
     """
-    chapters = df.select(code_prefix(F.col(code).cast("string"), 2).alias("cmdcode"))
+    chapters = df.selectExpr(f"{code_prefix(code_text(code), 2)} AS cmdcode")
     return distinct_sorted(chapters, "cmdcode", skip)
 
 

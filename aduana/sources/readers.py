@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aduana.functions.codes import text_literal
 from aduana.operators.filters import YEAR_PARTITION
 from aduana.sources.contracts import ORGANISATION, PLANNING, Contract, conform
 
@@ -48,19 +49,16 @@ def promote_header(responses: DataFrame, names: list[str] | None = None, column:
     columns to return; without them the header of one text is read, which starts a small job. All
     values stay text.
     """
-    tables = responses.select(F.from_json(column, _TABLE_TEXT).alias("_rows")).select(
-        F.element_at("_rows", 1).alias("_header"), "_rows"
-    )
+    tables = responses.selectExpr(f"from_json({column}, '{_TABLE_TEXT}') AS _rows")
     if names is None:
-        first = tables.where(F.col("_header").isNotNull()).select("_header").first()
+        first = tables.where("size(_rows) > 0").selectExpr("_rows[0]").first()
         if first is None:
             raise ValueError("no header row: there is no text to read")
         names = first[0]
-    row = F.explode(F.slice("_rows", F.lit(2), F.size("_rows"))).alias("_row")
-    cells = tables.select("_header", row)
+    cells = tables.selectExpr("get(_rows, 0) AS _header", "explode(slice(_rows, 2, size(_rows))) AS _row")
     # array_position is 0 for a name that a page lacks, and `get` is null outside the array.
-    return cells.select(
-        *(F.get("_row", (F.array_position("_header", n) - 1).cast("int")).alias(n) for n in names)
+    return cells.selectExpr(
+        *(f"get(_row, int(array_position(_header, {text_literal(n)})) - 1) AS `{n}`" for n in names)
     )
 
 

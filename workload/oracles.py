@@ -6,13 +6,40 @@ spell out their arithmetic, so none of the shortcuts of the Spark plans is repea
 
 from __future__ import annotations
 
-from workload.facts import AGRI_SQL, COUNTRY_SQL, DATED_SQL, RECORD_SQL
-
-TRADE = (
-    "trade AS (" + RECORD_SQL.replace("STRING", "VARCHAR") + f", {AGRI_SQL}, {COUNTRY_SQL} FROM ({DATED_SQL}"
-    "FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey "
-    "LEFT JOIN nation ON s_nationkey = n_nationkey))"
-)
+TRADE = """
+trade AS (
+  SELECT
+    CASE WHEN l_returnflag = 'A' THEN 1 WHEN l_returnflag = 'N' THEN 2 WHEN l_linestatus = 'O' THEN 1 ELSE 3 END
+      AS trade_id,
+    CASE bk WHEN 0 THEN NULL WHEN 1 THEN '2207100000' WHEN 2 THEN '2208700000' WHEN 3 THEN '2203000000'
+            WHEN 4 THEN '1004900000' WHEN 5 THEN '2304000000' WHEN 6 THEN '2714900000'
+            ELSE concat(lpad(CAST(101 + (l_partkey % 97) * 20 AS VARCHAR), 4, '0'),
+                        lpad(CAST(l_partkey % 7 AS VARCHAR), 6, '0')) END AS hts_code,
+    CASE WHEN p_size % 25 = 0 THEN NULL ELSE p_size % 2 END AS agri_prod,
+    CASE n_nationkey WHEN 23 THEN NULL WHEN 24 THEN 'united states' ELSE lower(n_name) END AS country,
+    CASE l_partkey % 8 WHEN 0 THEN NULL WHEN 1 THEN '3254' WHEN 2 THEN '3256' WHEN 3 THEN '3341' WHEN 4 THEN '3391'
+                       WHEN 5 THEN '1111' WHEN 6 THEN '2123' ELSE '3111' END AS naics,
+    CAST(floor(l_extendedprice) AS BIGINT) AS data,
+    CASE WHEN bk = 4 THEN CASE WHEN l_linenumber % 2 = 0 THEN 't' ELSE 'T' END
+         ELSE CASE l_orderkey % 10 WHEN 0 THEN 'kg' WHEN 1 THEN 'KG' WHEN 2 THEN 'gm' WHEN 3 THEN 't' WHEN 4 THEN 'l'
+                                   WHEN 5 THEN 'doz' WHEN 6 THEN 'm3' WHEN 7 THEN 'pfl' WHEN 8 THEN 'no' ELSE NULL END
+         END AS unit_1,
+    CASE WHEN bk = 5 AND year(date) = 2007 AND month(date) = 3 THEN 7540542599
+         WHEN bk = 6 AND year(date) = 2008 AND month(date) = 6 THEN 5000000
+         WHEN l_linenumber = 7 AND l_orderkey % 5 = 0 THEN NULL
+         ELSE CAST(floor(l_quantity) AS BIGINT) END AS qty_1,
+    CASE l_linenumber WHEN 1 THEN 'kg' WHEN 2 THEN 'gm' WHEN 3 THEN 't' WHEN 4 THEN 'l' WHEN 5 THEN 'pfl'
+                      WHEN 6 THEN 'No' ELSE NULL END AS unit_2,
+    CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE CAST(floor(l_quantity) AS BIGINT) * 2 END AS qty_2,
+    date
+  FROM (
+    SELECT *, l_partkey % 40 AS bk,
+           CASE WHEN l_orderkey % 997 = 0 THEN NULL ELSE l_shipdate + INTERVAL '12' YEAR END AS date
+    FROM lineitem
+    LEFT JOIN part ON l_partkey = p_partkey
+    LEFT JOIN supplier ON l_suppkey = s_suppkey
+    LEFT JOIN nation ON s_nationkey = n_nationkey))
+"""
 
 CORRECTED = """
 corrected AS (

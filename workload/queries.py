@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from aduana.functions.corrections import correct_records
 from aduana.functions.units import QUANTITY_DECIMALS, convert_units
@@ -91,7 +90,7 @@ def fiscal_net(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = trade_facts(spark, sf_dir).select(F.col("hts_code").cast("bigint").alias("commodity_code"))
+    codes = trade_facts(spark, sf_dir).selectExpr("bigint(hts_code) AS commodity_code")
     return chapter_codes(codes, "commodity_code")
 
 
@@ -109,37 +108,26 @@ def naics_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star_denormalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as the fact, the other tables as its dimensions; some keys have no match or are null."""
-    fact = table(spark, sf_dir, "lineitem").select(
-        F.col("l_shipdate").alias("date"),
-        (F.col("l_linenumber") % 3).alias("trade_id"),
-        F.when(F.col("l_orderkey") % 13 != 0, F.col("l_partkey")).alias("hts_id"),
-        (F.col("l_suppkey") % 27).alias("country_id"),
-        (F.col("l_linenumber") - 1).alias("district_id"),
-        (F.col("l_suppkey") + 5).alias("sitc_id"),
-        F.col("l_linenumber").alias("naics_id"),
-        F.floor("l_extendedprice").alias("data"),
-        (F.col("l_orderkey") % 30).alias("unit1_id"),
-        F.floor("l_quantity").alias("qty_1"),
-        F.col("l_linenumber").alias("unit2_id"),
-        (F.floor("l_quantity") * 2).alias("qty_2"),
+    fact = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_shipdate AS date", "l_linenumber % 3 AS trade_id",
+        "if(l_orderkey % 13 = 0, NULL, l_partkey) AS hts_id", "l_suppkey % 27 AS country_id",
+        "l_linenumber - 1 AS district_id", "l_suppkey + 5 AS sitc_id", "l_linenumber AS naics_id",
+        "floor(l_extendedprice) AS data", "l_orderkey % 30 AS unit1_id", "floor(l_quantity) AS qty_1",
+        "l_linenumber AS unit2_id", "floor(l_quantity) * 2 AS qty_2",
     )
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
-    region_id = F.col("r_regionkey").alias("id")
-    nation_id = F.col("n_nationkey").alias("id")
     return denormalise(fact, {
-        "country": nation.select(nation_id, F.lower("n_name").alias("country_name")),
-        "hts": part.select(
-            F.col("p_partkey").alias("id"),
-            F.lpad(F.col("p_partkey").cast("string"), 10, "0").alias("hts_code"),
-            F.col("p_name").alias("hts_short_desc"),
-            (F.col("p_size") % 2 == 1).alias("agri_prod"),
+        "country": nation.selectExpr("n_nationkey AS id", "lower(n_name) AS country_name"),
+        "hts": part.selectExpr(
+            "p_partkey AS id", "lpad(string(p_partkey), 10, '0') AS hts_code", "p_name AS hts_short_desc",
+            "p_size % 2 = 1 AS agri_prod",
         ),
-        "sitc": supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("sitc_code")),
-        "naics": region.select(region_id, F.col("r_name").alias("naics_code")),
+        "sitc": supplier.selectExpr("s_suppkey AS id", "s_name AS sitc_code"),
+        "naics": region.selectExpr("r_regionkey AS id", "r_name AS naics_code"),
         "trade": direction_table(spark),
-        "district": region.select(region_id, F.col("r_name").alias("district_desc")),
-        "unit": nation.select(nation_id, F.col("n_name").alias("unit_code")),
+        "district": region.selectExpr("r_regionkey AS id", "r_name AS district_desc"),
+        "unit": nation.selectExpr("n_nationkey AS id", "n_name AS unit_code"),
     })
 
 
@@ -150,13 +138,8 @@ def union_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each record as a landed response of two rows, header first, and back to columns."""
-    def cells(*values):
-        return F.array(*values)
-
-    responses = trade_facts(spark, sf_dir).select(
-        F.to_json(F.array(
-            cells(F.lit("CODE"), F.lit("VAL")), cells(F.col("hts_code"), F.col("data").cast("string"))
-        )).alias("value")
+    responses = trade_facts(spark, sf_dir).selectExpr(
+        "to_json(array(array('CODE', 'VAL'), array(hts_code, string(data)))) AS value"
     )
     return promote_header(responses, ["CODE", "VAL"])
 
