@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aduana.functions.codes import code_prefix, code_text
+from aduana.functions.codes import code_prefix, code_text, text_literal
 
 # Direction of trade by id.
 DIRECTION_NAMES = {1: "Imports", 2: "Exports"}
@@ -55,17 +57,23 @@ NAICS_SECTORS = {
 }
 
 
+def _constant_table(spark: SparkSession, columns: str, rows: Iterable[str]) -> DataFrame:
+    """Rows given as SQL text. They are part of the plan, so Spark knows their size."""
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({columns})")
+
+
 def direction_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(DIRECTION_NAMES.items()), "id int, trade string")
+    return _constant_table(spark, "id, trade", (f"({i}, {text_literal(n)})" for i, n in DIRECTION_NAMES.items()))
 
 
 def agricultural_headings(spark: SparkSession) -> DataFrame:
-    numbers = spark.createDataFrame([(h,) for h in AGRICULTURAL_HEADINGS], "heading int")
-    return numbers.selectExpr(f"{code_text('heading', 4)} AS hs4")
+    headings = _constant_table(spark, "heading", (f"({h})" for h in AGRICULTURAL_HEADINGS))
+    return headings.selectExpr(f"{code_text('heading', 4)} AS hs4")
 
 
 def naics_sectors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(NAICS_SECTORS.items()), "prefix string, sector string")
+    rows = (f"('{prefix}', {text_literal(sector)})" for prefix, sector in NAICS_SECTORS.items())
+    return _constant_table(spark, "prefix, sector", rows)
 
 
 def with_agricultural_flag(df: DataFrame, code: str = "hts_code", flag: str = "agricultural") -> DataFrame:

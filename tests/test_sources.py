@@ -1,0 +1,171 @@
+from __future__ import annotations
+
+import json
+import os
+
+import pytest
+from frames import day, facts, physical_plan_of
+
+from aduana import TradeDesk
+from aduana.sources import (
+    COMTRADE, ORGANISATION, PLANNING, STAR, concat_extracts, conform, create_table, ingest_extracts, read_csv,
+    read_header_json, read_parquet, read_parquet_tree, read_source, write_csv, write_facts, write_parquet,
+)
+
+
+def types(df) -> dict:
+    return {f.name: f.dataType for f in df.schema}
+
+
+def org_facts(spark):
+    return facts(
+        spark, {"date": day("2010-05-01")}, {"date": day("2011-05-01"), "trade_id": 2, "country": "france"},
+        {"date": None, "agri_prod": 1},
+    ).selectExpr("*", "'horses' AS hts_desc")
+
+
+def test_contracts_become_tables(spark):
+    for contract in (ORGANISATION, PLANNING, COMTRADE, *STAR):
+        name = create_table(spark, contract)
+        assert create_table(spark, contract) == name
+        assert types(spark.table(name)) == contract.columns
+    assert len(COMTRADE.columns) == 47 and len(STAR) == 9
+    floats = [c for c, t in COMTRADE.columns.items() if t.simpleString() == "float"]
+    assert floats == ["qty", "altQty", "netWgt", "grossWgt", "cifvalue", "fobvalue", "primaryValue"]
+
+
+def test_defaults_apply_to_columns_left_out(spark):
+    create_table(spark, ORGANISATION, "org_defaults")
+    spark.sql("INSERT INTO org_defaults (trade_id, hts_code) VALUES (1, '0101000001')")
+    row = spark.table("org_defaults").first()
+    assert (row.data, row.qty_1, row.qty_2, row.country) == (0, 0, 0, None)
+
+
+def test_conform_casts_and_reports_missing_columns(spark):
+    flagged = org_facts(spark).selectExpr("* EXCEPT (agri_prod)", "agri_prod = 1 AS agri_prod")
+    assert types(conform(flagged, ORGANISATION)) == ORGANISATION.columns
+    with pytest.raises(ValueError, match="sitc"):
+        conform(org_facts(spark), PLANNING)
+
+
+def test_facts_round_trip_by_year(spark, tmp_path):
+    path = str(tmp_path / "org")
+    df = org_facts(spark)
+    write_facts(df, path)
+    assert {d for d in os.listdir(path) if d.startswith("date_year")} == {
+        "date_year=2010", "date_year=2011", "date_year=__HIVE_DEFAULT_PARTITION__",
+    }
+    back = read_source(spark, {"org": path})
+    assert back.columns == [*ORGANISATION.columns, "date_year"]
+    key = list(ORGANISATION.columns)
+    assert sorted(back.select(key).collect(), key=str) == sorted(df.select(key).collect(), key=str)
+
+
+def test_write_only_if_missing(spark, tmp_path):
+    path = str(tmp_path / "out")
+    one, two = spark.range(1), spark.range(2)
+    write_parquet(one, path)
+    write_parquet(two, path)
+    assert read_parquet(spark, path).count() == 1
+    write_parquet(two, path, update=True)
+    assert read_parquet(spark, path).count() == 2
+
+
+def test_source_router(spark, tmp_path):
+    planning = org_facts(spark).selectExpr("*", "'001' AS sitc")
+    planning.write.parquet(str(tmp_path / "jp"))
+    locations = {"jp": str(tmp_path / "jp")}
+    assert types(read_source(spark, locations, "jp")) == PLANNING.columns
+    with pytest.raises(ValueError, match="source"):
+        read_source(spark, locations, "un")
+
+
+def test_source_from_catalog_table(spark):
+    create_table(spark, ORGANISATION)
+    assert types(read_source(spark, {"org": "inttradedata"})) == ORGANISATION.columns
+
+
+def test_desk(spark, tmp_path):
+    path = str(tmp_path / "org")
+    write_facts(org_facts(spark), path)
+    desk = TradeDesk(spark, {"org": path})
+    rows = desk.process_int_jp("country", "yearly").collect()
+    assert [(r.year, r.country, r.imports, r.exports) for r in rows] == [
+        (None, "spain", 100, 0), (2010, "spain", 100, 0), (2011, "france", 0, 100),
+    ]
+    base = desk.conversion(desk.corrections(desk.pull_int_org()))
+    assert desk.process_data("yearly", "total", base).count() == 3
+    assert desk.filter_data(base, ["year"]).columns == ["year", "imports", "imports_qty", "exports", "exports_qty"]
+    assert desk.process_price().count() == 3
+    assert desk.process_price(agriculture_filter=True).count() == 1
+    assert "rank_imports" in desk.price_statistics().columns
+    with pytest.raises(ValueError, match="naics"):
+        desk.process_int_jp("naics", "yearly")
+
+
+def test_parquet_tree_reads_every_depth(spark, tmp_path):
+    for i, depth in enumerate(("a", "a/b", "a/b/c")):
+        folder = tmp_path / depth
+        folder.mkdir(parents=True, exist_ok=True)
+        spark.range(i + 1).toPandas().to_parquet(folder / "exports.parquet")
+        spark.range(50).toPandas().to_parquet(folder / "imports.parquet")
+    assert read_parquet_tree(spark, str(tmp_path), "exports.parquet").count() == 6
+
+
+def test_csv_keeps_rows_with_bad_values(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("code,value\n0101,5\n0202,oops\n")
+    df = read_csv(spark, str(tmp_path / "in.csv"), "code string, value int")
+    assert [tuple(r) for r in df.orderBy("code").collect()] == [("0101", 5), ("0202", None)]
+
+
+def test_csv_sink(spark, tmp_path):
+    df = spark.createDataFrame([("0101", 5)], "code string, value int").coalesce(1)
+    write_csv(df, str(tmp_path / "out"))
+    (file,) = (f for f in os.listdir(tmp_path / "out") if f.endswith(".csv"))
+    assert (tmp_path / "out" / file).read_text() == "code,value\n0101,5\n"
+
+
+def test_ingest(spark, tmp_path):
+    (tmp_path / "i.csv").write_text("code,value\n0101,5\n")
+    (tmp_path / "e.csv").write_text("code,value\n0101,5\n0303,7\n")
+    ingest_extracts(
+        spark, str(tmp_path / "i.csv"), str(tmp_path / "e.csv"), "code string, value int", str(tmp_path / "all")
+    )
+    assert read_parquet(spark, str(tmp_path / "all")).count() == 3
+
+
+def test_concat_matches_by_name_and_wants_the_same_columns(spark):
+    a, b = spark.createDataFrame([(1, "x")], "n int, s string"), spark.createDataFrame([("y", 2)], "s string, n int")
+    assert sorted(tuple(r) for r in concat_extracts(a, b).collect()) == [(1, "x"), (2, "y")]
+    with pytest.raises(Exception, match="Cannot resolve"):
+        concat_extracts(a, b.drop("n"))
+
+
+def test_header_rows(spark, tmp_path):
+    pages = [
+        [["CTY", "VAL"], ["1010", "5"], ["1220", None]],
+        [["VAL", "CTY"], ["9", "it's"]],
+        [["CTY"], ["77"]],
+        [["CTY", "VAL"]],
+    ]
+    for i, page in enumerate(pages):
+        (tmp_path / f"page{i}.json").write_text(json.dumps(page, indent=1))
+    expected = [("1010", "5"), ("1220", None), ("77", None), ("it's", "9")]
+    found = read_header_json(spark, str(tmp_path), ["CTY", "VAL"])
+    assert sorted((tuple(r) for r in found.collect()), key=str) == sorted(expected, key=str)
+    one = read_header_json(spark, str(tmp_path / "page1.json"))
+    assert one.columns == ["VAL", "CTY"] and [tuple(r) for r in one.collect()] == [("9", "it's")]
+
+
+def test_header_rows_without_text(spark, tmp_path):
+    (tmp_path / "empty.json").write_text("")
+    with pytest.raises(ValueError, match="header"):
+        read_header_json(spark, str(tmp_path))
+
+
+def test_facts_keep_filters_pushable(spark, tmp_path):
+    path = str(tmp_path / "org")
+    write_facts(org_facts(spark), path)
+    plan = physical_plan_of(read_source(spark, {"org": path}).where("date >= TIMESTAMP_NTZ '2011-01-01'").select("data"))
+    assert "GreaterThanOrEqual(date,2011-01-01" in plan
+    assert "ReadSchema: struct<data:bigint,date:timestamp_ntz>" in plan
