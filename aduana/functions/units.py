@@ -12,63 +12,55 @@ from aduana.functions.frames import with_columns
 from aduana.functions.numbers import zero_if_null
 
 
-class Factor(NamedTuple):
-    times: float = 1.0
-    per: float = 1.0
-
-
-# Unit codes with their factors to kilograms. The order is the order of precedence.
-UNIT_FACTORS = {
-    "kg": Factor(),
-    "gm": Factor(per=1000.0),
-    "t": Factor(times=1000.0),
-    "l": Factor(),
-    "doz": Factor(times=0.70874),
-    "m3": Factor(times=353.8322),
-    "pfl": Factor(times=1.25),
-}
-
-# Factors that replace the unit's own one for a product (first six digits of its code).
-PRODUCT_FACTORS = {
-    ("pfl", "220710"): 0.5556,
-    ("pfl", "220870"): 2.0,
+class Unit(NamedTuple):
+    """How a quantity becomes kilograms; `by_product` replaces that for codes with the given first six digits."""
+
+    kilograms: str
+    by_product: dict[str, str] = {}
+
+
+# Unit codes and their factors. The order is the order of precedence.
+UNITS = {
+    "kg": Unit("{0}"),
+    "gm": Unit("{0} / 1000"),
+    "t": Unit("{0} * 1000"),
+    "l": Unit("{0}"),
+    "doz": Unit("{0} * 0.70874D"),
+    "m3": Unit("{0} * 353.8322D"),
+    "pfl": Unit("{0} * 1.25D", {"220710": "{0} * 0.5556D", "220870": "{0} * 2"}),
 }
 
 # Whole input quantities times any factor above have at most this many decimals.
 QUANTITY_DECIMALS = 5
 
 
-def _constants(values) -> str:
-    return "array(" + ", ".join(f"'{v}'" if isinstance(v, str) else f"{v!r}D" for v in values) + ")"
-
-
 def unit_rank(unit: str) -> str:
     """Place of a unit in the order of precedence, counted from 1; 0 for an unknown or missing unit."""
-    return zero_if_null(f"int(array_position({_constants(UNIT_FACTORS)}, lower({unit})))")
+    units = ", ".join(f"'{u}'" for u in UNITS)
+    return zero_if_null(f"int(array_position(array({units}), lower({unit})))")
 
 
 def kilograms(quantity: str, rank: str, hts_code: str) -> str:
-    """Quantity in kilograms; null for rank 0.
-
-    Factors are looked up in constant arrays. A branch per unit and pair would make the generated method so
-    long that the JVM interprets it instead of compiling it.
-    """
-    times = f"get({_constants(f.times for f in UNIT_FACTORS.values())}, {rank} - 1)"
-    per = f"get({_constants(f.per for f in UNIT_FACTORS.values())}, {rank} - 1)"
-    places = list(UNIT_FACTORS)
-    special = " ".join(
-        f"WHEN {rank} = {places.index(unit) + 1} AND {code_prefix(hts_code, 6)} = '{hs6}' THEN {factor!r}D"
-        for (unit, hs6), factor in PRODUCT_FACTORS.items()
-    )
-    return f"{quantity} * CASE {special} ELSE {times} END / {per}"
+    """Quantity in kilograms; null for rank 0."""
+    branches = []
+    for place, unit in enumerate(UNITS.values(), start=1):
+        value = unit.kilograms.format(quantity)
+        if unit.by_product:
+            special = " ".join(f"WHEN '{hs6}' THEN {v.format(quantity)}" for hs6, v in unit.by_product.items())
+            value = f"CASE {code_prefix(hts_code, 6)} {special} ELSE {value} END"
+        branches.append(f"WHEN {place} THEN {value}")
+    return f"CASE {rank} {' '.join(branches)} END"
 
 
 def convert_units(facts: DataFrame) -> DataFrame:
     """Add `qty` in kilogram equivalents and the columns `qtr`, `fiscal_year`, `month`, `year`.
 
     The pair whose unit comes first in the order of precedence counts: a `kg` in the second pair wins over a
-    `t` in the first one, and with equal units the first pair wins. Null input quantities become 0. These are
-    projections only: they run inside the scan stage, and Catalyst drops whatever the query does not use.
+    `t` in the first one, and with equal units the first pair wins. Null input quantities become 0.
+
+    These are projections only: they run inside the scan stage, and Catalyst drops whatever the query does
+    not use. The pair is chosen before the factor; one branch per unit and pair would make the generated
+    method so long that the JVM interprets it instead of compiling it.
     """
     facts = with_columns(facts, {
         "qty_1": zero_if_null("qty_1"), "qty_2": zero_if_null("qty_2"),

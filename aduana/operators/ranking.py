@@ -39,10 +39,9 @@ def in_display_order(report: DataFrame) -> DataFrame:
     return report.orderBy(F.desc("position"))
 
 
-def distinct_sorted(df: DataFrame, column: str, skip: int = 0) -> DataFrame:
-    """Distinct values in ascending order, nulls first, without the first `skip` of them."""
-    values = df.select(column).dropDuplicates([column]).orderBy(column)
-    return values.offset(skip) if skip else values
+def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values in ascending order, nulls first."""
+    return df.select(column).dropDuplicates([column]).orderBy(column)
 
 
 def column_to_list(small: DataFrame, column: str) -> list:

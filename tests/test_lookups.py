@@ -80,6 +80,7 @@ def test_chapters(spark):
     assert chapter_list(df, "Commodity_Code", skip=0) == [None, "10", "22", "39"]
     assert chapter_list(df, "Commodity_Code") == ["22", "39"]
     assert chapter_codes(df, "Commodity_Code", skip=9).isEmpty()
+    assert chapter_codes(df.selectExpr("string(Commodity_Code) AS c"), "c", skip=1).count() == 3
 
 
 def test_distinct_sorted(spark):

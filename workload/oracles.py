@@ -197,7 +197,7 @@ FROM latest QUALIFY position <= 50
 LATEST_PERIOD = f"WITH {price_changes_ctes()} SELECT * FROM series WHERE date = (SELECT max(date) FROM series)"
 
 
-def price_statistics_sql() -> str:
+def price_statistics_sql(columns: str = "") -> str:
     """Mean and deviation of three rows are written out: m is the running mean, s the running sum of squares."""
     both = ("imports", "exports")
     price = [f"price_{d}" for d in both]
@@ -224,8 +224,10 @@ def price_statistics_sql() -> str:
     WITH {price_ctes("monthly")},
     ranked AS (SELECT *, {ranks} FROM prices),
     lags AS (SELECT *, {lags} FROM ranked),
-    stats AS (SELECT *, {", ".join(mean + spread)} FROM lags)
-    SELECT * EXCLUDE ({helpers}), {", ".join(band)}, {changes("{}_lag12")}, {", ".join(shift)} FROM stats
+    stats AS (SELECT *, {", ".join(mean + spread)} FROM lags),
+    everything AS (
+      SELECT * EXCLUDE ({helpers}), {", ".join(band)}, {changes("{}_lag12")}, {", ".join(shift)} FROM stats)
+    SELECT {f"hs4, year, month, {columns}" if columns else "*"} FROM everything
     """
 
 
@@ -342,6 +344,14 @@ def oracle_sql() -> dict[str, str]:
         "price_movers_bottom": MOVERS.format(ctes=price_changes_ctes(), order="ASC NULLS FIRST"),
         "latest_period": LATEST_PERIOD,
         "price_statistics_monthly": price_statistics_sql(),
+        "price_rolling": price_statistics_sql(
+            "price_imports_mean, price_imports_std, price_imports_low, price_imports_high, "
+            "price_exports_mean, price_exports_std, price_exports_low, price_exports_high"
+        ),
+        "price_rank": price_statistics_sql("price_imports, price_exports, rank_imports, rank_exports"),
+        "price_yoy_monthly": price_statistics_sql(
+            "price_imports_yoy, price_exports_yoy, rank_imports_shift, rank_exports_shift"
+        ),
         "fiscal_net": FISCAL_NET,
         "chapters": CHAPTERS,
         "distinct_codes": DISTINCT_CODES,

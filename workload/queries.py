@@ -21,6 +21,11 @@ from workload.facts import table, trade_facts
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Columns of the monthly statistics by topic.
+ROLLING = [f"price_{d}_{s}" for d in ("imports", "exports") for s in ("mean", "std", "low", "high")]
+YEAR_ON_YEAR = ["price_imports_yoy", "price_exports_yoy", "rank_imports_shift", "rank_exports_shift"]
+
+
 def rollup_query(level: str, time_frame: str, **options) -> Query:
     """`strict` is off, so that building a query starts no job."""
     needs_country = level == "country" or options.get("corrections", False)
@@ -85,6 +90,15 @@ def price_statistics_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_price_statistics(trade_facts(spark, sf_dir, country=True), strict=False)
 
 
+def _statistics(*columns: str) -> Query:
+    """Some columns of the monthly statistics; Catalyst drops the windows behind the others."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        statistics = monthly_price_statistics(trade_facts(spark, sf_dir, country=True), strict=False)
+        return statistics.select("hs4", "year", "month", *columns)
+
+    return query
+
+
 def fiscal_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fiscal_net_quantity(trade_facts(spark, sf_dir), strict=False)
 
@@ -169,6 +183,9 @@ def queries() -> dict[str, Query]:
         "price_movers_bottom": price_movers_bottom,
         "latest_period": prices_of_latest_period,
         "price_statistics_monthly": price_statistics_monthly,
+        "price_rolling": _statistics(*ROLLING),
+        "price_rank": _statistics("price_imports", "price_exports", "rank_imports", "rank_exports"),
+        "price_yoy_monthly": _statistics(*YEAR_ON_YEAR),
         "fiscal_net": fiscal_net,
         "chapters": chapters,
         "distinct_codes": distinct_codes,
