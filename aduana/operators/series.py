@@ -19,15 +19,21 @@ DIRECTIONS = ("imports", "exports")
 SERIES = "PARTITION BY hs4 ORDER BY date"
 
 
-def unit_prices(product_rollup: DataFrame, period: str, *, qty_decimals: int | None = None) -> DataFrame:
+def unit_prices(
+    product_rollup: DataFrame, period: str, *, qty_decimals: int | None = None, cluster_by: tuple[str, ...] = ("hs4",)
+) -> DataFrame:
     """Value per quantity by (year, `period`, hs4) out of a product-level rollup; `period` is "qtr" or "month".
 
     A product line without quantity counts as one unit, before the lines of a heading are added up.
+
+    The rollup is shuffled by `cluster_by` (some of the three keys), which serves the aggregation here as well as
+    a window over the same columns that follows: one shuffle instead of two. A group then holds the products of one
+    heading (or period) over time, a size set by the classification and not by the number of records.
     """
     start = quarter_start if period == "qtr" else month_start
     sums = [F.sum(d).alias(d) for d in DIRECTIONS]
     sums += [F.expr(exact_sum(one_if_zero(f"{d}_qty"), qty_decimals)).alias(f"{d}_qty") for d in DIRECTIONS]
-    headings = with_columns(product_rollup, {"hs4": code_prefix("hts_code", 4)})
+    headings = with_columns(product_rollup, {"hs4": code_prefix("hts_code", 4)}).repartition(*cluster_by)
     return with_columns(
         headings.groupBy("year", period, "hs4").agg(*sums),
         {f"price_{d}": float_divide(f"double({d})", f"{d}_qty") for d in DIRECTIONS} | {"date": start("year", period)},

@@ -18,11 +18,13 @@ PRICE_COLUMNS = (
 )
 
 
-def _heading_prices(facts: DataFrame, time_frame: str, period: str, agriculture_filter: bool, strict: bool):
+def _heading_prices(
+    facts: DataFrame, time_frame: str, period: str, agriculture_filter: bool, strict: bool, cluster_by: tuple[str, ...]
+) -> DataFrame:
     products = trade_rollup(
         facts, "hts", time_frame, agriculture_filter=agriculture_filter, corrections=True, strict=strict, sort=False
     )
-    prices = unit_prices(products, period, qty_decimals=QUANTITY_DECIMALS)
+    prices = unit_prices(products, period, qty_decimals=QUANTITY_DECIMALS, cluster_by=cluster_by)
     return prices.select("year", period, *PRICE_COLUMNS)
 
 
@@ -38,7 +40,7 @@ def price_series(
     Corrections are always applied. The change looks four rows back in the heading's series; with
     `calendar` it looks at the same quarter one year earlier, which differs when quarters are missing.
     """
-    prices = _heading_prices(facts, "qtr", "qtr", agriculture_filter, strict)
+    prices = _heading_prices(facts, "qtr", "qtr", agriculture_filter, strict, ("hs4",))
     changed = add_calendar_change(prices, "qtr") if calendar else add_row_change(prices, 4)
     return changed.orderBy("hs4", "date") if sort else changed
 
@@ -49,9 +51,10 @@ def monthly_price_statistics(
     """Monthly unit prices per HS4 heading with three-month statistics, price bands, market rank, the change over
     twelve rows in percent and the shift in rank over twelve rows.
 
-    The rank by month is computed first; the other columns share one shuffle by heading.
+    Prices and ranks share one shuffle by month, the other columns one by heading.
     """
-    ranked = add_market_rank(_heading_prices(facts, "monthly", "month", agriculture_filter, strict))
+    prices = _heading_prices(facts, "monthly", "month", agriculture_filter, strict, ("year", "month"))
+    ranked = add_market_rank(prices)
     result = add_rank_shift(add_row_change(add_rolling_statistics(ranked), 12))
     return result.orderBy("hs4", "date") if sort else result
 
