@@ -40,14 +40,24 @@ def unit_prices(
     )
 
 
+def _add_change(prices: DataFrame, earlier: str) -> DataFrame:
+    """Change against the price that `earlier`, a window expression of a price column, finds.
+
+    The earlier price is a column of its own first, so that each window function is evaluated once.
+    """
+    found = with_columns(prices, {f"_earlier_{d}": earlier.format(f"price_{d}") for d in DIRECTIONS})
+    changed = with_columns(found, {
+        f"price_{d}_yoy": percent_change(f"price_{d}", f"_earlier_{d}") for d in DIRECTIONS
+    })
+    return changed.drop(*(f"_earlier_{d}" for d in DIRECTIONS))
+
+
 def add_row_change(prices: DataFrame, rows: int) -> DataFrame:
     """Percentage change against the price `rows` rows earlier in the heading's own series.
 
     The lag counts rows, not calendar periods; a row without a date sorts first and counts as a row.
     """
-    return with_columns(prices, {
-        f"price_{d}_yoy": percent_change(f"price_{d}", f"lag(price_{d}, {rows}) OVER ({SERIES})") for d in DIRECTIONS
-    })
+    return _add_change(prices, f"lag({{0}}, {rows}) OVER ({SERIES})")
 
 
 def add_calendar_change(prices: DataFrame, period: str) -> DataFrame:
@@ -58,11 +68,8 @@ def add_calendar_change(prices: DataFrame, period: str) -> DataFrame:
     per_year = {"qtr": 4, "month": 12}[period]
     slot = f"year * {per_year} + {period}"
     frame = f"PARTITION BY hs4 ORDER BY {slot} RANGE BETWEEN {per_year} PRECEDING AND {per_year} PRECEDING"
-
-    def change(price: str) -> str:
-        return f"if(year IS NULL, NULL, {percent_change(price, f'first({price}) OVER ({frame})')})"
-
-    return with_columns(prices, {f"price_{d}_yoy": change(f"price_{d}") for d in DIRECTIONS})
+    # Rows without a date are each other's frame; they have no earlier period.
+    return _add_change(prices, f"if(year IS NULL, NULL, first({{0}}) OVER ({frame}))")
 
 
 def add_market_rank(prices: DataFrame) -> DataFrame:
@@ -78,15 +85,17 @@ def add_rolling_statistics(prices: DataFrame, rows: int = 3, sigmas: float = 2.0
     All four are null until the heading has `rows` rows. The band is mean ± `sigmas` standard deviations.
     """
     frame = f"{SERIES} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW"
+    names = [f"price_{d}" for d in DIRECTIONS]
+    moving = {"_rows": f"count(1) OVER ({frame})"}
+    for price in names:
+        moving[f"_{price}_mean"] = f"avg({price}) OVER ({frame})"
+        moving[f"_{price}_std"] = f"stddev_samp({price}) OVER ({frame})"
     statistics, bands = {}, {}
-    for price in (f"price_{d}" for d in DIRECTIONS):
-        for name, function in (("mean", "avg"), ("std", "stddev_samp")):
-            statistics[f"{price}_{name}"] = (
-                f"if(row_number() OVER ({SERIES}) >= {rows}, {function}({price}) OVER ({frame}), NULL)"
-            )
+    for price in names:
+        statistics |= {f"{price}_{s}": f"if(_rows = {rows}, _{price}_{s}, NULL)" for s in ("mean", "std")}
         bands[f"{price}_low"] = f"{price}_mean - {sigmas!r}D * {price}_std"
         bands[f"{price}_high"] = f"{price}_mean + {sigmas!r}D * {price}_std"
-    return with_columns(with_columns(prices, statistics), bands)
+    return with_columns(with_columns(with_columns(prices, moving), statistics), bands).drop(*moving)
 
 
 def add_rank_shift(ranked: DataFrame, rows: int = 12) -> DataFrame:
