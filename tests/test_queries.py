@@ -8,8 +8,9 @@ import __spark_entry__
 import pytest
 from comparing import differences
 from frames import physical_plan_of
+from workload import oracles, queries
 
-QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+QUERIES, ORACLES = queries.queries(), oracles.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
@@ -36,5 +37,9 @@ def test_plan(spark, sf_dir, name):
     assert exchanges <= limit.get(name, 2)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).columns[:3] == ["year", "month", "hts_code"]
