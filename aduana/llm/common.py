@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,12 @@ _R_INV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers find this package where it is not installed, but lies in the same place on every machine."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    return spark
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or a folder of this session where that is unset (tests)."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -118,7 +125,9 @@ def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int
     the bytes. A null is an empty text."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("")
+    if not pa.types.is_large_binary(texts.type):
+        texts = texts.cast(pa.large_string())
+    texts = texts.fill_null("" if pa.types.is_large_string(texts.type) else b"")
     if not len(texts):
         return
     _, offset_buffer, data_buffer = texts.buffers()

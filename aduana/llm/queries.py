@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aduana.llm import line_dedup, sharding
-from aduana.llm.common import written
+from aduana.llm import (
+    decontamination, html_text, line_dedup, lm_scoring, mixing, quality_classifier, quality_rules, sharding)
+from aduana.llm.common import importable, written
 from aduana.llm.jaccard_join import JaccardJoin
+from aduana.llm.suffix_dedup import SuffixDedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +27,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(index, docs, lines).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mixed_sizes(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return JaccardJoin(docs, n=4, percent=85).documents().select("doc_id", "n_shingles", "component_id")
@@ -34,5 +41,33 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(spark, table(spark, sf_dir, "documents").select("doc_id"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.quality_verdicts(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return SuffixDedup(docs).documents().select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_jaccard_join, op4_sharding)}
+    return {f.__name__: f for f in (
+        op1_line_dedup, op2_mixing, op3_jaccard_join, op4_sharding, op5_html_text, op6_quality_classifier,
+        op7_lm_scoring, op8_decontamination, op9_quality_rules, op10_suffix_dedup)}
