@@ -13,9 +13,10 @@ block per allowed difference remains untouched (pigeonhole), and documents that
   each document only sends its d + 1 fullest blocks, the ones least likely to agree by chance.
 * Documents with the same set are one class. In a bucket (documents that share a block), members are compared with one
   hub: first within a task's batch, then the hubs of the batches among each other, so that a bucket with a third of
-  all documents sends a row per batch to the shuffle, and never all pairs. Only buckets that then still hold different
-  components have members of different components compared with each other.
-* A pair is first tested by size and by a 256-bit parity sketch, both lower bounds, then verified on the hashed sets.
+  all documents sends a row per batch to the shuffle, and never all pairs. A member is first verified with the hub it
+  shares most blocks with, then with its other hubs where components still differ. Only in buckets that hold different
+  components even then are members of different components compared with each other.
+* A pair is first tested by size and by a 512-bit parity sketch, both lower bounds, then verified on the hashed sets.
 
 Hashes have 64 bits (sets 128). Cases: without words or with a null text the set is empty, and the document links with
 nothing; with fewer words than a shingle has, the whole sequence is the only shingle; repeated rows and rows with one
@@ -37,7 +38,8 @@ from aduana.llm.components import connected_components
 BAND_RATIO = 3
 #: Blocks of a band for each block that must remain unchanged.
 SLACK = 1.25
-SKETCH_BITS = 256
+SKETCH_BITS = 512
+SKETCH = tuple(f"sketch{k}" for k in range(SKETCH_BITS // 64))
 #: Block rows that a task combines at a time.
 COMBINED_ROWS = 500_000
 _U = np.uint64
@@ -65,9 +67,10 @@ def set_fingerprint(hashes: np.ndarray) -> bytes | None:
     return np.array([total, parity + _U(len(hashes))], np.uint64).tobytes()
 
 
-def parity_sketch(hashes: np.ndarray) -> bytes:
+def parity_sketch(hashes: np.ndarray) -> np.ndarray:
+    """The sketch as signed 64-bit words."""
     bits = np.bincount((hashes & _U(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
 def allowed_difference(size: int, other: int, percent: int) -> int:
@@ -113,15 +116,12 @@ def block_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
 def _described(n: int):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints, sketches = [], [], []
-            for hashes in shingle_sets(batch["text"], n):
-                sizes.append(len(hashes))
-                prints.append(set_fingerprint(hashes))
-                sketches.append(parity_sketch(hashes) if len(hashes) else None)
+            found = list(shingle_sets(batch["text"], n))
+            sketches = np.array([parity_sketch(x) for x in found], np.int64).reshape(-1, len(SKETCH)).T
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["row_hash"], pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
-                 pa.array(sketches, pa.binary())],
-                ["doc_id", "row_hash", "n_shingles", "fp", "sketch"])
+                [batch["doc_id"], batch["row_hash"], pa.array([len(x) for x in found], pa.int64()),
+                 pa.array([set_fingerprint(x) for x in found], pa.binary()), *(pa.array(w) for w in sketches)],
+                ["doc_id", "row_hash", "n_shingles", "fp", *SKETCH])
 
     return describe
 
@@ -130,11 +130,15 @@ def _bucketed(n: int, percent: int):
     """Rows (key, fp, hub): a member and the hub of its batch; for the hub itself `hub` is null."""
     def flush(keys: list[np.ndarray], prints: list[bytes], counts: list[int]) -> pa.RecordBatch:
         key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(prints)), counts)
+        # Copies of a text are one owner.
+        seen: dict[bytes, int] = {}
+        owner = np.repeat([seen.setdefault(p, i) for i, p in enumerate(prints)], counts).astype(np.int64)
         order = np.lexsort((owner, key))
         key, owner = key[order], owner[order]
         new = np.append(True, key[1:] != key[:-1]) if len(key) else np.zeros(0, bool)
         hub = owner[new][np.cumsum(new) - 1] if len(key) else owner
+        kept = new | (owner != hub)
+        key, owner, new, hub = key[kept], owner[kept], new[kept], hub[kept]
         names = pa.array(prints, pa.binary())
         hubs = pa.array(np.where(new, -1, hub), pa.int64(), mask=new)
         return pa.RecordBatch.from_arrays(
@@ -181,19 +185,12 @@ def _verified(percent: int):
     return verify
 
 
-def _sketch_distance(x: str, y: str) -> Column:
-    """Hamming distance of two 256-bit sketches."""
-    def word(c: str, k: int) -> Column:
-        return F.conv(F.hex(F.substring(c, 8 * k + 1, 8)), 16, -10).cast("long")
-
-    return sum((F.bit_count(word(x, k).bitwiseXOR(word(y, k))) for k in range(SKETCH_BITS // 64)), F.lit(0))
-
-
 def _could_link(percent: int) -> Column:
-    """Size and sketch bounds that linked classes a and b meet."""
+    """Size and sketch bounds that linked classes meet; their columns end in _a and _b."""
     larger, smaller = F.greatest("n_a", "n_b"), F.least("n_a", "n_b")
     allowed = F.expr(f"({100 - percent} * (n_a + n_b)) div {100 + percent}")
-    return (smaller * 100 >= larger * percent) & (_sketch_distance("sketch_a", "sketch_b") <= allowed)
+    distance = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH), F.lit(0))
+    return (smaller * 100 >= larger * percent) & (distance <= allowed)
 
 
 class JaccardJoin:
@@ -205,83 +202,96 @@ class JaccardJoin:
         self.texts = docs.select(
             F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", text).alias("row_hash"), text.alias("text"))
         self.rows = written(
-            self.texts.mapInArrow(_described(n), "doc_id long, row_hash long, n_shingles long, fp binary, sketch binary"),
+            self.texts.mapInArrow(_described(n), ", ".join(["doc_id long, row_hash long, n_shingles long, fp binary", *(f"{c} long" for c in SKETCH)])),
             "shingle-rows")
         first = F.min(F.struct("doc_id", "row_hash")).alias("first")
         self.classes = written(
             self.rows.where("fp IS NOT NULL").groupBy("fp").agg(
-                first, F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("n_rows")),
+                first, F.min("doc_id").alias("low"), F.max("n_shingles").alias("n"), *(F.max(c).alias(c) for c in SKETCH)),
             "shingle-classes")
 
-    def _representatives(self) -> DataFrame:
-        """One text per class: all rows but the copies, an anti-join whose right side is small where copies are few."""
-        copies = self.rows.join(self.classes.where("n_rows > 1").select("fp", "first"), "fp").where(
-            ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row_hash") == F.col("first.row_hash"))))
-        copies = written(copies.select(F.col("doc_id").alias("c_id"), F.col("row_hash").alias("c_hash")), "shingle-copies")
-        return self.texts.join(
-            copies, (F.col("row_hash") == F.col("c_hash")) & F.col("doc_id").eqNullSafe(F.col("c_id")), "left_anti")
-
     def _buckets(self) -> DataFrame:
-        """(key, fp, hub): members and hubs of all buckets with more than one class."""
-        rows = self._representatives().select("text").mapInArrow(_bucketed(self.n, self.percent), "key long, fp binary, hub binary")
+        """(key, fp, hub): members and hubs of all buckets with more than one class. Copies of a text send the same rows,
+        which are one member in their batch, and equal their hub otherwise."""
+        rows = self.texts.select("text").mapInArrow(_bucketed(self.n, self.percent), "key long, fp binary, hub binary")
         # Hubs of batches meet here: at most one row per key and batch.
         top = F.min(F.when(F.col("hub").isNull(), F.col("fp"))).over(Window.partitionBy("key"))
         rows = rows.withColumn("top", top)
         return written(
             rows.select("key", "fp", F.coalesce("hub", "top").alias("hub")).where("fp != hub"), "shingle-buckets")
 
+    def _described_class(self, side: str) -> DataFrame:
+        return self.classes.select(
+            F.col("fp").alias(side), F.col("n").alias(f"n_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in SKETCH))
+
     def _linked(self, pairs: DataFrame) -> DataFrame:
         """Of pairs of classes (a, b), those that link."""
-        for side in ("a", "b"):
-            known = self.classes.select(F.col("fp").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
-            pairs = pairs.join(known, side)
+        pairs = pairs.join(self._described_class("a"), "a").join(self._described_class("b"), "b")
         pairs = written(pairs.where(_could_link(self.percent)).select("a", "b"), "shingle-pairs")
         wanted = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-        wanted = self.classes.join(wanted, "fp", "left_semi").select(
-            F.col("first.doc_id").alias("w_id"), F.col("first.row_hash").alias("w_hash"))
+        # Texts are hashed again once for each class in question.
+        for known in self.sets:
+            wanted = wanted.join(known.select("fp"), "fp", "left_anti")
+        wanted = written(
+            self.classes.join(wanted, "fp", "left_semi").select(F.col("first.doc_id").alias("w_id"), F.col("first.row_hash").alias("w_hash")),
+            "shingle-wanted")
         texts = self.texts.join(
-            written(wanted, "shingle-wanted"),
-            (F.col("row_hash") == F.col("w_hash")) & F.col("doc_id").eqNullSafe(F.col("w_id")), "left_semi")
+            wanted, (F.col("row_hash") == F.col("w_hash")) & F.col("doc_id").eqNullSafe(F.col("w_id")), "left_semi")
         sets = texts.select("text").mapInArrow(_hashed_sets(self.n), "fp binary, hashes binary")
-        sets = written(sets.groupBy("fp").agg(F.first("hashes").alias("hashes")), "shingle-sets")
+        self.sets.append(written(sets, "shingle-sets"))
+        sets = self.sets[0]
+        for more in self.sets[1:]:
+            sets = sets.unionByName(more)
+        # Rows that repeat a doc_id with its text bring a set twice.
+        sets = sets.groupBy("fp").agg(F.any_value("hashes").alias("hashes"))
         for side in ("a", "b"):
             pairs = pairs.join(sets.withColumnsRenamed({"fp": side, "hashes": f"hashes_{side}"}), side)
-        return written(pairs.mapInArrow(_verified(self.percent), "a binary, b binary"), "shingle-links")
+        return written(pairs.mapInArrow(_verified(self.percent), "a binary, b binary").distinct(), "shingle-links")
+
+    def _in_components(self, found: DataFrame, frame: DataFrame, **names: str) -> DataFrame:
+        """`frame` with the component of each class column: column=name."""
+        for column, name in names.items():
+            roots = found.select(F.col("node").alias(column), F.col("root").alias(name))
+            frame = frame.join(roots, column, "left").withColumn(name, F.coalesce(name, column))
+        return frame
 
     def components(self) -> DataFrame:
         """fp, root: the component of each class that links with another."""
+        self.sets: list[DataFrame] = []
         buckets = self._buckets()
-        links = self._linked(buckets.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct())
+        stars = written(buckets.groupBy("fp", "hub").agg(F.count(F.lit(1)).alias("shared")), "shingle-stars")
+        # First each member and the hub it shares most blocks with; then what is still in different components.
+        best = stars.groupBy("fp").agg(F.max(F.struct("shared", "hub")).alias("best"))
+        links = self._linked(best.select(F.col("fp").alias("a"), F.col("best.hub").alias("b")))
         found = connected_components(links)
+        apart = self._in_components(found, stars, fp="r", hub="s").where("r != s")
+        links, found = self._with_more(links, found, apart.select(F.col("fp").alias("a"), F.col("hub").alias("b")))
         # Buckets whose members are not all in one component yet.
-        def rooted(frame: DataFrame, column: str, root: str) -> DataFrame:
-            names = found.select(F.col("node").alias(column), F.col("root").alias(root))
-            return frame.join(names, column, "left").withColumn(root, F.coalesce(root, column))
-
-        mixed = rooted(rooted(buckets, "fp", "r"), "hub", "s").where("r != s").select("key").distinct()
+        mixed = self._in_components(found, buckets, fp="r", hub="s").where("r != s").select("key").distinct()
         members = buckets.join(mixed, "key", "left_semi")
         members = members.select("key", "fp").unionByName(members.select("key", F.col("hub").alias("fp"))).distinct()
-        members = rooted(members, "fp", "r").join(self.classes.select("fp", "n", "sketch"), "fp")
-        members = written(members, "shingle-members")
-        x = members.select("key", F.col("fp").alias("a"), F.col("r").alias("r_a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
-        y = members.select(F.col("key").alias("k"), F.col("fp").alias("b"), F.col("r").alias("r_b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-        across = x.join(y, (F.col("key") == F.col("k")) & (F.col("r_a") < F.col("r_b")) & _could_link(self.percent))
-        more = self._linked(across.select("a", "b").distinct())
-        if not more.isEmpty():
-            found = connected_components(links.unionByName(more))
+        members = written(self._in_components(found, members, fp="r").join(self.classes.drop("first", "low"), "fp"), "shingle-members")
+        x, y = (members.select(
+            F.col("key").alias(f"key_{side}"), F.col("fp").alias(side), F.col("r").alias(f"r_{side}"), F.col("n").alias(f"n_{side}"),
+            *(F.col(c).alias(f"{c}_{side}") for c in SKETCH)) for side in ("a", "b"))
+        across = x.join(y, (F.col("key_a") == F.col("key_b")) & (F.col("r_a") < F.col("r_b")) & _could_link(self.percent))
+        _, found = self._with_more(links, found, across.select("a", "b").distinct())
         return found.select(F.col("node").alias("fp"), "root")
 
+    def _with_more(self, links: DataFrame, found: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links and components after further pairs were tested."""
+        more = self._linked(pairs)
+        if more.isEmpty():
+            return links, found
+        links = links.unionByName(more)
+        return links, connected_components(links)
+
     def documents(self) -> DataFrame:
         """doc_id, row_hash, n_shingles, component_id of every row."""
-        roots = self.components()
-        classes = self.classes.join(roots, "fp", "left").select(
-            "fp", F.coalesce("root", "fp").alias("root"), F.col("first.doc_id").alias("first_id"))
-        # The least struct of a class may hold a null id, so the smallest id is a minimum of its own.
-        ids = self.rows.where("fp IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("low"))
-        classes = classes.join(ids, "fp")
+        classes = self.classes.select("fp", "low").join(self.components(), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
         lowest = classes.groupBy("root").agg(F.min("low").alias("component_id"))
         classes = written(classes.join(lowest, "root").select("fp", "component_id"), "shingle-components")
-        rows = self.rows.join(classes, "fp", "left")
+        rows = self.rows.select("doc_id", "row_hash", "n_shingles", "fp").join(classes, "fp", "left")
         return rows.select(
             "doc_id", "row_hash", "n_shingles",
             F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
