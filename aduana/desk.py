@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aduana.functions.corrections import correct_records
 from aduana.functions.units import convert_units
-from aduana.operators.rollup import direction_sums, rollup
+from aduana.operators.rollup import as_doubles, direction_sums, rollup
 from aduana.plans.prices import monthly_price_statistics, price_series
 from aduana.plans.trade import trade_rollup
 from aduana.sources.readers import read_source
@@ -42,7 +42,8 @@ class TradeDesk:
         return rollup(base, level, time_frame)
 
     def filter_data(self, df: DataFrame, filter: list[str]) -> DataFrame:
-        return direction_sums(df, filter)
+        """Sums per direction; a direction without rows is null here and 0 in `process_data`."""
+        return as_doubles(direction_sums(df, filter, fill=False))
 
     def process_price(self, agriculture_filter: bool = False) -> DataFrame:
         return price_series(self.pull_int_org(), agriculture_filter)
@@ -51,7 +52,7 @@ class TradeDesk:
         return monthly_price_statistics(self.pull_int_org(), agriculture_filter)
 
     def conversion(self, df: DataFrame) -> DataFrame:
-        return convert_units(df)
+        return convert_units(df, exact=True)
 
     def corrections(self, df: DataFrame) -> DataFrame:
         return correct_records(df)

@@ -8,7 +8,7 @@ def zero_if_null(value: str) -> str:
 
 
 def one_if_zero(value: str) -> str:
-    return f"if({value} = 0, 1D, {value})"
+    return f"if({value} = 0, 1, {value})"
 
 
 def float_divide(x: str, y: str) -> str:
@@ -28,21 +28,7 @@ def clamp(value: str, low: float | None = None, high: float | None = None) -> st
     return f"CASE {below}{above}ELSE {value} END"
 
 
-def exact_sum(value: str, decimals: int | None) -> str:
-    """Sum of doubles, 0 for an all-null group.
-
-    Adding doubles gives a result that depends on the order in which tasks finish. With `decimals`, values
-    are taken as multiples of 10**-decimals and the whole and the fractional part are added as 64-bit
-    integers, so repeated runs and retried tasks give the same bits. The two parts become one double at the
-    end: by a single division while all digits fit in 53 bits, else by adding the parts.
-    """
-    if decimals is None:
-        return f"coalesce(sum({value}), 0D)"
-    scale = 10**decimals
-    fractions = f"sum(bigint(rint(({value} - floor({value})) * {scale}D)))"
-    whole = f"(sum(floor({value})) + {fractions} div {scale})"
-    rest = f"({fractions} % {scale})"
-    return (
-        f"coalesce(if(abs({whole}) < {2**53 // scale}, ({whole} * {scale} + {rest}) / {scale}D, "
-        f"{whole} + {rest} / {scale}D), 0D)"
-    )
+def sum_or_zero(value: str) -> str:
+    """Sum of a group, 0 for an all-null group. Sums of decimals are exact and so do not depend on the order in
+    which tasks finish; sums of doubles do, in their last digits."""
+    return f"coalesce(sum({value}), 0)"

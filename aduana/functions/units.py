@@ -5,6 +5,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from aduana.functions.codes import code_prefix
 from aduana.functions.dates import calendar_parts
@@ -13,25 +14,30 @@ from aduana.functions.numbers import zero_if_null
 
 
 class Unit(NamedTuple):
-    """How a quantity becomes kilograms; `by_product` replaces that for codes with the given first six digits."""
+    """How a quantity becomes kilograms, as arithmetic on doubles and as an exact factor; `by_product` replaces both
+    for codes with the given first six digits."""
 
     kilograms: str
-    by_product: dict[str, str] = {}
+    factor: str
+    by_product: dict[str, tuple[str, str]] = {}
 
 
 # Unit codes and their factors. The order is the order of precedence.
 UNITS = {
-    "kg": Unit("{0}"),
-    "gm": Unit("{0} / 1000"),
-    "t": Unit("{0} * 1000"),
-    "l": Unit("{0}"),
-    "doz": Unit("{0} * 0.70874D"),
-    "m3": Unit("{0} * 353.8322D"),
-    "pfl": Unit("{0} * 1.25D", {"220710": "{0} * 0.5556D", "220870": "{0} * 2"}),
+    "kg": Unit("{0}", "1"),
+    "gm": Unit("{0} / 1000", "0.001"),
+    "t": Unit("{0} * 1000", "1000"),
+    "l": Unit("{0}", "1"),
+    "doz": Unit("{0} * 0.70874D", "0.70874"),
+    "m3": Unit("{0} * 353.8322D", "353.8322"),
+    "pfl": Unit("{0} * 1.25D", "1.25", {"220710": ("{0} * 0.5556D", "0.5556"), "220870": ("{0} * 2", "2")}),
 }
 
-# Whole input quantities times any factor above have at most this many decimals.
+# Whole quantities times any factor above have at most this many decimals.
 QUANTITY_DECIMALS = 5
+# The quantity without rounding, beside `qty`: any 64-bit quantity times any factor fits.
+EXACT = "qty_exact"
+_WHOLE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def unit_rank(unit: str) -> str:
@@ -40,20 +46,32 @@ def unit_rank(unit: str) -> str:
     return zero_if_null(f"int(array_position(array({units}), lower({unit})))")
 
 
-def kilograms(quantity: str, rank: str, hts_code: str) -> str:
-    """Quantity in kilograms; null for rank 0."""
+def _by_unit(rank: str, hts_code: str, kind: int, text: str) -> str:
+    """CASE over the units; `kind` picks the arithmetic (0) or the factor (1), which goes into `text`."""
     branches = []
     for place, unit in enumerate(UNITS.values(), start=1):
-        value = unit.kilograms.format(quantity)
+        value = text.format(unit[kind])
         if unit.by_product:
-            special = " ".join(f"WHEN '{hs6}' THEN {v.format(quantity)}" for hs6, v in unit.by_product.items())
+            special = " ".join(f"WHEN '{hs6}' THEN {text.format(both[kind])}" for hs6, both in unit.by_product.items())
             value = f"CASE {code_prefix(hts_code, 6)} {special} ELSE {value} END"
         branches.append(f"WHEN {place} THEN {value}")
     return f"CASE {rank} {' '.join(branches)} END"
 
 
-def convert_units(facts: DataFrame) -> DataFrame:
-    """Add `qty` in kilogram equivalents and the columns `qtr`, `fiscal_year`, `month`, `year`.
+def kilograms(quantity: str, rank: str, hts_code: str) -> str:
+    """Quantity in kilograms; null for rank 0."""
+    return _by_unit(rank, hts_code, 0, "{0}").format(quantity)
+
+
+def exact_kilograms(quantity: str, rank: str, hts_code: str) -> str:
+    """The same as a decimal, for a whole quantity: no digit is lost."""
+    factor = _by_unit(rank, hts_code, 1, f"CAST({{0}}BD AS DECIMAL(9, {QUANTITY_DECIMALS}))")
+    return f"CAST(CAST({quantity} AS DECIMAL(19, 0)) * {factor} AS DECIMAL(28, {QUANTITY_DECIMALS}))"
+
+
+def convert_units(facts: DataFrame, exact: bool = False) -> DataFrame:
+    """Add `qty` in kilogram equivalents and the columns `qtr`, `fiscal_year`, `month`, `year`. With `exact`, and if both
+    quantity columns hold whole numbers, the decimal `qty_exact` comes with them, which rollups add up instead.
 
     The pair whose unit comes first in the order of precedence counts: a `kg` in the second pair wins over a
     `t` in the first one, and with equal units the first pair wins. Null input quantities become 0.
@@ -69,7 +87,11 @@ def convert_units(facts: DataFrame) -> DataFrame:
     first = "_rank_1 > 0 AND (_rank_2 = 0 OR _rank_1 <= _rank_2)"
     chosen = with_columns(facts, {
         "_rank": f"if({first}, _rank_1, _rank_2)",
+        "_whole": f"if({first}, qty_1, qty_2)",
         "_quantity": f"double(if({first}, qty_1, qty_2))",
     })
-    converted = with_columns(chosen, {"qty": kilograms("_quantity", "_rank", "hts_code")} | calendar_parts("date"))
-    return converted.drop("_rank_1", "_rank_2", "_rank", "_quantity")
+    results = {"qty": kilograms("_quantity", "_rank", "hts_code")}
+    if exact and all(isinstance(facts.schema[c].dataType, _WHOLE_TYPES) for c in ("qty_1", "qty_2")):
+        results[EXACT] = exact_kilograms("_whole", "_rank", "hts_code")
+    converted = with_columns(chosen, results | calendar_parts("date"))
+    return converted.drop("_whole", "_rank_1", "_rank_2", "_rank", "_quantity")

@@ -6,9 +6,11 @@ from datetime import datetime as Moment
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aduana.functions.codes import starts_with
 from aduana.functions.dates import ntz
+from aduana.functions.frames import quoted
 
 IMPORTS, EXPORTS = 1, 2
 
@@ -77,6 +79,11 @@ def classified(facts: DataFrame) -> DataFrame:
 
 
 def latest_period(df: DataFrame, date: str = "date") -> DataFrame:
-    """Rows at the greatest date. The side that is broadcast is a global aggregate: exactly one row."""
-    newest = df.agg(F.max(date).alias(date))
-    return df.join(F.broadcast(newest), date, "left_semi")
+    """Rows at the greatest date. The side that is broadcast is a global aggregate: exactly one row.
+
+    The maximum is taken over whole rows, which begin with the date: so both sides have the same plan below it, and Spark
+    reuses the last shuffle of `df` instead of computing it from the source a second time.
+    """
+    rest = [F.col(quoted(f.name)) for f in df.schema if f.name != date and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    newest = df.agg(F.max(F.struct(F.col(quoted(date)).alias("newest"), *rest))["newest"].alias("newest"))
+    return df.join(F.broadcast(newest), F.col(quoted(date)) == F.col("newest"), "left_semi")

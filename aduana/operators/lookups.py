@@ -105,10 +105,11 @@ def with_naics_sector(df: DataFrame, code: str = "naics", label: str = "sector")
 def denormalise(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     """Star-schema fact to the flat planning-board shape, plus the names of direction and district.
 
-    `dimensions` holds the tables `country, hts, sitc, naics, trade, district, unit` by their contracts. A key
-    without a match gives nulls and keeps the row. There are no broadcast hints: Spark broadcasts a
-    dimension when its size is below the threshold and otherwise sorts and merges, where adaptive execution
-    splits a key that holds much of the fact.
+    `dimensions` holds the tables `country, hts, sitc, naics, district, unit` by their contracts; the two directions are
+    fixed and need none. A key without a match gives nulls and keeps the row. There are no broadcast hints: Spark
+    broadcasts a dimension when its size is below the threshold and otherwise sorts and merges, where adaptive execution
+    splits a key that holds much of the fact. Products, the largest dimension, come last: should only they exceed
+    the threshold, the fact is shuffled once, with its other names already in place.
     """
     def look_up(df: DataFrame, name: str, key: str, **columns: str) -> DataFrame:
         side = dimensions[name].selectExpr(f"id AS _{key}", *(f"{c} AS {alias}" for alias, c in columns.items()))
@@ -116,14 +117,15 @@ def denormalise(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
 
     planning = "sitc_id" in fact.columns
     flat = look_up(fact, "country", "country_id", country="country_name")
-    flat = look_up(flat, "hts", "hts_id", hts_code="hts_code", hts_desc="hts_short_desc", agri_prod="int(agri_prod)")
-    flat = look_up(flat, "trade", "trade_id", direction="trade")
+    names = " ".join(f"WHEN {i} THEN {text_literal(n)}" for i, n in DIRECTION_NAMES.items())
+    flat = flat.withColumn("direction", F.expr(f"CASE trade_id {names} END"))
     flat = look_up(flat, "unit", "unit1_id", unit_1="unit_code")
     flat = look_up(flat, "unit", "unit2_id", unit_2="unit_code")
     if planning:
         flat = look_up(flat, "sitc", "sitc_id", sitc="sitc_code")
         flat = look_up(flat, "naics", "naics_id", naics="naics_code")
         flat = look_up(flat, "district", "district_id", district="district_desc")
+    flat = look_up(flat, "hts", "hts_id", hts_code="hts_code", hts_desc="hts_short_desc", agri_prod="int(agri_prod)")
     return flat.select(
         "date", "country", "trade_id", "agri_prod", "hts_code", "hts_desc", "data", "unit_1", "qty_1", "unit_2",
         "qty_2", "direction", *(("sitc", "naics", "district") if planning else ()),

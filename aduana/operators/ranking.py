@@ -45,5 +45,5 @@ def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
 
 
 def column_to_list(small: DataFrame, column: str) -> list:
-    """One column of a short, already reduced frame as a Python list."""
+    """One column of a short, already reduced frame as a Python list. All of it goes to the driver: reduce it first."""
     return [row[0] for row in small.select(column).collect()]

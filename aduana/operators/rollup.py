@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aduana.functions.frames import with_columns
-from aduana.functions.numbers import exact_sum, zero_if_null
+from aduana.functions.frames import quoted, unused_name, with_columns
+from aduana.functions.numbers import sum_or_zero, zero_if_null
+from aduana.functions.units import EXACT
 from aduana.operators.filters import EXPORTS, IMPORTS, LEVEL_COLUMNS, classified
 
+# Time frames and result columns.
 TIME_COLUMNS = {
     "yearly": ["year"],
     "fiscal": ["fiscal_year"],
@@ -36,47 +38,58 @@ def add_net_measures(df: DataFrame) -> DataFrame:
     })
 
 
-def direction_sums(base: DataFrame, keys: list[str], qty_decimals: int | None = None) -> DataFrame:
+def _quantity(base: DataFrame) -> str:
+    """The column that holds quantities: whole input quantities are added exactly, fractional ones as doubles."""
+    return EXACT if EXACT in base.columns else "qty"
+
+
+def as_doubles(sums: DataFrame) -> DataFrame:
+    """Quantity sums as doubles, rounded once."""
+    return with_columns(sums, {m: f"double({m})" for m in MEASURES if m.endswith("_qty")})
+
+
+def direction_sums(base: DataFrame, keys: list[str], fill: bool = True) -> DataFrame:
     """Value and quantity per key with one column per direction, in one scan and one shuffle.
 
     The sums are combined on the map side, so a key that holds a third of all rows costs one row per map
     task in the shuffle. A row with a null key has no counterpart in the other direction (nulls are not
-    equal), so such a group stays split by direction: `_side` holds the direction for those rows and is
-    constant for all others.
+    equal), so such a group stays split by direction: a helper column holds the direction for those rows and is
+    constant for all others. A direction without rows is 0, or null without `fill`. Quantities are decimals if
+    `base` has `qty_exact`, else doubles.
     """
-    any_null = " OR ".join(f"{key} IS NULL" for key in keys)
+    if not keys:
+        raise ValueError("no columns to group by")
+    quantity = _quantity(base)
+    any_null = " OR ".join(f"{quoted(key)} IS NULL" for key in keys)
     sums = []
     for direction, name in ((IMPORTS, "imports"), (EXPORTS, "exports")):
-        data, qty = (f"if(trade_id = {direction}, {column}, NULL)" for column in ("data", "qty"))
-        sums += [
-            F.expr(zero_if_null(f"sum({data})")).alias(name),
-            F.expr(exact_sum(qty, qty_decimals)).alias(f"{name}_qty"),
-        ]
-    sided = with_columns(classified(base), {"_side": f"if({any_null}, trade_id, 0)"})
-    return sided.groupBy(*keys, "_side").agg(*sums).drop("_side")
+        for column, measure in (("data", name), (quantity, f"{name}_qty")):
+            total = sum_or_zero(f"if(trade_id = {direction}, {column}, NULL)")
+            sums.append(F.expr(total if fill else f"if(count_if(trade_id = {direction}) > 0, {total}, NULL)").alias(measure))
+    side = unused_name("_side", base)
+    sided = with_columns(classified(base), {side: f"if({any_null}, trade_id, 0)"})
+    return sided.groupBy(*(quoted(k) for k in keys), quoted(side)).agg(*sums).drop(side)
 
 
-def direction_sums_joined(base: DataFrame, keys: list[str], qty_decimals: int | None = None) -> DataFrame:
+def direction_sums_joined(base: DataFrame, keys: list[str]) -> DataFrame:
     """The same result as `direction_sums` in its literal form: two aggregates and a full outer join."""
-    rows = classified(base)
+    rows, quantity = classified(base), _quantity(base)
 
     def one_side(direction: int, name: str) -> DataFrame:
-        return rows.where(f"trade_id = {direction}").groupBy(*keys).agg(
-            F.sum("data").alias(name), F.expr(exact_sum("qty", qty_decimals)).alias(f"{name}_qty")
+        return rows.where(f"trade_id = {direction}").groupBy(*(quoted(k) for k in keys)).agg(
+            F.sum("data").alias(name), F.expr(sum_or_zero(quantity)).alias(f"{name}_qty")
         )
 
     joined = one_side(IMPORTS, "imports").join(one_side(EXPORTS, "exports"), keys, "full")
-    return joined.selectExpr(*keys, *(f"{zero_if_null(m)} AS {m}" for m in MEASURES))
+    return joined.selectExpr(*(quoted(k) for k in keys), *(f"{zero_if_null(m)} AS {m}" for m in MEASURES))
 
 
-def rollup(
-    base: DataFrame, level: str, time_frame: str, *, qty_decimals: int | None = None, sort: bool = True
-) -> DataFrame:
-    """Roll converted records up; `base` has `hts_code, trade_id, data, qty` and the grouping columns.
+def rollup(base: DataFrame, level: str, time_frame: str, *, sort: bool = True) -> DataFrame:
+    """Roll converted records up; `base` has `hts_code, trade_id, data, qty` (or `qty_exact`) and the grouping columns.
 
     `sort=False` saves the range shuffle of the result when it is aggregated or written further on.
     Value sums are 64-bit; ANSI mode raises an error on overflow.
     """
     keys = grouping_columns(level, time_frame)
-    result = add_net_measures(direction_sums(base, keys, qty_decimals))
+    result = add_net_measures(as_doubles(direction_sums(base, keys)))
     return result.orderBy(*keys) if sort else result

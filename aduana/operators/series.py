@@ -12,16 +12,14 @@ from pyspark.sql import functions as F
 from aduana.functions.codes import code_prefix
 from aduana.functions.dates import month_start, quarter_start
 from aduana.functions.frames import with_columns
-from aduana.functions.numbers import exact_sum, float_divide, one_if_zero, percent_change
+from aduana.functions.numbers import float_divide, one_if_zero, percent_change, sum_or_zero
 
 DIRECTIONS = ("imports", "exports")
 
 SERIES = "PARTITION BY hs4 ORDER BY date"
 
 
-def unit_prices(
-    product_rollup: DataFrame, period: str, *, qty_decimals: int | None = None, cluster_by: tuple[str, ...] = ("hs4",)
-) -> DataFrame:
+def unit_prices(product_rollup: DataFrame, period: str, *, cluster_by: tuple[str, ...] = ("hs4",)) -> DataFrame:
     """Value per quantity by (year, `period`, hs4) out of a product-level rollup; `period` is "qtr" or "month".
 
     A product line without quantity counts as one unit, before the lines of a heading are added up.
@@ -32,7 +30,7 @@ def unit_prices(
     """
     start = quarter_start if period == "qtr" else month_start
     sums = [F.sum(d).alias(d) for d in DIRECTIONS]
-    sums += [F.expr(exact_sum(one_if_zero(f"{d}_qty"), qty_decimals)).alias(f"{d}_qty") for d in DIRECTIONS]
+    sums += [F.expr(f"double({sum_or_zero(one_if_zero(f'{d}_qty'))})").alias(f"{d}_qty") for d in DIRECTIONS]
     headings = with_columns(product_rollup, {"hs4": code_prefix("hts_code", 4)}).repartition(*cluster_by)
     return with_columns(
         headings.groupBy("year", period, "hs4").agg(*sums),

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame
 
 from aduana.functions.frames import with_columns
 from aduana.functions.numbers import clamp
-from aduana.functions.units import QUANTITY_DECIMALS
 from aduana.operators.ranking import extremes_of_latest
 from aduana.operators.series import (
     add_calendar_change, add_market_rank, add_rank_shift, add_rolling_statistics, add_row_change, unit_prices,
 )
-from aduana.plans.trade import trade_rollup
+from aduana.plans.trade import product_sums
 
 PRICE_COLUMNS = (
     "hs4", "imports", "exports", "imports_qty", "exports_qty", "price_imports", "price_exports", "date",
@@ -21,10 +20,8 @@ PRICE_COLUMNS = (
 def _heading_prices(
     facts: DataFrame, time_frame: str, period: str, agriculture_filter: bool, strict: bool, cluster_by: tuple[str, ...]
 ) -> DataFrame:
-    products = trade_rollup(
-        facts, "hts", time_frame, agriculture_filter=agriculture_filter, corrections=True, strict=strict, sort=False
-    )
-    prices = unit_prices(products, period, qty_decimals=QUANTITY_DECIMALS, cluster_by=cluster_by)
+    products = product_sums(facts, time_frame, agriculture_filter=agriculture_filter, corrections=True, strict=strict)
+    prices = unit_prices(products, period, cluster_by=cluster_by)
     return prices.select("year", period, *PRICE_COLUMNS)
 
 

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from aduana.functions.codes import code_prefix, code_text
 from aduana.functions.corrections import correct_records
-from aduana.functions.frames import with_columns
-from aduana.functions.numbers import clamp, exact_sum
-from aduana.functions.units import QUANTITY_DECIMALS, convert_units
+from aduana.functions.frames import require_columns, with_columns
+from aduana.functions.numbers import sum_or_zero
+from aduana.functions.units import convert_units
 from aduana.operators.filters import agricultural_only, in_period, with_code_prefix
 from aduana.operators.ranking import column_to_list, distinct_sorted
-from aduana.operators.rollup import grouping_columns, rollup
+from aduana.operators.rollup import direction_sums, grouping_columns, rollup
+
+# Columns every rollup reads; `hts_desc`, `sitc` and the like may be missing.
+CONSUMED = ["trade_id", "hts_code", "data", "unit_1", "qty_1", "unit_2", "qty_2", "date"]
 
 
 def prepare_records(
@@ -26,9 +29,12 @@ def prepare_records(
 ) -> DataFrame:
     """Filter, correct and convert. With `strict`, an empty result of the code filter is a ValueError.
 
-    That check starts a small job that stops at the first row found; an empty period is no error. Corrections
-    change neither codes nor dates, so the predicates after them still reach the scan.
+    That check starts a small job that stops at the first row found; a prefix that matches nothing costs a scan of the
+    code column. An empty period is no error. Corrections change neither codes nor dates, so the predicates after
+    them still reach the scan.
     """
+    extra = (["agri_prod"] if agriculture_filter else []) + (["country"] if corrections else [])
+    require_columns(facts, CONSUMED + extra, f"a rollup by {level}")
     if agriculture_filter:
         facts = agricultural_only(facts)
     if corrections:
@@ -37,7 +43,7 @@ def prepare_records(
     dated = in_period(facts, datetime)
     if strict and level != "total" and facts.isEmpty():
         raise ValueError(f"Invalid {level.upper()} code: {level_filter}")
-    return convert_units(dated)
+    return convert_units(dated, exact=True)
 
 
 def trade_rollup(
@@ -55,14 +61,20 @@ def trade_rollup(
     ("yearly", "fiscal", "qtr", "monthly")."""
     grouping_columns(level, time_frame)
     base = prepare_records(facts, level, datetime, agriculture_filter, corrections, level_filter, strict)
-    return rollup(base, level, time_frame, qty_decimals=QUANTITY_DECIMALS, sort=sort)
+    return rollup(base, level, time_frame, sort=sort)
+
+
+def product_sums(facts: DataFrame, time_frame: str, **options) -> DataFrame:
+    """Sums per product for further aggregation: quantities are still decimals where they are exact."""
+    return direction_sums(prepare_records(facts, "hts", **options), grouping_columns("hts", time_frame))
 
 
 def fiscal_net_quantity(facts: DataFrame, strict: bool = True) -> DataFrame:
     """Per fiscal year, the net import quantity of all products, where a product with net exports counts as 0."""
-    products = trade_rollup(facts, "hts", "fiscal", strict=strict, sort=False)
-    net = with_columns(products, {"net": clamp("net_imports_qty", low=0.0)})
-    return net.groupBy("fiscal_year").agg(F.expr(exact_sum("net", QUANTITY_DECIMALS)).alias("net_qty"))
+    products = product_sums(facts, "fiscal", strict=strict)
+    # A NaN, which only fractional quantities can hold, stays one.
+    net = with_columns(products, {"net": "if(imports_qty < exports_qty, 0, imports_qty - exports_qty)"})
+    return net.groupBy("fiscal_year").agg(F.expr(f"double({sum_or_zero('net')})").alias("net_qty"))
 
 
 def chapter_codes(df: DataFrame, code: str, skip: int = 2) -> DataFrame:

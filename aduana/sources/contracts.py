@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aduana.functions.frames import quoted
+
 TEXT, INT, LONG, FLOAT, FLAG = T.StringType(), T.IntegerType(), T.LongType(), T.FloatType(), T.BooleanType()
 MOMENT = T.TimestampNTZType()
 
@@ -107,15 +109,16 @@ def create_table(spark: SparkSession, contract: Contract, name: str | None = Non
     return table
 
 
-def conform(df: DataFrame, contract: Contract, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Select and cast to the contract's columns, followed by those of `keep` that exist.
+def conform(df: DataFrame, contract: Contract, needed: tuple[str, ...] = ()) -> DataFrame:
+    """The contract's columns that exist, in its types, followed by all others as they are.
 
-    A column that already has the right type is passed through, so filters on it still reach the scan.
+    Only a missing column of `needed` is an error: an operation names what it reads, and Catalyst drops the rest. A
+    column that already has the right type is passed through, so filters on it still reach the scan.
     """
-    missing = [c for c in contract.columns if c not in df.columns]
+    missing = [c for c in needed if c not in df.columns]
     if missing:
         raise ValueError(f"{contract.name}: columns {missing} are missing")
     return df.select(
-        *(F.col(c).cast(t).alias(c) for c, t in contract.columns.items()),
-        *(F.col(c) for c in keep if c in df.columns),
+        *(F.col(c).cast(t).alias(c) for c, t in contract.columns.items() if c in df.columns),
+        *(F.col(quoted(c)) for c in df.columns if c not in contract.columns),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aduana.functions.codes import text_literal
-from aduana.operators.filters import YEAR_PARTITION
+from aduana.functions.frames import quoted
 from aduana.sources.contracts import ORGANISATION, PLANNING, Contract, conform
 
 
@@ -27,9 +27,11 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
 
 
 def read_facts(spark: SparkSession, location: str, contract: Contract) -> DataFrame:
-    """Fact table from a Parquet folder (anything with a slash) or a catalog table, in its contract's types."""
-    df = spark.read.parquet(location) if "/" in location else spark.table(location)
-    return conform(df, contract, keep=(YEAR_PARTITION,))
+    """Fact table in its contract's types, with all further columns it has.
+
+    `location` is a Parquet folder if it holds a slash ("./facts" for one beside the job), else a catalog table.
+    """
+    return conform(spark.read.parquet(location) if "/" in location else spark.table(location), contract)
 
 
 def read_source(spark: SparkSession, locations: dict[str, str], source: str = "org") -> DataFrame:
@@ -42,26 +44,51 @@ def read_source(spark: SparkSession, locations: dict[str, str], source: str = "o
 _TABLE_TEXT = "array<array<string>>"
 
 
-def promote_header(responses: DataFrame, names: list[str] | None = None, column: str = "value") -> DataFrame:
+def _tables(responses: DataFrame, column: str) -> DataFrame:
+    """Texts and their rows; null rows for a text that is no complete array of arrays. Blank texts are left out."""
+    rows = f"from_json({quoted(column)}, '{_TABLE_TEXT}')"
+    parsed = responses.selectExpr(f"{quoted(column)} AS _text", f"{rows} AS _rows").where("trim(_text) <> ''")
+    # A row that is no array is null within the table.
+    return parsed.selectExpr("_text", "if(exists(_rows, r -> r IS NULL), NULL, _rows) AS _rows")
+
+
+def unreadable_responses(responses: DataFrame, column: str = "value") -> DataFrame:
+    """The texts that `promote_header` cannot read, such as truncated pages and error objects, as column `text`."""
+    return _tables(responses, column).where("_rows IS NULL").selectExpr("_text AS text")
+
+
+def header_names(responses: DataFrame, column: str = "value") -> list[str]:
+    """All column names in the headers of all texts, by their first place. Starts a job that returns one row per name."""
+    names = _tables(responses, column).selectExpr("posexplode(get(_rows, 0)) AS (place, name)")
+    rows = names.groupBy("name").agg(F.min("place").alias("place")).orderBy("place", "name").collect()
+    if not rows:
+        raise ValueError("no header row: there is no text to read")
+    return [r["name"] for r in rows]
+
+
+def promote_header(
+    responses: DataFrame, names: list[str] | None = None, column: str = "value", skip_unreadable: bool = False
+) -> DataFrame:
     """Rows out of JSON texts that are arrays of arrays, whose first row holds the column names.
 
-    Each text is matched to columns by its own header, so pages may order them differently. `names` are the
-    columns to return; without them the header of one text is read, which starts a small job. All
-    values stay text.
+    Each text is matched to columns by its own header, so pages may differ in the order and number of their columns.
+    `names` are the columns to return; without them all names of all headers are. A text that cannot be read fails the
+    query, or is left to `unreadable_responses` with `skip_unreadable`. All values stay text.
     """
-    tables = responses.selectExpr(f"from_json({column}, '{_TABLE_TEXT}') AS _rows")
     if names is None:
-        first = tables.where("size(_rows) > 0").selectExpr("_rows[0]").first()
-        if first is None:
-            raise ValueError("no header row: there is no text to read")
-        names = first[0]
-    cells = tables.selectExpr("get(_rows, 0) AS _header", "explode(slice(_rows, 2, size(_rows))) AS _row")
-    # array_position is 0 for a name that a page lacks, and `get` is null outside the array.
-    return cells.selectExpr(
-        *(f"get(_row, int(array_position(_header, {text_literal(n)})) - 1) AS `{n}`" for n in names)
-    )
+        names = header_names(responses, column)
+    tables = _tables(responses, column)
+    if skip_unreadable:
+        tables = tables.where("_rows IS NOT NULL")
+    else:
+        failure = "raise_error(concat('response is no table: ', left(_text, 100)))"
+        tables = tables.selectExpr(f"coalesce(_rows, {failure}) AS _rows")
+    # Places are looked up once per text; 0, for a name that a page lacks, becomes null.
+    places = [f"nullif(int(array_position(get(_rows, 0), {text_literal(n)})), 0) - 1 AS _at{k}" for k, n in enumerate(names)]
+    cells = tables.selectExpr(*places, "explode(slice(_rows, 2, size(_rows))) AS _row")
+    return cells.selectExpr(*(f"get(_row, _at{k}) AS {quoted(n)}" for k, n in enumerate(names)))
 
 
 def read_header_json(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
-    """Landed API responses, one JSON array of arrays per file."""
+    """Landed API responses, one JSON array of arrays per file. A file is one row, so it must fit into a task."""
     return promote_header(spark.read.text(path, wholetext=True), names)

@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aduana.operators.filters import YEAR_PARTITION
+from aduana.sources.contracts import Contract, conform
 from aduana.sources.readers import read_csv
 
 
-def _mode(update: bool) -> str:
-    """Without `update`, data that is already there is left alone and nothing is computed."""
-    return "overwrite" if update else "ignore"
+def _is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder has ended; one that failed leaves no marker."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
+def _write(df: DataFrame, path: str, update: bool, save: Callable[[DataFrameWriter], None]) -> None:
+    """Without `update`, data that is already there in full is left alone and nothing is computed."""
+    if update or not _is_complete(df.sparkSession, path):
+        save(df.write.mode("overwrite"))
 
 
 def write_parquet(df: DataFrame, path: str, update: bool = False) -> None:
-    df.write.mode(_mode(update)).parquet(path)
+    _write(df, path, update, lambda writer: writer.parquet(path))
 
 
 def write_csv(df: DataFrame, path: str, update: bool = False) -> None:
-    df.write.mode(_mode(update)).option("header", True).csv(path)
+    _write(df, path, update, lambda writer: writer.option("header", True).csv(path))
 
 
 def write_facts(df: DataFrame, path: str, update: bool = False) -> None:
@@ -30,14 +40,9 @@ def write_facts(df: DataFrame, path: str, update: bool = False) -> None:
     neither a hot year nor many tiny files result. Within a file rows are sorted by product, which makes
     the row-group statistics selective for code prefixes.
     """
-    dated = df.withColumn(YEAR_PARTITION, F.year("date"))
-    (
-        dated.hint("rebalance", YEAR_PARTITION)
-        .sortWithinPartitions(YEAR_PARTITION, "hts_code", "date")
-        .write.mode(_mode(update))
-        .partitionBy(YEAR_PARTITION)
-        .parquet(path)
-    )
+    dated = df.withColumn(YEAR_PARTITION, F.year("date")).hint("rebalance", YEAR_PARTITION)
+    ordered = dated.sortWithinPartitions(YEAR_PARTITION, "hts_code", "date")
+    _write(ordered, path, update, lambda writer: writer.partitionBy(YEAR_PARTITION).parquet(path))
 
 
 def concat_extracts(first: DataFrame, *others: DataFrame) -> DataFrame:
@@ -53,3 +58,11 @@ def ingest_extracts(
     """Import and export CSV extracts to one Parquet folder."""
     extracts = concat_extracts(read_csv(spark, import_csv, schema), read_csv(spark, export_csv, schema))
     write_parquet(extracts, path, update)
+
+
+def ingest_facts(
+    spark: SparkSession, import_csv: str, export_csv: str, contract: Contract, path: str, update: bool = False
+) -> None:
+    """Import and export CSV extracts in a contract's columns to the layout of `write_facts`, which filters prune."""
+    extracts = concat_extracts(read_csv(spark, import_csv, contract.schema), read_csv(spark, export_csv, contract.schema))
+    write_facts(conform(extracts, contract, tuple(contract.columns)), path, update)

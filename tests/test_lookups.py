@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 from aduana.operators.lookups import (
     AGRICULTURAL_HEADINGS, NAICS_SECTORS, agricultural_headings, denormalise, direction_table, naics_sectors,
     with_agricultural_flag, with_naics_sector,
@@ -7,7 +9,7 @@ from aduana.operators.lookups import (
 from aduana.operators.ranking import column_to_list, distinct_sorted
 from aduana.plans.trade import chapter_codes, chapter_list, fiscal_net_quantity
 from aduana.sources import DIMENSIONS, STAR_ORGANISATION_FACT, STAR_PLANNING_FACT
-from frames import day, facts
+from frames import day, facts, physical_plan_of
 
 
 def test_lookup_tables(spark):
@@ -74,6 +76,24 @@ def test_denormalise_organisation_fact(spark):
     assert row["direction"] == "Imports" and row["unit_2"] is None and "naics" not in row
 
 
+def test_one_large_dimension_shuffles_the_fact_once(spark, tmp_path):
+    small = dimensions(spark)
+    spark.range(20000).selectExpr(
+        "int(id) AS id", "lpad(string(id), 10, '0') AS hts_code", "string(id) AS hts_short_desc", "'' AS hts_long_desc",
+        "id % 2 = 0 AS agri_prod").write.parquet(str(tmp_path / "hts"))
+    for name, side in small.items():
+        side.write.parquet(str(tmp_path / f"{name}_small"))
+    tables = {n: spark.read.parquet(str(tmp_path / f"{n}_small")) for n in small} | {"hts": spark.read.parquet(str(tmp_path / "hts"))}
+    spark.createDataFrame([], STAR_PLANNING_FACT.schema).write.parquet(str(tmp_path / "fact"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        plan = physical_plan_of(denormalise(spark.read.parquet(str(tmp_path / "fact")), tables))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin LeftOuter") <= 2 and len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 2
+
+
 def test_chapters(spark):
     codes = [101000001, 101000002, 2207100000, 2208700000, 3901000000, None]
     df = spark.createDataFrame([(c,) for c in codes], "Commodity_Code bigint")

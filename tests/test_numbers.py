@@ -7,7 +7,9 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from aduana.functions.numbers import clamp, exact_sum, float_divide, percent_change
+from aduana import price_series, trade_rollup
+from aduana.functions.numbers import clamp, float_divide, percent_change, sum_or_zero
+from frames import facts
 
 INF, NAN = math.inf, math.nan
 
@@ -46,24 +48,35 @@ def test_clamp_passes_null_and_nan(spark):
     assert all(same(a, b) for a, b in zip(floor, [None, NAN, 0.0, 0.0, 0.0, 0.0, 100.0, 100.5, INF]))
 
 
-def test_exact_sum_is_the_rounded_true_sum_in_any_order(spark):
+def test_whole_quantities_add_up_exactly_in_any_order(spark):
+    """Each sum is the true sum, rounded once, however the rows are dealt out; digits and range go beyond 64 bits."""
     rng = random.Random(7)
-    groups = {
-        "small": [rng.randrange(10**7) for _ in range(2000)],
-        "large": [rng.randrange(10**15) for _ in range(2000)],
-        "mixed": [rng.randrange(10 ** rng.randrange(1, 15)) for _ in range(2000)],
-        "signed": [rng.randrange(-(10**9), 10**9) for _ in range(2000)],
-    }
-    rows = [(g, ticks / 100000) for g, all_ticks in groups.items() for ticks in all_ticks]
-    expected = {g: float(Fraction(sum(all_ticks), 100000)) for g, all_ticks in groups.items()}
+    factors = {"kg": 1, "gm": Fraction(1, 1000), "t": 1000, "doz": Fraction("0.70874"), "m3": Fraction("353.8322")}
+    records = [
+        {"unit_1": rng.choice(list(factors)), "qty_1": rng.randrange(10 ** rng.randrange(1, 19)), "country": f"c{k % 3}"}
+        for k in range(3000)
+    ]
+    true = {c: sum(factors[r["unit_1"]] * r["qty_1"] for r in records if r["country"] == c) for c in ("c0", "c1", "c2")}
     for partitions in (1, 7):
-        rng.shuffle(rows)
-        df = spark.createDataFrame(rows, "g string, v double").repartition(partitions)
-        found = df.groupBy("g").agg(F.expr(exact_sum("v", 5)).alias("s")).collect()
-        assert {r.g: r.s for r in found} == expected
+        rng.shuffle(records)
+        df = facts(spark, *records).repartition(partitions)
+        found = {r.country: r.imports_qty for r in trade_rollup(df, "country", "yearly").collect()}
+        assert found == {c: float(v) for c, v in true.items()}
 
 
-def test_exact_sum_of_nothing_is_zero(spark):
+def test_quantities_beyond_64_bits(spark):
+    two = trade_rollup(facts(spark, *[{"unit_1": "t", "qty_1": 6 * 10**15}] * 2), "total", "yearly").first()
+    assert two.imports_qty == 1.2e19
+    one = trade_rollup(facts(spark, {"unit_1": "t", "qty_1": 9 * 10**18}), "total", "yearly").first()
+    assert one.imports_qty == 9e21
+
+
+def test_small_fractional_quantities_are_kept(spark):
+    df = facts(spark, {}).selectExpr("* EXCEPT (qty_1)", "0.000004D AS qty_1")
+    assert trade_rollup(df, "total", "yearly").first().imports_qty == 4e-06
+    assert math.isclose(price_series(df).first().price_imports, 25_000_000)
+
+
+def test_sum_of_nothing_is_zero(spark):
     df = spark.createDataFrame([(None,), (None,)], "v double")
-    for decimals in (5, None):
-        assert df.agg(F.expr(exact_sum("v", decimals))).first()[0] == 0.0
+    assert df.agg(F.expr(sum_or_zero("v"))).first()[0] == 0.0

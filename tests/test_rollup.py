@@ -7,7 +7,8 @@ from comparing import as_bag
 from frames import day, facts
 
 from aduana import rollup, trade_rollup
-from aduana.functions.units import QUANTITY_DECIMALS, convert_units
+from aduana import TradeDesk
+from aduana.functions.units import convert_units
 from aduana.operators.filters import with_code_prefix
 from aduana.operators.rollup import add_net_measures, direction_sums, direction_sums_joined, grouping_columns
 from workload.facts import trade_facts
@@ -28,10 +29,10 @@ def trade(spark, sf_dir):
 @pytest.mark.parametrize("time", TIMES)
 @pytest.mark.parametrize("level", LEVELS)
 def test_one_pass_equals_full_join(trade, level, time):
-    base = convert_units(with_code_prefix(trade, level))
+    base = convert_units(with_code_prefix(trade, level), exact=True)
     keys = grouping_columns(level, time)
-    one_pass = direction_sums(base, keys, QUANTITY_DECIMALS)
-    joined = direction_sums_joined(base, keys, QUANTITY_DECIMALS)
+    one_pass = direction_sums(base, keys)
+    joined = direction_sums_joined(base, keys)
     assert one_pass.columns == joined.columns
     assert bag(one_pass) == bag(joined)
 
@@ -114,3 +115,31 @@ def test_value_overflow_is_an_error(spark):
 def test_source_day_bounds(spark):
     df = facts(spark, {"date": day("2012-06-30"), "data": 1}, {"date": day("2012-07-01"), "data": 2})
     assert [(r.fiscal_year, r.imports) for r in trade_rollup(df, "total", "fiscal").collect()] == [(2012, 1), (2013, 2)]
+
+
+def test_keys_of_any_name(spark):
+    df = facts(spark, {"data": 5}, {"data": 6, "country": "a `b`", "trade_id": 2}).withColumnRenamed("country", "partner `x` y")
+    base = convert_units(df.selectExpr("*", "'east' AS _side"))
+    rows = direction_sums(base, ["partner `x` y", "_side"]).collect()
+    assert sorted(tuple(r)[:3] for r in rows) == [("a `b`", "east", 0), ("spain", "east", 5)]
+    with pytest.raises(ValueError, match="group"):
+        direction_sums(base, [])
+
+
+def test_a_direction_without_rows(spark):
+    desk = TradeDesk(spark, {})
+    base = desk.conversion(facts(spark, {"data": None}, {"country": "france", "trade_id": 2}))
+    rows = {r.country: tuple(r)[1:] for r in desk.filter_data(base, ["country"]).collect()}
+    assert rows == {"spain": (0, 10.0, None, None), "france": (None, None, 100, 10.0)}
+    assert {r.country: (r.imports, r.exports) for r in desk.process_data("yearly", "country", base).collect()} == {
+        "spain": (0, 0), "france": (0, 100)}
+
+
+def test_only_consumed_columns_are_needed(spark):
+    df = facts(spark, {}).drop("agri_prod", "country", "naics")
+    assert trade_rollup(df, "hts", "yearly").count() == 1
+    for options, column in (({"agriculture_filter": True}, "agri_prod"), ({"corrections": True}, "country")):
+        with pytest.raises(ValueError, match=column):
+            trade_rollup(df, "hts", "yearly", **options)
+    with pytest.raises(ValueError, match="unit_2"):
+        trade_rollup(df.drop("unit_2"), "total", "yearly")

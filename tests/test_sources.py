@@ -8,8 +8,9 @@ from frames import day, facts, physical_plan_of
 
 from aduana import TradeDesk
 from aduana.sources import (
-    COMTRADE, ORGANISATION, PLANNING, STAR, concat_extracts, conform, create_table, ingest_extracts, read_csv,
-    read_header_json, read_parquet, read_parquet_tree, read_source, write_csv, write_facts, write_parquet,
+    COMTRADE, ORGANISATION, PLANNING, STAR, concat_extracts, conform, create_table, ingest_extracts, ingest_facts,
+    promote_header, read_csv, read_header_json, read_parquet, read_parquet_tree, read_source, unreadable_responses,
+    write_csv, write_facts, write_parquet,
 )
 
 
@@ -43,9 +44,11 @@ def test_defaults_apply_to_columns_left_out(spark):
 
 def test_conform_casts_and_reports_missing_columns(spark):
     flagged = org_facts(spark).selectExpr("* EXCEPT (agri_prod)", "agri_prod = 1 AS agri_prod")
-    assert types(conform(flagged, ORGANISATION)) == ORGANISATION.columns
+    found = types(conform(flagged, ORGANISATION))
+    assert {c: found[c] for c in ORGANISATION.columns} == ORGANISATION.columns and "naics" in found
+    assert "sitc" not in conform(org_facts(spark), PLANNING).columns
     with pytest.raises(ValueError, match="sitc"):
-        conform(org_facts(spark), PLANNING)
+        conform(org_facts(spark), PLANNING, ("sitc",))
 
 
 def test_facts_round_trip_by_year(spark, tmp_path):
@@ -56,7 +59,7 @@ def test_facts_round_trip_by_year(spark, tmp_path):
         "date_year=2010", "date_year=2011", "date_year=__HIVE_DEFAULT_PARTITION__",
     }
     back = read_source(spark, {"org": path})
-    assert back.columns == [*ORGANISATION.columns, "date_year"]
+    assert back.columns == [*ORGANISATION.columns, "naics", "date_year"]
     key = list(ORGANISATION.columns)
     assert sorted(back.select(key).collect(), key=str) == sorted(df.select(key).collect(), key=str)
 
@@ -99,8 +102,11 @@ def test_desk(spark, tmp_path):
     assert desk.process_price().count() == 3
     assert desk.process_price(agriculture_filter=True).count() == 1
     assert "rank_imports" in desk.price_statistics().columns
+    # The organisation's contract does not know `naics`; a table that holds it can be used all the same.
+    assert desk.process_int_jp("naics", "yearly").count() == 3
+    write_facts(org_facts(spark).drop("naics"), str(tmp_path / "plain"))
     with pytest.raises(ValueError, match="naics"):
-        desk.process_int_jp("naics", "yearly")
+        TradeDesk(spark, {"org": str(tmp_path / "plain")}).process_int_jp("naics", "yearly")
 
 
 def test_parquet_tree_reads_every_depth(spark, tmp_path):
@@ -169,3 +175,47 @@ def test_facts_keep_filters_pushable(spark, tmp_path):
     plan = physical_plan_of(read_source(spark, {"org": path}).where("date >= TIMESTAMP_NTZ '2011-01-01'").select("data"))
     assert "GreaterThanOrEqual(date,2011-01-01" in plan
     assert "ReadSchema: struct<data:bigint,date:timestamp_ntz>" in plan
+
+
+def test_header_names_of_all_pages(spark):
+    pages = spark.createDataFrame([('[["A"],["1"]]',), ('[["A","B"],["2","3"],["4",null]]',), ('[["C","A"],["5","6"]]',)], "value string")
+    found = promote_header(pages)
+    assert found.columns == ["A", "C", "B"]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(
+        [("1", None, None), ("2", None, "3"), ("4", None, None), ("6", "5", None)], key=str)
+
+
+def test_unreadable_responses(spark):
+    good, truncated, failure = '[["A"],["1"]]', '[["A"],["2"', '{"error": "too many requests"}'
+    pages = spark.createDataFrame([(good,), (truncated,), (failure,), ("",), (None,)], "value string")
+    assert {r.text for r in unreadable_responses(pages).collect()} == {truncated, failure}
+    assert [tuple(r) for r in promote_header(pages, ["A"], skip_unreadable=True).collect()] == [("1",)]
+    with pytest.raises(Exception, match="response is no table"):
+        promote_header(pages, ["A"]).collect()
+
+
+def test_header_names_with_backticks(spark):
+    pages = spark.createDataFrame([('[["a `b`"],["1"]]',)], "value string")
+    assert promote_header(pages).columns == ["a `b`"]
+
+
+def test_a_failed_write_is_done_again(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_parquet(spark.range(1), path)
+    os.remove(os.path.join(path, "_SUCCESS"))
+    write_parquet(spark.range(2), path)
+    assert read_parquet(spark, path).count() == 2
+
+
+def test_ingest_to_the_fact_layout(spark, tmp_path):
+    names = list(ORGANISATION.columns)
+    def line(**values):
+        return ",".join(str({"trade_id": 1, "hts_code": "0101000001", "data": 5, "qty_1": 1, "qty_2": 0, "unit_1": "kg"}.get(c, "") if c not in values else values[c]) for c in names)
+    (tmp_path / "i.csv").write_text(",".join(names) + "\n" + line(date="2010-05-01T00:00:00") + "\n" + line(date="2011-05-01T00:00:00") + "\n")
+    (tmp_path / "e.csv").write_text(",".join(names) + "\n" + line(date="2011-06-01T00:00:00", trade_id=2) + "\n")
+    path = str(tmp_path / "facts")
+    ingest_facts(spark, str(tmp_path / "i.csv"), str(tmp_path / "e.csv"), ORGANISATION, path)
+    desk = TradeDesk(spark, {"org": path})
+    result = desk.process_int_jp("total", "yearly", datetime="2011")
+    assert [(r.year, r.imports, r.exports) for r in result.collect()] == [(2011, 5, 5)]
+    assert "date_year#" in physical_plan_of(result).split("PartitionFilters: [")[1].split("]")[0]

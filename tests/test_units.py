@@ -33,6 +33,11 @@ def test_each_rule(spark, unit_1, unit_2, code, expected):
         facts(spark, {"unit_1": unit_1, "qty_1": 30, "unit_2": unit_2, "qty_2": 70, "hts_code": code})
     ).first()
     assert row.qty == expected
+    exact = convert_units(
+        facts(spark, {"unit_1": unit_1, "qty_1": 30, "unit_2": unit_2, "qty_2": 70, "hts_code": code}), exact=True
+    ).first()
+    assert exact.qty == expected and (exact.qty_exact if expected is None else float(exact.qty_exact)) == (
+        expected if expected is None else pytest.approx(expected, rel=1e-15))
 
 
 def test_null_quantity_counts_as_zero(spark):
@@ -43,6 +48,9 @@ def test_null_quantity_counts_as_zero(spark):
 def test_no_helper_column_is_left(spark):
     df = facts(spark, {})
     assert convert_units(df).columns == [*df.columns, "qty", "qtr", "fiscal_year", "month", "year"]
+    assert convert_units(df, exact=True).columns == [*df.columns, "qty", "qty_exact", "qtr", "fiscal_year", "month", "year"]
+    fractional = df.selectExpr("* EXCEPT (qty_2)", "double(qty_2) AS qty_2")
+    assert "qty_exact" not in convert_units(fractional, exact=True).columns
 
 
 @pytest.mark.parametrize(

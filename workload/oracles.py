@@ -1,7 +1,8 @@
 """The registered queries as SQL for an independent engine, in their literal form.
 
 Rollups aggregate the two directions apart and full-join them, prices divide plain sums, and the statistics
-spell out their arithmetic, so none of the shortcuts of the Spark plans is repeated here.
+spell out their arithmetic, so none of the shortcuts of the Spark plans is repeated here. Quantities are added as
+decimals without rounding.
 """
 
 from __future__ import annotations
@@ -52,6 +53,7 @@ corrected AS (
   FROM {source})
 """
 
+# Units, their order and their factors.
 CONVERTED = """
 converted AS (
   SELECT * REPLACE (coalesce(qty_1, 0) AS qty_1, coalesce(qty_2, 0) AS qty_2),
@@ -73,6 +75,24 @@ converted AS (
          WHEN lower(unit_2) = 'pfl' AND hts_code[:6] = '220870' THEN coalesce(qty_2, 0)::DOUBLE * 2
          WHEN lower(unit_1) = 'pfl' THEN coalesce(qty_1, 0)::DOUBLE * 1.25::DOUBLE
          WHEN lower(unit_2) = 'pfl' THEN coalesce(qty_2, 0)::DOUBLE * 1.25::DOUBLE END AS qty,
+CASE WHEN lower(unit_1) = 'kg' THEN coalesce(qty_1, 0)::DECIMAL(19, 0) * 1::DECIMAL(9, 5)
+         WHEN lower(unit_2) = 'kg' THEN coalesce(qty_2, 0)::DECIMAL(19, 0) * 1::DECIMAL(9, 5)
+         WHEN lower(unit_1) = 'gm' THEN coalesce(qty_1, 0)::DECIMAL(19, 0) * 0.001::DECIMAL(9, 5)
+         WHEN lower(unit_2) = 'gm' THEN coalesce(qty_2, 0)::DECIMAL(19, 0) * 0.001::DECIMAL(9, 5)
+         WHEN lower(unit_1) = 't' THEN coalesce(qty_1, 0)::DECIMAL(19, 0) * 1000::DECIMAL(9, 5)
+         WHEN lower(unit_2) = 't' THEN coalesce(qty_2, 0)::DECIMAL(19, 0) * 1000::DECIMAL(9, 5)
+         WHEN lower(unit_1) = 'l' THEN coalesce(qty_1, 0)::DECIMAL(19, 0) * 1::DECIMAL(9, 5)
+         WHEN lower(unit_2) = 'l' THEN coalesce(qty_2, 0)::DECIMAL(19, 0) * 1::DECIMAL(9, 5)
+         WHEN lower(unit_1) = 'doz' THEN coalesce(qty_1, 0)::DECIMAL(19, 0) * 0.70874::DECIMAL(9, 5)
+         WHEN lower(unit_2) = 'doz' THEN coalesce(qty_2, 0)::DECIMAL(19, 0) * 0.70874::DECIMAL(9, 5)
+         WHEN lower(unit_1) = 'm3' THEN coalesce(qty_1, 0)::DECIMAL(19, 0) * 353.8322::DECIMAL(9, 5)
+         WHEN lower(unit_2) = 'm3' THEN coalesce(qty_2, 0)::DECIMAL(19, 0) * 353.8322::DECIMAL(9, 5)
+         WHEN lower(unit_1) = 'pfl' AND hts_code[:6] = '220710' THEN coalesce(qty_1, 0)::DECIMAL(19, 0) * 0.5556::DECIMAL(9, 5)
+         WHEN lower(unit_2) = 'pfl' AND hts_code[:6] = '220710' THEN coalesce(qty_2, 0)::DECIMAL(19, 0) * 0.5556::DECIMAL(9, 5)
+         WHEN lower(unit_1) = 'pfl' AND hts_code[:6] = '220870' THEN coalesce(qty_1, 0)::DECIMAL(19, 0) * 2::DECIMAL(9, 5)
+         WHEN lower(unit_2) = 'pfl' AND hts_code[:6] = '220870' THEN coalesce(qty_2, 0)::DECIMAL(19, 0) * 2::DECIMAL(9, 5)
+         WHEN lower(unit_1) = 'pfl' THEN coalesce(qty_1, 0)::DECIMAL(19, 0) * 1.25::DECIMAL(9, 5)
+         WHEN lower(unit_2) = 'pfl' THEN coalesce(qty_2, 0)::DECIMAL(19, 0) * 1.25::DECIMAL(9, 5) END AS exact_qty,
     quarter(date)::INTEGER AS qtr,
     (CASE WHEN month(date) > 6 THEN year(date) + 1 ELSE year(date) END)::INTEGER AS fiscal_year,
     month(date)::INTEGER AS month, year(date)::INTEGER AS year
@@ -85,14 +105,6 @@ KEYS = {
 }
 
 
-def exact_sum(value: str) -> str:
-    """Sum of doubles on a grid of 0.00001 in whole numbers, as a double."""
-    return (
-        f"coalesce(((sum(floor({value})::HUGEINT) * 100000 + sum(round(({value} - floor({value})) * 100000)::HUGEINT))"
-        "::DECIMAL(38, 0) * 0.00001)::DOUBLE, 0)"
-    )
-
-
 def divide(x: str, y: str) -> str:
     return (
         f"CASE WHEN {y} = 0 THEN CASE WHEN {x} = 0 THEN 'nan'::DOUBLE WHEN {x} > 0 THEN 'inf'::DOUBLE "
@@ -100,20 +112,20 @@ def divide(x: str, y: str) -> str:
     )
 
 
-def rollup_ctes(level: str, time: str, where: str = "true", corrections: bool = False) -> str:
-    """CTEs up to `rolled`. `where` filters the raw records."""
+def rollup_ctes(level: str, time: str, where: str = "true", corrections: bool = False, records: str = TRADE) -> str:
+    """CTEs up to `netted`, with exact sums in `rolled`. `where` filters the raw records."""
     code = KEYS[level][0] + " IS NOT NULL" if level != "total" else "true"
     keys = ", ".join(KEYS[time] + KEYS[level])
 
     def side(trade_id: int, name: str) -> str:
         return (
-            f"SELECT {keys}, sum(data)::BIGINT AS {name}, {exact_sum('qty')} AS {name}_qty FROM converted "
+            f"SELECT {keys}, sum(data)::BIGINT AS {name}, sum(exact_qty) AS {name}_qty FROM converted "
             f"WHERE trade_id = {trade_id} AND hts_code IS NOT NULL GROUP BY {keys}"
         )
 
     source = "corrected" if corrections else "wanted"
     return ", ".join([
-        TRADE,
+        records,
         f"wanted AS (SELECT * FROM trade WHERE {code} AND {where})",
         *([CORRECTED.format(source="wanted")] if corrections else []),
         CONVERTED.format(source=source),
@@ -123,16 +135,18 @@ def rollup_ctes(level: str, time: str, where: str = "true", corrections: bool =
           SELECT {keys}, coalesce(imports, 0) AS imports, coalesce(imports_qty, 0) AS imports_qty,
                  coalesce(exports, 0) AS exports, coalesce(exports_qty, 0) AS exports_qty
           FROM i FULL JOIN e USING ({keys}))""",
-        """netted AS (
+        """doubled AS (
+          SELECT * REPLACE (imports_qty::DOUBLE AS imports_qty, exports_qty::DOUBLE AS exports_qty) FROM rolled),
+        netted AS (
           SELECT *, exports - imports AS net_exports, imports - exports AS net_imports,
                  exports_qty - imports_qty AS net_exports_qty, imports_qty - exports_qty AS net_imports_qty
-          FROM rolled)""",
+          FROM doubled)""",
     ])
 
 
-def rollup_sql(level: str, time: str, where: str = "true", corrections: bool = False) -> str:
+def rollup_sql(level: str, time: str, where: str = "true", corrections: bool = False, records: str = TRADE) -> str:
     keys = ", ".join(f"{k} NULLS FIRST" for k in KEYS[time] + KEYS[level])
-    return f"WITH {rollup_ctes(level, time, where, corrections)} SELECT * FROM netted ORDER BY {keys}"
+    return f"WITH {rollup_ctes(level, time, where, corrections, records)} SELECT * FROM netted ORDER BY {keys}"
 
 
 def price_ctes(time: str, where: str = "true") -> str:
@@ -143,8 +157,8 @@ def price_ctes(time: str, where: str = "true") -> str:
         rollup_ctes("hts", time, where, corrections=True),
         f"""headings AS (
           SELECT year, {period}, hts_code[:4] AS hs4, sum(imports)::BIGINT AS imports, sum(exports)::BIGINT AS exports,
-                 {exact_sum(guarded.format('imports_qty'))} AS imports_qty,
-                 {exact_sum(guarded.format('exports_qty'))} AS exports_qty
+                 sum({guarded.format('imports_qty')})::DOUBLE AS imports_qty,
+                 sum({guarded.format('exports_qty')})::DOUBLE AS exports_qty
           FROM rolled GROUP BY ALL)""",
         f"""prices AS (
           SELECT *, imports / imports_qty AS price_imports, exports / exports_qty AS price_exports,
@@ -186,14 +200,19 @@ FROM prices now LEFT JOIN prices ago ON now.hs4 = ago.hs4 AND now.year - 1 = ago
 MOVERS = """
 WITH {ctes},
 latest AS (
-  SELECT *, price_imports_yoy AS actual_yoy,
-         CASE WHEN price_imports_yoy < -100 THEN -100 WHEN isnan(price_imports_yoy) THEN price_imports_yoy
-              WHEN price_imports_yoy > 100 THEN 100 ELSE price_imports_yoy END AS plot_yoy
+  SELECT *, price_{side}_yoy AS actual_yoy,
+         CASE WHEN price_{side}_yoy < -100 THEN -100 WHEN isnan(price_{side}_yoy) THEN price_{side}_yoy
+              WHEN price_{side}_yoy > 100 THEN 100 ELSE price_{side}_yoy END AS plot_yoy
   FROM series WHERE date = (SELECT max(date) FROM series))
 SELECT *, row_number() OVER (ORDER BY actual_yoy {order}, hs4)::INTEGER AS position
-FROM latest QUALIFY position <= 50
+FROM latest WHERE {where} QUALIFY position <= 50
 """
 
+
+def movers_sql(order: str, side: str = "imports", where: str = "true", records: str = "true") -> str:
+    return MOVERS.format(ctes=price_changes_ctes(records), order=order, side=side, where=where)
+
+
 LATEST_PERIOD = f"WITH {price_changes_ctes()} SELECT * FROM series WHERE date = (SELECT max(date) FROM series)"
 
 
@@ -233,8 +252,9 @@ def price_statistics_sql(columns: str = "") -> str:
 
 FISCAL_NET = f"""
 WITH {rollup_ctes("hts", "fiscal")},
-clamped AS (SELECT fiscal_year, CASE WHEN net_imports_qty < 0 THEN 0 ELSE net_imports_qty END AS net FROM netted)
-SELECT fiscal_year, {exact_sum("net")} AS net_qty FROM clamped GROUP BY fiscal_year
+clamped AS (
+  SELECT fiscal_year, CASE WHEN imports_qty < exports_qty THEN 0 ELSE imports_qty - exports_qty END AS net FROM rolled)
+SELECT fiscal_year, sum(net)::DOUBLE AS net_qty FROM clamped GROUP BY fiscal_year
 """
 
 UNIT_CONVERSION = f"""
@@ -263,11 +283,15 @@ SELECT trade_id, hts_code, data, date FROM trade WHERE trade_id = 1
 UNION ALL SELECT trade_id, hts_code, data, date FROM trade WHERE trade_id = 2
 """
 
-HEADER_ROWS = f"""
+HEADER_UNION = f"""
 WITH {TRADE}
-SELECT hts_code AS "CODE", data::VARCHAR AS "VAL" FROM trade
+SELECT hts_code AS "CODE", CASE WHEN data % 5 <> 0 THEN data::VARCHAR END AS "VAL",
+       CASE WHEN data % 2 = 1 THEN unit_1 END AS "UNIT"
+FROM trade
 """
 
+HEADER_ROWS = f"""SELECT "CODE", "VAL" FROM ({HEADER_UNION})"""
+
 AGRI_FLAG = f"""
 WITH {TRADE}
 SELECT hts_code, data,
@@ -285,17 +309,42 @@ SELECT hts_code, data,
 FROM trade
 """
 
-# Only codes 3254, 3256, 3341, 3391, 1111, 2123 and 3111 occur in the records.
+# Prefixes of the codes made here, and all sector labels.
 NAICS_SECTOR = f"""
-WITH {TRADE}, sectors(prefix, sector) AS (VALUES
+WITH {TRADE}, made AS (
+  SELECT data, CASE WHEN data % 37 <> 0 THEN [
+    '11', '21', '31', '32', '33', '311', '312', '313', '314', '315', '316', '321', '322', '323', '324', '325', '3254',
+    '326', '327', '331', '332', '333', '334', '3341', '335', '336', '337', '339', '3391', '99', '2'][data % 31 + 1]
+    || (data % 10)::VARCHAR END AS naics
+  FROM trade),
+sectors(prefix, sector) AS (VALUES
   ('11', 'Agrivultura, silvicultura, pesca y caza'), ('21', 'Minería'), ('31', 'Manufactura'), ('32', 'Manufactura'),
-  ('33', 'Manufactura'), ('311', 'Alimentos'), ('325', 'Químicos'), ('3254', 'Farmacéuticos y medicinas'),
-  ('334', 'Equipo de computación y productos electrónicos'), ('3341', 'Computadoras y equipo periférico'),
-  ('339', 'Manufacturas misceláneas'), ('3391', 'Equipos y materiales de uso médico')),
+  ('33', 'Manufactura'), ('311', 'Alimentos'), ('312', 'Productos de bebidads y tabaco'), ('313', 'Textiles'),
+  ('314', 'Textiles'), ('315', 'Ropa'), ('316', 'Cuero y productos  de afines'), ('321', 'Productos de madera'),
+  ('322', 'Papel'), ('323', 'Imprenta'), ('324', 'Productos de petróleo y carbón'), ('325', 'Químicos'),
+  ('3254', 'Farmacéuticos y medicinas'), ('326', 'Productos de plástico y de goma'),
+  ('327', 'Productos minerales no metálicos'), ('331', 'Metales primarios'), ('332', 'productos fabricados de metal'),
+  ('333', 'Maquinaria'), ('334', 'Equipo de computación y productos electrónicos'),
+  ('3341', 'Computadoras y equipo periférico'), ('335', 'Equipo eléctrico, enseres, y componetes'),
+  ('336', 'Equipo de transporte'), ('337', 'Muebles y productos relacionados'), ('339', 'Manufacturas misceláneas'),
+  ('3391', 'Equipos y materiales de uso médico')),
 best AS (
   SELECT naics, max_by(sector, length(prefix)) AS sector
-  FROM (SELECT DISTINCT naics FROM trade) JOIN sectors ON starts_with(naics, prefix) GROUP BY naics)
-SELECT t.naics, b.sector, t.data FROM trade t LEFT JOIN best b ON t.naics = b.naics
+  FROM (SELECT DISTINCT naics FROM made) JOIN sectors ON starts_with(naics, prefix) GROUP BY naics)
+SELECT m.naics, b.sector, m.data FROM made m LEFT JOIN best b ON m.naics = b.naics
+"""
+
+STAR_TRADE = """
+trade AS (
+  SELECT l_shipdate AS date, l_linenumber % 3 AS trade_id, lpad(p.p_partkey::VARCHAR, 10, '0') AS hts_code,
+         floor(l_extendedprice)::BIGINT AS data, (3110 + r.r_regionkey)::VARCHAR AS naics,
+         ['kg', 'gm', 't', 'l', 'doz', 'm3', 'pfl', 'no'][u1.n_nationkey + 1] AS unit_1, floor(l_quantity)::BIGINT AS qty_1,
+         ['kg', 'gm', 't', 'l', 'doz', 'm3', 'pfl', 'no'][u2.n_nationkey + 1] AS unit_2, floor(l_quantity)::BIGINT * 2 AS qty_2
+  FROM lineitem
+  LEFT JOIN part p ON (CASE WHEN l_orderkey % 13 <> 0 THEN l_partkey END) = p.p_partkey
+  LEFT JOIN region r ON l_linenumber = r.r_regionkey
+  LEFT JOIN nation u1 ON l_orderkey % 9 = u1.n_nationkey
+  LEFT JOIN nation u2 ON l_linenumber = u2.n_nationkey)
 """
 
 STAR = """
@@ -340,8 +389,13 @@ def oracle_sql() -> dict[str, str]:
         "price_quarterly": price_sql(),
         "price_agri": price_sql("agri_prod = 1"),
         "price_calendar": PRICE_CALENDAR,
-        "price_movers_top": MOVERS.format(ctes=price_changes_ctes(), order="DESC NULLS FIRST"),
-        "price_movers_bottom": MOVERS.format(ctes=price_changes_ctes(), order="ASC NULLS FIRST"),
+        "price_movers_top": movers_sql("DESC NULLS FIRST"),
+        "price_movers_bottom": movers_sql("ASC NULLS FIRST"),
+        "price_movers_exports": movers_sql("DESC NULLS FIRST", "exports"),
+        "price_movers_drop_null": movers_sql(
+            "DESC NULLS LAST", where="actual_yoy IS NOT NULL", records="(hts_code >= '08' OR date >= TIMESTAMP '2013-01-01')"),
+        "movers_display": "SELECT *, row_number() OVER (ORDER BY position DESC)::INTEGER AS shown_at FROM ("
+        + movers_sql("DESC NULLS FIRST") + ")",
         "latest_period": LATEST_PERIOD,
         "price_statistics_monthly": price_statistics_sql(),
         "price_rolling": price_statistics_sql(
@@ -360,4 +414,8 @@ def oracle_sql() -> dict[str, str]:
         "star_denormalise": STAR,
         "union_directions": UNION_DIRECTIONS,
         "header_rows": HEADER_ROWS,
+        "header_union": HEADER_UNION,
+        "star_rollup": rollup_sql("naics", "qtr", records=STAR_TRADE),
+        "org_rollup": rollup_sql("naics", "yearly"),
+        "strict_prefix_yearly": rollup_sql("hts", "yearly", "starts_with(hts_code, '22')"),
     }

@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aduana.functions.corrections import correct_records
-from aduana.functions.units import QUANTITY_DECIMALS, convert_units
+from aduana.functions.units import convert_units
 from aduana.operators.filters import latest_period
-from aduana.operators.lookups import denormalise, direction_table, with_agricultural_flag, with_naics_sector
-from aduana.operators.ranking import distinct_sorted
-from aduana.operators.rollup import add_net_measures, direction_sums_joined, grouping_columns
+from aduana.operators.lookups import denormalise, with_agricultural_flag, with_naics_sector
+from aduana.operators.ranking import distinct_sorted, in_display_order
+from aduana.operators.rollup import add_net_measures, as_doubles, direction_sums_joined, grouping_columns
 from aduana.plans.prices import monthly_price_statistics, price_movers, price_series
 from aduana.plans.trade import chapter_codes, fiscal_net_quantity, prepare_records, trade_rollup
+from aduana.sources.contracts import ORGANISATION, PLANNING, conform
 from aduana.sources.readers import promote_header
 from aduana.sources.writers import concat_extracts
 from workload.facts import table, trade_facts
@@ -40,7 +42,7 @@ def rollup_query(level: str, time_frame: str, **options) -> Query:
 def full_join_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = prepare_records(trade_facts(spark, sf_dir), "hts", strict=False)
     keys = grouping_columns("hts", "monthly")
-    return add_net_measures(direction_sums_joined(base, keys, QUANTITY_DECIMALS)).orderBy(*keys)
+    return add_net_measures(as_doubles(direction_sums_joined(base, keys))).orderBy(*keys)
 
 
 def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +84,22 @@ def price_movers_bottom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_movers(_unsorted_prices(spark, sf_dir), largest=False)
 
 
+def price_movers_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return price_movers(_unsorted_prices(spark, sf_dir), direction="exports")
+
+
+def price_movers_drop_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The headings below 0800 start late here, so that they have no change yet."""
+    facts = trade_facts(spark, sf_dir, country=True).where("hts_code >= '08' OR date >= TIMESTAMP_NTZ '2013-01-01'")
+    return price_movers(price_series(facts, strict=False, sort=False), drop_null=True)
+
+
+def movers_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report in display order, which is a column here."""
+    shown = in_display_order(price_movers_top(spark, sf_dir))
+    return shown.selectExpr("*", "int(row_number() OVER (ORDER BY position DESC)) AS shown_at")
+
+
 def prices_of_latest_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_period(_unsorted_prices(spark, sf_dir))
 
@@ -116,8 +134,17 @@ def agri_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_agricultural_flag(trade_facts(spark, sf_dir).select("hts_code", "data"))
 
 
+# One prefix of each sector, and two that no sector has.
+SECTOR_PREFIXES = (
+    "11 21 31 32 33 311 312 313 314 315 316 321 322 323 324 325 3254 326 327 331 332 333 334 3341 335 336 337 339 3391 "
+    "99 2").split()
+
+
 def naics_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_naics_sector(trade_facts(spark, sf_dir).select("naics", "data")).select("naics", "sector", "data")
+    """Codes that meet every sector, at every prefix length, with a digit more; some are null."""
+    prefixes = ", ".join(f"'{p}'" for p in SECTOR_PREFIXES)
+    code = f"if(data % 37 = 0, NULL, concat(get(array({prefixes}), int(data % {len(SECTOR_PREFIXES)})), string(data % 10)))"
+    return with_naics_sector(trade_facts(spark, sf_dir).selectExpr(f"{code} AS naics", "data")).select("naics", "sector", "data")
 
 
 def star_denormalise(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +166,6 @@ def star_denormalise(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "sitc": supplier.selectExpr("s_suppkey AS id", "s_name AS sitc_code"),
         "naics": region.selectExpr("r_regionkey AS id", "r_name AS naics_code"),
-        "trade": direction_table(spark),
         "district": region.selectExpr("r_regionkey AS id", "r_name AS district_desc"),
         "unit": nation.selectExpr("n_nationkey AS id", "n_name AS unit_code"),
     })
@@ -150,12 +176,59 @@ def union_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concat_extracts(facts.where("trade_id = 1"), facts.where("trade_id = 2"))
 
 
-def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each record as a landed response of two rows, header first, and back to columns."""
-    responses = trade_facts(spark, sf_dir).selectExpr(
-        "to_json(array(array('CODE', 'VAL'), array(hts_code, string(data)))) AS value"
+def star_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a star schema over the line items to a rollup by industry and quarter."""
+    fact = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_shipdate AS date", "l_linenumber % 3 AS trade_id", "if(l_orderkey % 13 = 0, NULL, l_partkey) AS hts_id",
+        "l_suppkey % 27 AS country_id", "l_linenumber - 1 AS district_id", "l_suppkey + 5 AS sitc_id", "l_linenumber AS naics_id",
+        "floor(l_extendedprice) AS data", "l_orderkey % 9 AS unit1_id", "floor(l_quantity) AS qty_1",
+        "l_linenumber AS unit2_id", "floor(l_quantity) * 2 AS qty_2",
     )
-    return promote_header(responses, ["CODE", "VAL"])
+    nation, region, supplier = (table(spark, sf_dir, t) for t in ("nation", "region", "supplier"))
+    flat = denormalise(fact, {
+        "country": nation.selectExpr("n_nationkey AS id", "lower(n_name) AS country_name"),
+        "hts": table(spark, sf_dir, "part").selectExpr(
+            "p_partkey AS id", "lpad(string(p_partkey), 10, '0') AS hts_code", "p_name AS hts_short_desc",
+            "p_size % 2 = 1 AS agri_prod"),
+        "sitc": supplier.selectExpr("s_suppkey AS id", "s_name AS sitc_code"),
+        "naics": region.selectExpr("r_regionkey AS id", "string(3110 + r_regionkey) AS naics_code"),
+        "district": region.selectExpr("r_regionkey AS id", "r_name AS district_desc"),
+        "unit": nation.selectExpr(
+            "n_nationkey AS id", "get(array('kg', 'gm', 't', 'l', 'doz', 'm3', 'pfl', 'no'), int(n_nationkey)) AS unit_code"),
+    })
+    return trade_rollup(conform(flat, PLANNING), "naics", "qtr", strict=False)
+
+
+def org_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records read by the organisation's contract, which does not know `naics`, by industry."""
+    return trade_rollup(conform(trade_facts(spark, sf_dir), ORGANISATION), "naics", "yearly", strict=False)
+
+
+def strict_prefix_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trade_rollup(trade_facts(spark, sf_dir), "hts", "yearly", level_filter="22", strict=True)
+
+
+def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as landed pages of many rows. Odd pages have a column more and another order, every fifth lacks one."""
+    pages = trade_facts(spark, sf_dir).selectExpr("data % 1000 AS page", "hts_code AS code", "string(data) AS val", "unit_1 AS unit")
+
+    def page(*names: str) -> str:
+        header = ", ".join(f"'{n}'" for n in names)
+        return f"concat(array(array({header})), transform(rows, r -> array({', '.join(f'r.{n.lower()}' for n in names)})))"
+
+    grouped = pages.groupBy("page").agg(F.collect_list(F.struct("code", "val", "unit")).alias("rows"))
+    return grouped.selectExpr(f"""to_json(
+        CASE WHEN page % 10 = 5 THEN {page("UNIT", "CODE")} WHEN page % 5 = 0 THEN {page("CODE")}
+             WHEN page % 2 = 1 THEN {page("VAL", "UNIT", "CODE")} ELSE {page("CODE", "VAL")} END) AS value""")
+
+
+def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return promote_header(_responses(spark, sf_dir), ["CODE", "VAL"])
+
+
+def header_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns that any page has; finding them reads the pages once more."""
+    return promote_header(_responses(spark, sf_dir)).select("CODE", "VAL", "UNIT")
 
 
 def queries() -> dict[str, Query]:
@@ -181,6 +254,9 @@ def queries() -> dict[str, Query]:
         "price_calendar": price_calendar,
         "price_movers_top": price_movers_top,
         "price_movers_bottom": price_movers_bottom,
+        "price_movers_exports": price_movers_exports,
+        "price_movers_drop_null": price_movers_drop_null,
+        "movers_display": movers_display,
         "latest_period": prices_of_latest_period,
         "price_statistics_monthly": price_statistics_monthly,
         "price_rolling": _statistics(*ROLLING),
@@ -194,4 +270,8 @@ def queries() -> dict[str, Query]:
         "star_denormalise": star_denormalise,
         "union_directions": union_directions,
         "header_rows": header_rows,
+        "header_union": header_union,
+        "star_rollup": star_rollup,
+        "org_rollup": org_rollup,
+        "strict_prefix_yearly": strict_prefix_yearly,
     }
