@@ -64,7 +64,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return SuffixDedup(docs).documents().select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return SuffixDedup(docs).digests()
 
 
 def queries() -> dict[str, Query]:
