@@ -250,17 +250,21 @@ def _per_part(fit):
 
 def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct (block, hash) of a task."""
-    kept: list[np.ndarray] = []
+    kept: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         blocks = batch["block"].to_numpy()
         for row, last_row, data, offsets in pieces(batch["text"], _COUNT_PIECE):
             starts, ends, first = word_ranges(data, offsets)
             hashed = range_hash(prefix_hash(data, lower=True), starts, ends)
-            kept.append(np.unique(np.stack([np.repeat(blocks[row:last_row], np.diff(first)), signed(hashed)], 1).view("i8,i8")))
-        if sum(map(len, kept)) > 2 * _FLUSH:
-            kept = [np.unique(np.concatenate(kept))]
-    found = np.unique(np.concatenate(kept)) if kept else np.zeros(0, "i8,i8")
-    yield pa.RecordBatch.from_arrays([pa.array(found["f0"].astype(np.int32)), pa.array(found["f1"])], ["block", "hash"])
+            block_of = np.repeat(blocks[row:last_row], np.diff(first))
+            for block in np.unique(blocks[row:last_row]):
+                own = kept.setdefault(int(block), [])
+                own.append(np.unique(hashed[block_of == block]))
+                if sum(map(len, own)) > 2 * _FLUSH:
+                    kept[int(block)] = [np.unique(np.concatenate(own))]
+    for block, parts in kept.items():
+        hashes = np.unique(np.concatenate(parts))
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), block, np.int32)), pa.array(signed(hashes))], ["block", "hash"])
 
 
 def _score_block(model: attention.Parameters, symbols: Symbols, end: int, n_tokens: int, n_distinct: int, n_texts: int):
