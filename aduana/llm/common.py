@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -46,6 +46,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def filtered_rows(docs: DataFrame, keep: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """The rows that `keep` yields, with all columns, whatever they are called; `keep` finds `text` by name."""
+    plain = [c if c in ("doc_id", "text") else f"_column{k}" for k, c in enumerate(docs.columns)]
+    renamed = docs.toDF(*plain)
+    return renamed.mapInArrow(keep, renamed.schema).toDF(*docs.columns)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from aduana.llm.common import mix, pieces, word_hashes
+from aduana.llm.common import filtered_rows, mix, pieces, word_hashes
 
 MAX_EDITS = 0.2
 MIN_WORDS = 8
@@ -253,5 +253,5 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, repetitions: int = RE
         return clean
 
     for index in item_blocks(benchmark, repetitions):
-        docs = docs.mapInArrow(cleaner(index), docs.schema)
+        docs = filtered_rows(docs, cleaner(index))
     return docs

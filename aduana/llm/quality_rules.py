@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from aduana.llm.common import mix, pieces, prefix_hash, range_hash, word_ranges
+from aduana.llm.common import filtered_rows, mix, pieces, prefix_hash, range_hash, word_ranges
 
 #: Labelled rows that train the classifier at most.
 TRAIN_ROWS = 6000
@@ -52,10 +52,10 @@ def piece_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     chars = np.diff(np.append(0, np.cumsum(code_points[ends] - code_points[starts]))[first])
     # Lines with a word that equal an earlier line of their text.
     breaks = np.flatnonzero(data == 10)
-    line_starts = np.unique(np.concatenate([offsets[:-1], breaks + 1])[:])
+    line_starts = np.unique(np.concatenate([offsets[:-1], breaks + 1]))
     line_starts = line_starts[line_starts < len(data)]
     owner = np.searchsorted(offsets, line_starts, "right") - 1
-    line_ends = np.append(line_starts[1:], len(data))
+    line_ends = np.append(line_starts[1:], len(data))[:len(line_starts)]
     line_ends = line_ends - ((line_ends > line_starts) & (data[np.maximum(line_ends - 1, 0)] == 10))
     has_word = np.searchsorted(starts, line_ends) > np.searchsorted(starts, line_starts)
     hashes = mix(range_hash(prefix, line_starts[has_word], line_ends[has_word]) ^ mix(owner[has_word].astype(np.uint64)))
@@ -215,4 +215,4 @@ def keep_good(docs: DataFrame, model: np.ndarray | None) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(judged(batch["text"], model)[3]))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return filtered_rows(docs, keep)
