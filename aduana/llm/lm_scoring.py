@@ -201,7 +201,7 @@ def train(texts: DataFrame, words: DataFrame, symbols: Symbols, n_windows: int,
     cut = chosen.select("text").mapInArrow(_sequences(folder, file, symbols), "window binary")
     # Enough windows for each partition to train on by itself.
     parts = max(1, int(share * n_windows / PARTITION_WINDOWS))
-    windows = written(cut.repartition(parts, F.xxhash64("window")).select(F.spark_partition_id().alias("part"), "window"), "windows")
+    windows = written(cut.select(F.pmod(F.xxhash64("window"), F.lit(parts)).cast("int").alias("part"), "window"), "windows")
     for round_number in range(ROUNDS):
         model = _averaged(windows, model, round_number)
     return model
