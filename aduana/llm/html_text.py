@@ -43,6 +43,7 @@ _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "body": {"head"},
 }
+_UNFINISHED = re.compile(r"<[A-Za-z/!?]")
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
@@ -144,6 +145,8 @@ def page_lines(html: str) -> tuple[list[Line], list[str]]:
     """Lines of a page, and the names of its containers."""
     parser = _Lines()
     parser.feed(html)
+    if _UNFINISHED.match(parser.rawdata):
+        parser.rawdata = ""  # a tag that the page ends in is no text
     parser.close()
     parser.cut()
     return parser.lines, parser.containers
