@@ -287,11 +287,13 @@ class JaccardJoin:
         return links, connected_components(links)
 
     def documents(self) -> DataFrame:
-        """doc_id, row_hash, n_shingles, component_id of every row."""
+        """doc_id, row_hash, n_shingles, component_id of every row, and `component`, which also tells components apart that
+        have the same smallest doc_id or none; it is null for rows without words."""
         classes = self.classes.select("fp", "low").join(self.components(), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
         lowest = classes.groupBy("root").agg(F.min("low").alias("component_id"))
-        classes = written(classes.join(lowest, "root").select("fp", "component_id"), "shingle-components")
+        classes = written(
+            classes.join(lowest, "root").select("fp", "component_id", F.col("root").alias("component")), "shingle-components")
         rows = self.rows.select("doc_id", "row_hash", "n_shingles", "fp").join(classes, "fp", "left")
         return rows.select(
             "doc_id", "row_hash", "n_shingles",
-            F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+            F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "component")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aduana.llm import decontamination, mixing, quality_rules, sharding
-from aduana.llm.common import written
+from aduana.llm.common import WORD_REGEX, written
 from aduana.llm.jaccard_join import JaccardJoin
 
 
@@ -16,15 +16,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links at a similarity of 0.8 of five-word shingles: the one with the least id.
-    Of rows that repeat an id in a group, one stays, too; documents without id stand for themselves by their text."""
-    rows = JaccardJoin(docs, n=5, percent=80).documents()
-    first = rows.where("doc_id <=> component_id").groupBy("doc_id").agg(F.min("row_hash").alias("row_hash"))
-    keep = written(first.select(F.struct(F.col("doc_id").alias("id"), F.col("row_hash").alias("hash")).alias("__keep__")), "kept-rows")
+    """One document of each group that links at a similarity of 0.8 of five-word shingles: the one with the least id, and
+    of rows that repeat it, one. Documents without words are in no group and stay."""
+    rows = written(JaccardJoin(docs, n=5, percent=80).documents(), "grouped-rows")
+    grouped = rows.where("component IS NOT NULL")
+    first = grouped.groupBy("component").agg(F.min(F.struct("doc_id", "row_hash")).alias("first")).select("first.*")
+    keep = written(first.unionByName(rows.where("component IS NULL").select("doc_id", "row_hash")).distinct(), "kept-rows")
+    keep = keep.select(F.struct(F.col("doc_id").alias("id"), F.col("row_hash").alias("hash")).alias("__keep__"))
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row__"))
     row, kept = F.col("__row__"), F.col("__keep__")
     row_hash = F.xxhash64(row["doc_id"].cast("long"), F.coalesce(row["text"], F.lit("")))
-    return whole.join(keep, (row_hash == kept["hash"]) & row["doc_id"].cast("long").eqNullSafe(kept["id"]), "left_semi").select("__row__.*")
+    whole = whole.join(keep, (row_hash == kept["hash"]) & row["doc_id"].cast("long").eqNullSafe(kept["id"]), "left_semi")
+    if not grouped.groupBy("doc_id", "row_hash").count().where("count > 1").isEmpty():
+        # Rows that repeat an id with its text came along; of those with words, one goes on.
+        wordless = F.regexp_count(F.coalesce(row["text"], F.lit("")), F.lit(WORD_REGEX)) == 0
+        number = F.when(wordless, F.monotonically_increasing_id())
+        whole = whole.select("__row__", row["doc_id"].alias("__id__"), row_hash.alias("__hash__"), number.alias("__number__"))
+        whole = whole.dropDuplicates(["__id__", "__hash__", "__number__"])
+    return whole.select("__row__.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
