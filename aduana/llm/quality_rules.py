@@ -115,20 +115,19 @@ def _train_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             ["doc_id", "label", "bins", "weights"])
 
 
-def fit_logistic(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = 150, decay: float = 1e-4) -> np.ndarray:
-    """Weights and, last, the intercept, by accelerated gradient steps. Rows have norm 1, which bounds the curvature."""
-    used = np.concatenate([u for u, _ in rows])
-    mass = np.concatenate([m for _, m in rows])
-    row = np.repeat(np.arange(len(rows)), [len(u) for u, _ in rows])
-    at, before = np.zeros(FEATURES + 1), np.zeros(FEATURES + 1)
-    rate = 1 / (0.5 + decay)
+def fit_logistic(rows: np.ndarray, labels: np.ndarray, members: np.ndarray, steps: int = 150, decay: float = 1e-4) -> np.ndarray:
+    """Weights and, last, the intercept of one model per column of `members`, which marks the rows that train it. All models
+    take their accelerated gradient steps together. Rows have norm 1, which bounds the curvature."""
+    at = before = np.zeros((rows.shape[1] + 1, members.shape[1]), np.float32)
+    counts, rate = members.sum(0), 1 / (0.5 + decay)
+    share = (members / counts).astype(np.float32)
     for t in range(steps):
-        ahead = at + (t / (t + 3)) * (at - before)
-        margin = np.bincount(row, mass * ahead[used], len(rows)) + ahead[-1]
-        error = 1 / (1 + np.exp(-np.clip(margin, -50, 50))) - labels
-        step = np.append(np.bincount(used, mass * error[row], FEATURES) / len(rows) + decay * ahead[:-1], error.mean())
-        before, at = at, ahead - rate * step
-    return at
+        ahead = at + np.float32(t / (t + 3)) * (at - before)
+        margin = rows @ ahead[:-1] + ahead[-1]
+        error = (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - labels[:, None]).astype(np.float32) * share
+        step = np.concatenate([rows.T @ error + np.float32(decay) * ahead[:-1], error.sum(0, keepdims=True)])
+        before, at = at, ahead - np.float32(rate) * step
+    return at.astype(np.float64)
 
 
 def fit_sigmoid(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -152,18 +151,21 @@ def fit_sigmoid(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def _fit(rows: pa.Table) -> pa.Table:
     order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
     labels = rows["label"].to_numpy()[order].astype(np.float64)
-    bins, weights = rows["bins"].to_pylist(), rows["weights"].to_pylist()
-    features = [(np.frombuffer(bins[i], np.uint16).astype(np.int64), np.frombuffer(weights[i], np.float32).astype(np.float64)) for i in order]
     model: bytes | None = None
     if 0 < labels.sum() < len(labels):
-        margins, fold = np.zeros(len(labels)), np.arange(len(labels)) % _FOLDS
-        for k in range(_FOLDS):
-            inside, outside = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-            fitted = fit_logistic([features[i] for i in inside], labels[inside])
-            margins[outside] = [m @ fitted[u] + fitted[-1] for u, m in (features[i] for i in outside)]
+        features = np.zeros((len(order), FEATURES), np.float32)
+        for k, (bins, weights) in enumerate(zip(rows["bins"].to_pylist(), rows["weights"].to_pylist(), strict=True)):
+            features[k, np.frombuffer(bins, np.uint16)] = np.frombuffer(weights, np.float32)
+        features = features[order]
+        # One model per fold, trained on the other folds, and the model of all rows.
+        fold = np.arange(len(labels)) % _FOLDS
+        members = np.stack([*(fold != k for k in range(_FOLDS)), np.ones(len(labels), bool)], 1)
+        if len(labels) < 2 * _FOLDS:
+            members[:] = True
+        fitted = fit_logistic(features, labels, members)
+        margins = (features @ fitted[:-1] + fitted[-1])[np.arange(len(labels)), fold]
         slope, shift = fit_sigmoid(margins, labels)
-        fitted = fit_logistic(features, labels)
-        model = np.append(slope * fitted, shift).tobytes()
+        model = np.append(slope * fitted[:, -1], shift).tobytes()
     return pa.table({"model": pa.array([model], pa.binary())})
 
 
