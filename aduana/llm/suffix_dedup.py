@@ -36,8 +36,8 @@ from aduana.llm.common import mix, pieces, prefix_hash, powers, signed, written
 
 LENGTH = 400
 GRAM = 64
-#: Occurrences of a gram that are brought together at most.
-GROUP_ROWS = 4096
+#: Occurrences of a gram that are brought together at most; with their surroundings, about 60 MB.
+GROUP_ROWS = 1 << 16
 _SEGMENT = 1 << 23
 _U = np.uint64
 _PLACE = _U((1 << 24) - 1)
@@ -206,8 +206,9 @@ def _surroundings(length: int):
     return cut
 
 
-def _repeats(length: int):
-    """Maximal repeats of the groups, which come sorted by gram."""
+def _repeats(length: int, merged: bool):
+    """Maximal repeats of the groups, which come sorted by gram. `merged`: one row per occurrence of a gram instead, from
+    the first to the last byte of all its repeats, which overlap as all of them hold the gram."""
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
     def spans(rows: list[tuple]) -> pa.RecordBatch:
@@ -218,10 +219,18 @@ def _repeats(length: int):
     def repeats_of(gram: int, group: dict[tuple, tuple[bytes, bytes]]) -> Iterator[tuple]:
         members = list(group)
         lefts, rights = [group[m][0][::-1] for m in members], [group[m][1] for m in members]
+        reach: dict[int, tuple[int, int]] = {}
         for number, (left, right, occurrences) in enumerate(maximal_repeats(lefts, rights, length)):
             for m in occurrences:
-                t1, t2, place = members[m]
-                yield gram, number, t1, t2, place - left, place + right
+                if merged:
+                    most_left, most_right = reach.get(m, (0, 0))
+                    reach[m] = max(left, most_left), max(right, most_right)
+                else:
+                    t1, t2, place = members[m]
+                    yield gram, number, t1, t2, place - left, place + right
+        for m, (left, right) in reach.items():
+            t1, t2, place = members[m]
+            yield gram, 0, t1, t2, place - left, place + right
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: dict[tuple, tuple[bytes, bytes]] = {}
@@ -322,11 +331,11 @@ class SuffixDedup:
             & (F.col("copied").isNull() | F.col("doc_id").eqNullSafe(F.col("first_id"))))
         return written(hits.select("t1", "t2", "copied", "seeds", "runs", "text"), "hits")
 
-    def _repeats_of(self, hits: DataFrame) -> DataFrame:
+    def _repeats_of(self, hits: DataFrame, merged: bool = False) -> DataFrame:
         around = hits.where(F.size("seeds") > 0).select("t1", "t2", "seeds", "text").mapInArrow(
             _surroundings(self.length), "gram long, t1 long, t2 long, place long, before binary, after binary")
         spans = around.repartition("gram").sortWithinPartitions("gram").mapInArrow(
-            _repeats(self.length), "gram long, number int, t1 long, t2 long, begin long, end long")
+            _repeats(self.length, merged), "gram long, number int, t1 long, t2 long, begin long, end long")
         strings = written(
             hits.where(F.size("runs") > 0).select("t1", "t2", "runs", "text").mapInArrow(
                 _hot_strings(self.length), "g1 long, g2 long, t1 long, t2 long, begin long, votes long"), "hot-strings")
@@ -347,7 +356,7 @@ class SuffixDedup:
         several rows hold, which lose all."""
         copies = self._copies()
         hits = self._hits(copies)
-        spans = self._repeats_of(hits).groupBy("t1", "t2").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+        spans = self._repeats_of(hits, merged=True).groupBy("t1", "t2").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
         spans = written(spans.withColumnsRenamed({"t1": "s1", "t2": "s2"}), "spans")
         own = hits.where("copied IS NULL").join(spans, (F.col("t1") == F.col("s1")) & (F.col("t2") == F.col("s2")))
         kept = own.select("t1", "t2", "text", "spans").mapInArrow(_kept, "t1 long, t2 long, kept binary, n_removed long, n_spans long")

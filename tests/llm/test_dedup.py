@@ -108,7 +108,7 @@ def test_connected_components(spark):
     assert {r.node: r.root for r in found.collect()} == {**{k: 1 for k in range(1, 41)}, 100: 100, 101: 100, 103: 100}
 
 
-@pytest.mark.parametrize("group_rows", [4096, 2])
+@pytest.mark.parametrize("group_rows", [suffix_dedup.GROUP_ROWS, 2])
 def test_repeats(spark, edge, group_rows):
     """With two rows to a group nearly all grams are hot: both ways give the same."""
     small = [r for r in edge_rows() if r[0] != 11]
@@ -128,6 +128,18 @@ def test_repeats_of_documents(documents, edge, nothing):
     assert SuffixDedup(nothing).digests().collect() == [] == SuffixDedup(nothing).documents().collect()
 
 
+def test_repeats_cover_what_is_removed(documents):
+    """The occurrences of all maximal repeats, put together, are the bytes that go."""
+    found = SuffixDedup(documents)
+    sizes = {(r.t1, r.t2): 0 for r in found.texts.collect()}
+    spans = {}
+    for r in found.repeats().collect():
+        spans.setdefault((r.t1, r.t2), set()).update(range(r.begin, r.end))
+    assert {k: len(v) for k, v in spans.items()} == {(r.t1, r.t2): r.n_removed for r in found.changed_texts()[0].collect()} | {
+        k: len(v) for k, v in spans.items() if k in {(r.t1, r.t2) for r in found.changed_texts()[1].collect()}}
+    assert set(spans) <= set(sizes)
+
+
 def test_maximal_repeats_report_all_occurrences():
     texts = [b"xxABCDEFyy", b"zzABCDEFww", b"qqABCDEFyy", b"BCDE"]
     point = [t.index(b"CD") for t in texts]
