@@ -1,15 +1,13 @@
-"""Benchmark decontamination: random-walk embedding, bit-sampling LSH, exact edit verification.
-
-Texts are sequences of words, lower-cased (A-Z). A random walk over a window of words copies the word it stands on and
-then, by a random bit that depends on step and word, stays or moves on; walks over windows at a small edit distance fall
-into step again after an edit, so edit distance becomes Hamming distance of the copied words. Each repetition has its own
-random bits and samples `SAMPLED` steps; windows that agree in all of them are candidates. An item of n words is sought in
-windows of its size class, at most two thirds of it, which start at every half window of a document; the item itself is
-embedded at every offset, so that each window within a passage is in line with one of them. `repetitions_for` gives the
-number of repetitions that reaches a target recall from the agreement of a step, at a tenth of edited words.
-
-A candidate is verified exactly: the item against the words around the window, free at both ends, by bit-parallel edit
-distance; it matches within `floor(MAX_EDITS * n)` edits. Items with fewer than `MIN_WORDS` words are no passages
+"""Benchmark decontamination: items in pieces, one of which stands unedited in each match, and exact edit verification.
+
+Texts are sequences of words, lower-cased (A-Z). An item of n words matches within `floor(MAX_EDITS * n)` edits. It is cut
+into one run more than that, of three to five words each; an edit changes one run at most, so each match holds one of the
+runs as it is (pigeonhole), whatever the length of the item and wherever the edits are. All runs of words of a document
+are looked up among the runs of the items, so no match is missed. `walk_keys` is the random-walk embedding that
+sought candidates before, with a recall below one; nothing here depends on it.
+
+A candidate is verified exactly: the item against the words around the run, free at both ends, by bit-parallel edit
+distance. Items with fewer than `MIN_WORDS` words are no passages
 but phrases, and never match.
 
 The items are the stated query set: they come in blocks of bounded size, whose keys and words every task has, and each
@@ -21,7 +19,6 @@ tables give no matches; `clean_documents` keeps all columns of the rows, whateve
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,14 +26,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from aduana.llm.common import filtered_rows, mix, pieces, word_hashes
+from aduana.llm.common import filtered_rows, mix, pieces, shingle_hashes, word_hashes
 
 MAX_EDITS = 0.2
 MIN_WORDS = 8
 SAMPLED = 5
-TARGET_RECALL = 0.95
-#: Chance that walks over windows a tenth of whose words were edited agree in a step, as measured.
-AGREEMENT = 0.83
 #: Items and words of a block at most (a longer item is a block of its own).
 BLOCK_ITEMS = 2000
 BLOCK_WORDS = 100_000
@@ -44,19 +38,10 @@ _FILTER_BITS = 22
 _U = np.uint64
 
 
-def repetitions_for(recall: float, agreement: float) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - agreement ** SAMPLED))
-
-
-REPETITIONS = repetitions_for(TARGET_RECALL, AGREEMENT)
-
-
-def size_class(n_words: int) -> int:
-    """Words of the windows in which an item is sought: the largest of 5, 10, 20, ... up to two thirds of the item."""
-    size = 5
-    while 3 * size <= n_words:
-        size *= 2
-    return size
+def run_bounds(n_words: int) -> np.ndarray:
+    """Bounds of the runs of an item: one run more than the edits it allows, so that one run at least has no edit."""
+    runs = int(MAX_EDITS * n_words) + 1
+    return np.arange(runs + 1) * n_words // runs
 
 
 def sampled_steps(size: int, repetition: int) -> np.ndarray:
@@ -91,45 +76,56 @@ class Item(NamedTuple):
 
 
 class Index:
-    """Keys of a block of items: sorted, with item and offset, behind a bit table of fixed size."""
+    """Runs of a block of items: per length sorted hashes, with item and offset, behind a bit table of fixed size."""
 
-    def __init__(self, items: list[Item], repetitions: int):
-        self.items, self.repetitions = items, repetitions
-        self.sizes = sorted({size_class(len(i.words)) for i in items})
-        keys: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    def __init__(self, items: list[Item]):
+        self.items = items
+        self.sizes = np.array([len(i.words) for i in items], np.int64)
+        found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         for number, item in enumerate(items):
-            size, n = size_class(len(item.words)), len(item.words)
-            starts = np.arange(n - size + 1)
-            for r in range(repetitions):
-                found = walk_keys(item.words, starts, np.full(len(starts), n), size, r)
-                keys.setdefault((size, r), []).extend(
-                    (int(k), number, int(o)) for k, o in zip(found, starts, strict=True) if k)
-        self.nothing = (np.zeros(1 << _FILTER_BITS - 3, np.uint8), np.zeros(0, np.uint64), [])
+            bounds = run_bounds(len(item.words))
+            lengths = np.diff(bounds)
+            for length in np.unique(lengths).tolist():
+                offsets = bounds[:-1][lengths == length]
+                found.setdefault(length, []).append(
+                    (shingle_hashes(item.words, length)[offsets], np.full(len(offsets), number), offsets))
         self.tables = {}
-        for which, rows in keys.items():
-            rows.sort()
-            found = np.array([k for k, _, _ in rows], np.uint64)
+        for length, rows in sorted(found.items()):
+            hashes, numbers, offsets = (np.concatenate(x) for x in zip(*rows, strict=True))
+            order = np.argsort(hashes, kind="stable")
             bits = np.zeros(1 << _FILTER_BITS, bool)
-            bits[(found >> _U(64 - _FILTER_BITS)).astype(np.int64)] = True
-            self.tables[which] = (np.packbits(bits), found, [(i, o) for _, i, o in rows])
-
-    def candidates(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(text, item, where the item would begin) for windows of consecutive texts that share a key with an item."""
-        counts = np.diff(first)
-        for size in self.sizes:
-            stride = size // 2
-            windows = -(-counts // stride)
-            text = np.repeat(np.arange(len(counts)), windows)
-            starts = first[text] + (np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)) * stride
-            for r in range(self.repetitions if len(text) else 0):
-                keys = walk_keys(words, starts, first[text + 1], size, r)
-                bits, found, rows = self.tables.get((size, r), self.nothing)
-                slot = (keys >> _U(64 - _FILTER_BITS)).astype(np.int32)
-                maybe = np.flatnonzero(bits[slot >> 3] & (128 >> (slot & 7)).astype(np.uint8))
-                left, right = (np.searchsorted(found, keys[maybe], side) for side in ("left", "right"))
-                for k, a, b in zip(maybe[left < right], left[left < right], right[left < right], strict=True):
-                    for item, offset in rows[a:b]:
-                        yield int(text[k]), item, int(starts[k]) - offset
+            bits[(hashes >> _U(64 - _FILTER_BITS)).astype(np.int64)] = True
+            self.tables[length] = (np.packbits(bits), hashes[order], numbers[order], offsets[order])
+
+    def candidates(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, least and greatest place where the item would begin) in consecutive texts that hold a run of the
+        item, by text and item; the places of one candidate lie within the edits that the item allows."""
+        rows = []
+        for length, (bits, hashes, numbers, offsets) in self.tables.items():
+            runs = shingle_hashes(words, length)
+            slot = (runs >> _U(64 - _FILTER_BITS)).astype(np.int32)
+            at = np.flatnonzero(bits[slot >> 3] & (128 >> (slot & 7)).astype(np.uint8))
+            text = np.searchsorted(first, at, "right") - 1
+            inside = at + length <= first[text + 1]
+            at, text = at[inside], text[inside]
+            left, right = (np.searchsorted(hashes, runs[at], side) for side in ("left", "right"))
+            times = right - left
+            entry = np.repeat(left, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            rows.append(np.stack([np.repeat(text, times), numbers[entry], np.repeat(at, times) - offsets[entry]]))
+        if not rows:
+            return
+        text, item, begin = np.unique(np.concatenate(rows, 1), axis=1)
+        allowed = (MAX_EDITS * self.sizes).astype(np.int64)
+        last = None
+        for t, i, b in zip(text.tolist(), item.tolist(), begin.tolist(), strict=True):
+            if last and last[:2] == (t, i) and b <= last[2] + allowed[i]:
+                last = (t, i, last[2], b)
+                continue
+            if last:
+                yield last
+            last = (t, i, b, b)
+        if last:
+            yield last
 
 
 def best_match(pattern: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -163,24 +159,23 @@ def best_match(pattern: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 def piece_matches(index: Index, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
     """(text, item, distance, first word, last word + 1) for each place of consecutive texts that matches an item."""
     words, first = word_hashes(data, offsets)
-    done: set[tuple[int, int, int]] = set()
-    places: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-    for text, item, begin in index.candidates(words, first):
+    places: dict[tuple[int, int], set[tuple[int, int, int]]] = {}
+    for text, item, begin, last_begin in index.candidates(words, first):
         pattern = index.items[item].words
-        if (text, item, begin) in done:
-            continue
-        done.add((text, item, begin))
         allowed = int(MAX_EDITS * len(pattern))
-        low = max(int(first[text]), begin - allowed)
-        high = min(int(first[text + 1]), begin + len(pattern) + allowed)
-        if high - low < len(pattern) - allowed:
-            continue
-        # Each word of the item that the document lacks here costs an edit.
-        if np.isin(words[low:high], pattern).sum() < len(pattern) - allowed:
-            continue
-        distance, a, b = best_match(pattern, words[low:high])
-        if distance <= allowed:
-            places.setdefault((text, item), []).append((distance, low + a - int(first[text]), low + b - int(first[text])))
+        spans = [(max(int(first[text]), begin - allowed), min(int(first[text + 1]), last_begin + len(pattern) + allowed))]
+        while spans:
+            low, high = spans.pop()
+            if high - low < len(pattern) - allowed:
+                continue
+            # Each word of the item that the document lacks here costs an edit.
+            if np.isin(words[low:high], pattern).sum() < len(pattern) - allowed:
+                continue
+            distance, a, b = best_match(pattern, words[low:high])
+            if distance <= allowed:
+                places.setdefault((text, item), set()).add((distance, low + a - int(first[text]), low + b - int(first[text])))
+                # A candidate of several places has room for a further match.
+                spans += [(low, low + a), (low + b, high)]
     for (text, item), found in sorted(places.items()):
         taken: list[tuple[int, int]] = []
         for distance, a, b in sorted(found):
@@ -198,7 +193,7 @@ def _hashed_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch["item_id"], pa.array(words, pa.binary())], ["item_id", "words"])
 
 
-def item_blocks(benchmark: DataFrame, repetitions: int = REPETITIONS) -> Iterator[Index]:
+def item_blocks(benchmark: DataFrame) -> Iterator[Index]:
     """The items in blocks, each bounded in items and words."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(_hashed_items, "item_id long, words binary")
     items = items.where(F.octet_length("words") >= 8 * MIN_WORDS)
@@ -207,19 +202,19 @@ def item_blocks(benchmark: DataFrame, repetitions: int = REPETITIONS) -> Iterato
     for row in items.toLocalIterator():
         words = np.frombuffer(row["words"], np.uint64)
         if block and (len(block) >= BLOCK_ITEMS or sum(len(i.words) for i in block) + len(words) > BLOCK_WORDS):
-            yield Index(block, repetitions)
+            yield Index(block)
             block = []
         block.append(Item(row["item_id"], words))
     if block:
-        yield Index(block, repetitions)
+        yield Index(block)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, repetitions: int = REPETITIONS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, distance, first_word, last_word of every match."""
     kind = "doc_id long, item_id long, distance int, first_word long, last_word long"
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = docs.sparkSession.createDataFrame([], kind)
-    for index in item_blocks(benchmark, repetitions):
+    for index in item_blocks(benchmark):
         found = found.unionByName(texts.mapInArrow(_matcher(index), kind))
     return found
 
@@ -240,7 +235,7 @@ def _matcher(index: Index):
     return match
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, repetitions: int = REPETITIONS) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` that match no item, with all their columns."""
     def cleaner(index: Index):
         def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,6 +247,6 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, repetitions: int = RE
 
         return clean
 
-    for index in item_blocks(benchmark, repetitions):
+    for index in item_blocks(benchmark):
         docs = filtered_rows(docs, cleaner(index))
     return docs

@@ -262,6 +262,30 @@ def test_all_matches_of_brute_force(spark, documents, sf_dir):
     assert found == expected
 
 
+@pytest.mark.parametrize("n", [8, 15, 30, 60, 120, 240])
+def test_no_match_with_a_fifth_of_edits_is_missed(n):
+    """Passages with as many edits as an item allows, spread or at random: each is found, whatever the item's length."""
+    rng, allowed = random.Random(n), int(0.2 * n)
+    items = [decontamination.Item(k, np.array([rng.getrandbits(64) for _ in range(n)], np.uint64)) for k in range(60)]
+    texts, index = [], decontamination.Index(items)
+    for k, item in enumerate(items):
+        w = item.words.tolist()
+        at = range(n // allowed // 2, n, n // allowed) if k % 2 else rng.sample(range(n), allowed)
+        for place in sorted(list(at)[:allowed], reverse=True):
+            w[place:place + 1] = rng.choice([[], [rng.getrandbits(64)], [w[place], rng.getrandbits(64)]])
+        texts.append([*(rng.getrandbits(64) for _ in range(rng.randrange(90))), *w, *(rng.getrandbits(64) for _ in range(50))])
+    words_of = np.array([w for t in texts for w in t], np.uint64)
+    first = np.append(0, np.cumsum([len(t) for t in texts]))
+    assert {(text, item) for text, item, *_ in index.candidates(words_of, first)} >= {(k, k) for k in range(60)}
+
+
+def test_two_passages_of_one_document_both_match(spark):
+    item, apart = prose(40, 1), prose(3, 2)
+    docs = spark.createDataFrame([(1, f"{item} {apart} {item}"), (2, f"{item} {item}")], "doc_id long, text string")
+    found = decontamination.contaminated(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert bag(found) == [(1, 7, 0, 0, 39), (1, 7, 0, 43, 82), (2, 7, 0, 0, 39), (2, 7, 0, 40, 79)]
+
+
 def test_best_match_is_the_edit_distance():
     rng = random.Random(2)
     for _ in range(300):
