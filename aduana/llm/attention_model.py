@@ -53,8 +53,7 @@ def loss_and_gradients(p: Parameters, symbols: np.ndarray, targets: np.ndarray,
     x = p["embed"][symbols] + p["place"]
     q, v = x @ p["match"], x @ p["value"]
     s = q @ x.transpose(0, 2, 1) * scale + _FUTURE
-    a = np.exp(s - s.max(-1, keepdims=True))
-    a /= a.sum(-1, keepdims=True)
+    a = _softmax(s)
     h = (x + a @ v).reshape(-1, WIDTH)
     counted = weight.ravel()
     n = max(float(counted.sum()), 1.0)
@@ -67,28 +66,40 @@ def loss_and_gradients(p: Parameters, symbols: np.ndarray, targets: np.ndarray,
     grads = {"group": chance.T @ h, "group_bias": chance.sum(0),
              "member": np.zeros_like(p["member"]), "member_bias": np.zeros_like(p["member_bias"])}
     dh = chance @ p["group"]
-    for g, rows in _by_group(group):
-        inner = _softmax(h[rows] @ p["member"][g].T + p["member_bias"][g])
-        k = np.arange(len(rows))
-        own[rows] += np.log(inner[k, member[rows]])
-        inner[k, member[rows]] -= 1
-        inner *= (counted[rows] / n)[:, None]
-        grads["member"][g], grads["member_bias"][g] = inner.T @ h[rows], inner.sum(0)
-        dh[rows] += inner @ p["member"][g]
+    # Rows in the order of their groups, so that each group is a slice.
+    order = np.argsort(group, kind="stable")
+    bounds = np.searchsorted(group[order], np.arange(GROUPS + 1))
+    sorted_h, sorted_member, sorted_weight = h[order], member[order], (counted / n)[order]
+    inner_own, inner_dh = np.empty_like(own), np.empty_like(h)
+    for g in range(GROUPS):
+        rows = slice(bounds[g], bounds[g + 1])
+        inner = _softmax(sorted_h[rows] @ p["member"][g].T + p["member_bias"][g])
+        k = np.arange(len(inner))
+        inner_own[rows] = np.log(inner[k, sorted_member[rows]])
+        inner[k, sorted_member[rows]] -= 1
+        inner *= sorted_weight[rows, None]
+        grads["member"][g], grads["member_bias"][g] = inner.T @ sorted_h[rows], inner.sum(0)
+        inner_dh[rows] = inner @ p["member"][g]
+    own[order] += inner_own
+    dh[order] += inner_dh
     dh = dh.reshape(x.shape)
     dv, da = a.transpose(0, 2, 1) @ dh, dh @ v.transpose(0, 2, 1)
     ds = a * (da - (da * a).sum(-1, keepdims=True)) * scale
     dq = ds @ x
     dx = dh + ds.transpose(0, 2, 1) @ q + dq @ p["match"].T + dv @ p["value"].T
     embed = np.zeros_like(p["embed"])
-    np.add.at(embed, symbols.ravel(), dx.reshape(-1, WIDTH))
+    order = np.argsort(symbols, axis=None, kind="stable")
+    used, first = np.unique(symbols.ravel()[order], return_index=True)
+    embed[used] = np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0)
     flat_x = x.reshape(-1, WIDTH)
     return -float((own * counted).sum()) / n, grads | {
         "embed": embed, "place": dx.sum(0), "match": flat_x.T @ dq.reshape(-1, WIDTH), "value": flat_x.T @ dv.reshape(-1, WIDTH)}
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z = np.exp(z - z.max(-1, keepdims=True))
+    """Of rows, in place."""
+    z -= z.max(-1, keepdims=True)
+    np.exp(z, out=z)
     z /= z.sum(-1, keepdims=True)
     return z
 

@@ -10,8 +10,11 @@ mixture of its spelling's and, with weight `WORD_SHARE`, its share of the traini
 
 * Counting. Each task counts its distinct words and sends one row per word; every distinct word is cut into subwords
   once. Counts of words and ids cover all training texts.
-* Training. A share of the training texts, about `TRAIN_WINDOWS` times the root of the corpus in windows, is cut into
-  windows. Each partition trains the model it is given on its windows; the models are averaged, for `ROUNDS` rounds.
+* Training. All training texts are cut into windows. The start is a model of a share of them, about `TRAIN_WINDOWS` times
+  the root of the corpus in windows: each partition trains the model it is given on its windows; the models are averaged,
+  for `ROUNDS` rounds. Unless that share was everything, each task then takes the start over all windows of its texts,
+  once, as they come; the mean of these models, weighted by windows, scores. Training thus costs in proportion to the
+  corpus, moves no texts and keeps `PARTITION_WINDOWS` windows at a time.
 * Scoring. Texts are dealt into blocks of about `BLOCK_WORDS` words. The distinct words of a block meet their counts and
   ids in a join, which a frequent word enters once per block, and come back to the block. Windows of `CONTEXT` ids overlap;
   each id is scored once.
@@ -29,6 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from aduana.llm import attention_model as attention
@@ -43,11 +47,14 @@ TRAIN_WINDOWS = 40
 ROUNDS = 3
 PARTITION_WINDOWS = 6000
 RATE = 0.02
+#: Windows of a step in the pass over all windows.
+PASS_BATCH = 192
 #: Part of a token's probability that is its share of the training tokens; the model spells the rest.
 WORD_SHARE = 0.3
 _LN10 = math.log(10)
 _FLUSH = 1_000_000
 _COUNT_PIECE = 1 << 22
+_SUMS = "part int, n long, sums binary"
 
 
 class Subwords:
@@ -186,13 +193,16 @@ def _sequences(folder: str, file: str, symbols: Symbols):
                     for k in range(0, len(line) - 1, attention.CONTEXT):
                         piece = line[k:k + attention.CONTEXT + 1]
                         rows.append(np.array(piece + [65535] * (attention.CONTEXT + 1 - len(piece)), np.uint16).tobytes())
+                if len(rows) >= PARTITION_WINDOWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["window"])
+                    rows = []
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["window"])
 
     return cut
 
 
 def train(texts: DataFrame, words: DataFrame, symbols: Symbols, n_windows: int, folder: str, file: str) -> attention.Parameters:
-    """The attention model, from texts (row_hash, held_out, text) and about `n_windows` windows in all."""
+    """The attention model, from all training texts of (row_hash, held_out, text), about `n_windows` windows."""
     model = attention.initial(symbols.totals)
     if not n_windows:
         return model
@@ -204,7 +214,56 @@ def train(texts: DataFrame, words: DataFrame, symbols: Symbols, n_windows: int,
     windows = written(cut.select(F.pmod(F.xxhash64("window"), F.lit(parts)).cast("int").alias("part"), "window"), "windows")
     for round_number in range(ROUNDS):
         model = _averaged(windows, model, round_number)
-    return model
+    return model if share == 1 else _passed(texts, model, symbols, n_windows, folder, file)
+
+
+def _examples(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols, targets and weights of windows."""
+    line = np.frombuffer(b"".join(rows), np.uint16).reshape(-1, attention.CONTEXT + 1).astype(np.int64)
+    weight = (line[:, 1:] != 65535).astype(np.float32)
+    line = np.where(line == 65535, 0, line)
+    return line[:, :-1], line[:, 1:], weight
+
+
+def _summed(part: int, fitted: attention.Parameters, n: int) -> pa.RecordBatch:
+    sums = attention.packed(fitted).astype(np.float64) * n
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int32()), pa.array([n], pa.int64()), pa.array([sums.tobytes()], pa.binary())], ["part", "n", "sums"])
+
+
+def _mean(sums: DataFrame, model: attention.Parameters) -> attention.Parameters:
+    """The mean of models (part, n, sums), added by part and then in all; `model` if there are none."""
+    def added(group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_buffer()) for x in group["sums"])
+        n = sum(group["n"].to_pylist())
+        return pa.table({"part": pa.array([0], pa.int32()), "n": pa.array([n], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    row = sums.groupBy("part").applyInArrow(added, _SUMS).groupBy().applyInArrow(added, _SUMS).first()
+    return model if row is None else attention.unpacked((np.frombuffer(row["sums"]) / row["n"]).astype(np.float32))
+
+
+def _passed(texts: DataFrame, model: attention.Parameters, symbols: Symbols, n_windows: int, folder: str, file: str) -> attention.Parameters:
+    """The mean of the models that tasks make of `model` in one pass over all windows of their training texts."""
+    start, cut = attention.packed(model), _sequences(folder, file, symbols)
+    groups = max(32, math.isqrt(n_windows // PARTITION_WINDOWS))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted, n, rows = attention.unpacked(start), 0, []
+
+        def taken(fitted: attention.Parameters, rows: list[bytes]) -> attention.Parameters:
+            steps = -(-len(rows) // PASS_BATCH)
+            return attention.train_locally(fitted, *_examples(rows), RATE * 0.6 ** ROUNDS, n + 1, steps, PASS_BATCH)
+
+        for batch in cut(batches):
+            rows += batch["window"].to_pylist()
+            while len(rows) >= PARTITION_WINDOWS:
+                fitted, n, rows = taken(fitted, rows[:PARTITION_WINDOWS]), n + PARTITION_WINDOWS, rows[PARTITION_WINDOWS:]
+        if rows:
+            fitted, n = taken(fitted, rows), n + len(rows)
+        if n:
+            yield _summed(TaskContext.get().partitionId() % groups, fitted, n)
+
+    return _mean(texts.where(~F.col("held_out")).select("text").mapInArrow(fit, _SUMS), model)
 
 
 def _averaged(windows: DataFrame, model: attention.Parameters, round_number: int) -> attention.Parameters:
@@ -218,24 +277,12 @@ def _averaged(windows: DataFrame, model: attention.Parameters, round_number: int
             rows += batch["window"].to_pylist()
             part = batch["part"][0].as_py() if batch.num_rows else part
         if rows:
-            line = np.frombuffer(b"".join(sorted(rows)), np.uint16).reshape(-1, attention.CONTEXT + 1).astype(np.int64)
-            weight = (line[:, 1:] != 65535).astype(np.float32)
-            line = np.where(line == 65535, 0, line)
-            steps = max(150, len(line) // 48)
+            steps = max(150, len(rows) // 48)
             fitted = attention.train_locally(
-                attention.unpacked(start), line[:, :-1], line[:, 1:], weight, RATE * 0.6 ** round_number, round_number + 1, steps)
-            summed = attention.packed(fitted).astype(np.float64) * len(line)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part % 32], pa.int32()), pa.array([len(line)], pa.int64()), pa.array([summed.tobytes()], pa.binary())], ["part", "n", "sums"])
+                attention.unpacked(start), *_examples(sorted(rows)), RATE * 0.6 ** round_number, round_number + 1, steps)
+            yield _summed(part % 32, fitted, len(rows))
 
-    def added(group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_buffer()) for x in group["sums"])
-        n = sum(group["n"].to_pylist())
-        return pa.table({"part": pa.array([0], pa.int32()), "n": pa.array([n], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
-
-    kind = "part int, n long, sums binary"
-    row = windows.repartition("part").mapInArrow(_per_part(fit), kind).groupBy("part").applyInArrow(added, kind).groupBy().applyInArrow(added, kind).first()
-    return model if row is None else attention.unpacked((np.frombuffer(row["sums"]) / row["n"]).astype(np.float32))
+    return _mean(windows.repartition("part").mapInArrow(_per_part(fit), _SUMS), model)
 
 
 def _per_part(fit):

@@ -13,7 +13,7 @@ from pathlib import Path
 import __spark_entry__
 import numpy as np
 import pytest
-from brute import base_scores, jaccard_components, rule_counts
+from brute import base_scores, jaccard_components, rule_counts, words
 from comparing import differences
 from conftest import bag, edge_rows, pairs_of
 
@@ -150,6 +150,30 @@ def test_score_edges(spark, edge, nothing):
     assert lm_scoring.lm_scores(nothing).collect() == []
 
 
+def test_all_training_windows_take_part(spark, documents, monkeypatch):
+    """Texts that are not drawn for the start train the model too, each window once."""
+    tokenizer = lm_scoring.subwords(lm_scoring.TOKENIZER_FOLDER, lm_scoring.TOKENIZER_FILE)
+    texts = documents.limit(60).selectExpr("doc_id AS row_hash", "doc_id % 7 = 2 AS held_out", "coalesce(text, '') AS text")
+    n_windows = 10 ** 7
+    share = int(lm_scoring.TRAIN_WINDOWS / math.sqrt(n_windows) * 1_000_000)
+    texts = spark.createDataFrame(texts.where(f"pmod(xxhash64(5, row_hash), 1000000) >= {share}").collect(), texts.schema)
+    counts, lines = np.zeros(tokenizer.n_ids), []
+    for row in texts.where("NOT held_out").collect():
+        lines.append([*(i for w in words(row.text) for i in tokenizer.ids([w.decode()])[0]), tokenizer.end])
+        counts += np.bincount(lines[-1], minlength=len(counts))
+    symbols = lm_scoring.Symbols(counts, tokenizer.encoding.decode_single_token_bytes)
+    seen, mean = [], lm_scoring._mean
+    monkeypatch.setattr(lm_scoring, "_mean", lambda sums, model: seen.append(sums.agg({"n": "sum"}).first()[0]) or mean(sums, model))
+    model = lm_scoring.train(texts, None, symbols, n_windows, lm_scoring.TOKENIZER_FOLDER, lm_scoring.TOKENIZER_FILE)
+    assert seen == [None] * lm_scoring.ROUNDS + [sum(-(-len(x) // attention.CONTEXT) for x in lines)]
+
+    def log_probability(p: attention.Parameters) -> float:
+        line = np.concatenate([symbols.of_id[x] for x in lines]).astype(np.int32)
+        return attention.Scorer(p).log_probabilities(line, np.append(0, np.cumsum([len(x) for x in lines]))).mean()
+
+    assert log_probability(model) > log_probability(attention.initial(symbols.totals))
+
+
 # --- queries and pipeline --------------------------------------------------------------------------------------------
 
 
