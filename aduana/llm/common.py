@@ -78,14 +78,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _byte_values(lower: bool) -> np.ndarray:
-    values = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xA0761D6478BD642F)) | _U(1)
+def _byte_values(lower: bool, seed: int) -> np.ndarray:
+    values = mix(np.arange(1 + 256 * seed, 257 + 256 * seed, dtype=np.uint64) * _U(0xA0761D6478BD642F)) | _U(1)
     if lower:
         values[65:91] = values[97:123]
     return values
 
 
-_VALUES = {lower: _byte_values(lower) for lower in (False, True)}
+_VALUES = {(lower, seed): _byte_values(lower, seed) for lower in (False, True) for seed in (0, 1)}
 
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
@@ -98,10 +98,11 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     return _powers[key][:n]
 
 
-def prefix_hash(data: np.ndarray, lower: bool = False) -> np.ndarray:
-    """Prefix sums whose differences, shifted by an inverse power, are polynomial hashes of byte ranges."""
+def prefix_hash(data: np.ndarray, lower: bool = False, seed: int = 0) -> np.ndarray:
+    """Prefix sums whose differences, shifted by an inverse power, are polynomial hashes of byte ranges. The two seeds, 0
+    and 1, give independent hashes."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[lower][data] * powers(len(data)), out=out[1:])
+    np.cumsum(_VALUES[lower, seed][data] * powers(len(data)), out=out[1:])
     return out
 
 
@@ -112,10 +113,12 @@ def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((prefix[ends] - prefix[starts]) * powers(int(starts.max()) + 1, True)[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_ranges(
+    data: np.ndarray, offsets: np.ndarray, letters: np.ndarray = ~_IS_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of consecutive texts, and each text's first word: words of text i are
-    first[i]..first[i+1]."""
-    letter = ~_IS_SPACE[data]
+    first[i]..first[i+1]. `letters` tells which bytes are part of words."""
+    letter = letters[data]
     opens, closes = letter.copy(), letter.copy()
     opens[1:] &= ~letter[:-1]
     closes[:-1] &= ~letter[1:]
@@ -147,10 +150,10 @@ def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int
         row = end
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word, and each text's first word."""
     starts, ends, first = word_ranges(data, offsets)
-    return range_hash(prefix_hash(data, lower), starts, ends), first
+    return range_hash(prefix_hash(data, lower, seed), starts, ends), first
 
 
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -66,6 +66,41 @@ placed AS (
 SELECT doc_id, CAST(slot AS INTEGER) AS slot, CAST(shard_id AS INTEGER) AS shard_id FROM placed JOIN lookup USING (slot)
 """
 
+# Counts of every kept term in every group, the zeros included.
+OP12 = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(coalesce(text, ''), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS found
+  FROM documents),
+terms AS (SELECT r, lang, source, {_LOWER.format("unnest(found)")} AS term FROM texts),
+kept AS (SELECT lang, term FROM terms GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+counted AS (SELECT lang, source, term, count(*) AS n FROM terms JOIN kept USING (lang, term) GROUP BY ALL),
+cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM texts) g JOIN kept k USING (lang) LEFT JOIN counted USING (lang, source, term)),
+totals AS (
+  SELECT lang, source, term, n, sum(n) OVER (PARTITION BY lang, source) AS total,
+         sum(n) OVER (PARTITION BY lang, term) AS all_n, sum(n) OVER (PARTITION BY lang) AS all_total, v
+  FROM cells JOIN sizes USING (lang)),
+shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v) AS p,
+         1 + (1000000000::HUGEINT * (all_n + 2)) // (all_total + 2 * v) AS q
+  FROM totals),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM texts),
+listed AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM shares WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM listed QUALIFY part = 'pair' OR rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1, "op3_jaccard_join": OP3, "op4_sharding": OP4}
+    return {"op1_line_dedup": OP1, "op3_jaccard_join": OP3, "op4_sharding": OP4, "op12_divergence": OP12}
