@@ -66,6 +66,23 @@ placed AS (
 SELECT doc_id, CAST(slot AS INTEGER) AS slot, CAST(shard_id AS INTEGER) AS shard_id FROM placed JOIN lookup USING (slot)
 """
 
+# Windows of 13 words as text, and the first document of each.
+OP11 = """
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS x FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM words)),
+firsts AS (SELECT x, min(doc_id) AS first FROM windows GROUP BY x),
+lost AS (
+  SELECT DISTINCT doc_id, i + k AS pos FROM windows JOIN firsts USING (x), range(13) r(k) WHERE first < doc_id),
+placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM words),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text
+  FROM placed ANTI JOIN lost USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
 # Counts of every kept term in every group, the zeros included.
 OP12 = f"""
 WITH texts AS (
@@ -102,5 +119,63 @@ FROM listed QUALIFY part = 'pair' OR rank <= 10
 """
 
 
+def _field(c: str) -> str:
+    return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+# Nodes by level, the siblings of each document by level, and the fold of its leaf with them. `crc` is the table of CRC-32.
+OP13 = f"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t FROM range(256) r(b)),
+hashed AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+           lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) AS sum,
+         {_leaf("replace(text, chr(10), '')")} AS bare
+  FROM documents, crc),
+leaves AS (
+  SELECT doc_id, source, leaf, CASE WHEN sum % 2 = 0 THEN bare ELSE leaf END AS given,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place
+  FROM hashed),
+tree(source, level, place, h, more) AS (
+  SELECT source, 0, place, leaf, count(*) OVER (PARTITION BY source) > 1 FROM leaves
+  UNION ALL
+  SELECT *, count(*) OVER (PARTITION BY source) > 1 FROM (
+    SELECT source, level + 1, place // 3, sha256(string_agg(h, '' ORDER BY place)) FROM tree WHERE more
+    GROUP BY source, level, place // 3)),
+subroots AS (
+  SELECT source, h AS subroot, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place
+  FROM tree WHERE NOT more),
+top(level, place, h, more) AS (
+  SELECT 0, place, subroot, count(*) OVER () > 1 FROM subroots
+  UNION ALL
+  SELECT *, count(*) OVER () > 1 FROM (
+    SELECT level + 1, place // 3, sha256(string_agg(h, '' ORDER BY place)) FROM top WHERE more GROUP BY level, place // 3)),
+nodes AS (
+  SELECT source, level, place, h FROM tree WHERE more
+  UNION ALL
+  SELECT source, height + level, t.place, h FROM top t, subroots WHERE more),
+way(doc_id, source, level, height, place, up, h) AS (
+  SELECT doc_id, source, 0, height, l.place, s.place, given FROM leaves l JOIN subroots s USING (source)
+  UNION ALL
+  SELECT doc_id, source, level + 1, height, CASE WHEN level + 1 = height THEN up ELSE place // 3 END, up, h FROM (
+    SELECT w.doc_id, w.source, w.level, w.height, w.place, w.up,
+           sha256(string_agg(CASE WHEN n.place = w.place THEN w.h ELSE n.h END, '' ORDER BY n.place)) AS h
+    FROM way w JOIN nodes n ON w.source = n.source AND w.level = n.level AND w.place // 3 = n.place // 3 GROUP BY ALL)),
+steps AS (
+  SELECT w.doc_id, w.source, sha256(coalesce(string_agg(n.h, '' ORDER BY w.level, n.place) FILTER (n.place <> w.place), '')) AS proof_sha256,
+         max_by(w.h, w.level) AS folded_root
+  FROM way w LEFT JOIN nodes n ON w.source = n.source AND w.level = n.level AND w.place // 3 = n.place // 3
+  GROUP BY ALL)
+SELECT doc_id, leaf, subroot, h AS root, proof_sha256, folded_root, folded_root = h AS verified
+FROM leaves JOIN subroots USING (source) JOIN steps USING (doc_id, source), (SELECT h FROM top WHERE NOT more)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1, "op3_jaccard_join": OP3, "op4_sharding": OP4, "op12_divergence": OP12}
+    return {"op1_line_dedup": OP1, "op3_jaccard_join": OP3, "op4_sharding": OP4, "op11_substring_dedup": OP11, "op12_divergence": OP12, "op13_merkle": OP13}

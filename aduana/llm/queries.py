@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from aduana.llm import (
     decontamination, html_text, line_dedup, lm_scoring, mixing, quality_classifier, quality_rules, sharding)
 from aduana.llm.common import importable, written
+from aduana.llm.debruijn import PassageDedup
 from aduana.llm.divergence import SourceDivergence
 from aduana.llm.jaccard_join import JaccardJoin
+from aduana.llm.merkle import Manifest
 from aduana.llm.suffix_dedup import SuffixDedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,11 +70,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SuffixDedup(docs).digests()
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PassageDedup(table(spark, sf_dir, "documents")).documents()
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SourceDivergence(table(spark, sf_dir, "documents")).report()
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Manifest(table(spark, sf_dir, "documents")).documents()
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_line_dedup, op2_mixing, op3_jaccard_join, op4_sharding, op5_html_text, op6_quality_classifier,
-        op7_lm_scoring, op8_decontamination, op9_quality_rules, op10_suffix_dedup, op12_divergence)}
+        op7_lm_scoring, op8_decontamination, op9_quality_rules, op10_suffix_dedup, op11_substring_dedup, op12_divergence, op13_merkle)}
