@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -131,3 +132,91 @@ def edit_distance_within(pattern: list, text: list) -> int:
         for j, t in enumerate(text, 1):
             row[j] = min(last[j - 1] + (p != t), last[j] + 1, row[j - 1] + 1)
     return min(row)
+
+
+def passages(docs: list[tuple], size: int) -> list[tuple]:
+    """(doc_id, n_words, n_removed, kept_sha256) of (doc_id, text): words in a window that a smaller doc_id has, too."""
+    texts = [words(t, lower=False) for _, t in docs]
+    first: dict[tuple, int] = {}
+    for (doc_id, _), w in zip(docs, texts, strict=True):
+        for i in range(len(w) - size + 1 if doc_id is not None else 0):
+            window = tuple(w[i:i + size])
+            first[window] = min(first.get(window, doc_id), doc_id)
+    out = []
+    for (doc_id, _), w in zip(docs, texts, strict=True):
+        lost = set()
+        for i in range(len(w) - size + 1 if doc_id is not None else 0):
+            if first[tuple(w[i:i + size])] < doc_id:
+                lost |= set(range(i, i + size))
+        kept = b" ".join(x for i, x in enumerate(w) if i not in lost)
+        out.append((doc_id, len(w), len(lost), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def divergence(docs: list[tuple], min_docs: int, top: int = 10) -> list[tuple]:
+    """(lang, source, part, item, value, rank) of (lang, source, text)."""
+    docs = [tuple(x or "" for x in d) for d in docs]
+    groups, holders = defaultdict(Counter), defaultdict(Counter)
+    for lang, source, text in docs:
+        terms = [t.translate(LOWER) for t in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text)]
+        groups[lang, source].update(terms)
+        holders[lang].update(set(terms))
+    out = []
+    for lang in holders.keys() | {g[0] for g in groups}:
+        kept = [t for t, n in holders[lang].items() if n >= min_docs]
+        own = {s: c for (l, s), c in groups.items() if l == lang}
+
+        def shares(count: Counter, kept: list[str] = kept) -> dict[str, int]:
+            total = sum(count[t] for t in kept)
+            return {t: 1 + 10**9 * (count[t] + 2) // (total + 2 * len(kept)) for t in kept}
+
+        def gap(p: int, q: int) -> int:
+            return (p - q) ** 2 // (p + q)
+
+        of, whole = {s: shares(c) for s, c in own.items()}, shares(sum(own.values(), Counter()))
+        for s, p in of.items():
+            lists = {"pair": [(sum(gap(p[t], q[t]) for t in kept), o) for o, q in of.items() if o != s],
+                     "term": [(gap(p[t], whole[t]), t) for t in kept if own[s][t] and p[t] > whole[t]]}
+            for part, found in lists.items():
+                found.sort(key=lambda x: (-x[0], x[1].encode()))
+                found = found[:top] if part == "term" else found
+                out += [(lang, s, part, item, value, k) for k, (value, item) in enumerate(found, 1)]
+    return out
+
+
+def manifest(docs: list[tuple]) -> list[tuple]:
+    """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of (doc_id, source, lang, n_chars, text)."""
+    def h(*parts: str) -> str:
+        return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+    def leaf(row: tuple) -> str:
+        return h(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    def tree(nodes: list[str]) -> list[list[str]]:
+        found = [nodes]
+        while len(found[-1]) > 1:
+            found.append([h(*found[-1][k:k + 3]) for k in range(0, len(found[-1]), 3)])
+        return found
+
+    def climb(found: list[list[str]], k: int, node: str, siblings: list[str]) -> str:
+        for nodes in found[:-1]:
+            run, at = nodes[k - k % 3:k - k % 3 + 3], k % 3
+            siblings += run[:at] + run[at + 1:]
+            node, k = h(*run[:at], node, *run[at + 1:]), k // 3
+        return node
+
+    rows = sorted(docs, key=lambda r: (r[1] is not None, (r[1] or "").encode(), r[0] is not None, r[0] or 0, leaf(r)))
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r[1]].append(r)
+    trees = {s: tree([leaf(r) for r in rs]) for s, rs in by_source.items()}
+    top = tree([t[-1][0] for t in trees.values()])
+    out = []
+    for place, (s, rs) in enumerate(by_source.items()):
+        for k, r in enumerate(rs):
+            spoilt = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 2 == 0 and r[4] is not None
+            given = leaf((*r[:4], r[4].replace("\n", ""))) if spoilt else leaf(r)
+            siblings: list[str] = []
+            end = climb(top, place, climb(trees[s], k, given, siblings), siblings)
+            out.append((r[0], leaf(r), trees[s][-1][0], top[-1][0], h(*siblings), end, end == top[-1][0]))
+    return out
