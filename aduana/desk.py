@@ -48,8 +48,8 @@ class TradeDesk:
     def process_price(self, agriculture_filter: bool = False) -> DataFrame:
         return price_series(self.pull_int_org(), agriculture_filter)
 
-    def price_statistics(self, agriculture_filter: bool = False) -> DataFrame:
-        return monthly_price_statistics(self.pull_int_org(), agriculture_filter)
+    def price_statistics(self, agriculture_filter: bool = False, months: bool = False) -> DataFrame:
+        return monthly_price_statistics(self.pull_int_org(), agriculture_filter, months=months)
 
     def conversion(self, df: DataFrame) -> DataFrame:
         return convert_units(df, exact=True)

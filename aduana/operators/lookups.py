@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aduana.functions.codes import code_prefix, code_text, text_literal
+from aduana.functions.codes import code_prefix, code_text, starts_with, text_literal
+from aduana.functions.frames import quoted, unused_name
+from aduana.operators.filters import LEVEL_COLUMNS
 
 # Direction of trade by id.
 DIRECTION_NAMES = {1: "Imports", 2: "Exports"}
@@ -85,24 +88,91 @@ def with_agricultural_flag(df: DataFrame, code: str = "hts_code", flag: str = "a
     return df.withColumn(flag, F.expr(f"int({code_prefix(code, 4)} IN ({headings}))"))
 
 
-def with_naics_sector(df: DataFrame, code: str = "naics", label: str = "sector") -> DataFrame:
-    """Label of the longest listed prefix of the NAICS code; null when no prefix is listed.
+# Above every character: codes that start with a prefix lie from it up to the prefix followed by this.
+_HIGHEST = "\U0010FFFF"
+
+
+def _swept(prefixes: Mapping[str, str]) -> list[tuple[str, str, str]]:
+    """Nested prefixes as disjoint intervals (low, high, label) with the innermost label, by one sorted sweep."""
+    ends = sorted([(p, p) for p in prefixes] + [(p + _HIGHEST, None) for p in prefixes])
+    intervals, enclosing = [], []
+    for (low, opened), (high, _) in pairwise(ends):
+        if opened is not None:
+            enclosing.append(opened)
+        else:
+            enclosing.pop()
+        if enclosing and low < high:
+            intervals.append((low, high, prefixes[enclosing[-1]]))
+    return intervals
 
-    One equi-join per prefix length instead of a prefix comparison of every pair. Each side that is
-    broadcast is a part of the fixed 29-row table.
+
+def code_intervals(prefixes: DataFrame, shortest: int) -> DataFrame:
+    """A table (prefix, label) of any size as disjoint intervals `low, high, label, bucket` of codes, each with the label of
+    its longest prefix. The first of several labels of a prefix counts; `shortest` is the length of the shortest prefix.
+
+    An interval begins where a prefix does, or where one ends and the next shorter one goes on. Its label is found by
+    looking up the leading parts of its own bound, its end is the next bound in the bucket.
     """
-    sectors = naics_sectors(df.sparkSession)
-    digits = sorted({len(p) for p in NAICS_SECTORS}, reverse=True)
-    for n in digits:
-        part = sectors.where(f"length(prefix) = {n}").toDF(f"_prefix_{n}", f"_sector_{n}")
-        df = df.join(F.broadcast(part), F.expr(f"{code_prefix(code, n)} = _prefix_{n}"), "left")
-    found = ", ".join(f"_sector_{n}" for n in digits)
-    return df.withColumn(label, F.expr(f"coalesce({found})")).drop(
-        *(f"_{kind}_{n}" for n in digits for kind in ("prefix", "sector"))
-    )
+    labels = prefixes.where("prefix IS NOT NULL").groupBy("prefix").agg(F.min("label").alias("label"))
+    bounds = labels.selectExpr(
+        "prefix", f"inline(array(struct(prefix AS low, length(prefix) AS n), struct(concat(prefix, '{_HIGHEST}') AS low, length(prefix) - 1 AS n)))")
+    parts = bounds.selectExpr(
+        "prefix", "low", f"explode_outer(if(n < {shortest}, NULL, transform(sequence({shortest}, n), k -> left(prefix, k)))) AS part")
+    found = parts.join(labels.selectExpr("prefix AS part", "label AS inner"), "part", "left")
+    longest = found.groupBy("prefix", "low").agg(F.expr("max_by(inner, if(inner IS NULL, NULL, length(part)))").alias("label"))
+    bucket = f"left(prefix, {shortest})"
+    ahead = f"lead(low) OVER (PARTITION BY {bucket} ORDER BY low)"
+    return longest.selectExpr(f"{bucket} AS bucket", "low", f"{ahead} AS high", "label").where("label IS NOT NULL")
+
+
+def with_prefix_label(
+    df: DataFrame, prefixes: Mapping[str, str] | DataFrame, code: str, label: str, shortest: int | None = None
+) -> DataFrame:
+    """Label of the longest listed prefix of a code; null when no prefix is listed.
+
+    `prefixes` is a mapping, or a table (prefix, label) for a classification of any size. Prefixes of all lengths become
+    disjoint intervals, and one join finds the code's: an equi-join on the first `shortest` characters (the length of the
+    shortest prefix; found by a small job if not given) with the bounds as its condition. A code is compared with the
+    intervals of its bucket only, and matches at most one.
+    """
+    if isinstance(prefixes, DataFrame):
+        if shortest is None:
+            shortest = prefixes.agg(F.min(F.length("prefix"))).first()[0] or 1
+        intervals = code_intervals(prefixes, shortest)
+    else:
+        shortest = min(map(len, prefixes), default=1)
+        rows = [f"({', '.join(map(text_literal, (low[:shortest], low, high, name)))})" for low, high, name in _swept(prefixes)]
+        intervals = _constant_table(df.sparkSession, "bucket, low, high, label", rows or ["('', '', '', '')"])
+    names = {c: unused_name(f"_{c}", df) for c in ("bucket", "low", "high", "label")}
+    intervals = intervals.select(*(F.col(c).alias(name) for c, name in names.items()))
+    value = quoted(code)
+    within = f"left({value}, {shortest}) = {names['bucket']} AND {value} >= {names['low']} AND {value} < {names['high']}"
+    joined = df.join(intervals, F.expr(within), "left")
+    return joined.withColumn(label, F.col(names["label"])).drop(*names.values())
+
+
+def with_naics_sector(df: DataFrame, code: str = "naics", label: str = "sector") -> DataFrame:
+    """Label of the longest listed prefix of the NAICS code; null when no prefix is listed."""
+    return with_prefix_label(df, NAICS_SECTORS, code, label)
+
 
+# Dimension of each key of the star-schema facts.
+STAR_KEYS = {
+    "country_id": "country", "unit1_id": "unit", "unit2_id": "unit", "sitc_id": "sitc", "naics_id": "naics",
+    "district_id": "district", "hts_id": "hts",
+}
+
+# What each look-up brings, by key.
+_LOOKED_UP = {
+    "country_id": {"country": "country_name"}, "unit1_id": {"unit_1": "unit_code"}, "unit2_id": {"unit_2": "unit_code"},
+    "sitc_id": {"sitc": "sitc_code"}, "naics_id": {"naics": "naics_code"}, "district_id": {"district": "district_desc"},
+    "hts_id": {"hts_code": "hts_code", "hts_desc": "hts_short_desc", "agri_prod": "int(agri_prod)"},
+}
 
-def denormalise(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+_LEVEL_KEYS = {"hts": "hts_id", "naics": "naics_id", "country": "country_id"}
+
+
+def denormalise(fact: DataFrame, dimensions: dict[str, DataFrame], level: str = "total", level_filter: str = "") -> DataFrame:
     """Star-schema fact to the flat planning-board shape, plus the names of direction and district.
 
     `dimensions` holds the tables `country, hts, sitc, naics, district, unit` by their contracts; the two directions are
@@ -110,23 +180,47 @@ def denormalise(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     broadcasts a dimension when its size is below the threshold and otherwise sorts and merges, where adaptive execution
     splits a key that holds much of the fact. Products, the largest dimension, come last: should only they exceed
     the threshold, the fact is shuffled once, with its other names already in place.
-    """
-    def look_up(df: DataFrame, name: str, key: str, **columns: str) -> DataFrame:
-        side = dimensions[name].selectExpr(f"id AS _{key}", *(f"{c} AS {alias}" for alias, c in columns.items()))
-        return df.join(side, F.expr(f"{key} = _{key}"), "left").drop(f"_{key}")
 
-    planning = "sitc_id" in fact.columns
-    flat = look_up(fact, "country", "country_id", country="country_name")
+    With a `level` ("hts", "naics", "country") only records whose code starts with `level_filter` are returned. Then that
+    dimension is filtered first and joined before all others, so the rest of the fact is never looked up; where the
+    filtered keys are few, they reach the fact's scan as a runtime filter or a broadcast.
+    """
+    keys = [k for k in STAR_KEYS if k in fact.columns]
+    selective = _LEVEL_KEYS.get(level)
+    if selective is not None:
+        if selective not in keys:
+            raise ValueError(f"level {level!r} needs the column {selective!r}, which this source does not have")
+        keys = [selective, *(k for k in keys if k != selective)]
+    flat = fact
+    for key in keys:
+        columns = _LOOKED_UP[key]
+        side = dimensions[STAR_KEYS[key]]
+        if key == selective:
+            side = side.where(starts_with(columns[LEVEL_COLUMNS[level]], level_filter))
+        side = side.selectExpr(f"id AS _{key}", *(f"{c} AS {alias}" for alias, c in columns.items()))
+        flat = flat.join(side, F.expr(f"{key} = _{key}"), "inner" if key == selective else "left").drop(f"_{key}")
     names = " ".join(f"WHEN {i} THEN {text_literal(n)}" for i, n in DIRECTION_NAMES.items())
     flat = flat.withColumn("direction", F.expr(f"CASE trade_id {names} END"))
-    flat = look_up(flat, "unit", "unit1_id", unit_1="unit_code")
-    flat = look_up(flat, "unit", "unit2_id", unit_2="unit_code")
-    if planning:
-        flat = look_up(flat, "sitc", "sitc_id", sitc="sitc_code")
-        flat = look_up(flat, "naics", "naics_id", naics="naics_code")
-        flat = look_up(flat, "district", "district_id", district="district_desc")
-    flat = look_up(flat, "hts", "hts_id", hts_code="hts_code", hts_desc="hts_short_desc", agri_prod="int(agri_prod)")
     return flat.select(
         "date", "country", "trade_id", "agri_prod", "hts_code", "hts_desc", "data", "unit_1", "qty_1", "unit_2",
-        "qty_2", "direction", *(("sitc", "naics", "district") if planning else ()),
+        "qty_2", "direction", *(("sitc", "naics", "district") if "sitc_id" in fact.columns else ()),
     )
+
+
+def unmatched_keys(fact: DataFrame, dimensions: dict[str, DataFrame], keys: Mapping[str, str] = STAR_KEYS) -> DataFrame:
+    """field, dimension, key, records: keys of a fact that their dimension lacks, null keys included, with the number of records that hold them.
+
+    One scan of the fact: its keys become rows, which are counted on the map side, so a key of many rows costs one row per
+    task; only distinct keys meet the dimensions.
+    """
+    used = {k: d for k, d in keys.items() if k in fact.columns and d in dimensions}
+    if not used:
+        raise ValueError("the fact has no key of these dimensions")
+    each = ", ".join(
+        f"struct({text_literal(k)} AS field, {text_literal(d)} AS dimension, bigint({quoted(k)}) AS key)" for k, d in used.items())
+    counted = fact.selectExpr(f"inline(array({each}))").groupBy("field", "dimension", "key").agg(F.count(F.lit(1)).alias("records"))
+    known = [dimensions[d].selectExpr(f"{text_literal(d)} AS dimension", "bigint(id) AS key") for d in sorted(set(used.values()))]
+    ids = known[0]
+    for more in known[1:]:
+        ids = ids.unionByName(more)
+    return counted.join(ids, ["dimension", "key"], "left_anti").select("field", "dimension", "key", "records")

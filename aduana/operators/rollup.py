@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aduana.functions.dates import FISCAL_START_MONTH
 from aduana.functions.frames import quoted, unused_name, with_columns
 from aduana.functions.numbers import sum_or_zero, zero_if_null
 from aduana.functions.units import EXACT
@@ -48,6 +49,16 @@ def as_doubles(sums: DataFrame) -> DataFrame:
     return with_columns(sums, {m: f"double({m})" for m in MEASURES if m.endswith("_qty")})
 
 
+def _sums(quantity: str, fill: bool = True) -> list[Column]:
+    """Value and quantity of each direction as conditional sums."""
+    sums = []
+    for direction, name in ((IMPORTS, "imports"), (EXPORTS, "exports")):
+        for column, measure in (("data", name), (quantity, f"{name}_qty")):
+            total = sum_or_zero(f"if(trade_id = {direction}, {column}, NULL)")
+            sums.append(F.expr(total if fill else f"if(count_if(trade_id = {direction}) > 0, {total}, NULL)").alias(measure))
+    return sums
+
+
 def direction_sums(base: DataFrame, keys: list[str], fill: bool = True) -> DataFrame:
     """Value and quantity per key with one column per direction, in one scan and one shuffle.
 
@@ -59,16 +70,10 @@ def direction_sums(base: DataFrame, keys: list[str], fill: bool = True) -> DataF
     """
     if not keys:
         raise ValueError("no columns to group by")
-    quantity = _quantity(base)
     any_null = " OR ".join(f"{quoted(key)} IS NULL" for key in keys)
-    sums = []
-    for direction, name in ((IMPORTS, "imports"), (EXPORTS, "exports")):
-        for column, measure in (("data", name), (quantity, f"{name}_qty")):
-            total = sum_or_zero(f"if(trade_id = {direction}, {column}, NULL)")
-            sums.append(F.expr(total if fill else f"if(count_if(trade_id = {direction}) > 0, {total}, NULL)").alias(measure))
     side = unused_name("_side", base)
     sided = with_columns(classified(base), {side: f"if({any_null}, trade_id, 0)"})
-    return sided.groupBy(*(quoted(k) for k in keys), quoted(side)).agg(*sums).drop(side)
+    return sided.groupBy(*(quoted(k) for k in keys), quoted(side)).agg(*_sums(_quantity(base), fill)).drop(side)
 
 
 def direction_sums_joined(base: DataFrame, keys: list[str]) -> DataFrame:
@@ -93,3 +98,42 @@ def rollup(base: DataFrame, level: str, time_frame: str, *, sort: bool = True) -
     keys = grouping_columns(level, time_frame)
     result = add_net_measures(as_doubles(direction_sums(base, keys)))
     return result.orderBy(*keys) if sort else result
+
+
+# Calendar columns of each time frame, out of year and month; those that a time frame lacks are null.
+_PERIODS = {
+    "yearly": {"year": "year"},
+    "fiscal": {"fiscal_year": f"year + if(month >= {FISCAL_START_MONTH}, 1, 0)"},
+    "qtr": {"year": "year", "qtr": "(month + 2) div 3"},
+    "monthly": {"year": "year", "month": "month"},
+}
+
+
+def rollup_family(base: DataFrame, levels: tuple[str, ...] = ("total", *LEVEL_COLUMNS)) -> DataFrame:
+    """The rollups of all `levels` and time frames in one pass: `level`, `time_frame`, their key columns (null where a layout
+    has none), and the measures of `rollup`, without an order. A level leaves out records without its code.
+
+    The layouts are a lattice: each record goes into its months of the levels, combined on the map side, and the sums of
+    quarters, years and fiscal years come from those of months. Whole values and quantities are added exactly, so the
+    result is that of the single rollups, bit by bit; fractional quantities can differ in their last digits.
+    """
+    for level in levels:
+        grouping_columns(level, "yearly")
+    codes = {level: quoted(LEVEL_COLUMNS[level]) if level in LEVEL_COLUMNS else "CAST(NULL AS STRING)" for level in levels}
+    each = ", ".join(f"struct('{level}' AS level, {code} AS code)" for level, code in codes.items())
+    records = classified(base).selectExpr("trade_id", "data", _quantity(base), "year", "month", f"inline(array({each}))")
+    records = records.where("level = 'total' OR code IS NOT NULL")
+    # Records without a date have no counterpart in the other direction; see `direction_sums`.
+    sided = with_columns(records, {"side": "if(year IS NULL, trade_id, 0)"})
+    months = sided.groupBy("level", "code", "year", "month", "side").agg(*_sums(_quantity(base)))
+    parts = ("year", "fiscal_year", "qtr", "month")
+    frames = ", ".join(
+        f"struct('{frame}' AS time_frame, " + ", ".join(f"int({periods.get(c, 'NULL')}) AS {c}" for c in parts) + ")"
+        for frame, periods in _PERIODS.items())
+    spread = months.selectExpr("level", "code", "side", *MEASURES, f"inline(array({frames}))")
+    summed = spread.groupBy("level", "time_frame", "code", "side", *parts).agg(*(F.sum(m).alias(m) for m in MEASURES))
+    keyed = add_net_measures(as_doubles(summed))
+    return keyed.selectExpr(
+        "level", "time_frame", *parts,
+        *(f"if(level = '{level}', code, NULL) AS {column}" for level, column in LEVEL_COLUMNS.items()),
+        *MEASURES, "net_exports", "net_imports", "net_exports_qty", "net_imports_qty")

@@ -58,8 +58,8 @@ def add_row_change(prices: DataFrame, rows: int) -> DataFrame:
     return _add_change(prices, f"lag({{0}}, {rows}) OVER ({SERIES})")
 
 
-def add_calendar_change(prices: DataFrame, period: str) -> DataFrame:
-    """Percentage change against the same period one calendar year earlier; null when that period is missing.
+def _a_year_before(value: str, period: str) -> str:
+    """The value of the same period one calendar year earlier; null when that period is missing.
 
     A value-based window frame finds the earlier row, so it takes one shuffle and no self-join.
     """
@@ -67,7 +67,12 @@ def add_calendar_change(prices: DataFrame, period: str) -> DataFrame:
     slot = f"year * {per_year} + {period}"
     frame = f"PARTITION BY hs4 ORDER BY {slot} RANGE BETWEEN {per_year} PRECEDING AND {per_year} PRECEDING"
     # Rows without a date are each other's frame; they have no earlier period.
-    return _add_change(prices, f"if(year IS NULL, NULL, first({{0}}) OVER ({frame}))")
+    return f"if(year IS NULL, NULL, first({value}) OVER ({frame}))"
+
+
+def add_calendar_change(prices: DataFrame, period: str) -> DataFrame:
+    """Percentage change against the same period one calendar year earlier; null when that period is missing."""
+    return _add_change(prices, _a_year_before("{0}", period))
 
 
 def add_market_rank(prices: DataFrame) -> DataFrame:
@@ -77,14 +82,20 @@ def add_market_rank(prices: DataFrame) -> DataFrame:
     })
 
 
-def add_rolling_statistics(prices: DataFrame, rows: int = 3, sigmas: float = 2.0) -> DataFrame:
-    """Mean, sample standard deviation and price band over the last `rows` rows of each heading.
+def add_rolling_statistics(prices: DataFrame, rows: int = 3, sigmas: float = 2.0, months: bool = False) -> DataFrame:
+    """Mean, sample standard deviation and price band over the last `rows` rows of each heading, or, with `months`, over
+    its last `rows` calendar months.
 
-    All four are null until the heading has `rows` rows. The band is mean ± `sigmas` standard deviations.
+    All four are null until the heading has `rows` rows; with `months`, wherever one of the months is missing, and in rows
+    without a date. The band is mean ± `sigmas` standard deviations.
     """
-    frame = f"{SERIES} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW"
+    frame, present = f"{SERIES} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW", "count(1) OVER ({0})"
+    if months:
+        # The frame reaches back in month numbers, so the count tells how many of the months are there.
+        frame = f"PARTITION BY hs4 ORDER BY year * 12 + month RANGE BETWEEN {rows - 1} PRECEDING AND CURRENT ROW"
+        present = "if(year IS NULL, 0, count(1) OVER ({0}))"
     names = [f"price_{d}" for d in DIRECTIONS]
-    moving = {"_rows": f"count(1) OVER ({frame})"}
+    moving = {"_rows": present.format(frame)}
     for price in names:
         moving[f"_{price}_mean"] = f"avg({price}) OVER ({frame})"
         moving[f"_{price}_std"] = f"stddev_samp({price}) OVER ({frame})"
@@ -96,8 +107,8 @@ def add_rolling_statistics(prices: DataFrame, rows: int = 3, sigmas: float = 2.0
     return with_columns(with_columns(with_columns(prices, moving), statistics), bands).drop(*moving)
 
 
-def add_rank_shift(ranked: DataFrame, rows: int = 12) -> DataFrame:
-    """Places gained since the row `rows` rows earlier: positive when the heading moved towards rank 1."""
-    return with_columns(ranked, {
-        f"rank_{d}_shift": f"lag(rank_{d}, {rows}) OVER ({SERIES}) - rank_{d}" for d in DIRECTIONS
-    })
+def add_rank_shift(ranked: DataFrame, rows: int = 12, months: bool = False) -> DataFrame:
+    """Places gained since the row `rows` rows earlier, or, with `months`, since the same month a year earlier: positive
+    when the heading moved towards rank 1."""
+    earlier = _a_year_before("{0}", "month") if months else f"lag({{0}}, {rows}) OVER ({SERIES})"
+    return with_columns(ranked, {f"rank_{d}_shift": f"{earlier.format(f'rank_{d}')} - rank_{d}" for d in DIRECTIONS})

@@ -43,16 +43,20 @@ def price_series(
 
 
 def monthly_price_statistics(
-    facts: DataFrame, agriculture_filter: bool = False, strict: bool = True, sort: bool = True
+    facts: DataFrame, agriculture_filter: bool = False, strict: bool = True, sort: bool = True, months: bool = False
 ) -> DataFrame:
-    """Monthly unit prices per HS4 heading with three-month statistics, price bands, market rank, the change over
+    """Monthly unit prices per HS4 heading with statistics over three rows, price bands, market rank, the change over
     twelve rows in percent and the shift in rank over twelve rows.
 
-    Prices and ranks share one shuffle by month, the other columns one by heading.
+    A heading without trade in some month has no row for it, so rows reach across the gap. With `months`, statistics are
+    over three calendar months and null where one is missing, and change and shift are against the same month a year
+    earlier. Prices and ranks share one shuffle by month, the other columns one by heading.
     """
     prices = _heading_prices(facts, "monthly", "month", agriculture_filter, strict, ("year", "month"))
     ranked = add_market_rank(prices)
-    result = add_rank_shift(add_row_change(add_rolling_statistics(ranked), 12))
+    rolling = add_rolling_statistics(ranked, months=months)
+    changed = add_calendar_change(rolling, "month") if months else add_row_change(rolling, 12)
+    result = add_rank_shift(changed, months=months)
     return result.orderBy("hs4", "date") if sort else result
 
 

@@ -12,7 +12,7 @@ from aduana.functions.numbers import sum_or_zero
 from aduana.functions.units import convert_units
 from aduana.operators.filters import agricultural_only, in_period, with_code_prefix
 from aduana.operators.ranking import column_to_list, distinct_sorted
-from aduana.operators.rollup import direction_sums, grouping_columns, rollup
+from aduana.operators.rollup import direction_sums, grouping_columns, rollup, rollup_family
 
 # Columns every rollup reads; `hts_desc`, `sitc` and the like may be missing.
 CONSUMED = ["trade_id", "hts_code", "data", "unit_1", "qty_1", "unit_2", "qty_2", "date"]
@@ -64,6 +64,15 @@ def trade_rollup(
     return rollup(base, level, time_frame, sort=sort)
 
 
+def trade_rollup_family(
+    facts: DataFrame, datetime: str = "", agriculture_filter: bool = False, corrections: bool = False,
+    levels: tuple[str, ...] = ("total", "hts", "naics", "country"),
+) -> DataFrame:
+    """All layouts of `trade_rollup` at once, from one scan of the facts; see `rollup_family`."""
+    base = prepare_records(facts, "total", datetime, agriculture_filter, corrections, strict=False)
+    return rollup_family(base, levels)
+
+
 def product_sums(facts: DataFrame, time_frame: str, **options) -> DataFrame:
     """Sums per product for further aggregation: quantities are still decimals where they are exact."""
     return direction_sums(prepare_records(facts, "hts", **options), grouping_columns("hts", time_frame))

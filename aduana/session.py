@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Results do not depend on these, apart from the time zone for sources with zoned timestamps. On a cluster,
@@ -23,3 +25,16 @@ def spark_session(name: str = "aduana", master: str | None = None, **settings: s
     for key, value in (SETTINGS | {k.replace("__", "."): v for k, v in settings.items()}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, `spark.checkpoint.dir`. Where it is unset, a local session gets a
+    folder of its own; a cluster does not, as each machine would write to its own disk."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        folder = getattr(context, "_aduana_folder", None) or tempfile.mkdtemp(prefix="aduana-")
+        context._aduana_folder = folder
+    return folder.rstrip("/")

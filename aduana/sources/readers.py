@@ -26,6 +26,32 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
     return spark.read.csv(path, schema=schema, header=True, mode="PERMISSIVE", enforceSchema=False)
 
 
+_CORRUPT = "_corrupt_line"
+
+
+def read_csv_with_rejects(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
+    """`read_csv`, and what it could not read: `file, field, value` of every cell that did not parse and is null in the
+    table, and of every line with too few or too many cells, as a null `field` with the line as its value.
+
+    The second frame reads the files again when it is used; the table itself costs no more than without it.
+    """
+    whole = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    marked = T.StructType([*whole.fields, T.StructField(_CORRUPT, T.StringType())])
+    lines = spark.read.csv(
+        path, schema=marked, header=True, mode="PERMISSIVE", enforceSchema=False, columnNameOfCorruptRecord=_CORRUPT)
+    bad = lines.select("*", F.col("_metadata.file_path").alias("_file")).where(f"{_CORRUPT} IS NOT NULL")
+    # The same line with every cell as text tells which cells are there and did not become a value.
+    texts = ", ".join(f"{quoted(f.name)} STRING" for f in whole)
+    bad = bad.withColumn("_cells", F.expr(f"from_csv({_CORRUPT}, {text_literal(texts)})"))
+    cells = ", ".join(
+        f"if({quoted(f.name)} IS NULL AND _cells.{quoted(f.name)} IS NOT NULL, "
+        f"struct({text_literal(f.name)} AS field, _cells.{quoted(f.name)} AS value), NULL)" for f in whole)
+    bad = bad.withColumn("_bad", F.expr(f"filter(array({cells}), c -> c IS NOT NULL)"))
+    line = f"array(struct(CAST(NULL AS STRING) AS field, {_CORRUPT} AS value))"
+    rejects = bad.selectExpr("_file AS file", f"inline(if(size(_bad) = 0, {line}, _bad))")
+    return read_csv(spark, path, whole), rejects
+
+
 def read_facts(spark: SparkSession, location: str, contract: Contract) -> DataFrame:
     """Fact table in its contract's types, with all further columns it has.
 
@@ -92,3 +118,56 @@ def promote_header(
 def read_header_json(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
     """Landed API responses, one JSON array of arrays per file. A file is one row, so it must fit into a task."""
     return promote_header(spark.read.text(path, wholetext=True), names)
+
+
+def _split_records(spark: SparkSession, path: str) -> DataFrame:
+    """Records of landed arrays of arrays: `file`, `text`, `head` (it begins the file's array), `tail` (it ends it) and `rows`,
+    null where the text is not a list of rows."""
+    # A row's end is the line separator, so files are split like any text.
+    pieces = spark.read.option("lineSep", "],").text(path).select(F.col("value"), F.col("_metadata.file_path").alias("file"))
+    pieces = pieces.where(r"value RLIKE '\\S'")
+    first, last = r"'^\\s*\\[\\s*\\['", r"'\\]\\s*\\]\\s*$'"
+    pieces = pieces.selectExpr("file", "value AS text", f"value RLIKE {first} AS head", f"value RLIKE {last} AS tail")
+    opened = f"if(head, regexp_replace(text, {first}, '['), text)"
+    whole = f"if(tail, regexp_replace({opened}, {last}, ']'), concat({opened}, ']'))"
+    records = pieces.selectExpr("*", f"from_json(concat('[', {whole}, ']'), '{_TABLE_TEXT}') AS rows")
+    return records.selectExpr("file", "text", "head", "tail", "if(exists(rows, r -> r IS NULL), NULL, rows) AS rows")
+
+
+def _files(records: DataFrame) -> DataFrame:
+    """The header of each file, and whether it has one and an end."""
+    header = F.first(F.expr("if(head, get(rows, 0), NULL)"), ignorenulls=True)
+    return records.groupBy("file").agg(header.alias("header"), F.max("head").alias("head"), F.max("tail").alias("tail"))
+
+
+def unreadable_records(spark: SparkSession, path: str) -> DataFrame:
+    """`file` and `text` of what `read_header_records` cannot read: an error object, a row with the row separator within a
+    value, a row that breaks off, and with a null text a file without its header or its end."""
+    records = _split_records(spark, path)
+    broken = _files(records).where("NOT (head AND tail)").selectExpr("file", "CAST(NULL AS STRING) AS text")
+    return records.where("rows IS NULL").select("file", "text").unionByName(broken)
+
+
+def read_header_records(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+    """Landed API responses as `read_header_json` reads them, for files larger than a task: a file is read by as many tasks as
+    its size asks for, record by record, and its header is joined to its rows by the file's name.
+
+    A piece that is no row fails the query and names its file, and so does a file without its header or its end; nothing is
+    left out. A value with a `],` in it is such a piece: `read_header_json` reads that file. Without `names` a job collects
+    the names in all headers.
+    """
+    records = _split_records(spark, path)
+    failure = "raise_error(concat('no row in ', file, ': ', left(text, 100)))"
+    records = records.selectExpr("file", "head", "tail", f"coalesce(rows, {failure}) AS rows")
+    files = _files(records)
+    if names is None:
+        places = files.selectExpr("posexplode(header) AS (place, name)").groupBy("name").agg(F.min("place").alias("place"))
+        names = [r["name"] for r in places.orderBy("place", "name").collect()]
+        if not names:
+            raise ValueError("no header row: there is no text to read")
+    whole = "CASE WHEN NOT head THEN raise_error(concat('no header in ', file)) WHEN NOT tail THEN raise_error(concat('no end in ', file)) ELSE file END"
+    places = [f"nullif(int(array_position(header, {text_literal(n)})), 0) - 1 AS _at{k}" for k, n in enumerate(names)]
+    files = files.selectExpr(f"{whole} AS file", *places)
+    rows = records.selectExpr("file", "explode(if(head, slice(rows, 2, size(rows)), rows)) AS row")
+    cells = rows.join(files, "file", "left")
+    return cells.selectExpr(*(f"get(row, _at{k}) AS {quoted(n)}" for k, n in enumerate(names)))

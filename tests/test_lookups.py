@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from aduana.operators.lookups import (
-    AGRICULTURAL_HEADINGS, NAICS_SECTORS, agricultural_headings, denormalise, direction_table, naics_sectors,
-    with_agricultural_flag, with_naics_sector,
+    AGRICULTURAL_HEADINGS, NAICS_SECTORS, STAR_KEYS, _swept, agricultural_headings, code_intervals, denormalise, direction_table,
+    naics_sectors, unmatched_keys, with_agricultural_flag, with_naics_sector, with_prefix_label,
 )
 from aduana.operators.ranking import column_to_list, distinct_sorted
 from aduana.plans.trade import chapter_codes, chapter_list, fiscal_net_quantity
@@ -36,6 +37,42 @@ def test_longest_prefix_wins(spark):
     assert with_naics_sector(df).columns == ["naics", "sector"]
 
 
+NESTED = {"1": "a", "12": "b", "1234": "c", "125": "d", "9": "e", "12345678": "f", "13": None, "é": "g", "éa": "h", "7.": "i"}
+CODES = ["1", "10", "12", "120", "1234", "123", "12345678", "123456789", "1235", "125", "1259", "126", "13", "139", "14", "2", "9", "99",
+         "", "é", "éa1", "éb", "e", "7", "7.5", "8", None]
+
+
+def longest(code):
+    found = [p for p in NESTED if code is not None and code.startswith(p)]
+    return NESTED[max(found, key=len)] if found else None
+
+
+def test_labels_of_nested_prefixes(spark):
+    codes = spark.createDataFrame([(c,) for c in CODES], "`my code` string").selectExpr("`my code`", "1 AS label", "2 AS _bucket", "3 AS low")
+    listed = {p: n for p, n in NESTED.items() if n is not None}
+    table = spark.createDataFrame([*listed.items(), ("12", "z"), (None, "n")], "prefix string, label string")
+    for prefixes in (listed, table):
+        found = with_prefix_label(codes, prefixes, "my code", "sector")
+        assert found.columns == ["my code", "label", "_bucket", "low", "sector"]
+        expected = {c: longest(c) if c is None or not c.startswith("13") else "a" for c in CODES}
+        assert {r[0]: r.sector for r in found.collect()} == expected
+        plan = physical_plan_of(found)
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    # One join for all lengths.
+    assert len(re.findall(r"^\(\d+\) \w*Join", physical_plan_of(with_prefix_label(codes, listed, "my code", "sector")), re.M)) == 1
+    none = spark.createDataFrame([], "prefix string, label string")
+    for prefixes in ({}, none):
+        assert {r.sector for r in with_prefix_label(codes, prefixes, "my code", "sector").collect()} == {None}
+
+
+def test_intervals_are_disjoint(spark):
+    table = spark.createDataFrame([(p, n) for p, n in NESTED.items() if n], "prefix string, label string")
+    rows = sorted((r.low, r.high, r.label) for r in code_intervals(table, 1).collect())
+    assert all(low < high for low, high, _ in rows)
+    assert all(a[1] <= b[0] for a, b in zip(rows, rows[1:], strict=False))
+    assert rows == sorted(_swept({p: n for p, n in NESTED.items() if n}))
+
+
 def dimensions(spark):
     rows = {
         "country": [(1, "4700", "spain")],
@@ -76,6 +113,39 @@ def test_denormalise_organisation_fact(spark):
     assert row["direction"] == "Imports" and row["unit_2"] is None and "naics" not in row
 
 
+def test_denormalise_by_code(spark):
+    columns = STAR_PLANNING_FACT.schema
+    fact = spark.createDataFrame(
+        [(1, None, 1, 7, 1, 5, 3, 4, 100, None, None, 1, 10, 2, 3), (2, None, 1, None, 1, 5, 3, None, 50, None, None, 1, 1, 2, 1),
+         (3, None, 1, 8, 9, 5, 3, 4, 25, None, None, 1, 1, 2, 1)], columns)
+
+    def values(level, prefix):
+        return sorted(r.data for r in denormalise(fact, dimensions(spark), level, prefix).collect())
+
+    assert values("total", "x") == [25, 50, 100]
+    assert values("hts", "0101") == values("hts", "") == [100] and values("hts", "02") == []
+    assert values("naics", "11") == [25, 100] and values("country", "sp") == [50, 100]
+    row = denormalise(fact, dimensions(spark), "hts", "01").first()
+    assert (row.hts_code, row.country, row.naics, row.unit_2) == ("0101000001", "spain", "1129", "no")
+    with pytest.raises(ValueError, match="naics_id"):
+        denormalise(spark.createDataFrame([], STAR_ORGANISATION_FACT.schema), dimensions(spark), "naics", "1")
+
+
+def test_unmatched_keys(spark):
+    fact = spark.createDataFrame(
+        [(1, None, 1, 7, 1, 5, 3, 4, 100, None, None, 1, 10, 2, 3), (2, None, 9, 70, None, 5, 3, None, 50, None, None, 9, 1, 2, 1),
+         (3, None, 9, 70, None, 5, 3, 4, 50, None, None, 1, 1, 9, 1)], STAR_PLANNING_FACT.schema)
+    found = unmatched_keys(fact, dimensions(spark))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([
+        ("hts_id", "hts", 70, 2), ("country_id", "country", None, 2), ("naics_id", "naics", None, 1), ("unit1_id", "unit", 9, 1),
+        ("unit2_id", "unit", 9, 1)], key=str)
+    with_trade = unmatched_keys(fact, dimensions(spark), {"trade_id": "trade"})
+    assert [tuple(r) for r in with_trade.collect()] == [("trade_id", "trade", 9, 2)]
+    assert len(re.findall(r"Scan ExistingRDD", physical_plan_of(unmatched_keys(fact, dimensions(spark))).split("\n\n")[0])) == 1 + len(set(STAR_KEYS.values()))
+    with pytest.raises(ValueError, match="no key"):
+        unmatched_keys(fact, {})
+
+
 def test_one_large_dimension_shuffles_the_fact_once(spark, tmp_path):
     small = dimensions(spark)
     spark.range(20000).selectExpr(

@@ -105,6 +105,24 @@ def test_monthly_statistics(spark):
     assert [r.price_imports_yoy for r in rows] == [None] * 12 + [1200.0]
 
 
+def test_statistics_over_calendar_months(spark):
+    """A month without trade leaves gaps behind it; rows without a date have no statistics."""
+    months = ["2010-01-05", "2010-02-05", "2010-03-05", "2010-05-05", "2010-06-05", "2010-07-05", "2011-01-05", "2011-05-05"]
+    df = facts(
+        spark, *(record(m, 10 * (i + 1)) for i, m in enumerate(months)), record(None, 5),
+        *(record(m, 35, code="0202000001") for m in months))
+    rows = [r for r in monthly_price_statistics(df, months=True).collect() if r.hs4 == "0101"]
+    assert [(r.year, r.month) for r in rows][:2] == [(None, None), (2010, 1)]
+    assert [r.price_imports_mean for r in rows] == [None, None, None, 2.0, None, None, 5.0, None, None]
+    assert [r.price_imports_std for r in rows] == [None, None, None, 1.0, None, None, 1.0, None, None]
+    assert (rows[6].price_imports_low, rows[6].price_imports_high) == (3.0, 7.0)
+    assert [r.price_imports_yoy for r in rows] == [None] * 7 + [600.0, 100.0]
+    assert [r.rank_imports for r in rows][1:] == [2, 2, 2, 1, 1, 1, 1, 1]
+    assert [r.rank_imports_shift for r in rows] == [None] * 7 + [1, 0]
+    by_rows = [r for r in monthly_price_statistics(df).collect() if r.hs4 == "0101"]
+    assert [r.price_imports_mean is None for r in by_rows] == [True, True] + [False] * 7
+
+
 def test_equal_prices_share_a_rank(spark):
     prices = spark.createDataFrame(
         [(h, 2010, 1, p, 0.0) for h, p in (("a", 5.0), ("b", 9.0), ("c", 5.0), ("d", 1.0))],

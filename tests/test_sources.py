@@ -6,11 +6,11 @@ import os
 import pytest
 from frames import day, facts, physical_plan_of
 
-from aduana import TradeDesk
+from aduana import TradeDesk, shared_folder
 from aduana.sources import (
     COMTRADE, ORGANISATION, PLANNING, STAR, concat_extracts, conform, create_table, ingest_extracts, ingest_facts,
-    promote_header, read_csv, read_header_json, read_parquet, read_parquet_tree, read_source, unreadable_responses,
-    write_csv, write_facts, write_parquet,
+    promote_header, read_csv, read_csv_with_rejects, read_header_json, read_header_records, read_parquet, read_parquet_tree,
+    read_source, unreadable_records, unreadable_responses, update_facts, write_csv, write_facts, write_parquet,
 )
 
 
@@ -219,3 +219,153 @@ def test_ingest_to_the_fact_layout(spark, tmp_path):
     result = desk.process_int_jp("total", "yearly", datetime="2011")
     assert [(r.year, r.imports, r.exports) for r in result.collect()] == [(2011, 5, 5)]
     assert "date_year#" in physical_plan_of(result).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def failing(spark):
+    return spark.range(4).selectExpr("if(id = 3, raise_error('broken'), id) AS id")
+
+
+def test_a_failed_update_leaves_the_old_data(spark, tmp_path):
+    for place, write, read in ((tmp_path / "p", write_parquet, spark.read.parquet),
+                               (tmp_path / "c", write_csv, lambda path: spark.read.csv(path, header=True))):
+        write(spark.range(3), str(place))
+        with pytest.raises(Exception, match="broken"):
+            write(failing(spark), str(place), update=True)
+        assert read(str(place)).count() == 3
+        write(spark.range(5), str(place) + "/", update=True)
+        assert read(str(place)).count() == 5
+    assert sorted(os.listdir(tmp_path)) == ["c", "p"]
+
+
+def test_an_update_may_read_what_it_replaces(spark, tmp_path):
+    path = str(tmp_path / "p")
+    write_parquet(spark.range(3), path)
+    write_parquet(spark.read.parquet(path).where("id > 0"), path, update=True)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2]
+
+
+def files_of(path) -> dict:
+    return {str(f): (f.stat().st_mtime_ns, f.stat().st_size) for f in path.rglob("*.parquet")}
+
+
+def test_an_extract_replaces_its_years_only(spark, tmp_path):
+    path = tmp_path / "facts"
+    write_facts(org_facts(spark), str(path))
+    before = files_of(path)
+    update_facts(org_facts(spark).where("year(date) = 2011").selectExpr("* EXCEPT (data)", "data * 3 AS data"), str(path))
+    after = files_of(path)
+    kept = {f for f in before if "date_year=2011" not in f}
+    assert len(kept) == 2 and all(after[f] == before[f] for f in kept) and len(after) == 3
+    rows = {r.date and r.date.year: r.data for r in read_source(spark, {"org": str(path)}).collect()}
+    assert rows == {2010: 100, 2011: 300, None: 100}
+    # A year that is new, and rows without a date.
+    update_facts(facts(spark, {"date": day("2015-01-01"), "data": 1}, {"date": None, "data": 2}), str(path))
+    rows = {r.date and r.date.year: r.data for r in read_source(spark, {"org": str(path)}).collect()}
+    assert rows == {2010: 100, 2011: 300, 2015: 1, None: 2}
+
+
+def test_a_failed_extract_leaves_all_years(spark, tmp_path):
+    path = tmp_path / "facts"
+    write_facts(org_facts(spark), str(path))
+    before = files_of(path)
+    broken = org_facts(spark).selectExpr("* EXCEPT (data)", "if(data > 0, raise_error('broken'), data) AS data")
+    with pytest.raises(Exception, match="broken"):
+        update_facts(broken, str(path))
+    assert files_of(path) == before
+    assert read_source(spark, {"org": str(path)}).count() == 3
+
+
+def test_ingest_of_one_year(spark, tmp_path):
+    names = list(ORGANISATION.columns)
+
+    def extract(name, *rows):
+        lines = [",".join(str(r.get(c, "")) for c in names) for r in rows]
+        (tmp_path / name).write_text("\n".join([",".join(names), *lines]) + "\n")
+        return str(tmp_path / name)
+
+    one = {"trade_id": 1, "hts_code": "0101000001", "data": 5, "date": "2010-05-01T00:00:00"}
+    other = one | {"date": "2011-05-01T00:00:00"}
+    path = str(tmp_path / "facts")
+    ingest_facts(spark, extract("i.csv", one, other), extract("e.csv", one | {"trade_id": 2}), ORGANISATION, path)
+    ingest_facts(spark, extract("i2.csv", other | {"data": 9}), extract("e2.csv"), ORGANISATION, path, only_years=True)
+    found = TradeDesk(spark, {"org": path}).process_int_jp("total", "yearly").collect()
+    assert [(r.year, r.imports, r.exports) for r in found] == [(2010, 5, 5), (2011, 9, 0)]
+
+
+def test_csv_with_rejects(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(
+        'code,value,day\n0101,5,2010-01-02\n0202,oops,soon\n0303,,\n"a, b",1.5,2010-01-03\n0404,7\n0505,8,2010-01-04,more\n')
+    (tmp_path / "in2.csv").write_text("code,value,day\n0606,9999999999,2010-01-05\n")
+    schema = "code string, value int, day date"
+    rows, rejects = read_csv_with_rejects(spark, str(tmp_path), schema)
+    assert rows.columns == ["code", "value", "day"]
+    assert sorted(map(str, rows.collect())) == sorted(map(str, read_csv(spark, str(tmp_path), schema).collect()))
+    found = sorted(((os.path.basename(r.file), r.field, r.value) for r in rejects.collect()), key=str)
+    assert found == sorted([
+        ("in.csv", "value", "oops"), ("in.csv", "day", "soon"), ("in.csv", "value", "1.5"), ("in.csv", None, "0404,7"),
+        ("in.csv", None, "0505,8,2010-01-04,more"), ("in2.csv", "value", "9999999999")], key=str)
+
+
+def pages_on_disk(folder):
+    pages = [
+        [["CTY", "VAL"], *[[str(k), f'v "{k}" [x] ], y'.replace("],", "] ,")] for k in range(300)]],
+        [["VAL", "CTY"], ["9", "it's"], [None, "[["], ["]]", ""]],
+        [["CTY"], ["77"]],
+        [["CTY", "VAL"]],
+    ]
+    (folder / "page0.json").write_text(json.dumps(pages[0]).replace("], [", "],\n["))
+    (folder / "page1.json").write_text(json.dumps(pages[1], indent=1))
+    (folder / "page2.json").write_text(json.dumps(pages[2], separators=(",", ":")) + "\n")
+    (folder / "page3.json").write_text(json.dumps(pages[3]).replace("], [", "] , ["))
+    (folder / "empty.json").write_text("")
+    expected = [(k, v) for k, v in pages[0][1:]] + [("it's", "9"), ("[[", None), ("", "]]"), ("77", None)]
+    return sorted(expected, key=str)
+
+
+def test_header_records(spark, tmp_path):
+    expected = pages_on_disk(tmp_path)
+    found = read_header_records(spark, str(tmp_path))
+    assert found.columns == ["CTY", "VAL"]
+    assert sorted((tuple(r) for r in found.collect()), key=str) == expected
+    assert unreadable_records(spark, str(tmp_path)).isEmpty()
+
+
+def test_a_file_of_header_records_is_split(spark, tmp_path):
+    expected = pages_on_disk(tmp_path)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = read_header_records(spark, str(tmp_path), ["CTY", "VAL"])
+        assert sorted((tuple(r) for r in found.collect()), key=str) == expected
+        assert spark.read.option("lineSep", "],").text(str(tmp_path / "page0.json")).rdd.getNumPartitions() > 8
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("text, reason", [
+    ('[["A"],["x],y"]]', "no row"), ('[["A"],["1"],["2', "no row"), ('{"error": ["a", "b"], "more": 1}', "no row"),
+    ('["1"],["2"]]', "no header"), ('[["A"],["1"],["2"', "no end"), ('[["A"', "no end")])
+def test_header_records_that_cannot_be_read(spark, tmp_path, text, reason):
+    (tmp_path / "bad.json").write_text(text)
+    (tmp_path / "good.json").write_text('[["A"],["1"]]')
+    with pytest.raises(Exception, match=f"{reason} in .*bad.json"):
+        read_header_records(spark, str(tmp_path), ["A"]).collect()
+    found = {(os.path.basename(r.file), r.text is None) for r in unreadable_records(spark, str(tmp_path)).collect()}
+    assert ("bad.json", reason != "no row") in found and {f for f, _ in found} == {"bad.json"}
+
+
+def test_shared_folder(spark):
+    class Unset:
+        def __init__(self, master):
+            self.sparkContext, self.conf, self.master = self, {}, master
+
+        def getConf(self):
+            return {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Unset("spark://somewhere:7077"))
+    local = Unset("local[2]")
+    assert os.path.isdir(shared_folder(local)) and shared_folder(local) == shared_folder(local)
+    assert shared_folder(spark) == shared_folder(spark)

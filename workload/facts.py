@@ -57,14 +57,16 @@ AGRI_PROD = "if(p_size % 25 = 0, NULL, p_size % 2)"
 COUNTRY = "CASE n_nationkey WHEN 23 THEN NULL WHEN 24 THEN 'united states' ELSE lower(n_name) END"
 
 
-def trade_facts(spark: SparkSession, sf_dir: str, *, agri: bool = False, country: bool = False) -> DataFrame:
-    """Trade records; `agri_prod` and `country` are looked up only when asked for.
+def trade_facts(
+    spark: SparkSession, sf_dir: str, *, agri: bool = False, country: bool = False, order: bool = False
+) -> DataFrame:
+    """Trade records; `agri_prod` and `country` are looked up only when asked for, and `orderkey` comes with `order`.
 
     Their tables are joined on primary keys from the outside, so a record is never lost or repeated, and a
     query that reads neither column needs no join at all. Spark picks the join by the size of each table.
     """
     items = table(spark, sf_dir, "lineitem")
-    columns = dict(RECORDS)
+    columns = dict(RECORDS) | ({"orderkey": "l_orderkey"} if order else {})
     if agri:
         parts = table(spark, sf_dir, "part")
         items = items.join(parts, F.expr("l_partkey = p_partkey"), "left")

@@ -42,6 +42,13 @@ trade AS (
     LEFT JOIN nation ON s_nationkey = n_nationkey))
 """
 
+
+
+def moved(date: str) -> str:
+    """The records with their dates replaced."""
+    return TRADE.replace("trade AS (", "plain AS (", 1) + f", trade AS (SELECT * REPLACE ({date} AS date) FROM plain)"
+
+
 CORRECTED = """
 corrected AS (
   SELECT * REPLACE (
@@ -149,12 +156,12 @@ def rollup_sql(level: str, time: str, where: str = "true", corrections: bool = F
     return f"WITH {rollup_ctes(level, time, where, corrections, records)} SELECT * FROM netted ORDER BY {keys}"
 
 
-def price_ctes(time: str, where: str = "true") -> str:
+def price_ctes(time: str, where: str = "true", records: str = TRADE) -> str:
     """CTEs up to `prices` with one row per heading and period."""
     period, start = ("qtr", "(qtr - 1) * 3 + 1") if time == "qtr" else ("month", "month")
     guarded = "CASE WHEN {0} = 0 THEN 1 ELSE {0} END"
     return ", ".join([
-        rollup_ctes("hts", time, where, corrections=True),
+        rollup_ctes("hts", time, where, corrections=True, records=records),
         f"""headings AS (
           SELECT year, {period}, hts_code[:4] AS hs4, sum(imports)::BIGINT AS imports, sum(exports)::BIGINT AS exports,
                  sum({guarded.format('imports_qty')})::DOUBLE AS imports_qty,
@@ -178,9 +185,9 @@ def lagged(rows: int, names=("price_imports", "price_exports")) -> str:
     )
 
 
-def price_changes_ctes(where: str = "true") -> str:
+def price_changes_ctes(where: str = "true", records: str = TRADE) -> str:
     return ", ".join([
-        price_ctes("qtr", where),
+        price_ctes("qtr", where, records),
         f"lags AS (SELECT *, {lagged(4)} FROM prices)",
         f"series AS (SELECT * EXCLUDE (price_imports_lag4, price_exports_lag4), {changes('{}_lag4')} FROM lags)",
     ])
@@ -209,40 +216,52 @@ FROM latest WHERE {where} QUALIFY position <= 50
 """
 
 
-def movers_sql(order: str, side: str = "imports", where: str = "true", records: str = "true") -> str:
-    return MOVERS.format(ctes=price_changes_ctes(records), order=order, side=side, where=where)
+def movers_sql(order: str, side: str = "imports", where: str = "true", records: str = TRADE) -> str:
+    return MOVERS.format(ctes=price_changes_ctes(records=records), order=order, side=side, where=where)
 
 
 LATEST_PERIOD = f"WITH {price_changes_ctes()} SELECT * FROM series WHERE date = (SELECT max(date) FROM series)"
 
 
-def price_statistics_sql(columns: str = "") -> str:
-    """Mean and deviation of three rows are written out: m is the running mean, s the running sum of squares."""
+def price_statistics_sql(columns: str = "", months: bool = False, records: str = TRADE) -> str:
+    """Mean and deviation of three rows are written out: m is the running mean, s the running sum of squares. With `months`,
+    the earlier rows are looked up by their month instead."""
     both = ("imports", "exports")
     price = [f"price_{d}" for d in both]
     mean, spread, band, shift = [], [], [], []
     for p in price:
         a, b, c = f"{p}_lag2", f"{p}_lag1", p
-        mean.append(f"CASE WHEN rn >= 3 THEN ({a} + {b} + {c}) / 3 END AS {p}_mean")
+        mean.append(f"CASE WHEN complete THEN ({a} + {b} + {c}) / 3 END AS {p}_mean")
         m2 = f"({a} + ({b} - {a}) / 2)"
         s2 = f"(({b} - {a}) * (({b} - {a}) - ({b} - {a}) / 2))"
         s3 = f"({s2} + ({c} - {m2}) * (({c} - {m2}) - ({c} - {m2}) / 3))"
-        spread.append(f"CASE WHEN rn >= 3 THEN sqrt({s3} / 2) END AS {p}_std")
+        spread.append(f"CASE WHEN complete THEN sqrt({s3} / 2) END AS {p}_std")
         band.append(f"{p}_mean - {p}_std * 2 AS {p}_low, {p}_mean + {p}_std * 2 AS {p}_high")
     for d in both:
         shift.append(f"rank_{d}_lag12 - rank_{d} AS rank_{d}_shift")
     ranks = ", ".join(
         f"rank() OVER (PARTITION BY year, month ORDER BY price_{d} DESC)::INTEGER AS rank_{d}" for d in both
     )
-    lags = ", ".join([
-        lagged(1), lagged(2), lagged(12), lagged(12, tuple(f"rank_{d}" for d in both)),
-        "row_number() OVER (PARTITION BY hs4 ORDER BY date NULLS FIRST) AS rn",
-    ])
-    helpers = ", ".join([*(f"{p}_lag{n}" for p in price for n in (1, 2, 12)), *(f"rank_{d}_lag12" for d in both), "rn"])
+    ranked = tuple(f"rank_{d}" for d in both)
+    if months:
+        lags = ", ".join([
+            *(f"p{n}.{p} AS {p}_lag{n}" for p in price for n in (1, 2, 12)), *(f"p12.{r} AS {r}_lag12" for r in ranked),
+            "p1.hs4 IS NOT NULL AND p2.hs4 IS NOT NULL AS complete"])
+        joins = " ".join(
+            f"LEFT JOIN ranked p{n} ON now.hs4 = p{n}.hs4 AND now.year * 12 + now.month - {n} = p{n}.year * 12 + p{n}.month"
+            for n in (1, 2, 12))
+        lagging = f"SELECT now.*, {lags} FROM ranked now {joins}"
+    else:
+        lags = ", ".join([
+            lagged(1), lagged(2), lagged(12), lagged(12, ranked),
+            "row_number() OVER (PARTITION BY hs4 ORDER BY date NULLS FIRST) >= 3 AS complete",
+        ])
+        lagging = f"SELECT *, {lags} FROM ranked"
+    helpers = ", ".join([*(f"{p}_lag{n}" for p in price for n in (1, 2, 12)), *(f"rank_{d}_lag12" for d in both), "complete"])
     return f"""
-    WITH {price_ctes("monthly")},
+    WITH {price_ctes("monthly", records=records)},
     ranked AS (SELECT *, {ranks} FROM prices),
-    lags AS (SELECT *, {lags} FROM ranked),
+    lags AS ({lagging}),
     stats AS (SELECT *, {", ".join(mean + spread)} FROM lags),
     everything AS (
       SELECT * EXCLUDE ({helpers}), {", ".join(band)}, {changes("{}_lag12")}, {", ".join(shift)} FROM stats)
@@ -363,6 +382,74 @@ LEFT JOIN nation u1 ON l_orderkey % 30 = u1.n_nationkey
 LEFT JOIN nation u2 ON l_linenumber = u2.n_nationkey
 """
 
+PREFIX_LABEL = """
+WITH prefixes AS (
+  SELECT left(lpad((p_partkey * 245489 % 100000000)::VARCHAR, 8, '0'), 2 + (p_partkey % 6)::INTEGER) AS prefix, min(p_name) AS label
+  FROM part GROUP BY ALL),
+coded AS (
+  SELECT l_orderkey, CASE WHEN l_orderkey % 37 <> 0 THEN
+    lpad((l_partkey * 245489 % 100000000)::VARCHAR, 8, '0') || l_linenumber::VARCHAR END AS code FROM lineitem),
+best AS (
+  SELECT code, max_by(label, length(prefix)) AS label
+  FROM (SELECT DISTINCT code FROM coded) JOIN prefixes ON starts_with(code, prefix) GROUP BY code)
+SELECT c.code, l_orderkey, label FROM coded c LEFT JOIN best b ON c.code = b.code
+"""
+
+
+def layouts_sql() -> str:
+    """Sixteen rollups under each other."""
+    def column(name: str, keys: list[str], kind: str) -> str:
+        return f"{name if name in keys else 'NULL'}::{kind} AS {name}"
+
+    parts = []
+    for level in ("total", "hts", "naics", "country"):
+        for time in ("yearly", "fiscal", "qtr", "monthly"):
+            keys = KEYS[time] + KEYS[level]
+            columns = [column(c, keys, "INTEGER") for c in ("year", "fiscal_year", "qtr", "month")]
+            columns += [column(c, keys, "VARCHAR") for c in ("hts_code", "naics", "country")]
+            parts.append(
+                f"SELECT '{level}' AS level, '{time}' AS time_frame, {', '.join(columns)}, * EXCLUDE ({', '.join(keys)}) "
+                f"FROM (WITH {rollup_ctes(level, time)} SELECT * FROM netted)")
+    return " UNION ALL ".join(parts)
+
+
+def unmatched_sql() -> str:
+    """Keys per look-up that its table lacks."""
+    keys = {
+        "country_id": ("country", "l_suppkey % 27", "SELECT n_nationkey FROM nation"),
+        "unit1_id": ("unit", "l_orderkey % 30", "SELECT n_nationkey FROM nation"),
+        "unit2_id": ("unit", "l_linenumber", "SELECT n_nationkey FROM nation"),
+        "sitc_id": ("sitc", "l_suppkey + 5", "SELECT s_suppkey FROM supplier"),
+        "naics_id": ("naics", "l_linenumber", "SELECT r_regionkey FROM region"),
+        "district_id": ("district", "l_linenumber - 1", "SELECT r_regionkey FROM region"),
+        "hts_id": ("hts", "CASE WHEN l_orderkey % 13 <> 0 THEN l_partkey END", "SELECT p_partkey FROM part"),
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS field, '{d}' AS dimension, ({key})::BIGINT AS key, count(*) AS records FROM lineitem "
+        f"WHERE ({key}) IS NULL OR ({key}) NOT IN ({known}) GROUP BY ALL" for c, (d, key, known) in keys.items())
+
+
+# The records with the key of their order.
+WITH_ORDER = TRADE.replace("    date\n  FROM (", "    date, l_orderkey AS orderkey\n  FROM (")
+
+CSV_REJECTS = f"""
+WITH {WITH_ORDER},
+cells AS (
+  SELECT 'data' AS field, 'n/a' AS value FROM trade WHERE data % 50 = 0
+  UNION ALL SELECT 'qty_1', '12.5' FROM trade WHERE data % 70 = 0
+  UNION ALL SELECT 'day', 'soon' FROM trade WHERE orderkey % 90 = 0
+  UNION ALL SELECT '(rows)', '' FROM trade)
+SELECT field, value, count(*) AS cells FROM cells GROUP BY ALL
+"""
+
+HEADER_SPLIT = f"""
+WITH {WITH_ORDER}
+SELECT hts_code AS "CODE", data::VARCHAR AS "VAL", CASE WHEN (orderkey // 20000) % 2 = 1 THEN unit_1 END AS "UNIT" FROM trade
+"""
+
+REVISED = moved("date").replace(
+    "date AS date", "CASE WHEN year(date) = 2010 THEN data * 2 ELSE data END AS data")
+
 DISTINCT_CODES = f"WITH {TRADE} SELECT DISTINCT hts_code FROM trade ORDER BY hts_code NULLS FIRST"
 
 
@@ -373,6 +460,17 @@ def oracle_sql() -> dict[str, str]:
         for time in ("yearly", "fiscal", "qtr", "monthly")
     }
     return rollups | {
+        "stored_org_rollup": rollup_sql(
+            "hts", "monthly", "starts_with(hts_code, '22') AND date BETWEEN TIMESTAMP '2009-03-01' AND TIMESTAMP '2010-10-15'",
+            corrections=True),
+        "stored_jp_rollup": rollup_sql("naics", "qtr", "starts_with(naics, '3') AND year(date) = 2010 AND agri_prod = 1"),
+        "ingested_update": rollup_sql("hts", "yearly", records=REVISED),
+        "csv_rejects": CSV_REJECTS,
+        "header_split": HEADER_SPLIT,
+        "star_prefix_rollup": rollup_sql("hts", "yearly", "starts_with(hts_code, '00000001')", records=STAR_TRADE),
+        "star_unmatched": unmatched_sql(),
+        "rollup_layouts": layouts_sql(),
+        "prefix_label": PREFIX_LABEL,
         "hts_prefix_yearly": rollup_sql("hts", "yearly", "starts_with(hts_code, '22')"),
         "naics_prefix_qtr": rollup_sql("naics", "qtr", "starts_with(naics, '32')"),
         "country_prefix_fiscal": rollup_sql("country", "fiscal", "starts_with(country, 'nation_1')"),
@@ -393,7 +491,8 @@ def oracle_sql() -> dict[str, str]:
         "price_movers_bottom": movers_sql("ASC NULLS FIRST"),
         "price_movers_exports": movers_sql("DESC NULLS FIRST", "exports"),
         "price_movers_drop_null": movers_sql(
-            "DESC NULLS LAST", where="actual_yoy IS NOT NULL", records="(hts_code >= '08' OR date >= TIMESTAMP '2013-01-01')"),
+            "DESC NULLS LAST", where="actual_yoy IS NOT NULL",
+            records=moved("CASE WHEN hts_code < '08' THEN date + to_years((2013 - year(date))::INTEGER) ELSE date END")),
         "movers_display": "SELECT *, row_number() OVER (ORDER BY position DESC)::INTEGER AS shown_at FROM ("
         + movers_sql("DESC NULLS FIRST") + ")",
         "latest_period": LATEST_PERIOD,
@@ -406,6 +505,8 @@ def oracle_sql() -> dict[str, str]:
         "price_yoy_monthly": price_statistics_sql(
             "price_imports_yoy, price_exports_yoy, rank_imports_shift, rank_exports_shift"
         ),
+        "price_months": price_statistics_sql(months=True, records=moved(
+            "CASE WHEN hts_code[:4]::INTEGER % 3 = 0 AND month(date) IN (3, 9) THEN date + INTERVAL 1 MONTH ELSE date END")),
         "fiscal_net": FISCAL_NET,
         "chapters": CHAPTERS,
         "distinct_codes": DISTINCT_CODES,

@@ -8,16 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aduana.functions.corrections import correct_records
+from aduana.functions.frames import with_columns
 from aduana.functions.units import convert_units
 from aduana.operators.filters import latest_period
-from aduana.operators.lookups import denormalise, with_agricultural_flag, with_naics_sector
+from aduana.operators.lookups import (
+    denormalise, unmatched_keys, with_agricultural_flag, with_naics_sector, with_prefix_label,
+)
 from aduana.operators.ranking import distinct_sorted, in_display_order
 from aduana.operators.rollup import add_net_measures, as_doubles, direction_sums_joined, grouping_columns
 from aduana.plans.prices import monthly_price_statistics, price_movers, price_series
-from aduana.plans.trade import chapter_codes, fiscal_net_quantity, prepare_records, trade_rollup
+from aduana.plans.trade import chapter_codes, fiscal_net_quantity, prepare_records, trade_rollup, trade_rollup_family
 from aduana.sources.contracts import ORGANISATION, PLANNING, conform
 from aduana.sources.readers import promote_header
 from aduana.sources.writers import concat_extracts
+from workload import stored
 from workload.facts import table, trade_facts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,8 +93,9 @@ def price_movers_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_movers_drop_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The headings below 0800 start late here, so that they have no change yet."""
-    facts = trade_facts(spark, sf_dir, country=True).where("hts_code >= '08' OR date >= TIMESTAMP_NTZ '2013-01-01'")
+    """The headings below 0800 have all their records in the last year here, so that they have no change yet."""
+    facts = with_columns(trade_facts(spark, sf_dir, country=True), {
+        "date": "if(hts_code < '08', date + make_ym_interval(2013 - year(date)), date)"})
     return price_movers(price_series(facts, strict=False, sort=False), drop_null=True)
 
 
@@ -117,6 +122,14 @@ def _statistics(*columns: str) -> Query:
     return query
 
 
+def price_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics over calendar months. Every third heading has its trade of March and September in the month after, so
+    that its series has gaps."""
+    facts = with_columns(trade_facts(spark, sf_dir, country=True), {
+        "date": "if(int(substring(hts_code, 1, 4)) % 3 = 0 AND month(date) IN (3, 9), date + INTERVAL '1' MONTH, date)"})
+    return monthly_price_statistics(facts, strict=False, months=True)
+
+
 def fiscal_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fiscal_net_quantity(trade_facts(spark, sf_dir), strict=False)
 
@@ -147,58 +160,76 @@ def naics_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_naics_sector(trade_facts(spark, sf_dir).selectExpr(f"{code} AS naics", "data")).select("naics", "sector", "data")
 
 
-def star_denormalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _star(spark: SparkSession, sf_dir: str, naics: str = "r_name", unit: str = "n_name", unit_key: int = 30) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Line items as the fact, the other tables as its dimensions; some keys have no match or are null."""
     fact = table(spark, sf_dir, "lineitem").selectExpr(
         "l_shipdate AS date", "l_linenumber % 3 AS trade_id",
         "if(l_orderkey % 13 = 0, NULL, l_partkey) AS hts_id", "l_suppkey % 27 AS country_id",
         "l_linenumber - 1 AS district_id", "l_suppkey + 5 AS sitc_id", "l_linenumber AS naics_id",
-        "floor(l_extendedprice) AS data", "l_orderkey % 30 AS unit1_id", "floor(l_quantity) AS qty_1",
+        "floor(l_extendedprice) AS data", f"l_orderkey % {unit_key} AS unit1_id", "floor(l_quantity) AS qty_1",
         "l_linenumber AS unit2_id", "floor(l_quantity) * 2 AS qty_2",
     )
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
-    return denormalise(fact, {
+    return fact, {
         "country": nation.selectExpr("n_nationkey AS id", "lower(n_name) AS country_name"),
         "hts": part.selectExpr(
             "p_partkey AS id", "lpad(string(p_partkey), 10, '0') AS hts_code", "p_name AS hts_short_desc",
             "p_size % 2 = 1 AS agri_prod",
         ),
         "sitc": supplier.selectExpr("s_suppkey AS id", "s_name AS sitc_code"),
-        "naics": region.selectExpr("r_regionkey AS id", "r_name AS naics_code"),
+        "naics": region.selectExpr("r_regionkey AS id", f"{naics} AS naics_code"),
         "district": region.selectExpr("r_regionkey AS id", "r_name AS district_desc"),
-        "unit": nation.selectExpr("n_nationkey AS id", "n_name AS unit_code"),
-    })
+        "unit": nation.selectExpr("n_nationkey AS id", f"{unit} AS unit_code"),
+    }
 
 
-def union_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = trade_facts(spark, sf_dir).select("trade_id", "hts_code", "data", "date")
-    return concat_extracts(facts.where("trade_id = 1"), facts.where("trade_id = 2"))
+def _star_of_units(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The same with industries and units that rollups know."""
+    units = "get(array('kg', 'gm', 't', 'l', 'doz', 'm3', 'pfl', 'no'), int(n_nationkey))"
+    return _star(spark, sf_dir, "string(3110 + r_regionkey)", units, 9)
+
+
+def star_denormalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return denormalise(*_star(spark, sf_dir))
+
+
+def star_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the fact that no dimension knows."""
+    return unmatched_keys(*_star(spark, sf_dir))
 
 
 def star_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From a star schema over the line items to a rollup by industry and quarter."""
-    fact = table(spark, sf_dir, "lineitem").selectExpr(
-        "l_shipdate AS date", "l_linenumber % 3 AS trade_id", "if(l_orderkey % 13 = 0, NULL, l_partkey) AS hts_id",
-        "l_suppkey % 27 AS country_id", "l_linenumber - 1 AS district_id", "l_suppkey + 5 AS sitc_id", "l_linenumber AS naics_id",
-        "floor(l_extendedprice) AS data", "l_orderkey % 9 AS unit1_id", "floor(l_quantity) AS qty_1",
-        "l_linenumber AS unit2_id", "floor(l_quantity) * 2 AS qty_2",
-    )
-    nation, region, supplier = (table(spark, sf_dir, t) for t in ("nation", "region", "supplier"))
-    flat = denormalise(fact, {
-        "country": nation.selectExpr("n_nationkey AS id", "lower(n_name) AS country_name"),
-        "hts": table(spark, sf_dir, "part").selectExpr(
-            "p_partkey AS id", "lpad(string(p_partkey), 10, '0') AS hts_code", "p_name AS hts_short_desc",
-            "p_size % 2 = 1 AS agri_prod"),
-        "sitc": supplier.selectExpr("s_suppkey AS id", "s_name AS sitc_code"),
-        "naics": region.selectExpr("r_regionkey AS id", "string(3110 + r_regionkey) AS naics_code"),
-        "district": region.selectExpr("r_regionkey AS id", "r_name AS district_desc"),
-        "unit": nation.selectExpr(
-            "n_nationkey AS id", "get(array('kg', 'gm', 't', 'l', 'doz', 'm3', 'pfl', 'no'), int(n_nationkey)) AS unit_code"),
-    })
+    flat = denormalise(*_star_of_units(spark, sf_dir))
     return trade_rollup(conform(flat, PLANNING), "naics", "qtr", strict=False)
 
 
+def star_prefix_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product prefix on the star schema: the product table is filtered and joined first."""
+    flat = denormalise(*_star_of_units(spark, sf_dir), level="hts", level_filter="00000001")
+    return trade_rollup(conform(flat, PLANNING), "hts", "yearly", strict=False)
+
+
+def rollup_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sixteen layouts in one pass."""
+    return trade_rollup_family(trade_facts(spark, sf_dir, country=True))
+
+
+def prefix_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes by a classification with prefixes of two to seven digits, one per part; some are listed more than once."""
+    prefixes = table(spark, sf_dir, "part").selectExpr(
+        "left(lpad(string(p_partkey * 245489 % 100000000), 8, '0'), int(2 + p_partkey % 6)) AS prefix", "p_name AS label")
+    codes = table(spark, sf_dir, "lineitem").selectExpr(
+        "if(l_orderkey % 37 = 0, NULL, concat(lpad(string(l_partkey * 245489 % 100000000), 8, '0'), l_linenumber)) AS code", "l_orderkey")
+    return with_prefix_label(codes, prefixes, "code", "label", shortest=2)
+
+
+def union_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = trade_facts(spark, sf_dir).select("trade_id", "hts_code", "data", "date")
+    return concat_extracts(facts.where("trade_id = 1"), facts.where("trade_id = 2"))
+
+
 def org_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records read by the organisation's contract, which does not know `naics`, by industry."""
     return trade_rollup(conform(trade_facts(spark, sf_dir), ORGANISATION), "naics", "yearly", strict=False)
@@ -209,14 +240,16 @@ def strict_prefix_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records as landed pages of many rows. Odd pages have a column more and another order, every fifth lacks one."""
-    pages = trade_facts(spark, sf_dir).selectExpr("data % 1000 AS page", "hts_code AS code", "string(data) AS val", "unit_1 AS unit")
+    """Records as landed pages, of 256 orders at most, so pages grow in number and not in size. Odd pages have a column more
+    and another order, every fifth lacks one."""
+    pages = trade_facts(spark, sf_dir, order=True).selectExpr(
+        "orderkey div 256 AS orders", "data % 10 AS page", "hts_code AS code", "string(data) AS val", "unit_1 AS unit")
 
     def page(*names: str) -> str:
         header = ", ".join(f"'{n}'" for n in names)
         return f"concat(array(array({header})), transform(rows, r -> array({', '.join(f'r.{n.lower()}' for n in names)})))"
 
-    grouped = pages.groupBy("page").agg(F.collect_list(F.struct("code", "val", "unit")).alias("rows"))
+    grouped = pages.groupBy("orders", "page").agg(F.collect_list(F.struct("code", "val", "unit")).alias("rows"))
     return grouped.selectExpr(f"""to_json(
         CASE WHEN page % 10 = 5 THEN {page("UNIT", "CODE")} WHEN page % 5 = 0 THEN {page("CODE")}
              WHEN page % 2 = 1 THEN {page("VAL", "UNIT", "CODE")} ELSE {page("CODE", "VAL")} END) AS value""")
@@ -237,7 +270,7 @@ def queries() -> dict[str, Query]:
         for level in ("total", "hts", "naics", "country")
         for time in ("yearly", "fiscal", "qtr", "monthly")
     }
-    return rollups | {
+    return rollups | stored.queries() | {
         "hts_prefix_yearly": rollup_query("hts", "yearly", level_filter="22"),
         "naics_prefix_qtr": rollup_query("naics", "qtr", level_filter="32"),
         "country_prefix_fiscal": rollup_query("country", "fiscal", level_filter="nation_1"),
@@ -262,6 +295,7 @@ def queries() -> dict[str, Query]:
         "price_rolling": _statistics(*ROLLING),
         "price_rank": _statistics("price_imports", "price_exports", "rank_imports", "rank_exports"),
         "price_yoy_monthly": _statistics(*YEAR_ON_YEAR),
+        "price_months": price_months,
         "fiscal_net": fiscal_net,
         "chapters": chapters,
         "distinct_codes": distinct_codes,
@@ -272,6 +306,10 @@ def queries() -> dict[str, Query]:
         "header_rows": header_rows,
         "header_union": header_union,
         "star_rollup": star_rollup,
+        "star_prefix_rollup": star_prefix_rollup,
+        "star_unmatched": star_unmatched,
+        "rollup_layouts": rollup_layouts,
+        "prefix_label": prefix_label,
         "org_rollup": org_rollup,
         "strict_prefix_yearly": strict_prefix_yearly,
     }
