@@ -39,7 +39,7 @@ TOGETHER = 1 << 22
 _U = np.uint64
 
 _SEEDS = "route long, seed long, doc_id long, salt long, known boolean"
-_EDGE = "e1 long, e2 long, doc_id long, salt long, place int, n int, from_id long, from_salt long, from_place int"
+_EDGE = "e1 long, e2 long, doc_id long, salt long, place int, more array<int>, n int, from_id long, from_salt long, from_place int"
 _PATH = "doc_id long, salt long, place int, n int, from_id long, from_salt long, from_place int"
 
 
@@ -126,8 +126,8 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _edge_rows(size: int, gram: int, wide: bool, edge_bits: int):
-    """Edges of texts with one of `seeds`: the first ones of a piece, still to be compared with others, with null from_id, and
-    paths of edges that a smaller document of the piece holds."""
+    """Edges of texts with one of `seeds`: of each edge those of the smallest document of a piece, still to be compared with
+    other pieces, as one row with null from_id and the further places in `more`; and paths of what that document repeats."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, salts = _keys(batch)
@@ -151,9 +151,16 @@ def _edge_rows(size: int, gram: int, wide: bool, edge_bits: int):
                 e1, e2, doc, salt, place = (c[order] for c in (e1, e2, doc, salt, place))
                 head = np.maximum.accumulate(np.where(_firsts(e1, e2), np.arange(len(e1)), 0))
                 repeated = doc > doc[head]
-                found = ~repeated
-                none = np.zeros(int(found.sum()), np.int64)
-                yield _rows(e1[found], e2[found], doc[found], salt[found], place[found], none + 1, none, none, none, True)
+                open_ = [c[~repeated] for c in (e1, e2, doc, salt, place)]
+                starts = np.flatnonzero(_firsts(*open_[:4]))
+                again = np.ones(len(open_[4]), bool)
+                again[starts] = False
+                times = np.diff(np.append(starts, len(again)))
+                more = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum(times - 1)), pa.int32()), pa.array(open_[4][again], pa.int32()),
+                    mask=pa.array(times == 1))
+                none = np.zeros(len(starts), np.int64)
+                yield _rows(*(c[starts] for c in open_), more, none + 1, none, none, none, True)
                 # Paths within the piece.
                 head = head[repeated]
                 path = [c[repeated] for c in (doc, salt, place)] + [c[head] for c in (doc, salt, place)]
@@ -165,15 +172,16 @@ def _edge_rows(size: int, gram: int, wide: bool, edge_bits: int):
                 n = np.diff(np.append(starts, len(order)))
                 doc, salt, place, from_id, from_salt, from_place = (c[starts] for c in path)
                 route = mix(doc.astype(np.uint64) + salt.astype(np.uint64))
-                yield _rows(route, np.zeros(len(route), np.uint64), doc, salt, place, n, from_id, from_salt, from_place, False)
+                none = pa.nulls(len(route), pa.list_(pa.int32()))
+                yield _rows(route, np.zeros(len(route), np.uint64), doc, salt, place, none, n, from_id, from_salt, from_place, False)
 
     return rows
 
 
-def _rows(e1, e2, doc, salt, place, n, from_id, from_salt, from_place, open_: bool) -> pa.RecordBatch:
+def _rows(e1, e2, doc, salt, place, more, n, from_id, from_salt, from_place, open_: bool) -> pa.RecordBatch:
     mask = np.full(len(e1), open_)
     return pa.RecordBatch.from_arrays(
-        [pa.array(signed(e1)), pa.array(signed(e2)), pa.array(doc), pa.array(salt), pa.array(place.astype(np.int32)),
+        [pa.array(signed(e1)), pa.array(signed(e2)), pa.array(doc), pa.array(salt), pa.array(place.astype(np.int32)), more,
          pa.array(n.astype(np.int32)), pa.array(from_id, mask=mask), pa.array(from_salt, mask=mask),
          pa.array(from_place.astype(np.int32), mask=mask)],
         [c.split()[0] for c in _EDGE.split(", ")])
@@ -191,16 +199,21 @@ def _sourced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch = batch.filter(pc.is_null(batch["from_id"]))
         if not batch.num_rows:
             continue
-        columns = [batch[c].to_numpy() for c in ("e1", "e2", "doc_id", "salt", "place")]
+        columns, more = [batch[c].to_numpy() for c in ("e1", "e2", "doc_id", "salt", "place")], batch["more"]
         if last is not None:
             columns = [np.concatenate([a, b]) for a, b in zip(last, columns, strict=True)]
+            more = pa.concat_arrays([pa.nulls(1, more.type), more])
         e1, e2, doc, salt, place = columns
         head = np.maximum.accumulate(np.where(_firsts(e1, e2), np.arange(len(e1)), 0))
-        repeated = np.flatnonzero(doc > doc[head])
-        source = head[repeated]
         last = [c[head[-1]:head[-1] + 1] for c in columns]
+        repeated = doc > doc[head]
+        further = pc.list_parent_indices(more).to_numpy()
+        kept = repeated[further]
+        places = np.concatenate([place[repeated], pc.list_flatten(more).to_numpy()[kept]])
+        repeated = np.concatenate([np.flatnonzero(repeated), further[kept]])
+        source = head[repeated]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[repeated]), pa.array(salt[repeated]), pa.array(place[repeated]), pa.array(np.ones(len(repeated), np.int32)),
+            [pa.array(doc[repeated]), pa.array(salt[repeated]), pa.array(places), pa.array(np.ones(len(repeated), np.int32)),
              pa.array(doc[source]), pa.array(salt[source]), pa.array(place[source])], names)
 
 
@@ -256,11 +269,11 @@ class PassageDedup:
         self._paths: DataFrame | None = None
         self._results: DataFrame | None = None
 
-    def _texts_with(self, lists: DataFrame) -> DataFrame:
-        """Texts that `lists` names, with its columns. The narrow look-up goes first: where it is small, other texts do not
-        move; where it is not, both joins share one shuffle."""
+    def _texts_with(self, lists: DataFrame, name: str) -> DataFrame:
+        """Texts that `lists` names, with its columns. A narrow look-up goes first, written for itself so that Spark knows its
+        size: where it is small, other texts do not move; where it is not, both joins share one shuffle."""
         key = ["doc_id", "salt"]
-        return self.texts.join(lists.select(*key), key, "left_semi").join(lists, key)
+        return self.texts.join(written(lists.select(*key), name), key, "left_semi").join(lists, key)
 
     def _candidates(self) -> DataFrame:
         """doc_id, salt, seeds: seeds that other documents have, too."""
@@ -270,7 +283,7 @@ class PassageDedup:
 
     def _compacted(self, wide: bool) -> DataFrame:
         """Paths: edges that follow each other in the document as their sources do."""
-        rows = self._texts_with(self.candidates).mapInArrow(_edge_rows(self.size, self.gram, wide, self.edge_bits), _EDGE)
+        rows = self._texts_with(self.candidates, "texts-of-seeds").mapInArrow(_edge_rows(self.size, self.gram, wide, self.edge_bits), _EDGE)
         steps = rows.repartition("e1", "e2").sortWithinPartitions("e1", "e2", "doc_id", "salt", "place").mapInArrow(_sourced, _PATH)
         document = Window.partitionBy("doc_id", "salt").orderBy("place", "from_id", "from_salt", "from_place")
         before = F.lag(F.struct(F.expr("place + n"), F.expr("from_place + n"), "from_id", "from_salt")).over(document)
@@ -290,7 +303,7 @@ class PassageDedup:
         span = F.struct("place", "words")
         asked = own.unionByName(source).distinct().groupBy("doc_id", "salt").agg(
             F.collect_set(span).alias("spans"), F.collect_list(F.when(F.col("gone"), span)).alias("gone"))
-        return written(self._texts_with(written(asked, "spans-asked")).mapInArrow(_spans_read, _READ), "spans-read")
+        return written(self._texts_with(written(asked, "spans-asked"), "texts-of-spans").mapInArrow(_spans_read, _READ), "spans-read")
 
     def _verified(self, paths: DataFrame, read: DataFrame) -> bool:
         digests = read.where("digest IS NOT NULL").select("doc_id", "salt", "place", "words", "digest").distinct()
