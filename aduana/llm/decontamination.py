@@ -1,19 +1,24 @@
-"""Benchmark decontamination: items in pieces, one of which stands unedited in each match, and exact edit verification.
-
-Texts are sequences of words, lower-cased (A-Z). An item of n words matches within `floor(MAX_EDITS * n)` edits. It is cut
-into one run more than that, of three to five words each; an edit changes one run at most, so each match holds one of the
-runs as it is (pigeonhole), whatever the length of the item and wherever the edits are. All runs of words of a document
-are looked up among the runs of the items, so no match is missed. `walk_keys` is the random-walk embedding that
-sought candidates before, with a recall below one; nothing here depends on it.
-
-A candidate is verified exactly: the item against the words around the run, free at both ends, by bit-parallel edit
-distance. Items with fewer than `MIN_WORDS` words are no passages
-but phrases, and never match.
-
-The items are the stated query set: they come in blocks of bounded size, whose keys and words every task has, and each
-block goes over all documents. Documents need no shuffle.
-
-Cases: null and empty texts match nothing; null item ids are allowed; repeated items and documents each match; empty
+"""Benchmark decontamination: random walks that turn edits into few differences, bit-sampled keys of item-sized windows, and
+exact edit verification.
+
+Texts are sequences of words, lower-cased (A-Z). An item of n words matches within `floor(MAX_EDITS * n)` edits.
+
+* Walks. A walk reads a window from its first word on; at each step a coin of the word and the step decides whether it goes
+  on to the next word. Two walks over windows that differ by few edits soon stand at equal words again, so their steps
+  differ in few places (the embedding of Chakraborty, Goldenberg and Koucky).
+* Keys. Of the steps a few are sampled; the words there are one key. `WALKS` has, by the items' size, the window's size,
+  steps, samples and the number of repetitions, each with coins and samples of its own. Items give keys of the windows at
+  all their words, documents at every `STRIDE`-th word: a passage holds several such windows, more the longer it is.
+  The numbers are those with which, measured, at least 95% of passages with a fifth of edits are found (the tests
+  measure it, for edits at random and spread evenly).
+* Shorter items than `SHORT` words are looked up by runs of words, one more than the edits they allow: one of them stands
+  there unedited, so none is missed.
+* Documents are read once, whatever the number of items: keys go through a bit table of the items' keys of bounded size,
+  and what passes is joined with the items by key. The table only saves rows; if it fills up, the join sees more of them.
+* A candidate is verified exactly: the item against the words around the place, free at both ends, by bit-parallel edit
+  distance. Texts that several rows hold are looked up and verified once.
+
+Cases: null and empty texts and items match nothing; null item ids are allowed; repeated items and documents each match; empty
 tables give no matches; `clean_documents` keeps all columns of the rows, whatever they are called.
 """
 
@@ -24,108 +29,108 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from aduana.llm.common import filtered_rows, mix, pieces, shingle_hashes, word_hashes
+from aduana.functions.frames import quoted
+from aduana.llm.common import mix, pieces, shingle_hashes, signed, word_hashes, written
 
 MAX_EDITS = 0.2
-MIN_WORDS = 8
-SAMPLED = 5
-#: Items and words of a block at most (a longer item is a block of its own).
-BLOCK_ITEMS = 2000
-BLOCK_WORDS = 100_000
-_FILTER_BITS = 22
+#: Documents' windows begin at every so many words.
+STRIDE = 4
+#: Bits per key of the table of keys, and its most bits (16 MB).
+KEY_BITS = 64
+TABLE_BITS = 1 << 27
 _U = np.uint64
+_STEP = 0x9E3779B97F4A7C15
+
+
+class Walk(NamedTuple):
+    """Windows of items of at least `least` words."""
+
+    least: int
+    size: int
+    steps: int
+    samples: int
+    repetitions: int
+
+
+WALKS = (Walk(8, 6, 8, 4, 12), Walk(24, 8, 10, 4, 8), Walk(60, 12, 16, 5, 8))
+SHORT = WALKS[0].least
+
+
+def allowed_edits(n_words: int) -> int:
+    return int(MAX_EDITS * n_words)
+
+
+def walk_of(n_words: int) -> int:
+    """Number of the walk of an item."""
+    return max(k for k, walk in enumerate(WALKS) if n_words >= walk.least)
+
+
+def sampled_steps(walk: Walk, repetition: int) -> list[int]:
+    return sorted(np.random.default_rng([walk.size, repetition]).choice(walk.steps, walk.samples, replace=False).tolist())
+
+
+def walk_keys(words: np.ndarray, starts: np.ndarray, limits: np.ndarray, walk: Walk) -> Iterator[np.ndarray]:
+    """Per repetition a key for each start; 0 where the walk had left its window, or its text at `limits`, at a sampled step:
+    blanks say nothing about the text."""
+    padded = np.append(words, np.zeros(walk.size + 1, np.uint64))
+    ends = np.minimum(starts + walk.size, limits)
+    turns = 64 // walk.steps
+    for repetition in range(walk.repetitions):
+        if repetition % turns == 0:
+            # One draw has the coins of several repetitions.
+            coins = mix(padded + _U(((walk.size << 32) + repetition + 1) * _STEP & 0xFFFFFFFFFFFFFFFF))
+        sampled = sampled_steps(walk, repetition)
+        at, keys, left = starts.copy(), np.full(len(starts), walk.size * 1000 + repetition, np.uint64), np.zeros(len(starts), bool)
+        for step in range(sampled[-1] + 1):
+            if step in sampled:
+                left |= at >= ends
+                keys = mix(keys * _U(_STEP) + padded[at])
+            if step < sampled[-1]:
+                at += ((coins[at] >> _U(repetition % turns * walk.steps + step)) & _U(1)).astype(at.dtype)
+        keys[left] = 0
+        yield keys
 
 
 def run_bounds(n_words: int) -> np.ndarray:
-    """Bounds of the runs of an item: one run more than the edits it allows, so that one run at least has no edit."""
-    runs = int(MAX_EDITS * n_words) + 1
+    """Bounds of the runs of a short item: one run more than the edits it allows, so that one run at least has no edit."""
+    runs = allowed_edits(n_words) + 1
     return np.arange(runs + 1) * n_words // runs
 
 
-def sampled_steps(size: int, repetition: int) -> np.ndarray:
-    rng = np.random.default_rng([size, repetition])
-    return np.sort(rng.choice(3 * size // 2, SAMPLED, replace=False))
-
-
-def walk_keys(words: np.ndarray, starts: np.ndarray, limits: np.ndarray, size: int, repetition: int) -> np.ndarray:
-    """A key per start, of a walk over `size` words; 0 where the walk had left its window, or its text at `limits`, at
-    a sampled step: blanks say nothing about the text."""
-    plan = sampled_steps(size, repetition)
-    padded = np.append(words, np.zeros(2 * size + 1, np.uint64))
-    at, ends = starts.astype(np.int32), np.minimum(starts + size, limits).astype(np.int32)
-    keys = np.full(len(starts), size * 1000 + repetition, np.uint64)
-    left = np.zeros(len(starts), bool)
-    for t in range(int(plan[-1]) + 1):
-        if t % 64 == 0:
-            coins = mix(padded + _U((repetition * 64 + t // 64 + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-        if t in plan:
-            left |= at >= ends
-            keys ^= padded[at]
-            keys *= _U(0x9E3779B97F4A7C15)
-            keys ^= keys >> _U(29)
-        at += ((coins[at] >> _U(t % 64)) & _U(1)).astype(np.int32)
-    keys[left] = 0
-    return keys
-
-
-class Item(NamedTuple):
-    item_id: int | None
-    words: np.ndarray
-
-
-class Index:
-    """Runs of a block of items: per length sorted hashes, with item and offset, behind a bit table of fixed size."""
-
-    def __init__(self, items: list[Item]):
-        self.items = items
-        self.sizes = np.array([len(i.words) for i in items], np.int64)
-        found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
-        for number, item in enumerate(items):
-            bounds = run_bounds(len(item.words))
-            lengths = np.diff(bounds)
-            for length in np.unique(lengths).tolist():
-                offsets = bounds[:-1][lengths == length]
-                found.setdefault(length, []).append(
-                    (shingle_hashes(item.words, length)[offsets], np.full(len(offsets), number), offsets))
-        self.tables = {}
-        for length, rows in sorted(found.items()):
-            hashes, numbers, offsets = (np.concatenate(x) for x in zip(*rows, strict=True))
-            order = np.argsort(hashes, kind="stable")
-            bits = np.zeros(1 << _FILTER_BITS, bool)
-            bits[(hashes >> _U(64 - _FILTER_BITS)).astype(np.int64)] = True
-            self.tables[length] = (np.packbits(bits), hashes[order], numbers[order], offsets[order])
-
-    def candidates(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, least and greatest place where the item would begin) in consecutive texts that hold a run of the
-        item, by text and item; the places of one candidate lie within the edits that the item allows."""
-        rows = []
-        for length, (bits, hashes, numbers, offsets) in self.tables.items():
-            runs = shingle_hashes(words, length)
-            slot = (runs >> _U(64 - _FILTER_BITS)).astype(np.int32)
-            at = np.flatnonzero(bits[slot >> 3] & (128 >> (slot & 7)).astype(np.uint8))
-            text = np.searchsorted(first, at, "right") - 1
-            inside = at + length <= first[text + 1]
-            at, text = at[inside], text[inside]
-            left, right = (np.searchsorted(hashes, runs[at], side) for side in ("left", "right"))
-            times = right - left
-            entry = np.repeat(left, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            rows.append(np.stack([np.repeat(text, times), numbers[entry], np.repeat(at, times) - offsets[entry]]))
-        if not rows:
-            return
-        text, item, begin = np.unique(np.concatenate(rows, 1), axis=1)
-        allowed = (MAX_EDITS * self.sizes).astype(np.int64)
-        last = None
-        for t, i, b in zip(text.tolist(), item.tolist(), begin.tolist(), strict=True):
-            if last and last[:2] == (t, i) and b <= last[2] + allowed[i]:
-                last = (t, i, last[2], b)
-                continue
-            if last:
-                yield last
-            last = (t, i, b, b)
-        if last:
-            yield last
+def run_keys(words: np.ndarray, length: int) -> np.ndarray:
+    """Keys of the runs of `length` words."""
+    return mix(shingle_hashes(words, length) + _U(length))
+
+
+def item_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of an item, and the word that each belongs to."""
+    if len(words) < SHORT:
+        bounds = run_bounds(len(words))
+        parts = [(run_keys(words[a:b], int(b - a)), np.array([a])) for a, b in zip(bounds, bounds[1:], strict=False)]
+    else:
+        starts = np.arange(len(words))
+        walk = WALKS[walk_of(len(words))]
+        parts = [(keys, starts) for keys in walk_keys(words, starts, np.full(len(words), len(words)), walk)]
+    keys, places = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return keys[keys != 0], places[keys != 0]
+
+
+def document_keys(words: np.ndarray, first: np.ndarray, walks: list[int], runs: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys of consecutive texts by the walks and run lengths in use, and the words that they belong to."""
+    counts = np.diff(first)
+    windows = -(-counts // STRIDE)
+    starts = np.repeat(first[:-1], windows) + STRIDE * (np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows))
+    limits = np.repeat(first[1:], windows)
+    for number in walks:
+        for keys in walk_keys(words, starts, limits, WALKS[number]):
+            yield keys[keys != 0], starts[keys != 0]
+    for length in runs:
+        keys = run_keys(words, length)
+        at = np.arange(len(keys))
+        inside = at + length <= first[np.searchsorted(first, at, "right").clip(max=len(first) - 1)]
+        yield keys[inside], at[inside]
 
 
 def best_match(pattern: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -156,33 +161,37 @@ def best_match(pattern: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return least, end - starts.index(min(starts)), end
 
 
-def piece_matches(index: Index, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-    """(text, item, distance, first word, last word + 1) for each place of consecutive texts that matches an item."""
-    words, first = word_hashes(data, offsets)
-    places: dict[tuple[int, int], set[tuple[int, int, int]]] = {}
-    for text, item, begin, last_begin in index.candidates(words, first):
-        pattern = index.items[item].words
-        allowed = int(MAX_EDITS * len(pattern))
-        spans = [(max(int(first[text]), begin - allowed), min(int(first[text + 1]), last_begin + len(pattern) + allowed))]
-        while spans:
-            low, high = spans.pop()
-            if high - low < len(pattern) - allowed:
-                continue
-            # Each word of the item that the document lacks here costs an edit.
-            if np.isin(words[low:high], pattern).sum() < len(pattern) - allowed:
-                continue
-            distance, a, b = best_match(pattern, words[low:high])
-            if distance <= allowed:
-                places.setdefault((text, item), set()).add((distance, low + a - int(first[text]), low + b - int(first[text])))
-                # A candidate of several places has room for a further match.
-                spans += [(low, low + a), (low + b, high)]
-    for (text, item), found in sorted(places.items()):
-        taken: list[tuple[int, int]] = []
-        for distance, a, b in sorted(found):
-            if all(b <= x or y <= a for x, y in taken):
-                taken.append((a, b))
-                yield text, item, distance, a, b
-
+def matches_around(words: np.ndarray, pattern: np.ndarray, begins: list[int]) -> list[tuple[int, int, int]]:
+    """(distance, first word, last word + 1) of the parts of a text that match an item which would begin at one of `begins`,
+    give or take its edits. Parts do not overlap."""
+    allowed, n = allowed_edits(len(pattern)), len(pattern)
+    spans: list[tuple[int, int]] = []
+    for begin in sorted(begins):
+        low, high = max(0, begin - 2 * allowed), min(len(words), begin + n + 2 * allowed)
+        if spans and begin <= spans[-1][2] + allowed:
+            spans[-1] = (spans[-1][0], high, spans[-1][2])
+        else:
+            spans.append((low, high, begin))
+    found: set[tuple[int, int, int]] = set()
+    open_ = [span[:2] for span in spans]
+    while open_:
+        low, high = open_.pop()
+        # Each word of the item that the document lacks here costs an edit.
+        if high - low < n - allowed or np.isin(words[low:high], pattern).sum() < n - allowed:
+            continue
+        distance, a, b = best_match(pattern, words[low:high])
+        if distance <= allowed:
+            found.add((distance, low + a, low + b))
+            # A candidate of several places has room for a further match.
+            open_ += [(low, low + a), (low + b, high)]
+    taken: list[tuple[int, int, int]] = []
+    for match in sorted(found):
+        if all(match[2] <= a or b <= match[1] for _, a, b in taken):
+            taken.append(match)
+    return taken
+
+
+# --- Spark -----------------------------------------------------------------------------------------------------------
 
 def _hashed_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -193,60 +202,125 @@ def _hashed_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch["item_id"], pa.array(words, pa.binary())], ["item_id", "words"])
 
 
-def item_blocks(benchmark: DataFrame) -> Iterator[Index]:
-    """The items in blocks, each bounded in items and words."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(_hashed_items, "item_id long, words binary")
-    items = items.where(F.octet_length("words") >= 8 * MIN_WORDS)
-    block: list[Item] = []
-    # Rows come to the driver one partition at a time and are let go with their block.
-    for row in items.toLocalIterator():
-        words = np.frombuffer(row["words"], np.uint64)
-        if block and (len(block) >= BLOCK_ITEMS or sum(len(i.words) for i in block) + len(words) > BLOCK_WORDS):
-            yield Index(block)
-            block = []
-        block.append(Item(row["item_id"], words))
-    if block:
-        yield Index(block)
+def _keys_of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for item, words in zip(batch["item"].to_pylist(), batch["words"].to_pylist(), strict=True):
+            keys, places = item_keys(np.frombuffer(words, np.uint64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([item] * len(keys), pa.string()), pa.array(signed(keys)), pa.array(places.astype(np.int32))],
+                ["item", "key", "offset"])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, distance, first_word, last_word of every match."""
-    kind = "doc_id long, item_id long, distance int, first_word long, last_word long"
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = docs.sparkSession.createDataFrame([], kind)
-    for index in item_blocks(benchmark):
-        found = found.unionByName(texts.mapInArrow(_matcher(index), kind))
-    return found
+def _slots(keys: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """The two bits of a key in a table of `bits` bits, a power of two."""
+    yield (keys & _U(bits - 1)).astype(np.int64)
+    yield ((keys >> _U(32)) & _U(bits - 1)).astype(np.int64)
+
+
+def key_table(keys: DataFrame) -> np.ndarray:
+    """Bits of all keys of the items, at most `TABLE_BITS` of them, gathered as 64-bit words."""
+    n = keys.count()
+    bits = 64
+    while bits < min(TABLE_BITS, KEY_BITS * n):
+        bits *= 2
+    low, high = f"key & {bits - 1}", f"shiftrightunsigned(key, 32) & {bits - 1}"
+    slots = keys.selectExpr(f"explode(array({low}, {high})) AS slot")
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(slot & 63)))").alias("bits"))
+    found = words.toArrow()
+    table = np.zeros(bits // 64, np.uint64)
+    table[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return table
 
 
-def _matcher(index: Index):
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _windows(table: np.ndarray, walks: list[int], runs: list[int]):
+    """Windows of texts whose key is in the table; a text that a batch holds several times counts once."""
+    bits = 64 * len(table)
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for first_row, _, data, offsets in pieces(batch["text"]):
-                for text, item, distance, a, b in piece_matches(index, data, offsets):
-                    rows.append((batch["doc_id"][first_row + text].as_py(), index.items[item].item_id, distance, a, b - 1))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["doc_id", "item_id", "distance", "first_word", "last_word"])
+            t1, t2 = batch["t1"].to_numpy(), batch["t2"].to_numpy()
+            once = np.unique(np.stack([t1, t2], 1), axis=0, return_index=True)[1]
+            t1, t2, texts = t1[once], t2[once], batch["text"].take(pa.array(once))
+            for begin, _, data, offsets in pieces(texts):
+                words, first = word_hashes(data, offsets)
+                for keys, at in document_keys(words, first, walks, runs):
+                    known = np.ones(len(keys), bool)
+                    for slot in _slots(keys, bits):
+                        known &= (table[slot >> 6] >> (slot & 63).astype(np.uint64)) & _U(1) == 1
+                    keys, at = keys[known], at[known]
+                    text = np.searchsorted(first, at, "right") - 1
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(signed(keys)), pa.array(t1[begin + text]), pa.array(t2[begin + text]), pa.array((at - first[text]).astype(np.int32))],
+                        ["key", "t1", "t2", "place"])
+
+    return windows
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows, listed = [], batch["items"].to_pylist()
+        for row, _, data, offsets in pieces(batch["text"]):
+            hashed, first = word_hashes(data, offsets)
+            for k, (a, b) in enumerate(zip(first, first[1:], strict=False), row):
+                for item in listed[k]:
+                    for distance, begin, end in matches_around(hashed[a:b], np.frombuffer(item["words"], np.uint64), item["begins"]):
+                        rows.append((batch["t1"][k].as_py(), batch["t2"][k].as_py(), item["item"], distance, begin, end - 1))
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["t1", "t2", "item", "distance", "first_word", "last_word"])
+
 
-    return match
+_MATCH = "t1 long, t2 long, item string, distance int, first_word long, last_word long"
+
+
+def _text_keys(text: Column) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a text stand for it."""
+    known = F.coalesce(text, F.lit(""))
+    return F.xxhash64(known), F.xxhash64(F.lit(1), known)
+
+
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    """item_id, item (a digest of its words), words of every item that has any."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(_hashed_items, "item_id long, words binary")
+    return written(items.where("octet_length(words) > 0").select("item_id", F.md5("words").alias("item"), "words"), "items")
+
+
+def text_matches(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """t1, t2, item, distance, first_word, last_word of each distinct text of (t1, t2, text) that matches an item."""
+    distinct = items.select("item", "words").dropDuplicates(["item"])
+    sizes = distinct.selectExpr("octet_length(words) div 8 AS n").selectExpr(
+        f"least(n, {WALKS[-1].least}) AS n").distinct().collect()  # A few dozen numbers.
+    walks = sorted({walk_of(r["n"]) for r in sizes if r["n"] >= SHORT})
+    runs = sorted({int(x) for r in sizes if r["n"] < SHORT for x in np.diff(run_bounds(r["n"]))})
+    if not sizes:
+        return texts.sparkSession.createDataFrame([], _MATCH)
+    keys = written(distinct.mapInArrow(_keys_of_items, "item string, key long, offset int"), "item-keys")
+    windows = texts.mapInArrow(_windows(key_table(keys), walks, runs), "key long, t1 long, t2 long, place int").distinct()
+    hits = windows.join(keys, "key").select("t1", "t2", "item", (F.col("place") - F.col("offset")).alias("begin"))
+    begins = hits.groupBy("t1", "t2", "item").agg(F.collect_set("begin").alias("begins"))
+    listed = begins.join(distinct, "item").groupBy("t1", "t2").agg(F.collect_list(F.struct("item", "words", "begins")).alias("items"))
+    listed = written(listed, "candidates")
+    near = texts.join(written(listed.select("t1", "t2"), "candidate-texts"), ["t1", "t2"], "left_semi").dropDuplicates(["t1", "t2"])
+    return near.join(listed, ["t1", "t2"]).mapInArrow(_verified, _MATCH)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, distance, first_word, last_word of every match."""
+    t1, t2 = _text_keys(F.col("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), t1.alias("t1"), t2.alias("t2"), "text")
+    items = benchmark_items(benchmark)
+    matches = written(text_matches(texts.drop("doc_id"), items), "text-matches")
+    return texts.select("doc_id", "t1", "t2").join(matches, ["t1", "t2"]).join(items.select("item_id", "item"), "item").select(
+        "doc_id", "item_id", "distance", "first_word", "last_word")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` that match no item, with all their columns."""
-    def cleaner(index: Index):
-        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                for first_row, _, data, offsets in pieces(batch["text"]):
-                    keep[[first_row + match[0] for match in piece_matches(index, data, offsets)]] = False
-                yield batch.filter(pa.array(keep))
-
-        return clean
-
-    for index in item_blocks(benchmark):
-        docs = filtered_rows(docs, cleaner(index))
-    return docs
+    t1, t2 = _text_keys(F.col("text"))
+    matches = text_matches(docs.select(t1.alias("t1"), t2.alias("t2"), "text"), benchmark_items(benchmark))
+    dirty = written(matches.select(F.struct("t1", "t2").alias("__dirty__")).distinct(), "dirty-texts")
+    whole = docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("__row__"))
+    t1, t2 = _text_keys(F.col("__row__")["text"])
+    kept = whole.join(dirty, (F.col("__dirty__")["t1"] == t1) & (F.col("__dirty__")["t2"] == t2), "left_anti")
+    return kept.select("__row__.*")
