@@ -5,8 +5,8 @@ the source's subroot; subroots, ordered by source, become the root the same way.
 
 * Places without sorting. A leaf's place is its rank among the doc_ids of its source. Tasks turn their rows into compressed
   bitmaps of `CHUNK` doc_ids (sorted 16-bit offsets while sparse, bits beyond), which are merged per source and chunk. A
-  popcount directory of four levels of 13 bits of the chunk number holds how many leaves come before each chunk: one
-  small window per directory node, whatever the spread of the ids. Within a chunk the rank is a count of lower bits.
+  popcount directory, each level by 13 bits of the chunk number, holds how many leaves come before each chunk: one small
+  window per directory node, whatever the spread of the ids. Within a chunk the rank is a count of lower bits.
 * Repeated ids. A bitmap holds an id once, with its number of rows beside it. Such rows leave the chunk's group and are
   counted as distinct leaves by the first bytes of their digest and then within these, so a hot id spreads, too.
 * Slot arrays. Leaves are grouped by place div `BLOCK`: each group is an array of slots, which one call reduces by seven
@@ -147,21 +147,26 @@ def _merged(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
 
 
 def directory(bitmaps: DataFrame) -> DataFrame:
-    """The bitmaps with `before`, the leaves of their source that come before the chunk."""
-    down = [bitmaps.withColumn("up", F.shiftright("chunk", _DIGIT))]
-    for _ in range(3):
-        nodes = down[-1].groupBy("s", F.col("up").alias("chunk")).agg(F.sum("n").alias("n"))
-        down.append(nodes.withColumn("up", F.shiftright("chunk", _DIGIT)))
-    before = None
-    for nodes in reversed(down):
-        node = Window.partitionBy("s", "up") if before is not None else Window.partitionBy("s")
-        earlier = node.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-        nodes = nodes.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        if before is not None:
-            upper = before.select("s", F.col("chunk").alias("up"), F.col("before").alias("above"))
-            nodes = nodes.join(upper, ["s", "up"]).withColumn("before", F.col("before") + F.col("above")).drop("above")
-        before = nodes
-    return before.drop("up")
+    """The bitmaps with `before`, the leaves of their source that come before the chunk. The directory has as many levels as
+    the spread of the chunks asks for: five for ids all over 64 bits, one up to some 33 million."""
+    low, high = bitmaps.where(f"chunk > {_NULL_CHUNK}").agg(F.min("chunk"), F.max("chunk")).first()
+    nodes = [bitmaps]
+    while high is not None and high - low >= 1 << _DIGIT:
+        low, high = low >> _DIGIT, high >> _DIGIT
+        up = F.shiftright("chunk", _DIGIT)
+        nodes[-1] = nodes[-1].withColumn("up", up)
+        nodes.append(nodes[-1].groupBy("s", F.col("up").alias("chunk")).agg(F.sum("n").alias("n")))
+
+    def counted(level: DataFrame, *node: str) -> DataFrame:
+        earlier = Window.partitionBy(*node).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+        return level.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+
+    found = counted(nodes.pop(), "s")
+    while nodes:
+        upper = found.select("s", F.col("chunk").alias("up"), F.col("before").alias("above"))
+        found = counted(nodes.pop(), "s", "up").join(upper, ["s", "up"])
+        found = found.withColumn("before", F.col("before") + F.col("above")).drop("above", "up")
+    return found
 
 
 def _ranks(rows: pa.Table, bitmap: pa.Table) -> pa.Table:
