@@ -217,36 +217,40 @@ def _sourced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(doc[source]), pa.array(salt[source]), pa.array(place[source])], names)
 
 
-def _spans_read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digests of the words of the spans asked for, and of the words left when the spans of `gone` are out."""
-    for batch in batches:
-        ids, salts = batch["doc_id"].to_pylist(), batch["salt"].to_pylist()
-        spans, gone = batch["spans"].to_pylist(), batch["gone"].to_pylist()
-        out: list[tuple] = []
-        for begin, end, data, offsets in pieces(batch["text"], TOGETHER):
-            starts, ends, first = word_ranges(data, offsets)
-            for i in range(begin, end):
-                lo, hi = first[i - begin], first[i - begin + 1]
-                text = data[offsets[i - begin]:offsets[i - begin + 1]].tobytes()
-                base = offsets[i - begin]
-                bounds = list(zip((starts[lo:hi] - base).tolist(), (ends[lo:hi] - base).tolist(), strict=True))
-                words = [text[a:b] for a, b in bounds]
-                for span in spans[i] or ():
-                    part = b" ".join(words[span["place"]:span["place"] + span["words"]])
-                    out.append((ids[i], salts[i], span["place"], span["words"], hashlib.md5(part).digest(), None, None, None))
-                lost = np.zeros(len(words) + 1, np.int64)
-                for span in gone[i] or ():
-                    lost[span["place"]] += 1
-                    lost[span["place"] + span["words"]] -= 1
-                kept = [w for w, out_ in zip(words, np.cumsum(lost)[:-1].tolist(), strict=True) if not out_]
-                out.append((ids[i], salts[i], None, None, None, len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
-        names = ["doc_id", "salt", "place", "words", "digest", "n_words", "n_removed", "kept_sha256"]
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.string()]
-        columns = zip(*out, strict=True) if out else [[]] * len(names)
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
-
-
-_READ = "doc_id long, salt long, place int, words int, digest binary, n_words long, n_removed long, kept_sha256 string"
+_READ = "doc_id long, salt long, place int, n int, from_id long, from_salt long, from_place int, digest binary, n_words long, n_removed long, kept_sha256 string"
+
+
+def _spans_read(size: int):
+    """Digests of the words of the spans asked for, and of the words left when the document's own paths are out."""
+    names = [c.split()[0] for c in _READ.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.string()]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, salts, spans = (batch[c].to_pylist() for c in ("doc_id", "salt", "spans"))
+            out: list[tuple] = []
+            for begin, end, data, offsets in pieces(batch["text"], TOGETHER):
+                starts, ends, first = word_ranges(data, offsets)
+                for i in range(begin, end):
+                    lo, hi, base = first[i - begin], first[i - begin + 1], offsets[i - begin]
+                    text = data[base:offsets[i - begin + 1]].tobytes()
+                    words = [text[a:b] for a, b in zip((starts[lo:hi] - base).tolist(), (ends[lo:hi] - base).tolist(), strict=True)]
+                    lost = np.zeros(len(words) + 1, np.int64)
+                    for span in spans[i]:
+                        place, n = span["place"], span["n"]
+                        digest = hashlib.md5(b" ".join(words[place:place + n + size - 1])).digest()
+                        out.append((ids[i], salts[i], place, n, span["from_id"], span["from_salt"], span["from_place"], digest, None, None, None))
+                        if span["from_id"] is not None:
+                            lost[place] += 1
+                            lost[place + n + size - 1] -= 1
+                    kept = [w for w, gone in zip(words, np.cumsum(lost)[:-1].tolist(), strict=True) if not gone]
+                    if len(kept) < len(words):
+                        kept_sha = hashlib.sha256(b" ".join(kept)).hexdigest()
+                        out.append((ids[i], salts[i], *[None] * 6, len(words), len(words) - len(kept), kept_sha))
+            columns = zip(*out, strict=True) if out else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
+
+    return read
 
 
 class PassageDedup:
@@ -266,14 +270,7 @@ class PassageDedup:
         if not again.isEmpty():
             copies = self.texts.where("salt <> 0").dropDuplicates(["doc_id", "salt"])
             self.texts = self.texts.where("salt = 0").unionByName(copies)
-        self._paths: DataFrame | None = None
-        self._results: DataFrame | None = None
-
-    def _texts_with(self, lists: DataFrame, name: str) -> DataFrame:
-        """Texts that `lists` names, with its columns. A narrow look-up goes first, written for itself so that Spark knows its
-        size: where it is small, other texts do not move; where it is not, both joins share one shuffle."""
-        key = ["doc_id", "salt"]
-        return self.texts.join(written(lists.select(*key), name), key, "left_semi").join(lists, key)
+        self._read: DataFrame | None = None
 
     def _candidates(self) -> DataFrame:
         """doc_id, salt, seeds: seeds that other documents have, too."""
@@ -281,9 +278,9 @@ class PassageDedup:
         several = seeds.repartition("route").sortWithinPartitions("route").mapInArrow(_several, "doc_id long, salt long, seed long")
         return written(several.groupBy("doc_id", "salt").agg(F.collect_list("seed").alias("seeds")), "seeds-of-texts")
 
-    def _compacted(self, wide: bool) -> DataFrame:
+    def _compacted(self, candidates: DataFrame, wide: bool) -> DataFrame:
         """Paths: edges that follow each other in the document as their sources do."""
-        rows = self._texts_with(self.candidates, "texts-of-seeds").mapInArrow(_edge_rows(self.size, self.gram, wide, self.edge_bits), _EDGE)
+        rows = self.texts.join(candidates, ["doc_id", "salt"]).mapInArrow(_edge_rows(self.size, self.gram, wide, self.edge_bits), _EDGE)
         steps = rows.repartition("e1", "e2").sortWithinPartitions("e1", "e2", "doc_id", "salt", "place").mapInArrow(_sourced, _PATH)
         document = Window.partitionBy("doc_id", "salt").orderBy("place", "from_id", "from_salt", "from_place")
         before = F.lag(F.struct(F.expr("place + n"), F.expr("from_place + n"), "from_id", "from_salt")).over(document)
@@ -294,40 +291,41 @@ class PassageDedup:
             F.min("place").alias("place"), F.sum("n").cast("int").alias("n"), F.first("from_id").alias("from_id"),
             F.first("from_salt").alias("from_salt"), F.min("from_place").alias("from_place")).drop("path")
 
-    def _read(self, paths: DataFrame) -> DataFrame:
-        """Words of both ends of every path, and what is left of the texts that lose any."""
-        words = F.expr(f"n + {self.size - 1}").cast("int").alias("words")
-        own = paths.select("doc_id", "salt", "place", words, F.lit(True).alias("gone"))
-        source = paths.select(F.col("from_id").alias("doc_id"), F.col("from_salt").alias("salt"), F.col("from_place").alias("place"),
-                              words, F.lit(False).alias("gone"))
-        span = F.struct("place", "words")
-        asked = own.unionByName(source).distinct().groupBy("doc_id", "salt").agg(
-            F.collect_set(span).alias("spans"), F.collect_list(F.when(F.col("gone"), span)).alias("gone"))
-        return written(self._texts_with(written(asked, "spans-asked"), "texts-of-spans").mapInArrow(_spans_read, _READ), "spans-read")
-
-    def _verified(self, paths: DataFrame, read: DataFrame) -> bool:
-        digests = read.where("digest IS NOT NULL").select("doc_id", "salt", "place", "words", "digest").distinct()
-        claims = paths.withColumn("words", F.expr(f"n + {self.size - 1}"))
-        own = claims.join(digests, ["doc_id", "salt", "place", "words"]).select("from_id", "from_salt", "from_place", "words", "digest").distinct()
-        source = digests.toDF("from_id", "from_salt", "from_place", "words", "source_digest")
-        return own.join(source, ["from_id", "from_salt", "from_place", "words"]).where("digest <> source_digest").isEmpty()
-
-    def _resolve(self) -> None:
-        if self._paths is None:
-            self.candidates = self._candidates()
+    def _verifiable(self, paths: DataFrame) -> DataFrame:
+        """Paths and their sources with digests of their words, and what is left of the texts that lose any. One job from the
+        texts on: they are shuffled by document once, for their edges and for these spans."""
+        each = """inline(array(
+          struct(doc_id, salt, place, n, from_id, from_salt, from_place),
+          struct(from_id AS doc_id, from_salt AS salt, from_place AS place, n, NULL AS from_id, NULL AS from_salt, NULL AS from_place)))"""
+        span = F.struct("place", "n", "from_id", "from_salt", "from_place")
+        asked = paths.selectExpr(each).groupBy("doc_id", "salt").agg(F.collect_set(span).alias("spans"))
+        return written(self.texts.join(asked, ["doc_id", "salt"]).mapInArrow(_spans_read(self.size), _READ), "spans-read")
+
+    @staticmethod
+    def _verified(read: DataFrame) -> bool:
+        """Whether all paths hold the words of their sources."""
+        place = ["from_id", "from_salt", "from_place", "n"]
+        claimed = read.where("from_id IS NOT NULL").select(*place, "digest").distinct()
+        source = read.where("digest IS NOT NULL AND from_id IS NULL").select(
+            F.col("doc_id").alias("from_id"), F.col("salt").alias("from_salt"), F.col("place").alias("from_place"), "n",
+            F.col("digest").alias("true_digest")).distinct()
+        return claimed.join(source, place, "left").where("NOT digest <=> true_digest").isEmpty()
+
+    def _resolved(self) -> DataFrame:
+        if self._read is None:
+            candidates = self._candidates()
             for wide in (False, True):
-                self._paths = written(self._compacted(wide), "paths")
-                self._results = self._read(self._paths)
-                if self._verified(self._paths, self._results):
-                    return
+                self._read = self._verifiable(self._compacted(candidates, wide))
+                if self._verified(self._read):
+                    return self._read
             raise RuntimeError("spans differ although 128-bit hashes of all their edges agree")
+        return self._read
 
     def paths(self) -> DataFrame:
         """doc_id, salt, place, n, from_id, from_salt, from_place: `n` edges from word `place` on are those of the document
         from_id from word from_place on. `salt` tells rows of one doc_id apart. Which of several sources is named can
         depend on how rows are read; what is repeated does not."""
-        self._resolve()
-        return self._paths
+        return self._resolved().where("from_id IS NOT NULL").select(*(c.split()[0] for c in _PATH.split(", ")))
 
     def unitigs(self) -> DataFrame:
         """from_id, from_salt, place, n, copies: the paths of each source cut wherever one begins or ends, with the number of
@@ -343,12 +341,11 @@ class PassageDedup:
 
     def documents(self) -> DataFrame:
         """doc_id, n_words, n_removed, kept_sha256 of every row: sha256 of the words left, joined by spaces."""
-        self._resolve()
-        changed = self._results.where("n_words IS NOT NULL AND n_removed > 0").select(
+        changed = self._resolved().where("n_removed > 0").select(
             "doc_id", "salt", "n_removed", F.col("kept_sha256").alias("kept")).distinct()
         plain = F.array_join(F.regexp_extract_all("text", F.lit(WORD_REGEX), F.lit(0)), " ")
         rows = self.rows.select(
             "doc_id", "salt", F.regexp_count("text", F.lit(WORD_REGEX)).cast("long").alias("n_words"), F.sha2(plain, 256).alias("whole"))
-        return rows.join(written(changed, "changed"), ["doc_id", "salt"], "left").select(
+        return rows.join(changed, ["doc_id", "salt"], "left").select(
             "doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
             F.coalesce("kept", "whole").alias("kept_sha256"))

@@ -34,8 +34,8 @@ ARITY = 3
 #: Levels that one slot array takes in a round, and the leaves it holds.
 LEVELS = 7
 BLOCK = ARITY**LEVELS
-#: Ids per bitmap: 2**12. A chunk below all others holds null.
-CHUNK_BITS = 12
+#: Ids per bitmap: 2**10. A chunk below all others holds null.
+CHUNK_BITS = 10
 CHUNK = 1 << CHUNK_BITS
 _NULL_CHUNK = -(1 << 63 - CHUNK_BITS) - 1
 _DIGIT = 13
@@ -148,7 +148,7 @@ def _merged(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
 
 def directory(bitmaps: DataFrame) -> DataFrame:
     """The bitmaps with `before`, the leaves of their source that come before the chunk. The directory has as many levels as
-    the spread of the chunks asks for: five for ids all over 64 bits, one up to some 33 million."""
+    the spread of the chunks asks for: five for ids all over 64 bits, one up to some 8 million."""
     low, high = bitmaps.where(f"chunk > {_NULL_CHUNK}").agg(F.min("chunk"), F.max("chunk")).first()
     nodes = [bitmaps]
     while high is not None and high - low >= 1 << _DIGIT:

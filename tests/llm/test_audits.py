@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -49,7 +50,7 @@ def test_edges_whose_hashes_lie(spark, documents):
     docs = spark.createDataFrame(woven(), DOCUMENTS)
     found = PassageDedup(docs, edge_bits=4)
     assert bag(found.documents().collect()) == bag(passages(pairs_of(docs), 13))
-    assert not found._verified(found._compacted(wide=False), found._read(found._compacted(wide=False)))
+    assert not found._verified(found._verifiable(found._compacted(found._candidates(), wide=False)))
 
 
 def test_paths_name_equal_spans(spark, documents):
@@ -68,6 +69,22 @@ def test_paths_name_equal_spans(spark, documents):
     assert cover == {(u.from_id, u.place + k): u.copies for u in found.unitigs().collect() for k in range(u.n)}
 
 
+def test_texts_are_shuffled_once(spark, documents, monkeypatch):
+    """Edges and spans are read from the same shuffle of the texts."""
+    found = PassageDedup(documents)
+    candidates = found._candidates()
+    monkeypatch.setattr(debruijn, "written", lambda df, name: df)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = found._verifiable(found._compacted(candidates, wide=False))
+        assert read.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    done = read._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert re.search(r"ReusedExchange \[doc_id#[^]]*text#", done)
+
+
 def test_many_copies_of_a_passage_and_of_a_document(spark, documents):
     same, passage = prose(200, 9).replace("\n", " "), prose(30, 10).replace("\n", " ")
     rows = [(k, same if k % 3 == 0 else f"{prose(20, 100 + k)} {passage} {prose(15, 900 + k)}", "en", "a", 1) for k in range(300)]
@@ -161,10 +178,10 @@ def test_manifest_of_scattered_and_repeated_ids(spark, documents):
 
 def test_bitmaps_keep_their_ids():
     rng = np.random.default_rng(5)
-    for n in (0, 1, 254, 255, 256, 257, 4096):
+    for n in (0, 1, merkle.CHUNK // 16 - 1, merkle.CHUNK // 16, merkle.CHUNK // 16 + 1, merkle.CHUNK):
         ids = np.sort(rng.choice(merkle.CHUNK, n, replace=False))
         assert (merkle.unpacked(merkle.packed(ids)) == ids).all()
-        assert len(merkle.packed(ids)) == min(2 * n, 512)
+        assert len(merkle.packed(ids)) == min(2 * n, merkle.CHUNK // 8)
 
 
 @pytest.mark.parametrize("n, height", [(1, 0), (2, 1), (3, 1), (4, 2), (9, 2), (10, 3), (2187, 7), (2188, 8)])
