@@ -6,8 +6,8 @@ Texts are sequences of words, lower-cased (A-Z). An item of n words matches with
 * Walks. A walk reads a window from its first word on; at each step a coin of the word and the step decides whether it goes
   on to the next word. Two walks over windows that differ by few edits soon stand at equal words again, so their steps
   differ in few places (the embedding of Chakraborty, Goldenberg and Koucky).
-* Keys. Of the steps a few are sampled; the words there are one key. `WALKS` has, by the items' size, the window's size,
-  steps, samples and the number of repetitions, each with coins and samples of its own. Items give keys of the windows at
+* Keys. Of the steps a few are sampled; the words there are one key, if enough of them differ to say something. `WALKS` has,
+  by the items' size, the window's size, steps, samples and the number of repetitions, each with coins and samples of its own. Items give keys of the windows at
   all their words, documents at every `STRIDE`-th word: a passage holds several such windows, more the longer it is.
   The numbers are those with which, measured, at least 95% of passages with a fifth of edits are found (the tests
   measure it, for edits at random and spread evenly).
@@ -51,10 +51,12 @@ class Walk(NamedTuple):
     size: int
     steps: int
     samples: int
+    #: Different words that the samples of a key must have.
+    words: int
     repetitions: int
 
 
-WALKS = (Walk(8, 6, 8, 4, 12), Walk(24, 8, 10, 4, 8), Walk(60, 12, 16, 5, 8))
+WALKS = (Walk(10, 6, 8, 4, 3, 12), Walk(24, 8, 12, 4, 4, 12), Walk(60, 12, 16, 4, 4, 8))
 SHORT = WALKS[0].least
 
 
@@ -74,7 +76,7 @@ def sampled_steps(walk: Walk, repetition: int) -> list[int]:
 def walk_keys(words: np.ndarray, starts: np.ndarray, limits: np.ndarray, walk: Walk) -> Iterator[np.ndarray]:
     """Per repetition a key for each start; 0 where the walk had left its window, or its text at `limits`, at a sampled step:
     blanks say nothing about the text."""
-    padded = np.append(words, np.zeros(walk.size + 1, np.uint64))
+    padded = np.append(words, np.zeros(walk.steps + 1, np.uint64))
     ends = np.minimum(starts + walk.size, limits)
     turns = 64 // walk.steps
     for repetition in range(walk.repetitions):
@@ -83,13 +85,18 @@ def walk_keys(words: np.ndarray, starts: np.ndarray, limits: np.ndarray, walk: W
             coins = mix(padded + _U(((walk.size << 32) + repetition + 1) * _STEP & 0xFFFFFFFFFFFFFFFF))
         sampled = sampled_steps(walk, repetition)
         at, keys, left = starts.copy(), np.full(len(starts), walk.size * 1000 + repetition, np.uint64), np.zeros(len(starts), bool)
+        seen: list[np.ndarray] = []
+        fresh = np.zeros(len(starts), np.int8)
         for step in range(sampled[-1] + 1):
             if step in sampled:
                 left |= at >= ends
-                keys = mix(keys * _U(_STEP) + padded[at])
+                word = padded[at]
+                keys = mix(keys * _U(_STEP) + word)
+                fresh += ~np.logical_or.reduce([word == other for other in seen]) if seen else np.int8(1)
+                seen.append(word)
             if step < sampled[-1]:
                 at += ((coins[at] >> _U(repetition % turns * walk.steps + step)) & _U(1)).astype(at.dtype)
-        keys[left] = 0
+        keys[left | (fresh < walk.words)] = 0
         yield keys
 
 

@@ -276,7 +276,7 @@ def passages_with_all_edits(n: int, spread: bool):
 
 
 @pytest.mark.parametrize("spread", [False, True])
-@pytest.mark.parametrize("n", [8, 10, 15, 23, 24, 30, 59, 60, 120, 240])
+@pytest.mark.parametrize("n", [10, 15, 23, 24, 30, 59, 60, 120, 240])
 def test_recall_at_a_fifth_of_edits(n, spread):
     """Keys of item and document meet, at a place that the edits allow, for at least 95% of passages of each size."""
     items, texts = passages_with_all_edits(n, spread)
@@ -291,7 +291,7 @@ def test_recall_at_a_fifth_of_edits(n, spread):
     assert found >= 0.95 * len(items)
 
 
-@pytest.mark.parametrize("n", range(1, 8))
+@pytest.mark.parametrize("n", range(1, 10))
 def test_short_items_are_never_missed(spark, documents, n):
     items, texts = passages_with_all_edits(n, spread=False)
     items = [(k, " ".join(map(str, w))) for k, w in enumerate(items[:20])]
@@ -329,7 +329,7 @@ def test_walks_turn_edits_into_few_differences():
             a, b = (list(decontamination.walk_keys(np.array(x, np.uint64), np.array([0]), np.array([len(x)]), walk)) for x in (w, v))
             both = [(x[0], y[0]) for x, y in zip(a, b, strict=True) if x[0] and y[0]]
             agree, total = agree + sum(x == y for x, y in both), total + len(both)
-        assert agree / total > 0.2
+        assert agree / total > 0.15
 
 
 def test_a_full_key_table_gives_the_same(spark, monkeypatch):
