@@ -36,10 +36,11 @@ SIZE = 13
 GRAM = 5
 #: Bytes of text in which seeds and edges are resolved together.
 TOGETHER = 1 << 22
+#: Rows that a stream puts in order before it sends them on.
+HELD_ROWS = 1 << 19
 _U = np.uint64
 
 _SEEDS = "route long, seed long, doc_id long, salt long, known boolean"
-_EDGE = "e1 long, e2 long, doc_id long, salt long, place int, more array<int>, n int, from_id long, from_salt long, from_place int"
 _PATH = "doc_id long, salt long, place int, n int, from_id long, from_salt long, from_place int"
 
 
@@ -125,9 +126,21 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(known)).select(["doc_id", "salt", "seed"])
 
 
+def _progressions(doc: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted places of equal edges as first index, number and stride of runs of equal strides within a document."""
+    head = _firsts(*doc)
+    stride = np.diff(place, prepend=0)
+    # A place goes on with a run if it is as far from the one before as that one is from its own.
+    goes_on = np.zeros(len(place), bool)
+    goes_on[2:] = ~head[2:] & ~head[1:-1] & (stride[2:] == stride[1:-1])
+    starts = np.flatnonzero(~goes_on)
+    times = np.diff(np.append(starts, len(place)))
+    return starts, times, np.where(times > 1, stride[np.minimum(starts + 1, len(place) - 1)], 0)
+
+
 def _edge_rows(size: int, gram: int, wide: bool, edge_bits: int):
     """Edges of texts with one of `seeds`: of each edge those of the smallest document of a piece, still to be compared with
-    other pieces, as one row with null from_id and the further places in `more`; and paths of what that document repeats."""
+    other pieces, with null from_id (`n` of them, `from_place` words apart); and paths of what that document repeats."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, salts = _keys(batch)
@@ -141,80 +154,85 @@ def _edge_rows(size: int, gram: int, wide: bool, edge_bits: int):
                 tag = mix((owner[mine] - begin).astype(np.uint64) + _U(1))
                 kept = np.isin(seed ^ mix(text.astype(np.uint64) + _U(1)), wanted[mine] ^ tag)
                 text, place, at = text[kept], place[kept], at[kept]
-                e1 = shingle_hashes(words, size)[at] >> _U(64 - edge_bits) if len(at) else np.zeros(0, np.uint64)
-                e2 = np.zeros(len(at), np.uint64)
-                if wide and len(at):
-                    other = word_hashes(data, offsets, lower=False, seed=1)[0]
-                    e1, e2 = shingle_hashes(words, size)[at], shingle_hashes(other, size)[at]
+                if not len(at):
+                    continue
+                hashes = [shingle_hashes(words, size)[at] >> _U(64 - edge_bits)]
+                if wide:
+                    hashes = [shingle_hashes(w, size)[at] for w in (words, word_hashes(data, offsets, lower=False, seed=1)[0])]
                 doc, salt = ids[begin + text], salts[begin + text]
-                order = np.lexsort((place, salt, doc, e2, e1))
-                e1, e2, doc, salt, place = (c[order] for c in (e1, e2, doc, salt, place))
-                head = np.maximum.accumulate(np.where(_firsts(e1, e2), np.arange(len(e1)), 0))
+                order = np.lexsort((place, salt, doc, *hashes[::-1]))
+                *hashes, doc, salt, place = (c[order] for c in (*hashes, doc, salt, place))
+                head = np.maximum.accumulate(np.where(_firsts(*hashes), np.arange(len(doc)), 0))
                 repeated = doc > doc[head]
-                open_ = [c[~repeated] for c in (e1, e2, doc, salt, place)]
-                starts = np.flatnonzero(_firsts(*open_[:4]))
-                again = np.ones(len(open_[4]), bool)
-                again[starts] = False
-                times = np.diff(np.append(starts, len(again)))
-                more = pa.ListArray.from_arrays(
-                    pa.array(np.append(0, np.cumsum(times - 1)), pa.int32()), pa.array(open_[4][again], pa.int32()),
-                    mask=pa.array(times == 1))
-                none = np.zeros(len(starts), np.int64)
-                yield _rows(*(c[starts] for c in open_), more, none + 1, none, none, none, True)
+                *own, own_place = (c[~repeated] for c in (*hashes, doc, salt, place))
+                starts, times, stride = _progressions(own, own_place)
+                # Rows of a document together: they are smaller in the shuffle.
+                order = np.lexsort((own_place[starts], own[-1][starts], own[-2][starts]))
+                starts, times, stride = starts[order], times[order], stride[order]
+                yield _rows([c[starts] for c in own[:-2]], own[-2][starts], own[-1][starts], own_place[starts], times, None, None, stride)
                 # Paths within the piece.
                 head = head[repeated]
                 path = [c[repeated] for c in (doc, salt, place)] + [c[head] for c in (doc, salt, place)]
                 order = np.lexsort((path[2], path[1], path[0]))
                 path = [c[order] for c in path]
                 step = np.arange(len(order))
-                new = _firsts(path[0], path[1], path[2] - step, path[3], path[4], path[5] - step)
-                starts = np.flatnonzero(new)
+                starts = np.flatnonzero(_firsts(path[0], path[1], path[2] - step, path[3], path[4], path[5] - step))
                 n = np.diff(np.append(starts, len(order)))
                 doc, salt, place, from_id, from_salt, from_place = (c[starts] for c in path)
                 route = mix(doc.astype(np.uint64) + salt.astype(np.uint64))
-                none = pa.nulls(len(route), pa.list_(pa.int32()))
-                yield _rows(route, np.zeros(len(route), np.uint64), doc, salt, place, none, n, from_id, from_salt, from_place, False)
+                yield _rows([route] * len(hashes), doc, salt, place, n, from_id, from_salt, from_place)
 
     return rows
 
 
-def _rows(e1, e2, doc, salt, place, more, n, from_id, from_salt, from_place, open_: bool) -> pa.RecordBatch:
-    mask = np.full(len(e1), open_)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(signed(e1)), pa.array(signed(e2)), pa.array(doc), pa.array(salt), pa.array(place.astype(np.int32)), more,
-         pa.array(n.astype(np.int32)), pa.array(from_id, mask=mask), pa.array(from_salt, mask=mask),
-         pa.array(from_place.astype(np.int32), mask=mask)],
-        [c.split()[0] for c in _EDGE.split(", ")])
+def _rows(hashes, doc, salt, place, n, from_id, from_salt, from_place) -> pa.RecordBatch:
+    none = pa.nulls(len(doc), pa.int64())
+    columns = [*(pa.array(signed(h)) for h in hashes), pa.array(doc), pa.array(salt), pa.array(place.astype(np.int32)), pa.array(n.astype(np.int32)),
+               none if from_id is None else pa.array(from_id), none if from_salt is None else pa.array(from_salt), pa.array(from_place.astype(np.int32))]
+    return pa.RecordBatch.from_arrays(columns, [*(f"e{k + 1}" for k in range(len(hashes))), *(c.split()[0] for c in _PATH.split(", "))])
 
 
-def _sourced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sourced(hashes: list[str]):
     """Paths out of a stream of edges sorted by hash, doc_id, salt and place: what has a smaller document before it, and
-    paths found earlier. Only the source of the last hash is kept between batches."""
+    paths found earlier. Only the source of the last hash is kept between batches, and a bounded number of rows."""
     names = [c.split()[0] for c in _PATH.split(", ")]
-    last: list[np.ndarray] | None = None
-    for batch in batches:
-        done = batch.filter(pc.is_valid(batch["from_id"]))
-        if done.num_rows:
-            yield done.select(names)
-        batch = batch.filter(pc.is_null(batch["from_id"]))
-        if not batch.num_rows:
-            continue
-        columns, more = [batch[c].to_numpy() for c in ("e1", "e2", "doc_id", "salt", "place")], batch["more"]
-        if last is not None:
-            columns = [np.concatenate([a, b]) for a, b in zip(last, columns, strict=True)]
-            more = pa.concat_arrays([pa.nulls(1, more.type), more])
-        e1, e2, doc, salt, place = columns
-        head = np.maximum.accumulate(np.where(_firsts(e1, e2), np.arange(len(e1)), 0))
-        last = [c[head[-1]:head[-1] + 1] for c in columns]
-        repeated = doc > doc[head]
-        further = pc.list_parent_indices(more).to_numpy()
-        kept = repeated[further]
-        places = np.concatenate([place[repeated], pc.list_flatten(more).to_numpy()[kept]])
-        repeated = np.concatenate([np.flatnonzero(repeated), further[kept]])
-        source = head[repeated]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[repeated]), pa.array(salt[repeated]), pa.array(places), pa.array(np.ones(len(repeated), np.int32)),
-             pa.array(doc[source]), pa.array(salt[source]), pa.array(place[source])], names)
+
+    def ordered(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        """Rows of a document together."""
+        found = pa.concat_batches(rows)
+        doc, salt, place = (found[c].to_numpy() for c in ("doc_id", "salt", "place"))
+        return found.take(pa.array(np.lexsort((place, salt, doc))))
+
+    def sourced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list[np.ndarray] | None = None
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            found = pc.is_valid(batch["from_id"])
+            held.append(batch.filter(found).select(names))
+            batch = batch.filter(pc.invert(found))
+            if batch.num_rows:
+                columns = [batch[c].to_numpy() for c in (*hashes, "doc_id", "salt", "place", "n", "from_place")]
+                if last is not None:
+                    columns = [np.concatenate([a, b]) for a, b in zip(last, columns, strict=True)]
+                *edge, doc, salt, place, times, stride = columns
+                head = np.maximum.accumulate(np.where(_firsts(*edge), np.arange(len(doc)), 0))
+                last = [c[head[-1]:head[-1] + 1] for c in columns]
+                repeated = np.flatnonzero(doc > doc[head])
+                # All places of an edge in the document.
+                count = times[repeated]
+                repeated = np.repeat(repeated, count)
+                number = np.arange(len(repeated)) - np.repeat(np.cumsum(count) - count, count)
+                source = head[repeated]
+                held.append(pa.RecordBatch.from_arrays(
+                    [pa.array(doc[repeated]), pa.array(salt[repeated]), pa.array((place[repeated] + stride[repeated] * number).astype(np.int32)),
+                     pa.array(np.ones(len(repeated), np.int32)), pa.array(doc[source]), pa.array(salt[source]), pa.array(place[source])], names))
+            if sum(b.num_rows for b in held) > HELD_ROWS:
+                yield ordered(held)
+                held = []
+        if held:
+            yield ordered(held)
+
+    return sourced
 
 
 _READ = "doc_id long, salt long, place int, n int, from_id long, from_salt long, from_place int, digest binary, n_words long, n_removed long, kept_sha256 string"
@@ -280,8 +298,10 @@ class PassageDedup:
 
     def _compacted(self, candidates: DataFrame, wide: bool) -> DataFrame:
         """Paths: edges that follow each other in the document as their sources do."""
-        rows = self.texts.join(candidates, ["doc_id", "salt"]).mapInArrow(_edge_rows(self.size, self.gram, wide, self.edge_bits), _EDGE)
-        steps = rows.repartition("e1", "e2").sortWithinPartitions("e1", "e2", "doc_id", "salt", "place").mapInArrow(_sourced, _PATH)
+        hashes = ["e1", "e2"] if wide else ["e1"]
+        rows = self.texts.join(candidates, ["doc_id", "salt"]).mapInArrow(
+            _edge_rows(self.size, self.gram, wide, self.edge_bits), "".join(f"{h} long, " for h in hashes) + _PATH)
+        steps = rows.repartition(*hashes).sortWithinPartitions(*hashes, "doc_id", "salt", "place").mapInArrow(_sourced(hashes), _PATH)
         document = Window.partitionBy("doc_id", "salt").orderBy("place", "from_id", "from_salt", "from_place")
         before = F.lag(F.struct(F.expr("place + n"), F.expr("from_place + n"), "from_id", "from_salt")).over(document)
         here = F.struct("place", "from_place", "from_id", "from_salt")
