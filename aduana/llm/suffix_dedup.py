@@ -38,7 +38,8 @@ LENGTH = 400
 GRAM = 64
 #: Occurrences of a gram that are brought together at most; with their surroundings, about 60 MB.
 GROUP_ROWS = 1 << 16
-_SEGMENT = 1 << 23
+#: Bytes of a text handled at once.
+SEGMENT = 1 << 23
 _U = np.uint64
 _PLACE = _U((1 << 24) - 1)
 
@@ -51,14 +52,15 @@ def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     return mix((prefix[size:] - prefix[:-size]) * powers(len(data), True)[:len(data) - size + 1])
 
 
-def seeds(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+def seeds(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, segment: int = SEGMENT) -> tuple[np.ndarray, ...]:
     """Chosen grams of consecutive texts: places, hashes, and the first and last start of the windows that chose them.
-    Windows lie within one text."""
+    Windows lie within one text. Bytes are handled by segments; a gram that windows on both sides of a cut chose is there
+    twice, with the windows of each side."""
     found: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
     width = length - gram + 1
     begin = 0
     while begin + length <= len(data):
-        part = data[begin:begin + _SEGMENT]
+        part = data[begin:begin + segment]
         h = gram_hashes(part, gram)
         ranked = (h & ~_PLACE) | (_PLACE - np.arange(len(h), dtype=np.uint64))
         padded = np.full(-(-len(ranked) // width) * width, np.iinfo(np.uint64).max, np.uint64)
@@ -76,7 +78,7 @@ def seeds(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tupl
             tails = np.append(heads[1:], len(starts)) - 1
             for column, value in zip(found, (chosen[heads] + begin, h[chosen[heads]], starts[heads], starts[tails]), strict=True):
                 column.append(value)
-        begin += _SEGMENT - length + 1
+        begin += segment - length + 1
     return tuple(np.concatenate(column) for column in found)
 
 
@@ -162,12 +164,12 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes], length: int) -> Ite
                 yield left, right, group.tolist()
 
 
-def _seeded(length: int, gram: int):
+def _seeded(length: int, gram: int, segment: int):
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t1, t2 = batch["t1"].to_numpy(), batch["t2"].to_numpy()
             for row, _, data, offsets in pieces(batch["text"].cast(pa.large_binary())):
-                places, hashes, first, last = seeds(data, offsets, length, gram)
+                places, hashes, first, last = seeds(data, offsets, length, gram, segment)
                 owner = np.searchsorted(offsets, places, "right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(hashes)), pa.array(t1[row + owner]), pa.array(t2[row + owner]), pa.array(places - offsets[owner]),
@@ -241,7 +243,9 @@ def _repeats(length: int, merged: bool):
                     if len(group) > 1:
                         out += repeats_of(current, group)
                     current, group = row[0], {}
-                group[row[1:4]] = row[4:]
+                # Windows on both sides of a cut chose the gram: what stands around it reaches as far as either saw.
+                before, after = group.get(row[1:4], (b"", b""))
+                group[row[1:4]] = max(before, row[4], key=len), max(after, row[5], key=len)
             if len(out) > 10_000:
                 yield spans(out)
                 out = []
@@ -296,8 +300,10 @@ def _hot_strings(length: int):
 class SuffixDedup:
     """Repeats of a corpus and what is left without them."""
 
-    def __init__(self, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS):
-        self.length, self.gram, self.group_rows = length, gram, group_rows
+    def __init__(
+        self, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS, segment: int = SEGMENT
+    ):
+        self.length, self.gram, self.group_rows, self.segment = length, gram, group_rows, segment
         text = F.coalesce("text", F.lit(""))
         self.texts = docs.select(
             F.col("doc_id").cast("long").alias("doc_id"), text.cast("binary").alias("text"),
@@ -313,7 +319,7 @@ class SuffixDedup:
     def _hits(self, copies: DataFrame) -> DataFrame:
         """t1, t2, text of texts with grams that occur elsewhere, too, and these: `seeds`, and `runs` of hot grams."""
         once = self.texts.where(F.octet_length("text") >= self.length)
-        found = written(once.select("t1", "t2", "text").mapInArrow(_seeded(self.length, self.gram), _SEED), "seeds")
+        found = written(once.select("t1", "t2", "text").mapInArrow(_seeded(self.length, self.gram, self.segment), _SEED), "seeds")
         # Copies of a text bring the same occurrence again, which alone makes no repeat.
         mark = F.xxhash64("t1", "t2", "place")
         times = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min(mark).alias("low"), F.max(mark).alias("high"))
@@ -374,7 +380,7 @@ class SuffixDedup:
             F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"))
 
     def digests(self) -> DataFrame:
-        """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row: `documents` without moving unchanged texts."""
+        """doc_id, n_bytes, n_removed, n_spans, kept_sha256, changed of every row: `documents` without moving unchanged texts."""
         kept, copies = self.changed_texts()
         kept = kept.select("t1", "t2", F.sha2("kept", 256).alias("sha"), "n_removed", "n_spans")
         nothing = F.sha2(F.unhex(F.lit("")), 256)
@@ -384,7 +390,8 @@ class SuffixDedup:
         rows = rows.join(changed, ["t1", "t2"], "left")
         return rows.select(
             "doc_id", "n_bytes", F.when(F.col("sha").isNull(), 0).otherwise(F.coalesce("n_removed", "n_bytes")).alias("n_removed"),
-            F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"))
+            F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"),
+            (F.coalesce("n_spans", F.lit(0)) > 0).alias("changed"))
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
