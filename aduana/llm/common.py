@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -11,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from aduana.session import shared_folder
+
 #: White space of all contracts: \x20 and \x09-\x0D.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
@@ -29,19 +30,9 @@ def importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a folder of this session where that is unset (tests)."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = getattr(spark.sparkContext, "_aduana_scratch", None)
-        if folder is None:
-            folder = spark.sparkContext._aduana_scratch = tempfile.mkdtemp(prefix="aduana-")
-    return folder.rstrip("/")
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends there, and a lost executor costs no recomputation."""
-    path = f"{scratch_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

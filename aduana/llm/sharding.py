@@ -16,6 +16,8 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from aduana.functions.frames import quoted
+
 #: Production parameters: 32 shards, a prime table with about 128 slots for each.
 N_SHARDS = 32
 TABLE_SIZE = 4099
@@ -53,6 +55,6 @@ def place(spark: SparkSession, docs: DataFrame, n_shards: int = N_SHARDS, size:
     """`docs` with the slot and the shard of each row."""
     if taken := {slot, shard} & set(docs.columns):
         raise ValueError(f"columns already there: {sorted(taken)}")
-    table = spark.createDataFrame(list(enumerate(lookup_table(n_shards, size))), f"`{slot}` int, `{shard}` int")
+    table = spark.createDataFrame(list(enumerate(lookup_table(n_shards, size))), f"{quoted(slot)} int, {quoted(shard)} int")
     placed = docs.withColumn(slot, slot_of(F.col("doc_id"), size)).join(F.broadcast(table), slot, "left")
-    return placed.select(*[F.col(f"`{c}`") for c in docs.columns], slot, shard)
+    return placed.select(*[F.col(quoted(c)) for c in docs.columns], F.col(quoted(slot)), F.col(quoted(shard)))

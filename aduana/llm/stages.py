@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from aduana.functions.frames import quoted, unused_name
 from aduana.llm import decontamination, mixing, quality_rules, sharding
 from aduana.llm.common import WORD_REGEX, written
 from aduana.llm.jaccard_join import JaccardJoin
@@ -23,7 +24,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = grouped.groupBy("component").agg(F.min(F.struct("doc_id", "row_hash")).alias("first")).select("first.*")
     keep = written(first.unionByName(rows.where("component IS NULL").select("doc_id", "row_hash")).distinct(), "kept-rows")
     keep = keep.select(F.struct(F.col("doc_id").alias("id"), F.col("row_hash").alias("hash")).alias("__keep__"))
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row__"))
+    whole = docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("__row__"))
     row, kept = F.col("__row__"), F.col("__keep__")
     row_hash = F.xxhash64(row["doc_id"].cast("long"), F.coalesce(row["text"], F.lit("")))
     whole = whole.join(keep, (row_hash == kept["hash"]) & row["doc_id"].cast("long").eqNullSafe(kept["id"]), "left_semi")
@@ -47,8 +48,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the slot and shard_id of each; input columns of these names make way."""
-    return sharding.place(spark, docs.drop("slot", "shard_id"))
+    """Documents with the slot and shard_id of each; where the input has columns of these names, the new ones get underscores
+    in front."""
+    return sharding.place(spark, docs, slot=unused_name("slot", docs), shard=unused_name("shard_id", docs))
 
 
 STAGES = [

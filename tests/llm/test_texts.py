@@ -246,6 +246,13 @@ def test_stages_with_edge_rows(spark, edge, nothing, sf_dir):
         for name, stage in corpus_pipeline.STAGES:
             after = stage(spark, docs, sf_dir)
             assert set(docs.columns) <= set(after.columns) and after.count() >= 0, name
+            if name == "shard":
+                assert after.columns == [*docs.columns, "_slot", "_shard_id"]
+                assert bag(after.drop("_slot", "_shard_id").collect()) == bag(docs.collect())
+        odd = docs.withColumnRenamed("kept", "a `b` c")
+        for name, stage in corpus_pipeline.STAGES:
+            after = stage(spark, odd, sf_dir)
+            assert after.columns[:len(odd.columns)] == odd.columns and after.count() >= 0, name
     twice = edge.unionByName(edge.where("doc_id IN (1, 6, 9)"))
     rows = corpus_pipeline.STAGES[1][1](spark, twice, sf_dir).collect()
     assert sorted(r.doc_id for r in rows if r.doc_id is not None and r.doc_id < 20) == [1, 5, 6, 6, 7, 8, 9, 11, 12, 13, 13, 14, 15, 16]
