@@ -14,8 +14,9 @@ block per allowed difference remains untouched (pigeonhole), and documents that
 * Documents with the same set are one class. In a bucket (documents that share a block), members are compared with one
   hub: first within a task's batch, then the hubs of the batches among each other, so that a bucket with a third of
   all documents sends a row per batch to the shuffle, and never all pairs. A member is first verified with the hub it
-  shares most blocks with, then with its other hubs where components still differ. Only in buckets that hold different
-  components even then are members of different components compared with each other.
+  shares most blocks with, then with its other hubs where components still differ. Buckets that hold different components
+  even then compare one member of each with one of the largest, others in each round, as long as rounds find links. Only then
+  are members of different components compared with each other, each pair in one bucket.
 * A pair is first tested by size and by a 512-bit parity sketch, both lower bounds, then verified on the hashed sets.
 
 Hashes have 64 bits (sets 128). Cases: without words or with a null text the set is empty, and the document links with
@@ -40,6 +41,10 @@ BAND_RATIO = 3
 SLACK = 1.25
 SKETCH_BITS = 512
 SKETCH = tuple(f"sketch{k}" for k in range(SKETCH_BITS // 64))
+#: Least keys of a class by which repeated pairs are left out.
+FIRSTS = 8
+#: Rounds of representatives go on while more than one pair in so many links.
+ROUND_SHARE = 10
 #: Block rows that a task combines at a time.
 COMBINED_ROWS = 500_000
 _U = np.uint64
@@ -265,26 +270,62 @@ class JaccardJoin:
         links = self._linked(best.select(F.col("fp").alias("a"), F.col("best.hub").alias("b")))
         found = connected_components(links)
         apart = self._in_components(found, stars, fp="r", hub="s").where("r != s")
-        links, found = self._with_more(links, found, apart.select(F.col("fp").alias("a"), F.col("hub").alias("b")))
-        # Buckets whose members are not all in one component yet.
+        links, found, _ = self._with_more(links, found, apart.select(F.col("fp").alias("a"), F.col("hub").alias("b")))
+        # Then, in buckets that hold several components, one member of each component and one of the largest component,
+        # others in every round: two components with many links between them become one by the first that is found.
+        seed, going = 0, True
+        members = self._members(found, buckets)
+        while going:
+            seed += 1
+            pairs = written(self._representatives(members, seed), "shingle-representatives")
+            before = links
+            links, found, linked = self._with_more(links, found, pairs)
+            if links is not before:
+                members = self._members(found, buckets)
+            going = ROUND_SHARE * linked > pairs.count()
+        # What is left rarely links: members of different components are compared with each other.
+        _, found, _ = self._with_more(links, found, self._across(members))
+        return found.select(F.col("node").alias("fp"), "root")
+
+    def _members(self, found: DataFrame, buckets: DataFrame) -> DataFrame:
+        """key, fp, r (component), n, sketches and `firsts` (the least keys of the class) of buckets with several components."""
         mixed = self._in_components(found, buckets, fp="r", hub="s").where("r != s").select("key").distinct()
         members = buckets.join(mixed, "key", "left_semi")
         members = members.select("key", "fp").unionByName(members.select("key", F.col("hub").alias("fp"))).distinct()
-        members = written(self._in_components(found, members, fp="r").join(self.classes.drop("first", "low"), "fp"), "shingle-members")
+        least = F.row_number().over(Window.partitionBy("fp").orderBy("key")) <= FIRSTS
+        firsts = members.select("key", "fp", least.alias("least")).where("least").groupBy("fp").agg(F.collect_list("key").alias("firsts"))
+        members = self._in_components(found, members, fp="r").join(self.classes.drop("first", "low").join(firsts, "fp"), "fp")
+        return written(members, "shingle-members")
+
+    def _representatives(self, members: DataFrame, seed: int) -> DataFrame:
+        """Pairs (a, b): in each bucket a member of each component, and one of the component with most members."""
+        chosen = F.max(F.struct(F.xxhash64(F.lit(seed), "fp").alias("draw"), "fp", "n", *SKETCH)).alias("one")
+        ones = members.groupBy("key", "r").agg(chosen, F.count(F.lit(1)).alias("size"))
+        hubs = ones.groupBy("key").agg(F.max(F.struct("size", "r", "one")).alias("hub"))
+        met = ones.join(hubs, "key").where("r != hub.r").select(
+            *(F.col(f"one.{c}").alias("a" if c == "fp" else f"{c}_a") for c in ("fp", "n", *SKETCH)),
+            *(F.col(f"hub.one.{c}").alias("b" if c == "fp" else f"{c}_b") for c in ("fp", "n", *SKETCH)))
+        return met.where(_could_link(self.percent)).select("a", "b").distinct()
+
+    def _across(self, members: DataFrame) -> DataFrame:
+        """Pairs (a, b) of members of different components that share a bucket. A pair that shares an earlier one of the least
+        keys of both is left to that bucket; in its first bucket no pair is left out."""
         x, y = (members.select(
             F.col("key").alias(f"key_{side}"), F.col("fp").alias(side), F.col("r").alias(f"r_{side}"), F.col("n").alias(f"n_{side}"),
-            *(F.col(c).alias(f"{c}_{side}") for c in SKETCH)) for side in ("a", "b"))
-        across = x.join(y, (F.col("key_a") == F.col("key_b")) & (F.col("r_a") < F.col("r_b")) & _could_link(self.percent))
-        _, found = self._with_more(links, found, across.select("a", "b").distinct())
-        return found.select(F.col("node").alias("fp"), "root")
-
-    def _with_more(self, links: DataFrame, found: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Links and components after further pairs were tested."""
+            F.col("firsts").alias(f"firsts_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in SKETCH)) for side in ("a", "b"))
+        earlier = F.array_min(F.array_intersect("firsts_a", "firsts_b")) < F.col("key_a")
+        across = x.join(y, (F.col("key_a") == F.col("key_b")) & (F.col("r_a") < F.col("r_b")) & _could_link(self.percent)
+                        & ~F.coalesce(earlier, F.lit(False)))
+        return across.select("a", "b").distinct()
+
+    def _with_more(self, links: DataFrame, found: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+        """Links and components after further pairs were tested, and how many of them link."""
         more = self._linked(pairs)
-        if more.isEmpty():
-            return links, found
+        linked = more.count()
+        if not linked:
+            return links, found, 0
         links = links.unionByName(more)
-        return links, connected_components(links)
+        return links, connected_components(links), linked
 
     def documents(self) -> DataFrame:
         """doc_id, row_hash, n_shingles, component_id of every row, and `component`, which also tells components apart that
