@@ -55,6 +55,37 @@ def test_article_amid_furniture(frame):
     assert html_text.main_text(PAGE.replace("CONTENT", frame.format(BODY))) == TEXT
 
 
+LONG = "A paragraph of the article that goes on for long enough to be text and nothing else, with words after words."
+MORE = "The next paragraph also says what there is to say about the matter, and takes its time to do so in full."
+
+
+@pytest.mark.parametrize(("content", "expected"), [
+    # Title and lead before the article, within main.
+    (f"<main><h1>Title</h1><p>The lead.</p><article><p>{LONG}</p><p>{MORE}</p></article></main>", ["Title", "The lead.", LONG, MORE]),
+    # Articles beside each other; teasers of links do not belong to them.
+    (f"<article><h2>One</h2><p>{LONG}</p></article><article><h2>Two</h2><p>{MORE}</p></article>", ["One", LONG, "Two", MORE]),
+    (f"<article><p>{LONG}</p><p>{MORE}</p></article><article><a href=/x>Another story of ours that you may like</a></article>", [LONG, MORE]),
+    # An article within the article, and readers' comments as articles.
+    (f"<article><p>{LONG}</p><article><p>A short one.</p></article><p>{MORE}</p></article>", [LONG, "A short one.", MORE]),
+    (f"<article><p>{LONG}</p><article class='comment by-reader'><p>{MORE}</p></article></article>", [LONG]),
+    # Classes that could mean furniture, and some that do.
+    (f"<article><p>{LONG}</p><p class='notice-period'>{MORE}</p><div class='share-price related'>The share price rose, and then it "
+     f"fell again in the course of one long day.</div></article>",
+     [LONG, MORE, "The share price rose, and then it fell again in the course of one long day."]),
+    (f"<article><p>{LONG}</p><div class='related'><a href=/1>One more story</a> <a href=/2>Another story</a></div><p>{MORE}</p>"
+     "<div class='newsletter-signup'>Sign up for our newsletter and read the best of it all every single morning.</div>"
+     "<div class='ad'>Buy this thing that is advertised here, as you need it more than anything else.</div></article>", [LONG, MORE]),
+])
+def test_page_shapes(content, expected):
+    assert html_text.main_text(PAGE.replace("CONTENT", content)) == "\n\n".join(expected)
+
+
+def test_body_without_an_article():
+    page = (f"<body><div><a href=/>Home</a> <a href=/n>News</a></div><div><h1>Title</h1><p>{LONG}</p><p>Short.</p><p>{MORE}</p><p>The end.</p></div>"
+            "<div><p>Side rail</p><p>Weather: rain</p></div><p>&copy; 2020 A publisher</p></body>")
+    assert html_text.main_text(page) == "\n\n".join(["Title", LONG, "Short.", MORE, "The end."])
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!--", "<script>var a = 1;", "<nav><a>x</a></nav>"])
 def test_pages_without_text(page):
     assert html_text.main_text(page) in ("", "<")
