@@ -19,6 +19,9 @@ LEVEL_COLUMNS = {"hts": "hts_code", "naics": "naics", "country": "country"}
 # Partition column that `write_facts` adds; a date filter also bounds it, so whole folders are skipped.
 YEAR_PARTITION = "date_year"
 
+# Day column that `write_facts` adds: file footers hold its bounds in a form that Spark reads without the data.
+DAY_COLUMN = "date_day"
+
 
 def agricultural_only(facts: DataFrame) -> DataFrame:
     return facts.where("agri_prod = 1")

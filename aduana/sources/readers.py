@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aduana.functions.codes import text_literal
+from aduana.functions.dates import ntz
 from aduana.functions.frames import quoted
+from aduana.operators.filters import DAY_COLUMN, YEAR_PARTITION, latest_period
 from aduana.sources.contracts import ORGANISATION, PLANNING, Contract, conform
 
 
@@ -55,9 +57,11 @@ def read_csv_with_rejects(spark: SparkSession, path: str | list[str], schema: T.
 def read_facts(spark: SparkSession, location: str, contract: Contract) -> DataFrame:
     """Fact table in its contract's types, with all further columns it has.
 
-    `location` is a Parquet folder if it holds a slash ("./facts" for one beside the job), else a catalog table.
+    `location` is a Parquet folder if it holds a slash ("./facts" for one beside the job), else a catalog table. The day
+    column of `write_facts` serves the footers only and is left out.
     """
-    return conform(spark.read.parquet(location) if "/" in location else spark.table(location), contract)
+    facts = conform(spark.read.parquet(location) if "/" in location else spark.table(location), contract)
+    return facts.drop(DAY_COLUMN) if YEAR_PARTITION in facts.columns else facts
 
 
 def read_source(spark: SparkSession, locations: dict[str, str], source: str = "org") -> DataFrame:
@@ -67,6 +71,37 @@ def read_source(spark: SparkSession, locations: dict[str, str], source: str = "o
     return read_facts(spark, locations[source], ORGANISATION if source == "org" else PLANNING)
 
 
+def latest_day(spark: SparkSession, path: str) -> DataFrame:
+    """One row: the latest `day` of stored facts and their number, `records`, from the footers of the files; no column is read.
+
+    Spark takes aggregates from Parquet footers in its second reader interface only, which this frame is read with.
+    """
+    before = {k: spark.conf.get(k) for k in ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")}
+    spark.conf.set("spark.sql.sources.useV1SourceList", "")
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    try:
+        found = spark.read.parquet(path).agg(F.max(DAY_COLUMN).alias("day"), F.count(F.lit(1)).alias("records"))
+        found._jdf.queryExecution().optimizedPlan()  # planned with these settings, whenever it runs
+        return found
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def read_latest(spark: SparkSession, locations: dict[str, str], source: str = "org") -> DataFrame:
+    """Records at the latest date of facts that `write_facts` laid out; empty without any date.
+
+    The latest day comes from the footers, in a small job; then only its year's folder is read, and of this only row groups
+    that hold the day.
+    """
+    facts = read_source(spark, locations, source)
+    day = latest_day(spark, locations[source]).first()["day"]
+    if day is None:
+        return facts.where("false")
+    last = facts.where(f"{YEAR_PARTITION} = {day.year} AND date >= {ntz(f'{day.isoformat()} 00:00:00')}")
+    return latest_period(last)
+
+
 _TABLE_TEXT = "array<array<string>>"
 
 

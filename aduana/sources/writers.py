@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aduana.operators.filters import YEAR_PARTITION
+from aduana.operators.filters import DAY_COLUMN, YEAR_PARTITION
 from aduana.sources.contracts import Contract, conform
 from aduana.sources.readers import read_csv
 
@@ -77,7 +77,7 @@ def _by_year(df: DataFrame) -> DataFrame:
     neither a hot year nor many tiny files result. Within a file rows are sorted by product, which makes
     the row-group statistics selective for code prefixes.
     """
-    dated = df.withColumn(YEAR_PARTITION, F.year("date")).hint("rebalance", YEAR_PARTITION)
+    dated = df.withColumns({YEAR_PARTITION: F.year("date"), DAY_COLUMN: F.to_date("date")}).hint("rebalance", YEAR_PARTITION)
     return dated.sortWithinPartitions(YEAR_PARTITION, "hts_code", "date")
 
 

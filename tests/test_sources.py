@@ -8,8 +8,8 @@ from frames import day, facts, physical_plan_of
 
 from aduana import TradeDesk, shared_folder
 from aduana.sources import (
-    COMTRADE, ORGANISATION, PLANNING, STAR, concat_extracts, conform, create_table, ingest_extracts, ingest_facts,
-    promote_header, read_csv, read_csv_with_rejects, read_header_json, read_header_records, read_parquet, read_parquet_tree,
+    COMTRADE, ORGANISATION, PLANNING, STAR, concat_extracts, conform, create_table, ingest_extracts, ingest_facts, latest_day,
+    promote_header, read_csv, read_csv_with_rejects, read_header_json, read_header_records, read_latest, read_parquet, read_parquet_tree,
     read_source, unreadable_records, unreadable_responses, update_facts, write_csv, write_facts, write_parquet,
 )
 
@@ -221,6 +221,22 @@ def test_ingest_to_the_fact_layout(spark, tmp_path):
     assert "date_year#" in physical_plan_of(result).split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_the_latest_day_comes_from_footers(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    write_facts(facts(
+        spark, {"date": day("2010-05-01")}, {"date": day("2011-05-01 10:00"), "data": 7}, {"date": day("2011-05-01 09:00")},
+        {"date": day("2011-04-30")}, {"date": None}), path)
+    found = latest_day(spark, path)
+    assert tuple(found.first()) == (day("2011-05-01").date(), 5)
+    plan = found._jdf.queryExecution().optimizedPlan().toString() + physical_plan_of(latest_day(spark, path))
+    assert "PushedAggregation: [MAX(date_day), COUNT(*)]" in plan.replace("PushedAggregation : ", "PushedAggregation: ")
+    last = read_latest(spark, {"org": path})
+    assert [(r.date, r.data) for r in last.collect()] == [(day("2011-05-01 10:00"), 7)]
+    assert "= 2011)" in physical_plan_of(read_latest(spark, {"org": path})).split("PartitionFilters: [")[1].split("\n")[0]
+    write_facts(facts(spark, {"date": None}), path, update=True)
+    assert read_latest(spark, {"org": path}).isEmpty()
+
+
 def failing(spark):
     return spark.range(4).selectExpr("if(id = 3, raise_error('broken'), id) AS id")
 

@@ -464,6 +464,7 @@ def oracle_sql() -> dict[str, str]:
             "hts", "monthly", "starts_with(hts_code, '22') AND date BETWEEN TIMESTAMP '2009-03-01' AND TIMESTAMP '2010-10-15'",
             corrections=True),
         "stored_jp_rollup": rollup_sql("naics", "qtr", "starts_with(naics, '3') AND year(date) = 2010 AND agri_prod = 1"),
+        "stored_latest": f"WITH {TRADE} SELECT date, trade_id, hts_code, country, data FROM trade WHERE date = (SELECT max(date) FROM trade)",
         "ingested_update": rollup_sql("hts", "yearly", records=REVISED),
         "csv_rejects": CSV_REJECTS,
         "header_split": HEADER_SPLIT,

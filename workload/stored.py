@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from aduana.plans.trade import trade_rollup
 from aduana.session import shared_folder
 from aduana.sources.contracts import ORGANISATION, PLANNING, Contract, conform
-from aduana.sources.readers import read_csv_with_rejects, read_header_records, read_source
+from aduana.sources.readers import read_csv_with_rejects, read_header_records, read_latest, read_source
 from aduana.sources.writers import ingest_facts, write_csv, write_facts
 from workload.facts import trade_facts
 
@@ -51,6 +51,11 @@ def stored_jp_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trade_rollup(facts, "naics", "qtr", datetime="2010", agriculture_filter=True, level_filter="3", strict=False)
 
 
+def stored_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the latest date, found in the files' footers."""
+    return read_latest(spark, stored_facts(spark, sf_dir), "org").select("date", "trade_id", "hts_code", "country", "data")
+
+
 def ingested_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored facts whose year 2010 comes anew from two CSV extracts, with twice the value."""
     facts, path = _facts(spark, sf_dir, ORGANISATION), _folder(spark, sf_dir, "ingested")
@@ -95,5 +100,5 @@ def write_text_files(lines: DataFrame, path: str) -> None:
 
 
 def queries() -> dict:
-    found = (stored_org_rollup, stored_jp_rollup, ingested_update, csv_rejects, header_split)
+    found = (stored_org_rollup, stored_jp_rollup, stored_latest, ingested_update, csv_rejects, header_split)
     return {f.__name__: f for f in found}
