@@ -15,9 +15,12 @@ Sources are in code point order, null last, and get `WEIGHTS` in turn. They shar
 target stops at `MOST` times its source's size, and what is over is shared anew by weight until none is above. There is
 one row per source at that point, and they are ranked together.
 
-Cases: null and empty texts have size 0 and take nothing; a source without words has target 0; rows equal in doc_id,
-source and size are rounded as one document whose rows are all taken alike; null doc_ids and sources are values like
-others; an empty table gives no rows. `mixture` keeps all columns of the rows, whatever they are called.
+Rows equal in doc_id, source and size are one unit. Of r such rows, r p are to get a further copy: the whole part of them
+does, and one row more meets others with the fraction as its probability.
+
+Cases: null and empty texts have size 0 and take nothing; a source without words has target 0; of repeated rows as many as
+the mix asks for get a further copy; null doc_ids and sources are values like others; an empty table gives no rows. `mixture`
+keeps all columns of the rows, whatever they are called.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 FAN_IN = 64
+#: Rows of a unit that one part of it makes.
+PART_ROWS = 10_000
 _UNIT = "struct<h: bigint, doc_id: bigint, size: bigint, s: double, p: double>"
 _DONE = "array<struct<doc_id: bigint, size: bigint, up: int>>"
 
@@ -111,21 +116,28 @@ def _settled(units: DataFrame, seed: int) -> DataFrame:
 
 
 def copies_of_units(sizes: DataFrame, seed: int = 11) -> DataFrame:
-    """source, doc_id, size, source_size, target, copies for each distinct (source, doc_id, size) of `sizes`."""
-    units = sizes.groupBy("source", "doc_id", "size").agg((F.count(F.lit(1)) * F.col("size")).alias("s"))
+    """source, doc_id, size, source_size, target, rows, copies, more for each distinct (source, doc_id, size) of `sizes`: each
+    of its `rows` has `copies` copies, and `more` of them one further."""
+    units = sizes.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("rows"))
+    units = units.withColumn("s", F.col("rows") * F.col("size"))
     units = written(units, "mixing-units")
     targets = source_targets(units).withColumnRenamed("source", "source_")
     # One row per source.
     units = units.join(targets, F.col("source").eqNullSafe(F.col("source_"))).drop("source_")
     mean = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    units = written(units.withColumn("whole", F.floor(mean)).withColumn("p", mean - F.floor(mean)), "mixing-shares")
-    open_units = units.where("s > 0 AND p > 0").withColumn("s", F.col("s").cast("double"))
+    units = units.withColumn("whole", F.floor(mean)).withColumn("ups", F.col("rows") * (mean - F.floor(mean)))
+    units = written(units.withColumn("p", F.col("ups") - F.floor("ups")), "mixing-shares")
+    open_units = units.where("s > 0 AND p > 0").withColumn("s", F.col("size").cast("double"))
     ups = _settled(open_units, seed).select(
         F.col("source").alias("u_source"), F.col("doc_id").alias("u_id"), F.col("size").alias("u_size"), "up")
     same = F.col("source").eqNullSafe(F.col("u_source")) & F.col("doc_id").eqNullSafe(F.col("u_id")) & (F.col("size") == F.col("u_size"))
-    return units.join(ups, same, "left").select(
-        "source", "doc_id", "size", "source_size", "target",
-        F.when(F.col("size") > 0, F.col("whole") + F.coalesce("up", F.lit(0))).otherwise(0).cast("int").alias("copies"))
+    counted = units.join(ups, same, "left").select(
+        "source", "doc_id", "size", "source_size", "target", "rows",
+        F.when(F.col("size") > 0, F.col("whole")).otherwise(0).cast("int").alias("copies"),
+        F.when(F.col("size") > 0, F.floor("ups") + F.coalesce("up", F.lit(0))).otherwise(0).alias("more"))
+    # The same for all rows of a unit, where it can be.
+    alike = F.col("more") == F.col("rows")
+    return counted.withColumn("copies", F.col("copies") + alike.cast("int")).withColumn("more", F.when(alike, 0).otherwise(F.col("more")))
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -135,23 +147,31 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 def mixed_sizes(docs: DataFrame, seed: int = 11) -> DataFrame:
     """doc_id, source, size, source_size, target, taken of every row."""
-    rows = written(_sized(docs), "mixing-sizes")
-    units = copies_of_units(rows, seed).select(
-        F.col("source").alias("m_source"), F.col("doc_id").alias("m_id"), F.col("size").alias("m_size"),
-        "source_size", "target", "copies")
-    same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("size") == F.col("m_size")) & F.col("source").eqNullSafe(F.col("m_source"))
-    return rows.join(units, same, "left").select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    units = written(copies_of_units(_sized(docs), seed), "mixing-copies")
+    columns = ["doc_id", "source", "size", "source_size", "target"]
+    lone = units.where("rows = 1").select(*columns, (F.col("copies") * F.col("size")).alias("taken"))
+    # Rows of a unit are equal here, so they are made of it, in parts of a bounded number of rows.
+    parts = units.where("rows > 1").select("*", F.explode(F.expr(f"sequence(0L, (rows - 1) div {PART_ROWS})")).alias("part"))
+    numbered = parts.repartition("source", "doc_id", "size", "part").select(
+        "*", F.explode(F.expr(f"sequence(part * {PART_ROWS} + 1, least(rows, (part + 1) * {PART_ROWS}))")).alias("number"))
+    taken = F.col("size") * (F.col("copies") + (F.col("number") <= F.col("more")).cast("int"))
+    return lone.unionByName(numbered.select(*columns, taken.alias("taken")))
 
 
 def mixture(docs: DataFrame, seed: int = 11) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it."""
-    units = copies_of_units(_sized(docs), seed).where("copies > 0").select(
-        F.struct(F.col("source").alias("source"), F.col("doc_id").alias("doc_id"), F.col("size").alias("size"), "copies").alias("__mix__"))
+    units = copies_of_units(_sized(docs), seed).where("copies > 0 OR more > 0")
+    units = written(units.select(F.struct("source", "doc_id", "size", "copies", "more").alias("__mix__")), "mixing-copies")
     whole = docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("__row__"))
     row, mix = F.col("__row__"), F.col("__mix__")
     same = (
         row["doc_id"].cast("long").eqNullSafe(mix["doc_id"]) & row["source"].cast("string").eqNullSafe(mix["source"])
         & (size_in_words(row["text"]) == mix["size"]))
-    taken = whole.join(units, same).select("__row__", F.explode(F.array_repeat(F.lit(True), mix["copies"])).alias("__copy__"))
+    met = whole.join(units, same)
+    taken = met.select("__row__", F.explode(F.array_repeat(F.lit(True), mix["copies"])).alias("__copy__")).select("__row__")
+    if not units.where(mix["more"] > 0).isEmpty():
+        # Of repeated rows that are not all taken alike, the first ones by their text get the further copy.
+        unit = Window.partitionBy(mix["source"], mix["doc_id"], mix["size"]).orderBy(F.xxhash64(row["text"]))
+        some = met.where(mix["more"] > 0).withColumn("__number__", F.row_number().over(unit))
+        taken = taken.unionByName(some.where(F.col("__number__") <= mix["more"]).select("__row__"))
     return taken.select("__row__.*")

@@ -177,6 +177,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> n
     # At most `train_rows` rows of two numbers: safe to broadcast.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(sample), "doc_id")
+    # One text of each label, so that repeated rows do not add up in the task that fits.
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     features = rows.mapInArrow(_train_features, "doc_id long, label int, bins binary, weights binary")
     fitted = features.groupBy().applyInArrow(_fit, "model binary").first()
     return None if fitted is None or fitted["model"] is None else np.frombuffer(fitted["model"])

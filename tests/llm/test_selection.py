@@ -77,6 +77,24 @@ def test_rounding_keeps_expectations(spark):
     assert all(abs(times[d] / 8 - mean[d]) < 0.7 for d in mean)
 
 
+def test_repeated_rows_are_rounded_by_their_number(spark):
+    """Of many equal rows as many get a further copy as the target asks for, and so of equal ids and sizes with other texts."""
+    rows = [(k, " ".join(f"w{k}" for _ in range(k % 300 + 1)), "a") for k in range(300)]
+    rows += [(1000, " ".join(["same"] * 100), "a")] * 200 + [(2000, " ".join([f"t{k % 7}"] * 40), "a") for k in range(90)]
+    rows += [(5000 + k, " ".join(["x"] * 50), s) for s in "bc" for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    found = mixing.mixed_sizes(docs).collect()
+    assert all(abs(taken - wanted) <= 300 for taken, wanted in check_mix(found, docs).values())
+    taken = Counter()
+    for r in found:
+        taken[r.doc_id, r.source, r.size] += r.taken
+    assert any(0 < taken[d, "a", s] % (n * s) for d, s, n in ((1000, 100, 200), (2000, 40, 90)))
+    mixed = Counter()
+    for r in mixing.mixture(docs).collect():
+        mixed[r.doc_id, r.source, len(words(r.text))] += len(words(r.text))
+    assert +mixed == +taken
+
+
 def test_mixture_takes_whole_rows(edge, nothing):
     taken = Counter()
     for r in mixing.mixed_sizes(edge).collect():
