@@ -15,8 +15,8 @@ block per allowed difference remains untouched (pigeonhole), and documents that
   hub: first within a task's batch, then the hubs of the batches among each other, so that a bucket with a third of
   all documents sends a row per batch to the shuffle, and never all pairs. A member is first verified with the hub it
   shares most blocks with, then with its other hubs where components still differ. Buckets that hold different components
-  even then compare one member of each with one of the largest, others in each round, as long as rounds find links. Only then
-  are members of different components compared with each other, each pair in one bucket.
+  even then compare one member of each with one of the largest. Only then are members of different components compared with
+  each other, each pair in one bucket.
 * A pair is first tested by size and by a 512-bit parity sketch, both lower bounds, then verified on the hashed sets.
 
 Hashes have 64 bits (sets 128). Cases: without words or with a null text the set is empty, and the document links with
@@ -43,8 +43,6 @@ SKETCH_BITS = 512
 SKETCH = tuple(f"sketch{k}" for k in range(SKETCH_BITS // 64))
 #: Least keys of a class by which repeated pairs are left out.
 FIRSTS = 8
-#: Rounds of representatives go on while more than one pair in so many links.
-ROUND_SHARE = 10
 #: Block rows that a task combines at a time.
 COMBINED_ROWS = 500_000
 _U = np.uint64
@@ -270,21 +268,14 @@ class JaccardJoin:
         links = self._linked(best.select(F.col("fp").alias("a"), F.col("best.hub").alias("b")))
         found = connected_components(links)
         apart = self._in_components(found, stars, fp="r", hub="s").where("r != s")
-        links, found, _ = self._with_more(links, found, apart.select(F.col("fp").alias("a"), F.col("hub").alias("b")))
-        # Then, in buckets that hold several components, one member of each component and one of the largest component,
-        # others in every round: two components with many links between them become one by the first that is found.
-        seed, going = 0, True
+        links, found = self._with_more(links, found, apart.select(F.col("fp").alias("a"), F.col("hub").alias("b")))
+        # Then, in buckets that hold several components, one member of each component and one of the largest component: two
+        # components with many links between them become one by the first that is found.
         members = self._members(found, buckets)
-        while going:
-            seed += 1
-            pairs = written(self._representatives(members, seed), "shingle-representatives")
-            before = links
-            links, found, linked = self._with_more(links, found, pairs)
-            if links is not before:
-                members = self._members(found, buckets)
-            going = ROUND_SHARE * linked > pairs.count()
+        links, found = self._with_more(links, found, self._representatives(members))
+        members = written(self._in_components(found, members, r="now").drop("r").withColumnRenamed("now", "r"), "shingle-members")
         # What is left rarely links: members of different components are compared with each other.
-        _, found, _ = self._with_more(links, found, self._across(members))
+        _, found = self._with_more(links, found, self._across(members))
         return found.select(F.col("node").alias("fp"), "root")
 
     def _members(self, found: DataFrame, buckets: DataFrame) -> DataFrame:
@@ -297,9 +288,9 @@ class JaccardJoin:
         members = self._in_components(found, members, fp="r").join(self.classes.drop("first", "low").join(firsts, "fp"), "fp")
         return written(members, "shingle-members")
 
-    def _representatives(self, members: DataFrame, seed: int) -> DataFrame:
+    def _representatives(self, members: DataFrame) -> DataFrame:
         """Pairs (a, b): in each bucket a member of each component, and one of the component with most members."""
-        chosen = F.max(F.struct(F.xxhash64(F.lit(seed), "fp").alias("draw"), "fp", "n", *SKETCH)).alias("one")
+        chosen = F.max(F.struct(F.xxhash64("key", "fp").alias("draw"), "fp", "n", *SKETCH)).alias("one")
         ones = members.groupBy("key", "r").agg(chosen, F.count(F.lit(1)).alias("size"))
         hubs = ones.groupBy("key").agg(F.max(F.struct("size", "r", "one")).alias("hub"))
         met = ones.join(hubs, "key").where("r != hub.r").select(
@@ -318,14 +309,13 @@ class JaccardJoin:
                         & ~F.coalesce(earlier, F.lit(False)))
         return across.select("a", "b").distinct()
 
-    def _with_more(self, links: DataFrame, found: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-        """Links and components after further pairs were tested, and how many of them link."""
+    def _with_more(self, links: DataFrame, found: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links and components after further pairs were tested."""
         more = self._linked(pairs)
-        linked = more.count()
-        if not linked:
-            return links, found, 0
+        if more.isEmpty():
+            return links, found
         links = links.unionByName(more)
-        return links, connected_components(links), linked
+        return links, connected_components(links)
 
     def documents(self) -> DataFrame:
         """doc_id, row_hash, n_shingles, component_id of every row, and `component`, which also tells components apart that
