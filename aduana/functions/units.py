@@ -37,6 +37,9 @@ UNITS = {
 QUANTITY_DECIMALS = 5
 # The quantity without rounding, beside `qty`: any 64-bit quantity times any factor fits.
 EXACT = "qty_exact"
+# The same as two 64-bit numbers, qty_exact = (qty_high * 2^31 + qty_low) / 10^5, which add up without decimals per row.
+LIMBS = ("qty_high", "qty_low")
+_LIMB_BITS = 31
 _WHOLE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -69,9 +72,27 @@ def exact_kilograms(quantity: str, rank: str, hts_code: str) -> str:
     return f"CAST(CAST({quantity} AS DECIMAL(19, 0)) * {factor} AS DECIMAL(28, {QUANTITY_DECIMALS}))"
 
 
-def convert_units(facts: DataFrame, exact: bool = False) -> DataFrame:
+def kilogram_limbs(quantity: str, rank: str, hts_code: str) -> dict[str, str]:
+    """The exact kilograms of a whole 64-bit quantity in two limbs: each factor is a whole number of 10^-5 below 2^27, so no
+    product overflows, and the low limbs of four billion records add up."""
+    factor = _by_unit(rank, hts_code, 1, f"CAST({{0}}BD * {10 ** QUANTITY_DECIMALS} AS BIGINT)")
+    low = f"({quantity} & {(1 << _LIMB_BITS) - 1}) * {factor}"
+    return {
+        LIMBS[0]: f"shiftright({low}, {_LIMB_BITS}) + shiftright({quantity}, {_LIMB_BITS}) * {factor}",
+        LIMBS[1]: f"({low}) & {(1 << _LIMB_BITS) - 1}",
+    }
+
+
+def exact_of_limbs(high: str, low: str) -> str:
+    """Sums of limbs as one decimal."""
+    whole = f"CAST({high} AS DECIMAL(20, 0)) * {1 << _LIMB_BITS}BD + {low}"
+    return f"CAST(({whole}) * CAST(1e-{QUANTITY_DECIMALS}BD AS DECIMAL({QUANTITY_DECIMALS}, {QUANTITY_DECIMALS})) AS DECIMAL(38, {QUANTITY_DECIMALS}))"
+
+
+def convert_units(facts: DataFrame, exact: bool = False, limbs: bool = False) -> DataFrame:
     """Add `qty` in kilogram equivalents and the columns `qtr`, `fiscal_year`, `month`, `year`. With `exact`, and if both
-    quantity columns hold whole numbers, the decimal `qty_exact` comes with them, which rollups add up instead.
+    quantity columns hold whole numbers, the decimal `qty_exact` comes with them, which rollups add up instead; with `limbs`
+    as well, the columns `LIMBS` come in its place.
 
     The pair whose unit comes first in the order of precedence counts: a `kg` in the second pair wins over a
     `t` in the first one, and with equal units the first pair wins. Null input quantities become 0.
@@ -92,6 +113,9 @@ def convert_units(facts: DataFrame, exact: bool = False) -> DataFrame:
     })
     results = {"qty": kilograms("_quantity", "_rank", "hts_code")}
     if exact and all(isinstance(facts.schema[c].dataType, _WHOLE_TYPES) for c in ("qty_1", "qty_2")):
-        results[EXACT] = exact_kilograms("_whole", "_rank", "hts_code")
+        if limbs:
+            results |= kilogram_limbs("_whole", "_rank", "hts_code")
+        else:
+            results[EXACT] = exact_kilograms("_whole", "_rank", "hts_code")
     converted = with_columns(chosen, results | calendar_parts("date"))
     return converted.drop("_whole", "_rank_1", "_rank_2", "_rank", "_quantity")

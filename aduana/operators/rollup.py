@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from aduana.functions.dates import FISCAL_START_MONTH
 from aduana.functions.frames import quoted, unused_name, with_columns
 from aduana.functions.numbers import sum_or_zero, zero_if_null
-from aduana.functions.units import EXACT
+from aduana.functions.units import EXACT, LIMBS, exact_of_limbs
 from aduana.operators.filters import EXPORTS, IMPORTS, LEVEL_COLUMNS, classified
 
 # Time frames and result columns.
@@ -39,9 +39,17 @@ def add_net_measures(df: DataFrame) -> DataFrame:
     })
 
 
-def _quantity(base: DataFrame) -> str:
-    """The column that holds quantities: whole input quantities are added exactly, fractional ones as doubles."""
-    return EXACT if EXACT in base.columns else "qty"
+def _quantity(base: DataFrame) -> tuple[str, ...]:
+    """The columns that hold quantities: whole input quantities are added exactly, fractional ones as doubles."""
+    if set(LIMBS) <= set(base.columns):
+        return LIMBS
+    return (EXACT if EXACT in base.columns else "qty",)
+
+
+def _quantity_sum(columns: tuple[str, ...], value: str = "{0}") -> str:
+    """Sum of quantities, 0 for none; limbs are added as 64-bit numbers and put together once per group."""
+    sums = [sum_or_zero(value.format(c)) for c in columns]
+    return exact_of_limbs(*sums) if len(sums) > 1 else sums[0]
 
 
 def as_doubles(sums: DataFrame) -> DataFrame:
@@ -49,12 +57,12 @@ def as_doubles(sums: DataFrame) -> DataFrame:
     return with_columns(sums, {m: f"double({m})" for m in MEASURES if m.endswith("_qty")})
 
 
-def _sums(quantity: str, fill: bool = True) -> list[Column]:
+def _sums(quantity: tuple[str, ...], fill: bool = True) -> list[Column]:
     """Value and quantity of each direction as conditional sums."""
     sums = []
     for direction, name in ((IMPORTS, "imports"), (EXPORTS, "exports")):
-        for column, measure in (("data", name), (quantity, f"{name}_qty")):
-            total = sum_or_zero(f"if(trade_id = {direction}, {column}, NULL)")
+        own = f"if(trade_id = {direction}, {{0}}, NULL)"
+        for total, measure in ((sum_or_zero(own.format("data")), name), (_quantity_sum(quantity, own), f"{name}_qty")):
             sums.append(F.expr(total if fill else f"if(count_if(trade_id = {direction}) > 0, {total}, NULL)").alias(measure))
     return sums
 
@@ -66,7 +74,7 @@ def direction_sums(base: DataFrame, keys: list[str], fill: bool = True) -> DataF
     task in the shuffle. A row with a null key has no counterpart in the other direction (nulls are not
     equal), so such a group stays split by direction: a helper column holds the direction for those rows and is
     constant for all others. A direction without rows is 0, or null without `fill`. Quantities are decimals if
-    `base` has `qty_exact`, else doubles.
+    `base` has `qty_exact` or its limbs, else doubles.
     """
     if not keys:
         raise ValueError("no columns to group by")
@@ -82,7 +90,7 @@ def direction_sums_joined(base: DataFrame, keys: list[str]) -> DataFrame:
 
     def one_side(direction: int, name: str) -> DataFrame:
         return rows.where(f"trade_id = {direction}").groupBy(*(quoted(k) for k in keys)).agg(
-            F.sum("data").alias(name), F.expr(sum_or_zero(quantity)).alias(f"{name}_qty")
+            F.sum("data").alias(name), F.expr(_quantity_sum(quantity)).alias(f"{name}_qty")
         )
 
     joined = one_side(IMPORTS, "imports").join(one_side(EXPORTS, "exports"), keys, "full")
@@ -121,7 +129,7 @@ def rollup_family(base: DataFrame, levels: tuple[str, ...] = ("total", *LEVEL_CO
         grouping_columns(level, "yearly")
     codes = {level: quoted(LEVEL_COLUMNS[level]) if level in LEVEL_COLUMNS else "CAST(NULL AS STRING)" for level in levels}
     each = ", ".join(f"struct('{level}' AS level, {code} AS code)" for level, code in codes.items())
-    records = classified(base).selectExpr("trade_id", "data", _quantity(base), "year", "month", f"inline(array({each}))")
+    records = classified(base).selectExpr("trade_id", "data", *_quantity(base), "year", "month", f"inline(array({each}))")
     records = records.where("level = 'total' OR code IS NOT NULL")
     # Records without a date have no counterpart in the other direction; see `direction_sums`.
     sided = with_columns(records, {"side": "if(year IS NULL, trade_id, 0)"})

@@ -43,7 +43,7 @@ def prepare_records(
     dated = in_period(facts, datetime)
     if strict and level != "total" and facts.isEmpty():
         raise ValueError(f"Invalid {level.upper()} code: {level_filter}")
-    return convert_units(dated, exact=True)
+    return convert_units(dated, exact=True, limbs=True)
 
 
 def trade_rollup(

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from frames import day, facts
 
-from aduana.functions.units import convert_units
+from aduana.functions.units import LIMBS, UNITS, convert_units, exact_of_limbs
 
 OTHER, ETHANOL, LIQUEUR = "0101000001", "2207100000", "2208700000"
 
@@ -63,3 +63,19 @@ def test_no_helper_column_is_left(spark):
 def test_calendar_parts(spark, date, expected):
     row = convert_units(facts(spark, {"date": date})).first()
     assert (row.qtr, row.fiscal_year, row.month, row.year) == expected
+
+
+def test_limbs_are_the_exact_quantity(spark):
+    """For any 64-bit quantity, by itself and in sums beyond 64 bits."""
+    quantities = [0, 1, -1, 7, 2**31 - 1, 2**31, -(2**31), 2**62, -(2**62), 2**63 - 1, -(2**63), 123456789012345678]
+    rows = [(u, q, h) for u in [*UNITS, "no"] for q in quantities for h in ("2207100000", "2208700000", "0101000000")]
+    df = spark.createDataFrame(rows, "unit_1 string, qty_1 bigint, hts_code string").selectExpr(
+        "*", "CAST(NULL AS STRING) AS unit_2", "CAST(NULL AS BIGINT) AS qty_2", "CAST(NULL AS TIMESTAMP_NTZ) AS date")
+    exact, limbs = convert_units(df, exact=True), convert_units(df, exact=True, limbs=True)
+    assert limbs.columns == [*df.columns, "qty", *LIMBS, "qtr", "fiscal_year", "month", "year"]
+    both = exact.select("unit_1", "qty_1", "hts_code", "qty_exact").join(limbs.select("unit_1", "qty_1", "hts_code", *LIMBS), ["unit_1", "qty_1", "hts_code"])
+    assert both.where(f"NOT qty_exact <=> {exact_of_limbs(*LIMBS)}").isEmpty() and both.count() == len(rows)
+    sums = both.where("qty_1 > 0").selectExpr("sum(qty_exact) AS a", exact_of_limbs(*(f"sum({c})" for c in LIMBS)) + " AS b").first()
+    assert sums.a == sums.b > 2**64
+    fractional = df.selectExpr("* EXCEPT (qty_1)", "double(qty_1) AS qty_1")
+    assert not set(LIMBS) & set(convert_units(fractional, exact=True, limbs=True).columns)
