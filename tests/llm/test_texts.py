@@ -215,7 +215,7 @@ def test_query_and_sql(spark, sf_dir, name):
 
 def test_registration():
     registered = set(__spark_entry__.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {re.match(r"op\d+_", q)[0] for q in queries.queries()}
+    assert {f"op{n}_" for n in range(1, 14)} == {re.match(r"op\d+_", q)[0] for q in queries.queries()}
     assert set(queries.queries()) | {"pipeline"} <= registered
     assert set(oracles.oracle_sql()) <= set(__spark_entry__.oracle_sql())
 
