@@ -7,6 +7,8 @@ filters; deleting documents lowers counts and takes the keys that fall below the
 filter could not do. Deduplication asks the filters first; what they let through is looked up in the exact counts, so a
 false positive costs a lookup and never a line.
 
+With as many shards as `shards_for` gives, a shard's filter and keys stay bounded however large the corpus is.
+
 A line's key is a 128-bit digest of the line, stripped of white space and with A-Z lower-cased. A common line is one row
 per map task in the shuffle that counts it; the join that marks lines is one that adaptive execution splits.
 
@@ -53,6 +55,11 @@ def empty_index(spark: SparkSession, min_docs: int = 3, min_chars: int = 20, n_s
     )
 
 
+def shards_for(lines: DataFrame) -> int:
+    """Shards with which the filter and the keys of a shard are bounded, for an index of about these lines."""
+    return 64 + lines.count() // PROBE_KEYS
+
+
 def keyed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """Every line long enough to have a key: doc_id, row_hash (tells rows with one doc_id apart), pos, key."""
     text = F.coalesce("text", F.lit(""))

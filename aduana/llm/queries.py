@@ -24,8 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    index = line_dedup.empty_index(spark, min_docs=3, min_chars=20)
-    lines = written(line_dedup.keyed_lines(docs, index.min_chars), "lines")
+    lines = written(line_dedup.keyed_lines(docs, min_chars=20), "lines")
+    index = line_dedup.empty_index(spark, min_docs=3, min_chars=20, n_shards=line_dedup.shards_for(lines))
     index = line_dedup.insert_documents(index, docs, lines)
     return line_dedup.dedup_lines(index, docs, lines).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
