@@ -5,8 +5,9 @@ terms that at least `min_docs` of its documents hold. A group (language, source)
 share p = 1 + floor(10^9 (count + 2) / (N + 2 V)); two shares differ by floor((p - q)^2 / (p + q)).
 
 * Late strings. Tasks count terms by 64-bit digests and combine the counts of many documents; the shuffle by digest moves
-  digests and numbers only, with languages and groups as digests, too. The strings are looked up afterwards and for kept
-  digests only: one more pass over the texts gives the least and the greatest string of each.
+  digests and numbers only, with languages and groups as digests, too. The strings come afterwards and are kept for kept
+  digests only: one more pass over the texts, in which a task has each term of a language once, gives the least and the
+  greatest string of each digest. Reports join them to their last candidates.
 * Collisions. Where least and greatest differ, one digest stands for several terms. Its counts are dropped and taken again
   by (digest, string), with the string in the shuffle; a term is kept or not by its own documents.
 * Ranks of terms are cut by value first, ties included, before strings are joined that decide ties.
