@@ -447,6 +447,13 @@ WITH {WITH_ORDER}
 SELECT hts_code AS "CODE", data::VARCHAR AS "VAL", CASE WHEN (orderkey // 20000) % 2 = 1 THEN unit_1 END AS "UNIT" FROM trade
 """
 
+LANDED_TREE = f"""
+WITH {TRADE}
+SELECT CASE trade_id WHEN 1 THEN 'M' ELSE 'X' END AS "flowCode", year(date)::VARCHAR AS "refYear", count(*) AS records,
+       sum(data)::BIGINT AS value, sum(qty_1::FLOAT::DOUBLE) AS quantity
+FROM trade WHERE trade_id IN (1, 2) GROUP BY ALL
+"""
+
 REVISED = moved("date").replace(
     "date AS date", "CASE WHEN year(date) = 2010 THEN data * 2 ELSE data END AS data")
 
@@ -465,6 +472,7 @@ def oracle_sql() -> dict[str, str]:
             corrections=True),
         "stored_jp_rollup": rollup_sql("naics", "qtr", "starts_with(naics, '3') AND year(date) = 2010 AND agri_prod = 1"),
         "stored_latest": f"WITH {TRADE} SELECT date, trade_id, hts_code, country, data FROM trade WHERE date = (SELECT max(date) FROM trade)",
+        "landed_tree": LANDED_TREE,
         "ingested_update": rollup_sql("hts", "yearly", records=REVISED),
         "csv_rejects": CSV_REJECTS,
         "header_split": HEADER_SPLIT,

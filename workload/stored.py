@@ -8,12 +8,13 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aduana.plans.trade import trade_rollup
 from aduana.session import shared_folder
-from aduana.sources.contracts import ORGANISATION, PLANNING, Contract, conform
-from aduana.sources.readers import read_csv_with_rejects, read_header_records, read_latest, read_source
-from aduana.sources.writers import ingest_facts, write_csv, write_facts
+from aduana.sources.contracts import COMTRADE, ORGANISATION, PLANNING, Contract, conform
+from aduana.sources.readers import read_csv_with_rejects, read_header_records, read_latest, read_parquet_tree, read_source
+from aduana.sources.writers import ingest_facts, write_csv, write_facts, write_parquet
 from workload.facts import trade_facts
 
 
@@ -68,6 +69,19 @@ def ingested_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trade_rollup(read_source(spark, {"org": path}), "hts", "yearly", strict=False)
 
 
+def landed_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed records in their wide contract, of files at several depths below one folder; a folder beside it is not read."""
+    root = _folder(spark, sf_dir, "landed")
+    records = trade_facts(spark, sf_dir).selectExpr(
+        "trade_id", "string(year(date)) AS refYear", "CASE trade_id WHEN 1 THEN 'M' WHEN 2 THEN 'X' ELSE 'other' END AS flowCode",
+        "hts_code AS cmdCode", "data AS primaryValue", "qty_1 AS qty")
+    for trade_id, place in ((1, "316/imports"), (2, "316/2010/a/exports"), (3, "317/others")):
+        write_parquet(conform(records.where(f"trade_id = {trade_id}").drop("trade_id"), COMTRADE), f"{root}/{place}")
+    landed = conform(read_parquet_tree(spark, f"{root}/316", "*.parquet"), COMTRADE, ("flowCode", "refYear", "primaryValue"))
+    return landed.groupBy("flowCode", "refYear").agg(
+        F.count("*").alias("records"), F.sum(F.col("primaryValue").cast("long")).alias("value"), F.sum(F.col("qty").cast("double")).alias("quantity"))
+
+
 def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of a CSV extract that are no numbers and no dates, counted by column, and the rows that stay with them."""
     path = _folder(spark, sf_dir, "untidy")
@@ -100,5 +114,5 @@ def write_text_files(lines: DataFrame, path: str) -> None:
 
 
 def queries() -> dict:
-    found = (stored_org_rollup, stored_jp_rollup, stored_latest, ingested_update, csv_rejects, header_split)
+    found = (stored_org_rollup, stored_jp_rollup, stored_latest, landed_tree, ingested_update, csv_rejects, header_split)
     return {f.__name__: f for f in found}
