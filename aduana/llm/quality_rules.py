@@ -153,10 +153,9 @@ def _fit(rows: pa.Table) -> pa.Table:
     labels = rows["label"].to_numpy()[order].astype(np.float64)
     model: bytes | None = None
     if 0 < labels.sum() < len(labels):
-        features = np.zeros((len(order), FEATURES), np.float32)
-        for k, (bins, weights) in enumerate(zip(rows["bins"].to_pylist(), rows["weights"].to_pylist(), strict=True)):
-            features[k, np.frombuffer(bins, np.uint16)] = np.frombuffer(weights, np.float32)
-        features = features[order]
+        features, place = np.zeros((len(order), FEATURES), np.float32), np.argsort(order)
+        for k, bins, weights in zip(place, rows["bins"], rows["weights"], strict=True):
+            features[k, np.frombuffer(bins.as_buffer(), np.uint16)] = np.frombuffer(weights.as_buffer(), np.float32)
         # One model per fold, trained on the other folds, and the model of all rows.
         fold = np.arange(len(labels)) % _FOLDS
         members = np.stack([*(fold != k for k in range(_FOLDS)), np.ones(len(labels), bool)], 1)
