@@ -106,12 +106,12 @@ def _swept(prefixes: Mapping[str, str]) -> list[tuple[str, str, str]]:
     return intervals
 
 
-def code_intervals(prefixes: DataFrame, shortest: int) -> DataFrame:
-    """A table (prefix, label) of any size as disjoint intervals `low, high, label, bucket` of codes, each with the label of
-    its longest prefix. The first of several labels of a prefix counts; `shortest` is the length of the shortest prefix.
+def _bounds(prefixes: DataFrame, shortest: int) -> DataFrame:
+    """Where labels change along the codes, as `bucket, low, label`: codes from `low` up to the next bound of the bucket have the
+    label, which is null behind the end of a prefix that no other goes on with.
 
-    An interval begins where a prefix does, or where one ends and the next shorter one goes on. Its label is found by
-    looking up the leading parts of its own bound, its end is the next bound in the bucket.
+    A label holds from where a prefix begins, or where one ends and the next shorter one goes on. It is found by looking up
+    the leading parts of the bound.
     """
     labels = prefixes.where("prefix IS NOT NULL").groupBy("prefix").agg(F.min("label").alias("label"))
     bounds = labels.selectExpr(
@@ -120,9 +120,43 @@ def code_intervals(prefixes: DataFrame, shortest: int) -> DataFrame:
         "prefix", "low", f"explode_outer(if(n < {shortest}, NULL, transform(sequence({shortest}, n), k -> left(prefix, k)))) AS part")
     found = parts.join(labels.selectExpr("prefix AS part", "label AS inner"), "part", "left")
     longest = found.groupBy("prefix", "low").agg(F.expr("max_by(inner, if(inner IS NULL, NULL, length(part)))").alias("label"))
-    bucket = f"left(prefix, {shortest})"
-    ahead = f"lead(low) OVER (PARTITION BY {bucket} ORDER BY low)"
-    return longest.selectExpr(f"{bucket} AS bucket", "low", f"{ahead} AS high", "label").where("label IS NOT NULL")
+    return longest.selectExpr(f"left(prefix, {shortest}) AS bucket", "low", "label")
+
+
+def code_intervals(prefixes: DataFrame, shortest: int) -> DataFrame:
+    """A table (prefix, label) of any size as disjoint intervals `low, high, label, bucket` of codes, each with the label of
+    its longest prefix. The first of several labels of a prefix counts; `shortest` is the length of the shortest prefix.
+
+    The end of an interval is the next bound in its bucket.
+    """
+    ahead = "lead(low) OVER (PARTITION BY bucket ORDER BY low)"
+    return _bounds(prefixes, shortest).selectExpr("bucket", "low", f"{ahead} AS high", "label").where("label IS NOT NULL")
+
+
+# Parts that the codes of a bucket are dealt to, each with all bounds of the bucket, so that a hot bucket, a hot code and
+# rows without a code are not one task's.
+_DEALT = 8
+
+
+def _label_at_bounds(df: DataFrame, prefixes: DataFrame, code: str, label: str, shortest: int) -> DataFrame:
+    """`with_prefix_label` for a table: codes and bounds in one order, and each code takes the label of the last bound before it.
+
+    Each code is sorted once, however many prefixes its bucket has, and `df` is read once.
+    """
+    names = {c: unused_name(f"_{c}", df) for c in ("bucket", "dealt", "at", "is_code", "found")}
+    bucket, dealt, at, is_code, found = names.values()
+    # Maps have no hash; a row's part decides only where it is labelled.
+    hashed = ", ".join(quoted(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind)
+    value = f"string({quoted(code)})"
+    codes = df.selectExpr(
+        "*", f"left({value}, {shortest}) AS {bucket}", f"int(pmod(xxhash64({hashed}), {_DEALT})) AS {dealt}", f"{value} AS {at}", f"true AS {is_code}")
+    bounds = _bounds(prefixes, shortest).selectExpr(
+        f"bucket AS {bucket}", f"explode(sequence(0, {_DEALT - 1})) AS {dealt}", f"low AS {at}", f"false AS {is_code}",
+        f"struct(label) AS {found}")
+    # The label of a bound may be null and counts, too; rows of codes have no struct and are passed over.
+    last = f"last({found}, true) OVER (PARTITION BY {bucket}, {dealt} ORDER BY {at}, {is_code} ROWS UNBOUNDED PRECEDING)"
+    labelled = codes.unionByName(bounds, allowMissingColumns=True).withColumn(found, F.expr(last)).where(is_code)
+    return labelled.withColumn(label, F.col(f"{found}.label")).drop(*names.values())
 
 
 def with_prefix_label(
@@ -130,19 +164,19 @@ def with_prefix_label(
 ) -> DataFrame:
     """Label of the longest listed prefix of a code; null when no prefix is listed.
 
-    `prefixes` is a mapping, or a table (prefix, label) for a classification of any size. Prefixes of all lengths become
-    disjoint intervals, and one join finds the code's: an equi-join on the first `shortest` characters (the length of the
-    shortest prefix; found by a small job if not given) with the bounds as its condition. A code is compared with the
-    intervals of its bucket only, and matches at most one.
+    `prefixes` is a mapping, or a table (prefix, label) for a classification of any size. Codes are dealt by their first
+    `shortest` characters (the length of the shortest prefix; found by a small job if not given). Prefixes of a mapping become
+    disjoint intervals, and one join finds the code's, with the bounds as its condition: a code is compared with the
+    intervals of its bucket, which the mapping limits, and matches at most one. With a table, codes are sorted among the
+    bounds of their bucket, so the work grows with codes and prefixes and not with their product.
     """
     if isinstance(prefixes, DataFrame):
         if shortest is None:
             shortest = prefixes.agg(F.min(F.length("prefix"))).first()[0] or 1
-        intervals = code_intervals(prefixes, shortest)
-    else:
-        shortest = min(map(len, prefixes), default=1)
-        rows = [f"({', '.join(map(text_literal, (low[:shortest], low, high, name)))})" for low, high, name in _swept(prefixes)]
-        intervals = _constant_table(df.sparkSession, "bucket, low, high, label", rows or ["('', '', '', '')"])
+        return _label_at_bounds(df, prefixes, code, label, shortest)
+    shortest = min(map(len, prefixes), default=1)
+    rows = [f"({', '.join(map(text_literal, (low[:shortest], low, high, name)))})" for low, high, name in _swept(prefixes)]
+    intervals = _constant_table(df.sparkSession, "bucket, low, high, label", rows or ["('', '', '', '')"])
     names = {c: unused_name(f"_{c}", df) for c in ("bucket", "low", "high", "label")}
     intervals = intervals.select(*(F.col(c).alias(name) for c, name in names.items()))
     value = quoted(code)

@@ -65,6 +65,28 @@ def test_labels_of_nested_prefixes(spark):
         assert {r.sector for r in with_prefix_label(codes, prefixes, "my code", "sector").collect()} == {None}
 
 
+def test_a_code_meets_no_other_prefix_of_its_bucket(spark):
+    """One bucket holds all codes and prefixes: no join compares their bounds, and no row is lost with null codes and equal rows."""
+    prefixes = spark.range(1, 3000).selectExpr("concat('7', string(id)) AS prefix", "concat('to ', id) AS label")
+    codes = spark.range(6000).selectExpr("if(id % 10 = 0, NULL, concat('7', string(id % 4500), 'x')) AS code", "map('a', id % 3) AS other")
+    found = with_prefix_label(codes, prefixes, "code", "sector", shortest=2)
+    listed = {f"7{i}" for i in range(1, 3000)}
+
+    def expected(code):
+        best = next((code[:n] for n in range(len(code), 1, -1) if code[:n] in listed), None) if code else None
+        return best and f"to {best[1:]}"
+
+    rows = found.collect()
+    assert sorted((str(r.code), r.other["a"]) for r in rows) == sorted((str(r.code), r.other["a"]) for r in codes.collect())
+    assert all(r.sector == expected(r.code) for r in rows) and any(r.sector for r in rows)
+    plan = physical_plan_of(found)
+    assert not re.search(r"^Join condition ?: .*>=", plan, re.M) and plan.count("Join condition") > 0
+    # A row's part comes from all its columns, so a hot code is dealt to several, too.
+    hot = with_prefix_label(spark.range(400).selectExpr("'7123' AS code", "id"), prefixes, "code", "sector", shortest=2)
+    assert {(r.sector) for r in hot.collect()} == {"to 123"} and hot.count() == 400
+    assert len(re.findall(r"hashpartitioning\(_bucket#\d+, _dealt#\d+", physical_plan_of(hot))) > 0
+
+
 def test_intervals_are_disjoint(spark):
     table = spark.createDataFrame([(p, n) for p, n in NESTED.items() if n], "prefix string, label string")
     rows = sorted((r.low, r.high, r.label) for r in code_intervals(table, 1).collect())
