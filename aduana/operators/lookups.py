@@ -206,6 +206,11 @@ _LOOKED_UP = {
 _LEVEL_KEYS = {"hts": "hts_id", "naics": "naics_id", "country": "country_id"}
 
 
+# True for every key that a dimension has; as a second join key it deals rows without a key to all tasks. The right side is 0,
+# written so that the optimizer keeps it as a key.
+_SPREAD = "if({key} IS NULL, hash(date, data), 0) = pmod(hash(_{key}), 1)"
+
+
 def denormalise(fact: DataFrame, dimensions: dict[str, DataFrame], level: str = "total", level_filter: str = "") -> DataFrame:
     """Star-schema fact to the flat planning-board shape, plus the names of direction and district.
 
@@ -213,7 +218,8 @@ def denormalise(fact: DataFrame, dimensions: dict[str, DataFrame], level: str =
     fixed and need none. A key without a match gives nulls and keeps the row. There are no broadcast hints: Spark
     broadcasts a dimension when its size is below the threshold and otherwise sorts and merges, where adaptive execution
     splits a key that holds much of the fact. Products, the largest dimension, come last: should only they exceed
-    the threshold, the fact is shuffled once, with its other names already in place.
+    the threshold, the fact is shuffled once, with its other names already in place. Rows without a key, which match nothing,
+    are dealt by their values, as hashing would send them all to one task.
 
     With a `level` ("hts", "naics", "country") only records whose code starts with `level_filter` are returned. Then that
     dimension is filtered first and joined before all others, so the rest of the fact is never looked up; where the
@@ -232,7 +238,8 @@ def denormalise(fact: DataFrame, dimensions: dict[str, DataFrame], level: str =
         if key == selective:
             side = side.where(starts_with(columns[LEVEL_COLUMNS[level]], level_filter))
         side = side.selectExpr(f"id AS _{key}", *(f"{c} AS {alias}" for alias, c in columns.items()))
-        flat = flat.join(side, F.expr(f"{key} = _{key}"), "inner" if key == selective else "left").drop(f"_{key}")
+        found = f"{key} = _{key}" if key == selective else f"{key} = _{key} AND {_SPREAD.format(key=key)}"
+        flat = flat.join(side, F.expr(found), "inner" if key == selective else "left").drop(f"_{key}")
     names = " ".join(f"WHEN {i} THEN {text_literal(n)}" for i, n in DIRECTION_NAMES.items())
     flat = flat.withColumn("direction", F.expr(f"CASE trade_id {names} END"))
     return flat.select(

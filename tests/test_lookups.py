@@ -153,6 +153,26 @@ def test_denormalise_by_code(spark):
         denormalise(spark.createDataFrame([], STAR_ORGANISATION_FACT.schema), dimensions(spark), "naics", "1")
 
 
+def test_rows_without_a_key_are_dealt_to_all_tasks(spark):
+    """Where a dimension is joined by a shuffle, its null keys are not one task's, and each row stays once."""
+    fact = spark.range(400).selectExpr(
+        "int(id) AS id", "TIMESTAMP_NTZ '2010-01-01' + make_dt_interval(int(id % 90)) AS date", "1 AS trade_id",
+        "int(if(id % 4 = 0, 7, if(id % 4 = 1, 70, NULL))) AS hts_id", "1 AS country_id", "id AS data", "int(NULL) AS unit1_id", "1 AS qty_1",
+        "2 AS unit2_id", "1 AS qty_2")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for key, value in zip(before, ("-1", "false"), strict=True):
+        spark.conf.set(key, value)
+    try:
+        rows = denormalise(fact, dimensions(spark)).selectExpr("data", "hts_code", "country", "unit_1", "unit_2", "spark_partition_id() AS task").collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted(r.data for r in rows) == list(range(400))
+    assert all((r.hts_code, r.country, r.unit_1, r.unit_2) == ("0101000001" if r.data % 4 == 0 else None, "spain", None, "no") for r in rows)
+    unkeyed = [r.task for r in rows if r.data % 4 > 1]
+    assert max(unkeyed.count(t) for t in set(unkeyed)) < len(unkeyed) / 2
+
+
 def test_unmatched_keys(spark):
     fact = spark.createDataFrame(
         [(1, None, 1, 7, 1, 5, 3, 4, 100, None, None, 1, 10, 2, 3), (2, None, 9, 70, None, 5, 3, None, 50, None, None, 9, 1, 2, 1),
