@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aduana.functions.frames import unused_name
 from aduana.operators.filters import DAY_COLUMN, YEAR_PARTITION
 from aduana.sources.contracts import Contract, conform
 from aduana.sources.readers import read_csv
@@ -70,6 +72,14 @@ def write_csv(df: DataFrame, path: str, update: bool = False) -> None:
     _write(df, path, update, lambda writer, place: writer.option("header", True).csv(place))
 
 
+# Parts a year is dealt to before adaptive execution merges and splits them; it can split a year no finer than one task before
+# the shuffle has rows of it.
+_YEAR_PARTS = 16
+
+# What a task is given to sort. Rows are about four times as large in memory as in the shuffle, so the sort stays in memory.
+_TASK_SIZE = "24m"
+
+
 def _by_year(df: DataFrame) -> DataFrame:
     """Facts in the layout of `write_facts`.
 
@@ -77,13 +87,28 @@ def _by_year(df: DataFrame) -> DataFrame:
     neither a hot year nor many tiny files result. Within a file rows are sorted by product, which makes
     the row-group statistics selective for code prefixes.
     """
-    dated = df.withColumns({YEAR_PARTITION: F.year("date"), DAY_COLUMN: F.to_date("date")}).hint("rebalance", YEAR_PARTITION)
-    return dated.sortWithinPartitions(YEAR_PARTITION, "hts_code", "date")
+    part = unused_name("_part", df)
+    dated = df.withColumns({
+        YEAR_PARTITION: F.year("date"), DAY_COLUMN: F.to_date("date"), part: F.expr(f"int(pmod(hash(hts_code, date), {_YEAR_PARTS}))")})
+    return dated.hint("rebalance", YEAR_PARTITION, part).drop(part).sortWithinPartitions(YEAR_PARTITION, "hts_code", "date")
+
+
+@contextmanager
+def _tasks_of_a_sort(spark: SparkSession) -> Iterator[None]:
+    """Tasks of `_TASK_SIZE` for the writes within."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, _TASK_SIZE)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def write_facts(df: DataFrame, path: str, update: bool = False) -> None:
     """Facts as Parquet, one folder per calendar year of `date`."""
-    _write(_by_year(df), path, update, lambda writer, place: writer.partitionBy(YEAR_PARTITION).parquet(place))
+    with _tasks_of_a_sort(df.sparkSession):
+        _write(_by_year(df), path, update, lambda writer, place: writer.partitionBy(YEAR_PARTITION).parquet(place))
 
 
 def update_facts(df: DataFrame, path: str) -> None:
@@ -93,7 +118,8 @@ def update_facts(df: DataFrame, path: str) -> None:
     fails leaves all years as they were. `df` must not read the years it replaces.
     """
     writer = _by_year(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(YEAR_PARTITION).parquet(path)
+    with _tasks_of_a_sort(df.sparkSession):
+        writer.partitionBy(YEAR_PARTITION).parquet(path)
 
 
 def concat_extracts(first: DataFrame, *others: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import os
 
 import pytest
 from frames import day, facts, physical_plan_of
+from pyspark.sql import functions as F
 
 from aduana import TradeDesk, shared_folder
 from aduana.sources import (
@@ -12,6 +13,7 @@ from aduana.sources import (
     promote_header, read_csv, read_csv_with_rejects, read_header_json, read_header_records, read_latest, read_parquet, read_parquet_tree,
     read_source, unreadable_records, unreadable_responses, update_facts, write_csv, write_facts, write_parquet,
 )
+from aduana.sources import writers
 
 
 def types(df) -> dict:
@@ -385,3 +387,25 @@ def test_shared_folder(spark):
     local = Unset("local[2]")
     assert os.path.isdir(shared_folder(local)) and shared_folder(local) == shared_folder(local)
     assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_a_year_of_one_task_is_sorted_by_several(spark, tmp_path, monkeypatch):
+    """One task reads a hot year whole; what a task sorts when writing follows from the size of a task all the same."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = {k: spark.conf.get(k) for k in (key, "spark.sql.adaptive.coalescePartitions.minPartitionSize")}
+    monkeypatch.setattr(writers, "_TASK_SIZE", "64k", raising=False)
+    rows = spark.range(0, 40000, 1, 1).selectExpr(
+        "lpad(string(hash(id)), 12, '0') AS hts_code", "TIMESTAMP_NTZ '2010-01-01' + make_dt_interval(int(id % 300)) AS date", "id AS data")
+    for name in before:
+        spark.conf.set(name, "64k")
+    try:
+        write_facts(rows, str(tmp_path / "facts"))
+        assert spark.conf.get(key) == "64k"
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    stored = spark.read.parquet(str(tmp_path / "facts"))
+    assert stored.columns == ["hts_code", "date", "data", "date_day", "date_year"]
+    assert stored.selectExpr("count(1)", "count(DISTINCT data)", "sum(data)").first()[:] == (40000, 40000, 40000 * 39999 // 2)
+    sizes = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) > 3 and max(sizes) < 20000
