@@ -32,6 +32,7 @@ MIN_WORDS = 50
 FEATURES = 1 << 13
 _HALF = FEATURES // 2
 _FOLDS = 3
+_MARGIN_ROWS = 256
 _U = np.uint64
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -148,6 +149,17 @@ def fit_sigmoid(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(slope), float(shift)
 
 
+def _own_margins(features: np.ndarray, fitted: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """Margin of each row under the model of its fold, in double precision: some rows at a time, as a product with doubles
+    makes a copy of its rows in doubles."""
+    margins = np.empty(len(features))
+    for k in range(0, len(features), _MARGIN_ROWS):
+        own = fold[k:k + _MARGIN_ROWS]
+        block = features[k:k + _MARGIN_ROWS] @ fitted[:-1] + fitted[-1]
+        margins[k:k + _MARGIN_ROWS] = block[np.arange(len(own)), own]
+    return margins
+
+
 def _fit(rows: pa.Table) -> pa.Table:
     order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
     labels = rows["label"].to_numpy()[order].astype(np.float64)
@@ -162,7 +174,7 @@ def _fit(rows: pa.Table) -> pa.Table:
         if len(labels) < 2 * _FOLDS:
             members[:] = True
         fitted = fit_logistic(features, labels, members)
-        margins = (features @ fitted[:-1] + fitted[-1])[np.arange(len(labels)), fold]
+        margins = _own_margins(features, fitted, fold)
         slope, shift = fit_sigmoid(margins, labels)
         model = np.append(slope * fitted[:, -1], shift).tobytes()
     return pa.table({"model": pa.array([model], pa.binary())})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -194,6 +195,29 @@ def test_rules_without_labels(spark, edge, nothing):
     assert quality_rules.keep_good(nothing, None).collect() == []
 
 
+def test_quality_fit_makes_no_second_copy_of_the_features():
+    rng = np.random.default_rng(3)
+    n, dense = 1200, 1200 * quality_rules.FEATURES * 4
+    labels = np.arange(n) % 2
+    bins = [np.sort(rng.choice(quality_rules.FEATURES, 400, replace=False)).astype(np.uint16) for _ in range(n)]
+    weights = [np.full(400, 0.05, np.float32) + np.float32(0.01 * label) * (b < 4000) for b, label in zip(bins, labels, strict=True)]
+    rows = pa.table({"doc_id": np.arange(n), "label": labels, "bins": [b.tobytes() for b in bins],
+                     "weights": [w.astype(np.float32).tobytes() for w in weights]})
+    tracemalloc.start()
+    try:
+        model = quality_rules._fit(rows)["model"][0].as_py()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2 * dense
+    # The margins are those of one product over all rows.
+    features = rng.normal(size=(600, 8)).astype(np.float32)
+    fitted, fold = rng.normal(size=(9, 4)), np.arange(600) % 3
+    whole = (features @ fitted[:-1] + fitted[-1])[np.arange(600), fold]
+    assert np.allclose(quality_rules._own_margins(features, fitted, fold), whole, rtol=1e-12)
+    assert len(model) == 8 * (quality_rules.FEATURES + 2)
+
+
 # --- quality classifier ----------------------------------------------------------------------------------------------
 
 
