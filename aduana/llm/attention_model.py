@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 
 #: Output symbols are chosen in two steps: a group, then a member of it.
@@ -21,6 +19,11 @@ _SHAPES = {
     "group": (GROUPS, WIDTH), "group_bias": (GROUPS,), "member": (GROUPS, MEMBERS, WIDTH), "member_bias": (GROUPS, MEMBERS),
 }
 _FUTURE = np.triu(np.full((CONTEXT, CONTEXT), -1e9, np.float32), 1)
+_PAST = np.tril(np.ones((CONTEXT, CONTEXT), np.float32))
+#: Exponentials of values up to this are added in single precision without overflow or underflow.
+_MODERATE = 40.0
+#: Windows whose gradients are computed at once.
+_CACHED = 96
 
 Parameters = dict[str, np.ndarray]
 
@@ -47,68 +50,101 @@ def unpacked(flat: np.ndarray) -> Parameters:
     return out
 
 
-def loss_and_gradients(p: Parameters, symbols: np.ndarray, targets: np.ndarray, weight: np.ndarray) -> tuple[float, Parameters]:
-    """Mean negative log probability of the targets, and its gradients. Arrays are windows x CONTEXT."""
+def loss_and_gradients(p: Parameters, symbols: np.ndarray, targets: np.ndarray, weight: np.ndarray,
+                       n: float | None = None) -> tuple[float, Parameters]:
+    """Mean negative log probability of the targets, and its gradients. Arrays are windows x CONTEXT. `n` is the weight of
+    which these windows are a part, if they are not all."""
     scale = np.float32(WIDTH ** -0.5)
-    x = p["embed"][symbols] + p["place"]
-    q, v = x @ p["match"], x @ p["value"]
-    s = q @ x.transpose(0, 2, 1) * scale + _FUTURE
-    a = _softmax(s)
-    h = (x + a @ v).reshape(-1, WIDTH)
+    shape = (*symbols.shape, WIDTH)
+    match = p["match"] * scale
+    x = np.take(p["embed"], symbols.ravel(), 0).reshape(shape)
+    x += p["place"]
+    flat_x = x.reshape(-1, WIDTH)
+    q, v = (flat_x @ match).reshape(shape), (flat_x @ p["value"]).reshape(shape)
+    a = _attention(q @ x.transpose(0, 2, 1))
+    h = a @ v
+    h += x
+    h = h.reshape(-1, WIDTH)
     counted = weight.ravel()
-    n = max(float(counted.sum()), 1.0)
+    n = max(float(counted.sum()), 1.0) if n is None else n
+    share = counted / np.float32(n)
     group, member = np.divmod(targets.ravel(), MEMBERS)
-    each = np.arange(len(h))
+    each, ones = np.arange(len(h)), np.ones(len(h), np.float32)
     chance = _softmax(h @ p["group"].T + p["group_bias"])
     own = np.log(chance[each, group])
     chance[each, group] -= 1
-    chance *= (counted / n)[:, None]
-    grads = {"group": chance.T @ h, "group_bias": chance.sum(0),
+    chance *= share[:, None]
+    grads = {"group": chance.T @ h, "group_bias": ones @ chance,
              "member": np.zeros_like(p["member"]), "member_bias": np.zeros_like(p["member_bias"])}
     dh = chance @ p["group"]
-    # Rows in the order of their groups, so that each group is a slice.
-    order = np.argsort(group, kind="stable")
-    bounds = np.searchsorted(group[order], np.arange(GROUPS + 1))
-    sorted_h, sorted_member, sorted_weight = h[order], member[order], (counted / n)[order]
-    inner_own, inner_dh = np.empty_like(own), np.empty_like(h)
-    for g in range(GROUPS):
-        rows = slice(bounds[g], bounds[g + 1])
-        inner = _softmax(sorted_h[rows] @ p["member"][g].T + p["member_bias"][g])
-        k = np.arange(len(inner))
-        inner_own[rows] = np.log(inner[k, sorted_member[rows]])
-        inner[k, sorted_member[rows]] -= 1
-        inner *= sorted_weight[rows, None]
-        grads["member"][g], grads["member_bias"][g] = inner.T @ sorted_h[rows], inner.sum(0)
-        inner_dh[rows] = inner @ p["member"][g]
-    own[order] += inner_own
+    # Rows in the order of their groups, so that each group is a slice; what is done row by row covers all groups at once.
+    order, slices = _group_slices(group)
+    sorted_h, sorted_member = np.take(h, order, 0), member[order]
+    inner = np.take(p["member_bias"], group[order], 0)
+    for g, rows in slices:
+        inner[rows] += sorted_h[rows] @ p["member"][g].T
+    _softmax(inner)
+    own[order] += np.log(inner[each, sorted_member])
+    inner[each, sorted_member] -= 1
+    inner *= share[order, None]
+    inner_dh = np.empty_like(h)
+    for g, rows in slices:
+        part = inner[rows]
+        grads["member"][g], grads["member_bias"][g] = part.T @ sorted_h[rows], ones[rows] @ part
+        np.matmul(part, p["member"][g], out=inner_dh[rows])
     dh[order] += inner_dh
-    dh = dh.reshape(x.shape)
-    dv, da = a.transpose(0, 2, 1) @ dh, dh @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(-1, keepdims=True)) * scale
-    dq = ds @ x
-    dx = dh + ds.transpose(0, 2, 1) @ q + dq @ p["match"].T + dv @ p["value"].T
-    embed = np.zeros_like(p["embed"])
-    order = np.argsort(symbols, axis=None, kind="stable")
-    used, first = np.unique(symbols.ravel()[order], return_index=True)
-    embed[used] = np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0)
-    flat_x = x.reshape(-1, WIDTH)
+    dh = dh.reshape(shape)
+    dv, ds = a.transpose(0, 2, 1) @ dh, dh @ v.transpose(0, 2, 1)
+    ds -= np.einsum("ijk,ijk->ij", ds, a)[..., None]
+    ds *= a
+    dq = (ds @ x).reshape(-1, WIDTH)
+    dx = ds.transpose(0, 2, 1) @ q
+    dx += dh
+    dx = dx.reshape(-1, WIDTH)
+    dv = dv.reshape(-1, WIDTH)
+    dx += dq @ match.T
+    dx += dv @ p["value"].T
+    by_column, own_symbol = dx.T.astype(np.float64), symbols.ravel()
+    embed = np.stack([np.bincount(own_symbol, column, len(p["embed"])) for column in by_column], 1).astype(np.float32)
     return -float((own * counted).sum()) / n, grads | {
-        "embed": embed, "place": dx.sum(0), "match": flat_x.T @ dq.reshape(-1, WIDTH), "value": flat_x.T @ dv.reshape(-1, WIDTH)}
+        "embed": embed, "place": dx.reshape(shape).sum(0), "match": flat_x.T @ dq * scale, "value": flat_x.T @ dv}
+
+
+def _moderate(z: np.ndarray) -> bool:
+    """Whether exponentials of all values can be added up as they are; if not, rows are first drawn to their largest."""
+    return not z.size or bool(z.max() < _MODERATE and z.min() > -_MODERATE)
+
+
+def _row_sums(z: np.ndarray) -> np.ndarray:
+    """Sums of rows, as a product, which is several times faster than a sum over a short axis."""
+    return (z.reshape(-1, z.shape[-1]) @ np.ones(z.shape[-1], np.float32)).reshape(*z.shape[:-1], 1)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
     """Of rows, in place."""
-    z -= z.max(-1, keepdims=True)
+    if not _moderate(z):
+        z -= z.max(-1, keepdims=True)
     np.exp(z, out=z)
-    z /= z.sum(-1, keepdims=True)
+    z /= _row_sums(z)
     return z
 
 
-def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each group that occurs, with its rows."""
-    order = np.argsort(group, kind="stable")
-    bounds = np.searchsorted(group[order], np.arange(GROUPS + 1))
-    return ((g, order[bounds[g]:bounds[g + 1]]) for g in range(GROUPS) if bounds[g] < bounds[g + 1])
+def _attention(s: np.ndarray) -> np.ndarray:
+    """Softmax, in place, of each position over itself and those before it."""
+    if not _moderate(s):
+        s += _FUTURE
+        return _softmax(s)
+    np.exp(s, out=s)
+    s *= _PAST
+    s /= _row_sums(s)
+    return s
+
+
+def _group_slices(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of rows by group, and within it the slice of each group that occurs."""
+    order = np.argsort(group.astype(np.uint8), kind="stable")
+    bounds = np.append(0, np.cumsum(np.bincount(group, minlength=GROUPS)))
+    return order, [(g, slice(bounds[g], bounds[g + 1])) for g in range(GROUPS) if bounds[g] < bounds[g + 1]]
 
 
 def train_locally(p: Parameters, symbols: np.ndarray, targets: np.ndarray, weight: np.ndarray, rate: float, seed: int,
@@ -120,13 +156,24 @@ def train_locally(p: Parameters, symbols: np.ndarray, targets: np.ndarray, weigh
     order = np.concatenate([rng.permutation(len(symbols)) for _ in range(steps * batch // len(symbols) + 1)])
     for t in range(steps):
         rows = order[t * batch:(t + 1) * batch]
-        _, g = loss_and_gradients(unpacked(flat), symbols[rows], targets[rows], weight[rows])
-        g = packed(g)
-        g *= min(1.0, 1.0 / (float(np.sqrt((g * g).sum())) + 1e-9))
-        mean += 0.1 * (g - mean)
-        square += 0.01 * (g * g - square)
+        # Gradients of a batch are added up over parts whose arrays stay in a core's cache.
+        at, n, g = unpacked(flat), max(float(weight[rows].sum()), 1.0), np.zeros_like(flat)
+        for k in range(0, len(rows), _CACHED):
+            own = rows[k:k + _CACHED]
+            g += packed(loss_and_gradients(at, symbols[own], targets[own], weight[own], n)[1])
+        g *= np.float32(min(1.0, 1.0 / (float(np.sqrt(g @ g)) + 1e-9)))
+        mean *= np.float32(0.9)
+        mean += np.float32(0.1) * g
+        np.square(g, out=g)
+        square *= np.float32(0.99)
+        square += np.float32(0.01) * g
         now = rate * min(1.0, (t + 1) / 20) * (1 - 0.7 * t / steps)
-        flat = flat - now * (mean / (1 - 0.9 ** (t + 1))) / (np.sqrt(square / (1 - 0.99 ** (t + 1))) + 1e-8)
+        np.sqrt(square, out=g)
+        g *= np.float32((1 - 0.99 ** (t + 1)) ** -0.5)
+        g += np.float32(1e-8)
+        np.divide(mean, g, out=g)
+        g *= np.float32(now / (1 - 0.9 ** (t + 1)))
+        flat -= g
     return unpacked(flat)
 
 
@@ -167,12 +214,7 @@ class Scorer:
             looked_up = np.take(self.of_symbol, inputs[position], 0)
             looked_up += self.of_place
             x, q, v = looked_up[..., :WIDTH], looked_up[..., WIDTH:2 * WIDTH], looked_up[..., 2 * WIDTH:]
-            s = q @ x.transpose(0, 2, 1)
-            s += _FUTURE
-            s -= s.max(-1, keepdims=True)
-            np.exp(s, out=s)
-            h = s @ v
-            h /= s.sum(-1, keepdims=True)
+            h = _attention(q @ x.transpose(0, 2, 1)) @ v
             h += x
             rows = np.flatnonzero(counts)
             wide = np.ones((len(rows), WIDTH + 1), np.float32)
@@ -180,15 +222,23 @@ class Scorer:
             own = position.ravel()[rows]
             group, member = np.divmod(symbols[own], MEMBERS)
             logs = _chosen_log(wide @ self.group, group)
-            for g, at in _by_group(group):
-                logs[at] += _chosen_log(wide[at] @ self.member[g], member[at])
+            order, slices = _group_slices(group)
+            wide = np.take(wide, order, 0)
+            inner = np.empty((len(order), MEMBERS), np.float32)
+            for g, part in slices:
+                np.matmul(wide[part], self.member[g], out=inner[part])
+            logs[order] += _chosen_log(inner, member[order])
             result[own] = logs
         return result
 
 
 def _chosen_log(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log of the chosen column's share after a softmax."""
-    z -= z.max(-1, keepdims=True)
-    out = z[np.arange(len(z)), chosen]
+    each = np.arange(len(z))
+    out = z[each, chosen]
+    if not _moderate(z):
+        largest = z.max(-1, keepdims=True)
+        z -= largest
+        out -= largest[:, 0]
     np.exp(z, out=z)
-    return out - np.log(z.sum(-1))
+    return out - np.log(_row_sums(z)[:, 0])

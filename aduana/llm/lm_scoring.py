@@ -190,9 +190,10 @@ def _sequences(folder: str, file: str, symbols: Symbols):
                     line = [attention.START, *(s for w in words for s in known[w]), int(symbols.of_id[tokenizer.end])]
                     if len(known) > _FLUSH:
                         known.clear()
-                    for k in range(0, len(line) - 1, attention.CONTEXT):
-                        piece = line[k:k + attention.CONTEXT + 1]
-                        rows.append(np.array(piece + [65535] * (attention.CONTEXT + 1 - len(piece)), np.uint16).tobytes())
+                    # Two bytes a symbol; the last window is filled up.
+                    step, size = 2 * attention.CONTEXT, 2 * attention.CONTEXT + 2
+                    flat = np.array(line, np.uint16).tobytes()
+                    rows += [flat[k:k + size].ljust(size, b"\xff") for k in range(0, len(flat) - 2, step)]
                 if len(rows) >= PARTITION_WINDOWS:
                     yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["window"])
                     rows = []

@@ -116,6 +116,23 @@ def shape_of_model(seed: int) -> attention.Parameters:
     return {k: (v * 2 if k in ("match", "value", "group", "member") else v).astype(np.float64) for k, v in p.items()}
 
 
+@pytest.mark.parametrize("factor", [1, 60])
+def test_gradients_of_parts_add_up(factor):
+    rng = np.random.default_rng(11)
+    # At the factor, exponentials of the values as they are would be infinite or all zero.
+    p = {k: (v * (factor if k in ("match", "group", "member") else 1)).astype(np.float32) for k, v in shape_of_model(3).items()}
+    symbols, targets = rng.integers(0, attention.SYMBOLS, (2, 7, attention.CONTEXT))
+    weight = (rng.random(symbols.shape) < 0.8).astype(np.float32)
+    loss, whole = attention.loss_and_gradients(p, symbols, targets, weight)
+    n = float(weight.sum())
+    parts = [attention.loss_and_gradients(p, symbols[k], targets[k], weight[k], n) for k in (slice(0, 2), slice(2, 7))]
+    assert loss == pytest.approx(sum(part[0] for part in parts), rel=1e-5) and np.isfinite(loss)
+    for k, gradient in whole.items():
+        assert np.isfinite(gradient).all()
+        assert np.allclose(gradient, sum(part[1][k] for part in parts), atol=1e-5 * np.abs(gradient).max())
+
+
+
 def test_windows_score_each_position_once():
     lengths = np.array([1, 31, 32, 33, 56, 57, 500])
     text, first, scored = attention.windows(lengths)
