@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from aduana.functions.frames import quoted
-from aduana.llm.common import mix, pieces, shingle_hashes, signed, word_hashes, written
+from aduana.llm.common import bounded_batches, mix, pieces, shingle_hashes, signed, word_hashes, written
 
 MAX_EDITS = 0.2
 #: Documents' windows begin at every so many words.
@@ -289,6 +289,7 @@ def _text_keys(text: Column) -> tuple[Column, Column]:
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """item_id, item (a digest of its words), words of every item that has any."""
+    bounded_batches(benchmark.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(_hashed_items, "item_id long, words binary")
     return written(items.where("octet_length(words) > 0").select("item_id", F.md5("words").alias("item"), "words"), "items")
 

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from aduana.llm.common import mix, pieces, shingle_hashes, signed, word_hashes, written
+from aduana.llm.common import bounded_batches, mix, pieces, shingle_hashes, signed, word_hashes, written
 from aduana.llm.components import connected_components
 
 BAND_RATIO = 3
@@ -159,7 +159,10 @@ def _bucketed(n: int, percent: int):
                 if rows >= COMBINED_ROWS:
                     yield flush(keys, prints, counts)
                     keys, prints, counts, rows = [], [], [], 0
+                    # The worker goes on to further rows and tasks: what the combined rows took goes back.
+                    pa.default_memory_pool().release_unused()
         yield flush(keys, prints, counts)
+        pa.default_memory_pool().release_unused()
 
     return bucket
 
@@ -200,6 +203,7 @@ class JaccardJoin:
     """The classes, links and components of a corpus. Steps are written to the shared folder as they are needed."""
 
     def __init__(self, docs: DataFrame, n: int = 5, percent: int = 80):
+        bounded_batches(docs.sparkSession)
         text = F.coalesce("text", F.lit(""))
         self.n, self.percent = n, percent
         self.texts = docs.select(

@@ -6,8 +6,8 @@ n-grams, trained on labelled rows and calibrated on rows it was not trained on;
 `KEEP_AT` or more that its label is 1.
 
 The classifier is fitted on a bounded sample: the `TRAIN_ROWS` labelled rows whose doc_id has the lowest hash. The sample
-is collected into one task, whose memory the bound and the number of features limit. Everything else covers all rows, in
-Arrow batches, and whole texts.
+is collected into one task, which holds of each row the features that occur and makes `_BLOCK_ROWS` rows dense at a time.
+Everything else covers all rows, in Arrow batches, and whole texts.
 
 Cases: a null text has no words; repeated rows are judged alike; null labels do not train; without labels of both
 values the count rules alone decide; an empty table gives no rows. `quality_verdicts` ignores columns other than doc_id
@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from aduana.llm.common import filtered_rows, mix, pieces, prefix_hash, range_hash, word_ranges
+from aduana.llm.common import bounded_batches, filtered_rows, mix, pieces, prefix_hash, range_hash, word_ranges
 
 #: Labelled rows that train the classifier at most.
 TRAIN_ROWS = 6000
@@ -33,6 +33,8 @@ FEATURES = 1 << 13
 _HALF = FEATURES // 2
 _FOLDS = 3
 _MARGIN_ROWS = 256
+#: Rows of features that are dense at a time while the classifier is fitted: an array that stays in a core's cache.
+_BLOCK_ROWS = 64
 _U = np.uint64
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -116,17 +118,41 @@ def _train_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             ["doc_id", "label", "bins", "weights"])
 
 
-def fit_logistic(rows: np.ndarray, labels: np.ndarray, members: np.ndarray, steps: int = 150, decay: float = 1e-4) -> np.ndarray:
+class FeatureRows:
+    """Rows of features: the bins that occur and their weights, as they came, made dense some rows at a time."""
+
+    def __init__(self, bins: list[np.ndarray], weights: list[np.ndarray]):
+        self.bins, self.weights = bins, weights
+
+    def blocks(self) -> Iterator[tuple[slice, np.ndarray]]:
+        """Consecutive rows as a dense array, which the next block overwrites."""
+        block = np.zeros((_BLOCK_ROWS, FEATURES), np.float32)
+        for k in range(0, len(self.bins), _BLOCK_ROWS):
+            own = self.bins[k:k + _BLOCK_ROWS]
+            place = np.concatenate(own).astype(np.intp)
+            place += np.repeat(np.arange(len(own)) * FEATURES, [len(b) for b in own])
+            block.ravel()[place] = np.concatenate(self.weights[k:k + _BLOCK_ROWS])
+            yield slice(k, k + len(own)), block[:len(own)]
+            block.fill(0)
+
+
+def fit_logistic(
+    rows: FeatureRows, labels: np.ndarray, members: np.ndarray, steps: int = 150, decay: float = 1e-4
+) -> np.ndarray:
     """Weights and, last, the intercept of one model per column of `members`, which marks the rows that train it. All models
     take their accelerated gradient steps together. Rows have norm 1, which bounds the curvature."""
-    at = before = np.zeros((rows.shape[1] + 1, members.shape[1]), np.float32)
+    at = before = np.zeros((FEATURES + 1, members.shape[1]), np.float32)
     counts, rate = members.sum(0), 1 / (0.5 + decay)
     share = (members / counts).astype(np.float32)
     for t in range(steps):
         ahead = at + np.float32(t / (t + 3)) * (at - before)
-        margin = rows @ ahead[:-1] + ahead[-1]
-        error = (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - labels[:, None]).astype(np.float32) * share
-        step = np.concatenate([rows.T @ error + np.float32(decay) * ahead[:-1], error.sum(0, keepdims=True)])
+        step = np.float32(decay) * ahead
+        step[-1] = 0
+        for own, block in rows.blocks():
+            margin = block @ ahead[:-1] + ahead[-1]
+            error = (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - labels[own, None]).astype(np.float32) * share[own]
+            step[:-1] += block.T @ error
+            step[-1] += error.sum(0)
         before, at = at, ahead - np.float32(rate) * step
     return at.astype(np.float64)
 
@@ -165,16 +191,15 @@ def _fit(rows: pa.Table) -> pa.Table:
     labels = rows["label"].to_numpy()[order].astype(np.float64)
     model: bytes | None = None
     if 0 < labels.sum() < len(labels):
-        features, place = np.zeros((len(order), FEATURES), np.float32), np.argsort(order)
-        for k, bins, weights in zip(place, rows["bins"], rows["weights"], strict=True):
-            features[k, np.frombuffer(bins.as_buffer(), np.uint16)] = np.frombuffer(weights.as_buffer(), np.float32)
+        features = FeatureRows(*([np.frombuffer(rows[name][k].as_buffer(), kind) for k in order.tolist()]
+                                 for name, kind in (("bins", np.uint16), ("weights", np.float32))))
         # One model per fold, trained on the other folds, and the model of all rows.
         fold = np.arange(len(labels)) % _FOLDS
         members = np.stack([*(fold != k for k in range(_FOLDS)), np.ones(len(labels), bool)], 1)
         if len(labels) < 2 * _FOLDS:
             members[:] = True
         fitted = fit_logistic(features, labels, members)
-        margins = _own_margins(features, fitted, fold)
+        margins = np.concatenate([_own_margins(block, fitted, fold[own]) for own, block in features.blocks()])
         slope, shift = fit_sigmoid(margins, labels)
         model = np.append(slope * fitted[:, -1], shift).tobytes()
     return pa.table({"model": pa.array([model], pa.binary())})
@@ -182,6 +207,7 @@ def _fit(rows: pa.Table) -> pa.Table:
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> np.ndarray | None:
     """Calibrated weights: features, intercept, shift; None without labels of both values."""
+    bounded_batches(docs.sparkSession)
     sample = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(train_rows)
@@ -219,6 +245,7 @@ def quality_verdicts(docs: DataFrame, model: np.ndarray | None) -> DataFrame:
                 [batch["doc_id"], *(pa.array(c) for c in table.T), pa.array(failed), pa.array(chance), pa.array(kept)],
                 ["doc_id", *COUNTS, "base_failed", "probability", "kept"])
 
+    bounded_batches(docs.sparkSession)
     counts = ", ".join(f"{c} long" for c in COUNTS)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         score, f"doc_id long, {counts}, base_failed boolean, probability double, kept boolean")

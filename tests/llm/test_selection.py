@@ -13,7 +13,7 @@ from brute import edit_distance_within, held_out, rule_counts, targets, words
 from conftest import bag, edge_rows, pairs_of, prose
 
 from aduana.llm import decontamination, mixing, quality_classifier, quality_rules, sharding
-from aduana.llm.common import pieces, word_hashes
+from aduana.llm.common import filtered_rows, pieces, word_hashes
 
 # --- mixing ----------------------------------------------------------------------------------------------------------
 
@@ -218,6 +218,58 @@ def test_quality_fit_makes_no_second_copy_of_the_features():
     assert len(model) == 8 * (quality_rules.FEATURES + 2)
 
 
+def _feature_rows(n: int, seed: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Labels, and of each row 400 bins with weights that depend on the label; one row has none."""
+    rng = np.random.default_rng(seed)
+    labels = np.arange(n) % 2
+    bins = [np.sort(rng.choice(quality_rules.FEATURES, 400, replace=False)).astype(np.uint16) for _ in range(n)]
+    weights = [(0.05 + 0.01 * label * (b < 4000)).astype(np.float32) for b, label in zip(bins, labels, strict=True)]
+    bins[5], weights[5] = bins[5][:0], weights[5][:0]
+    return labels, bins, weights
+
+
+def test_quality_fit_holds_some_rows_dense_at_a_time():
+    n = 1200
+    labels, bins, weights = _feature_rows(n, 4)
+    rows = pa.table({"doc_id": np.arange(n), "label": labels, "bins": [b.tobytes() for b in bins],
+                     "weights": [w.tobytes() for w in weights]})
+    tracemalloc.start()
+    try:
+        quality_rules._fit(rows)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < n * quality_rules.FEATURES * 4 / 4
+
+
+def test_quality_fit_by_blocks_takes_the_steps_of_all_rows():
+    n = 3 * 64 + 7
+    labels, bins, weights = _feature_rows(n, 5)
+    dense = np.zeros((n, quality_rules.FEATURES))
+    for row, b, w in zip(dense, bins, weights, strict=True):
+        row[b] = w
+    members = np.stack([np.arange(n) % 3 != 0, np.ones(n, bool)], 1)
+    at = before = np.zeros((quality_rules.FEATURES + 1, 2))
+    for t in range(20):
+        ahead = at + t / (t + 3) * (at - before)
+        error = (1 / (1 + np.exp(-(dense @ ahead[:-1] + ahead[-1]))) - labels[:, None]) * members / members.sum(0)
+        step = np.concatenate([dense.T @ error + 1e-4 * ahead[:-1], error.sum(0, keepdims=True)])
+        before, at = at, ahead - step / (0.5 + 1e-4)
+    fitted = quality_rules.fit_logistic(quality_rules.FeatureRows(bins, weights), labels, members, 20)
+    assert np.allclose(fitted, at, rtol=1e-3, atol=1e-6)
+
+
+def test_quality_rows_reach_workers_in_bounded_batches(spark):
+    # 40 rows of 1 MB: the default batch holds 64 MB.
+    docs = spark.range(40).coalesce(1).selectExpr("id AS doc_id", "repeat('abcdefg ', 131072) AS text")
+
+    rows = filtered_rows(docs.select("doc_id", "text"), lambda batches: batches)
+    assert rows.count() == 40
+    counted = [r["n"] for r in docs.mapInArrow(
+        lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in batches), "n long").collect()]
+    assert sum(counted) == 40 and max(counted) <= 5
+
+
 # --- quality classifier ----------------------------------------------------------------------------------------------
 
 
