@@ -250,15 +250,17 @@ def _windows(table: np.ndarray, walks: list[int], runs: list[int]):
             t1, t2, texts = t1[once], t2[once], batch["text"].take(pa.array(once))
             for begin, _, data, offsets in pieces(texts):
                 words, first = word_hashes(data, offsets)
+                found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
                 for keys, at in document_keys(words, first, walks, runs):
                     known = np.ones(len(keys), bool)
                     for slot in _slots(keys, bits):
                         known &= (table[slot >> 6] >> (slot & 63).astype(np.uint64)) & _U(1) == 1
-                    keys, at = keys[known], at[known]
-                    text = np.searchsorted(first, at, "right") - 1
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(signed(keys)), pa.array(t1[begin + text]), pa.array(t2[begin + text]), pa.array((at - first[text]).astype(np.int32))],
-                        ["key", "t1", "t2", "place"])
+                    found.append((keys[known], at[known]))
+                keys, at = (np.concatenate(x) for x in zip(*found, strict=True))
+                text = np.searchsorted(first, at, "right") - 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(keys)), pa.array(t1[begin + text]), pa.array(t2[begin + text]), pa.array((at - first[text]).astype(np.int32))],
+                    ["key", "t1", "t2", "place"])
 
     return windows
 
