@@ -32,6 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -54,6 +55,8 @@ WORD_SHARE = 0.3
 _LN10 = math.log(10)
 _FLUSH = 1_000_000
 _COUNT_PIECE = 1 << 22
+_CUT_PIECE = 1 << 20
+_CUT_WORDS = 1 << 14
 _SUMS = "part int, n long, sums binary"
 
 
@@ -65,14 +68,25 @@ class Subwords:
 
         with open(f"{folder}/{file}", "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
-        # Words have no white space, so one pattern for a word with the space before it is enough.
-        self.encoding = tiktoken.Encoding(file, pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        # Words hold no blank, so a blank and what follows it is a word, and an id that begins with a blank begins a word.
+        self.encoding = tiktoken.Encoding(file, pat_str=r" [^ ]+", mergeable_ranks=ranks, special_tokens={})
+        self.opens = np.zeros(max(ranks.values()) + 1, bool)
+        self.opens[[rank for piece, rank in ranks.items() if piece.startswith(b" ")]] = True
         self.end = max(ranks.values()) + 1
         self.n_ids = self.end + 1
 
+    def flat_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and the number of each word's."""
+        ids = [np.zeros(0, np.uint16)]
+        for k in range(0, len(words), _CUT_WORDS):
+            own = b" " + b" ".join(words[k:k + _CUT_WORDS])
+            ids.append(np.array(self.encoding.encode_ordinary(own.decode("utf-8", "replace")), np.uint16))
+        flat = np.concatenate(ids)
+        return flat, np.diff(np.append(np.flatnonzero(self.opens[flat]), len(flat)))
+
     def ids(self, words: list[str]) -> list[list[int]]:
-        encode = self.encoding.encode_ordinary
-        return [encode(" " + w) for w in words]
+        flat, sizes = self.flat_ids([w.encode() for w in words])
+        return [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] if words else []
 
 
 _loaded: dict[tuple[str, str], Subwords] = {}
@@ -123,13 +137,18 @@ def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield record(*merged())
 
 
+def _binaries(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Two-byte values as a binary array of so many values each."""
+    offsets = np.append(0, 2 * np.cumsum(sizes)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(flat))])
+
+
 def _with_ids(folder: str, file: str):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = subwords(folder, file)
         for batch in batches:
-            words = [w.decode("utf-8", "replace") for w in batch["word"].to_pylist()]
-            ids = [np.array(x, np.uint16).tobytes() for x in tokenizer.ids(words)]
-            yield pa.RecordBatch.from_arrays([batch["hash"], batch["n"], pa.array(ids, pa.binary())], ["hash", "n", "ids"])
+            flat, sizes = tokenizer.flat_ids(batch["word"].to_pylist())
+            yield pa.RecordBatch.from_arrays([batch["hash"], batch["n"], _binaries(flat, sizes)], ["hash", "n", "ids"])
 
     return cut
 
@@ -174,30 +193,59 @@ class Symbols:
         self.totals = totals / totals.sum()
 
 
+class WordSymbols:
+    """Symbols of the distinct words that a task has met, found by the words' hashes; each is cut into subwords once."""
+
+    def __init__(self, tokenizer: Subwords, symbols: Symbols):
+        self.tokenizer, self.symbols = tokenizer, symbols
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.starts, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint16)
+
+    def of(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the words in the byte ranges, where their symbols start in `flat`, and how many they are."""
+        distinct, at, back = np.unique(range_hash(prefix_hash(data, lower=True), starts, ends), return_index=True, return_inverse=True)
+        if len(self.hashes) > _FLUSH:
+            self.clear()
+        place = np.searchsorted(self.hashes, distinct)
+        new = np.append(self.hashes, np.uint64(0))[place] != distinct
+        new[place == len(self.hashes)] = True
+        if new.any():
+            flat, sizes = self.tokenizer.flat_ids(cut_out(data, starts[at[new]], ends[at[new]]).to_pylist())
+            self.starts = np.insert(self.starts, place[new], len(self.flat) + np.cumsum(sizes) - sizes)
+            self.sizes = np.insert(self.sizes, place[new], sizes)
+            self.hashes = np.insert(self.hashes, place[new], distinct[new])
+            self.flat = np.append(self.flat, self.symbols.of_id[flat].astype(np.uint16))
+        found = np.searchsorted(self.hashes, distinct)
+        return self.starts[found][back], self.sizes[found][back]
+
+
 def _sequences(folder: str, file: str, symbols: Symbols):
     """Windows of training texts: symbols from the one before the first on, CONTEXT + 1 in a row; 65535 after the end."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, known = subwords(folder, file), {}
+        tokenizer = subwords(folder, file)
+        words = WordSymbols(tokenizer, symbols)
         for batch in batches:
-            rows = []
-            for row in range(batch.num_rows):
-                for _, _, data, offsets in pieces(batch["text"].slice(row, 1)):
-                    starts, ends, _ = word_ranges(data, offsets)
-                    words = cut_out(data, starts, ends).to_pylist()
-                    for w in words:
-                        if w not in known:
-                            known[w] = [int(symbols.of_id[i]) for i in tokenizer.ids([w.decode("utf-8", "replace")])[0]]
-                    line = [attention.START, *(s for w in words for s in known[w]), int(symbols.of_id[tokenizer.end])]
-                    if len(known) > _FLUSH:
-                        known.clear()
-                    # Two bytes a symbol; the last window is filled up.
-                    step, size = 2 * attention.CONTEXT, 2 * attention.CONTEXT + 2
-                    flat = np.array(line, np.uint16).tobytes()
-                    rows += [flat[k:k + size].ljust(size, b"\xff") for k in range(0, len(flat) - 2, step)]
-                if len(rows) >= PARTITION_WINDOWS:
-                    yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["window"])
-                    rows = []
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["window"])
+            for _, _, data, offsets in pieces(batch["text"], _CUT_PIECE):
+                starts, ends, first = word_ranges(data, offsets)
+                start, size = words.of(data, starts, ends)
+                # A text's line: the start, the symbols of its words, the end.
+                last = np.append(0, np.cumsum(size))
+                bounds = last[first] + 2 * np.arange(len(first))
+                line, inner = np.empty(bounds[-1], np.uint16), np.ones(bounds[-1], bool)
+                line[bounds[:-1]], line[bounds[1:] - 1] = attention.START, symbols.of_id[tokenizer.end]
+                inner[bounds[:-1]] = inner[bounds[1:] - 1] = False
+                line[inner] = words.flat[np.repeat(start - last[:-1], size) + np.arange(last[-1])]
+                # The last window of a text is filled up.
+                count = -(-(np.diff(bounds) - 1) // attention.CONTEXT)
+                own_end = np.repeat(bounds[1:], count)
+                from_ = np.repeat(bounds[:-1] - attention.CONTEXT * (np.cumsum(count) - count), count) + attention.CONTEXT * np.arange(len(own_end))
+                for k in range(0, len(own_end), PARTITION_WINDOWS):
+                    place = from_[k:k + PARTITION_WINDOWS, None] + np.arange(attention.CONTEXT + 1)
+                    rows = np.where(place < own_end[k:k + PARTITION_WINDOWS, None], line[np.minimum(place, len(line) - 1)], np.uint16(65535))
+                    yield pa.RecordBatch.from_arrays([_binaries(rows, np.full(len(rows), attention.CONTEXT + 1))], ["window"])
 
     return cut
 
@@ -321,7 +369,8 @@ def _score_block(model: attention.Parameters, symbols: Symbols, end: int, n_toke
         hashes = words["hash"].to_numpy()[order]
         counts = words["n"].to_numpy()[order]
         packed = words["ids"].combine_chunks().take(pa.array(order)) if len(order) else pa.array([], pa.binary())
-        sizes = np.array([len(x) // 2 for x in packed.to_pylist()], np.int64)
+        packed = packed.cast(pa.binary())
+        sizes = pc.binary_length(packed).to_numpy(zero_copy_only=False).astype(np.int64) // 2
         ids = np.frombuffer(b"".join(packed.to_pylist()), np.uint16).astype(np.int64)
         id_start = np.cumsum(sizes) - sizes
         id_symbol, id_share = symbols.of_id[ids], symbols.share[ids]
@@ -387,7 +436,8 @@ def lm_scores(docs: DataFrame, folder: str = TOKENIZER_FOLDER, file: str = TOKEN
     model = train(texts, words, symbols, int(counts.sum() // attention.CONTEXT), folder, file)
     blocks = int(totals["tokens"] * 7 // 6 // BLOCK_WORDS) + 1
     dealt = texts.select(F.pmod("row_hash", F.lit(blocks)).cast("int").alias("block"), "doc_id", "held_out", "text").repartition("block")
-    known = dealt.select("block", "text").mapInArrow(_block_words, "block int, hash long").join(words, "hash")
+    # All columns, though two are used: texts are then moved once for both uses.
+    known = dealt.mapInArrow(_block_words, "block int, hash long").join(words, "hash")
     return dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
         _score_block(model, symbols, tokenizer.end, n_tokens, n_distinct, n_texts),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

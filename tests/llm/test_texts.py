@@ -7,11 +7,13 @@ import math
 import re
 import subprocess
 import sys
+import tracemalloc
 from collections import Counter
 from pathlib import Path
 
 import __spark_entry__
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import base_scores, jaccard_components, rule_counts, words
 from comparing import differences
@@ -175,6 +177,54 @@ def test_gradients():
         assert (attention.loss_and_gradients(moved, x, y, weight)[0] - loss) / 1e-6 == pytest.approx((gradients[k] * direction).sum(), rel=1e-3, abs=1e-6)
 
 
+def test_a_step_allocates_little():
+    """Arrays are kept from call to call: fresh ones go back to the system each time, which took half of the training time."""
+    p = attention.initial(np.full(attention.SYMBOLS, 1 / attention.SYMBOLS))
+    line = np.random.default_rng(5).integers(0, attention.SYMBOLS, (200, attention.CONTEXT + 1))
+    example = line[:, :-1], line[:, 1:], np.ones((200, attention.CONTEXT), np.float32)
+    room = attention.Room()
+    first = {k: x.copy() for k, x in attention.loss_and_gradients(p, *example, room=room)[1].items()}
+    one = example[0].size * attention.WIDTH * 4
+    tracemalloc.start()
+    again = attention.loss_and_gradients(p, *example, room=room)[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < one and all(np.array_equal(first[k], again[k]) for k in first)
+
+
+def test_windows_of_texts_are_cut_word_by_word(monkeypatch):
+    """Words are looked up by batch; the windows are those of each word cut by itself, in the order of the texts."""
+    tokenizer = lm_scoring.subwords(lm_scoring.TOKENIZER_FOLDER, lm_scoring.TOKENIZER_FILE)
+    symbols = lm_scoring.Symbols(np.arange(tokenizer.n_ids) % 97 + 1.0, tokenizer.encoding.decode_single_token_bytes)
+    texts = ["", None, " \n ", "A b\tC", "a \u00a0 \x1c \u65e5\u672c", "Repeat repeat " * 40, " ".join(map(str, range(90))), "q" * 700, "b A"]
+    expected = []
+    for text in texts:
+        ids = [i for w in words(text or "") for i in tokenizer.encoding.encode_ordinary(" " + w.decode())]
+        line = [attention.START, *symbols.of_id[ids], symbols.of_id[tokenizer.end]]
+        for k in range(0, len(line) - 1, attention.CONTEXT):
+            own = line[k:k + attention.CONTEXT + 1]
+            expected.append(np.array(own + [65535] * (attention.CONTEXT + 1 - len(own)), np.uint16).tobytes())
+    batch, cut_words, flat_ids = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]), [], tokenizer.flat_ids
+    monkeypatch.setattr(tokenizer, "flat_ids", lambda own: cut_words.extend(own) or flat_ids(own))
+    for piece in (1 << 20, 10):
+        monkeypatch.setattr(lm_scoring, "_CUT_PIECE", piece)
+        cut_words.clear()
+        cut = lm_scoring._sequences(lm_scoring.TOKENIZER_FOLDER, lm_scoring.TOKENIZER_FILE, symbols)(iter([batch, batch]))
+        assert [w for b in cut for w in b["window"].to_pylist()] == 2 * expected
+        assert len(cut_words) == len(set(cut_words)) == len({w for x in texts for w in words(x or "")})
+    # Without room for words of earlier pieces they are cut again.
+    monkeypatch.setattr(lm_scoring, "_FLUSH", 3)
+    cut = lm_scoring._sequences(lm_scoring.TOKENIZER_FOLDER, lm_scoring.TOKENIZER_FILE, symbols)(iter([batch]))
+    assert [w for b in cut for w in b["window"].to_pylist()] == expected
+
+
+def test_texts_are_moved_once(documents):
+    """Both uses of the dealt texts read one exchange."""
+    scored = lm_scoring.lm_scores(documents.limit(50))
+    scored.collect()
+    assert "ReusedExchange" in scored._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scores(documents):
     rows = lm_scoring.lm_scores(documents).collect()
     expected = {r[0]: r for r in base_scores(pairs_of(documents))}
